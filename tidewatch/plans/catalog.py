@@ -187,3 +187,343 @@ def q_traffic_status(spark, sf):
 
 
 _ = (attack_category, category_colour)
+
+
+# Parsing and validation over traffic lines (PRJ1-3, FLT1-2, FLT5, SC3, SC6, SC9) ----
+
+from ..operators import labels as L  # noqa: E402
+from ..operators import parse as P  # noqa: E402
+from ..schema import TRAFFIC_FIELDS  # noqa: E402
+
+
+def _duck_parsed_columns() -> str:
+    out = []
+    for i, (name, kind) in enumerate(TRAFFIC_FIELDS, start=1):
+        item = f"v[{i}]"
+        if kind == "double":
+            expr = f"TRY_CAST({item} AS DOUBLE)"
+        elif kind == "int":
+            expr = f"TRY_CAST(trunc(TRY_CAST({item} AS DOUBLE)) AS INTEGER)"
+        else:
+            expr = item
+        out.append(f'{expr} AS "{name}"')
+    out.append("TRY_CAST(v[4] AS DOUBLE) AS rate_value")
+    return ",\n  ".join(out)
+
+
+PARSED_SQL = with_views("traffic_lines") + f""",
+split_lines AS (SELECT line_id, csv_line, string_split(csv_line, ',') AS v FROM traffic_lines),
+valid AS (SELECT * FROM split_lines WHERE len(v) = 40 AND v[1] IS NOT NULL),
+parsed AS (SELECT line_id,
+  {_duck_parsed_columns()}
+  FROM valid)
+"""
+
+
+def _parsed(spark, sf):
+    return P.parse_lines(FX.traffic_lines(spark, sf), keep=("line_id",))
+
+
+@register(
+    "split_width",
+    PARSED_SQL
+    + """SELECT line_id, CAST(len(v) AS INTEGER) AS width, v[1] AS first_field, v[len(v)] AS last_field
+FROM split_lines""",
+)
+def q_split_width(spark, sf):
+    df = P.split_line(FX.traffic_lines(spark, sf))
+    return df.select(
+        "line_id",
+        P.width().alias("width"),
+        F.get(F.col("values"), 0).alias("first_field"),
+        F.element_at("values", -1).alias("last_field"),
+    )
+
+
+@register("valid_width", PARSED_SQL + "SELECT line_id, csv_line FROM valid")
+def q_valid_width(spark, sf):
+    return P.valid_width(P.split_line(FX.traffic_lines(spark, sf))).select("line_id", "csv_line")
+
+
+@register(
+    "check_width",
+    PARSED_SQL + "SELECT line_id, csv_line, CAST(len(v) AS INTEGER) AS width FROM split_lines WHERE len(v) <> 40",
+)
+def q_check_width(spark, sf):
+    return P.check_width(FX.traffic_lines(spark, sf)).select("line_id", "csv_line", "width")
+
+
+@register(
+    "width_summary",
+    PARSED_SQL
+    + """SELECT count(*) AS lines, count(*) FILTER (WHERE len(v) <> 40) AS bad_lines,
+  count(*) FILTER (WHERE len(v) <> 40) = 0 AS all_good FROM split_lines""",
+)
+def q_width_summary(spark, sf):
+    return P.width_summary(FX.traffic_lines(spark, sf))
+
+
+@register("parse_traffic", PARSED_SQL + "SELECT * FROM parsed")
+def q_parse_traffic(spark, sf):
+    return _parsed(spark, sf)
+
+
+def _feature_names() -> list[str]:
+    return [n for n, k in TRAFFIC_FIELDS if k != "string"]
+
+
+def _duck_complete_cond() -> str:
+    conds = ['"Rate" IS NOT NULL']
+    for n, k in TRAFFIC_FIELDS:
+        if k == "double":
+            conds.append(f'"{n}" IS NOT NULL AND NOT isnan("{n}")')
+        elif k == "int":
+            conds.append(f'"{n}" IS NOT NULL')
+    return " AND ".join(conds)
+
+
+@register(
+    "complete_rows",
+    PARSED_SQL + f'SELECT line_id, "Label", rate_value FROM parsed WHERE {_duck_complete_cond()}',
+)
+def q_complete_rows(spark, sf):
+    parsed = _parsed(spark, sf)
+    return P.complete_rows(parsed, _feature_names() + ["Rate"]).select("line_id", "Label", "rate_value")
+
+
+@register(
+    "decode_topic",
+    with_views("traffic_lines")
+    + """SELECT TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(line_id) AS kafka_timestamp,
+  csv_line FROM traffic_lines""",
+)
+def q_decode_topic(spark, sf):
+    lines = FX.traffic_lines(spark, sf)
+    topic_rows = lines.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.encode("csv_line", "UTF-8").alias("value"),
+        F.lit("network-traffic").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("line_id").alias("offset"),
+        F.timestamp_add("MICROSECOND", F.col("line_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias(
+            "timestamp"
+        ),
+    )
+    return P.decode_topic(topic_rows)
+
+
+# Label dictionary (AG2-AG4, ML1, ML12, SC7) -------------------------------
+
+LABEL_INDEX_SQL = PARSED_SQL + """,
+label_index AS (
+  SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, "Label" ASC) - 1 AS BIGINT) AS idx,
+    "Label" AS label, count(*) AS count
+  FROM parsed WHERE "Label" IS NOT NULL GROUP BY "Label")
+"""
+
+
+@register("distinct_labels", PARSED_SQL + 'SELECT DISTINCT "Label" AS label FROM parsed')
+def q_distinct_labels(spark, sf):
+    return L.distinct_labels(_parsed(spark, sf))
+
+
+@register("label_index", LABEL_INDEX_SQL + "SELECT idx, label, count FROM label_index")
+def q_label_index(spark, sf):
+    return L.label_index(_parsed(spark, sf))
+
+
+@register(
+    "label_dictionary",
+    LABEL_INDEX_SQL
+    + """SELECT idx, label, idx AS back_index, (SELECT count(*) FROM label_index) AS total_labels,
+  'Label' AS label_column FROM label_index""",
+)
+def q_label_dictionary(spark, sf):
+    return L.explode_dictionary(L.label_dictionary(_parsed(spark, sf)))
+
+
+@register(
+    "index_to_label",
+    LABEL_INDEX_SQL
+    + """SELECT p.line_id, CAST(i.idx AS DOUBLE) AS label_indexed, i.label AS label_name
+FROM parsed p JOIN label_index i ON p."Label" = i.label""",
+)
+def q_index_to_label(spark, sf):
+    """Index the label with a fitted indexer, then map indices back to names."""
+    from ..operators import ml as M
+
+    parsed = _parsed(spark, sf)
+    model = M.fit_label_indexer(parsed)
+    indexed = model.transform(parsed)
+    return M.index_to_string(indexed, model, "label_indexed", "label_name").select(
+        "line_id", "label_indexed", "label_name"
+    )
+
+
+# Flow features over packets (FL1-FL16, PRJ4) --------------------------------
+
+from ..operators import flows as FL  # noqa: E402
+from ..schema import TCP_FLAG_BITS as _FLAG_BITS  # noqa: E402
+
+FLOW_WINDOW_S = 86_400  # the driver's events are sparse: a day-long window
+_W_US = FLOW_WINDOW_S * 1_000_000
+_P40 = 1099511627776
+
+
+def _duck_exact(x: str) -> str:
+    return f"(CAST(({x}) - ({x}) % {_P40} AS DOUBLE) + CAST(({x}) % {_P40} AS DOUBLE))"
+
+
+def _flow_oracle() -> str:
+    flag_cols = ",\n    ".join(
+        f"CASE WHEN proto = 6 AND (flags & {bit}) <> 0 THEN 1 ELSE 0 END AS f_{name}" for name, bit in _FLAG_BITS
+    )
+    app = """CASE
+      WHEN proto = 6 AND (dst_port = 80 OR src_port = 80) THEN 'HTTP'
+      WHEN proto = 6 AND (dst_port = 443 OR src_port = 443) THEN 'HTTPS'
+      WHEN proto = 6 AND (dst_port = 53 OR src_port = 53) THEN 'DNS'
+      WHEN proto = 6 AND (dst_port = 23 OR src_port = 23) THEN 'Telnet'
+      WHEN proto = 6 AND (dst_port = 25 OR src_port = 25) THEN 'SMTP'
+      WHEN proto = 6 AND (dst_port = 22 OR src_port = 22) THEN 'SSH'
+      WHEN proto = 6 AND (dst_port = 194 OR src_port = 194) THEN 'IRC'
+      WHEN proto = 17 AND (dst_port = 53 OR src_port = 53) THEN 'DNS'
+      WHEN proto = 17 AND (dst_port IN (67, 68) OR src_port IN (67, 68)) THEN 'DHCP' END"""
+    counters = [f"f_{n}" for n, _ in _FLAG_BITS] + [f"p_{n}" for n in FL.PROTOCOL_FLAGS]
+    cum = ",\n    ".join(f"sum({c}) OVER cum AS {c}" for c in counters)
+    apps = ", ".join(
+        f"CASE WHEN app = '{a}' THEN 1 ELSE 0 END AS p_{a}"
+        for a in ["HTTP", "HTTPS", "DNS", "Telnet", "SMTP", "SSH", "IRC", "DHCP"]
+    )
+    return with_views("packets") + f""",
+ported AS (
+  SELECT *, CASE WHEN proto IN (6, 17) THEN src_port ELSE 0 END AS sp,
+    CASE WHEN proto IN (6, 17) THEN dst_port ELSE 0 END AS dp
+  FROM packets WHERE src_ip IS NOT NULL AND dst_ip IS NOT NULL),
+keyed AS (
+  SELECT *,
+    CASE WHEN src_ip < dst_ip OR (src_ip = dst_ip AND sp < dp)
+      THEN src_ip || ':' || CAST(sp AS VARCHAR) || '-' || dst_ip || ':' || CAST(dp AS VARCHAR) || '-' || CAST(proto AS VARCHAR)
+      ELSE dst_ip || ':' || CAST(dp AS VARCHAR) || '-' || src_ip || ':' || CAST(sp AS VARCHAR) || '-' || CAST(proto AS VARCHAR)
+    END AS flow,
+    {flag_cols},
+    CASE WHEN proto = 6 THEN 1 ELSE 0 END AS p_TCP, CASE WHEN proto = 17 THEN 1 ELSE 0 END AS p_UDP,
+    CASE WHEN proto = 1 THEN 1 ELSE 0 END AS p_ICMP, 0 AS p_ARP,
+    {app} AS app
+  FROM ported),
+ind AS (SELECT *, {apps} FROM keyed),
+lagged AS (SELECT *, ts_us - lag(ts_us) OVER (PARTITION BY flow ORDER BY ts_us) AS iat FROM ind),
+stats AS (
+  SELECT flow, packet_id, ts_us, ihl, proto, ttl,
+    count(*) OVER win AS n,
+    CAST(sum(length) OVER win AS BIGINT) AS len_sum,
+    CAST(sum(CAST(length AS BIGINT) * length) OVER win AS BIGINT) AS len_sq,
+    min(length) OVER win AS len_min, max(length) OVER win AS len_max,
+    min(ts_us) OVER win AS win_start,
+    coalesce(sum(CAST(iat AS HUGEINT) * iat) OVER win, 0)
+      - coalesce(CAST(first_value(iat) OVER win AS HUGEINT) * first_value(iat) OVER win, 0) AS iat_sq,
+    min(ts_us) OVER (PARTITION BY flow) AS first_us,
+    {cum}
+  FROM lagged
+  WINDOW win AS (PARTITION BY flow ORDER BY ts_us RANGE BETWEEN {_W_US - 1} PRECEDING AND CURRENT ROW),
+         cum AS (PARTITION BY flow ORDER BY ts_us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+emitted AS (SELECT *, n - 1 AS m,
+    CAST(n AS HUGEINT) * len_sq - CAST(len_sum AS HUGEINT) * len_sum AS len_num,
+    CAST(n - 1 AS HUGEINT) * iat_sq - CAST(ts_us - win_start AS HUGEINT) * (ts_us - win_start) AS iat_num
+  FROM stats WHERE n >= 2),
+flow_features AS (
+  SELECT flow, packet_id, ts_us,
+    CAST(ihl * 4 AS INTEGER) AS Header_Length, CAST(proto AS INTEGER) AS Protocol_Type,
+    CAST(ttl AS INTEGER) AS Time_To_Live,
+    CAST(n AS DOUBLE) / greatest(CAST(ts_us - first_us AS DOUBLE) / 1e6, 1.0) AS Rate,
+    CAST(f_FIN AS INTEGER) AS fin_flag_number, CAST(f_SYN AS INTEGER) AS syn_flag_number,
+    CAST(f_RST AS INTEGER) AS rst_flag_number, CAST(f_PSH AS INTEGER) AS psh_flag_number,
+    CAST(f_ACK AS INTEGER) AS ack_flag_number, CAST(f_ECE AS INTEGER) AS ece_flag_number,
+    CAST(f_CWR AS INTEGER) AS cwr_flag_number,
+    CAST(f_ACK AS DOUBLE) / CAST(n AS DOUBLE) AS ack_count, CAST(f_SYN AS DOUBLE) / CAST(n AS DOUBLE) AS syn_count,
+    CAST(f_FIN AS DOUBLE) / CAST(n AS DOUBLE) AS fin_count, CAST(f_RST AS DOUBLE) / CAST(n AS DOUBLE) AS rst_count,
+    CAST(p_HTTP > 0 AS INTEGER) AS HTTP, CAST(p_HTTPS > 0 AS INTEGER) AS HTTPS, CAST(p_DNS > 0 AS INTEGER) AS DNS,
+    CAST(p_Telnet > 0 AS INTEGER) AS Telnet, CAST(p_SMTP > 0 AS INTEGER) AS SMTP, CAST(p_SSH > 0 AS INTEGER) AS SSH,
+    CAST(p_IRC > 0 AS INTEGER) AS IRC, CAST(p_TCP > 0 AS INTEGER) AS TCP, CAST(p_UDP > 0 AS INTEGER) AS UDP,
+    CAST(p_DHCP > 0 AS INTEGER) AS DHCP, CAST(p_ARP > 0 AS INTEGER) AS ARP, CAST(p_ICMP > 0 AS INTEGER) AS ICMP,
+    0 AS IGMP, 1 AS IPv, 0 AS LLC,
+    len_sum AS Tot_sum, CAST(len_min AS INTEGER) AS Min, CAST(len_max AS INTEGER) AS Max,
+    CAST(len_sum AS DOUBLE) / CAST(n AS DOUBLE) AS AVG,
+    sqrt({_duck_exact('len_num')} / (CAST(n AS DOUBLE) * CAST(m AS DOUBLE))) AS Std,
+    len_sum AS Tot_size,
+    CAST(ts_us - win_start AS DOUBLE) / CAST(m AS DOUBLE) / 1e6 AS IAT,
+    CAST(n AS INTEGER) AS Number,
+    CASE WHEN m > 1 THEN {_duck_exact('iat_num')} / (CAST(m AS DOUBLE) * CAST(m AS DOUBLE)) / 1e12 ELSE 0.0 END AS Variance,
+    'UNKNOWN' AS Label
+  FROM emitted)
+"""
+
+
+FLOW_SQL = _flow_oracle()
+FLOW_GROUPS: dict[str, list[str]] = {
+    "flow_flag_counts": [f"{n.lower()}_flag_number" for n, _ in _FLAG_BITS],
+    "flow_protocols": ["HTTP", "HTTPS", "DNS", "Telnet", "SMTP", "SSH", "IRC", "TCP", "UDP", "DHCP", "ARP", "ICMP",
+                       "IGMP", "IPv", "LLC"],
+    "windowed_packets": ["Number", "Label"],
+    "header_features": ["Header_Length", "Protocol_Type", "Time_To_Live"],
+    "flow_rate": ["Rate"],
+    "flag_ratios": ["ack_count", "syn_count", "fin_count", "rst_count"],
+    "byte_stats": ["Tot_sum", "Min", "Max", "AVG", "Std", "Tot_size"],
+    "iat_stats": ["IAT", "Variance"],
+}
+
+
+def _flow_features(spark, sf):
+    return FL.flow_features(FX.packets(spark, sf), FLOW_WINDOW_S)
+
+
+def _make_flow_query(cols: list[str]):
+    def q(spark, sf):
+        return _flow_features(spark, sf).select("flow", "packet_id", "ts_us", *cols)
+
+    return q
+
+
+for _name, _cols in FLOW_GROUPS.items():
+    register(_name, FLOW_SQL + "SELECT flow, packet_id, ts_us, " + ", ".join(_cols) + " FROM flow_features")(
+        _make_flow_query(_cols)
+    )
+
+
+@register("flow_features", FLOW_SQL + "SELECT * FROM flow_features")
+def q_flow_features(spark, sf):
+    return _flow_features(spark, sf)
+
+
+@register(
+    "flow_key",
+    FLOW_SQL.split(",\nind AS")[0] + "\nSELECT packet_id, flow FROM keyed",
+)
+def q_flow_key(spark, sf):
+    return FL.flow_key(FX.packets(spark, sf)).select("packet_id", "flow")
+
+
+@register(
+    "tcp_flags",
+    FLOW_SQL.split(",\nind AS")[0]
+    + "\nSELECT packet_id, "
+    + ", ".join(f"f_{n}" for n, _ in _FLAG_BITS)
+    + " FROM keyed",
+)
+def q_tcp_flags(spark, sf):
+    return FL.tcp_flags(FX.packets(spark, sf)).select("packet_id", *[f"f_{n}" for n, _ in _FLAG_BITS])
+
+
+@register(
+    "transport",
+    FLOW_SQL.split(",\nind AS")[0] + "\nSELECT packet_id, p_TCP, p_UDP, p_ICMP FROM keyed",
+)
+def q_transport(spark, sf):
+    return FL.transport(FX.packets(spark, sf)).select("packet_id", "p_TCP", "p_UDP", "p_ICMP")
+
+
+@register(
+    "app_protocol",
+    FLOW_SQL.split(",\nind AS")[0] + "\nSELECT packet_id, app FROM keyed",
+)
+def q_app_protocol(spark, sf):
+    return FL.app_protocol(FX.packets(spark, sf)).select("packet_id", "app")

@@ -48,7 +48,12 @@ def _key(row):
     return tuple((0, "") if x is None else (1, str(type(x).__name__), x if not isinstance(x, float) else round(x, 6)) for x in row)
 
 
+STRICT = False
+
+
 def _close(a, b):
+    if STRICT:
+        return a == b or (isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b))
     if isinstance(a, float) and isinstance(b, (int, float)):
         if math.isinf(a) or math.isinf(b):
             return a == b
@@ -86,7 +91,11 @@ def main(argv=None):
     from ..session import session
     from ..plans.catalog import ORACLES
 
+    global STRICT
     argv = argv or sys.argv[1:]
+    if argv and argv[0] == "--strict":
+        STRICT = True
+        argv = argv[1:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or sorted(ORACLES)
     spark = session(master="local[8]", shuffle_partitions=8)

@@ -62,6 +62,7 @@ def session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
     object_store: bool = False,
+    driver_memory: str = "12g",
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -69,6 +70,8 @@ def session(
         builder = builder.config("spark.ui.enabled", "false")
         builder = builder.config("spark.driver.bindAddress", "127.0.0.1")
         builder = builder.config("spark.driver.host", "127.0.0.1")
+        # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", driver_memory)
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import LABEL_DICTIONARY_SCHEMA, LABELS, PREDICTION_SCHEMA, TRAINING_CSV_SCHEMA
+from ..schema import LABEL_DICTIONARY_SCHEMA, LABELS, TRAINING_CSV_SCHEMA
 
 
 def read_traffic_csv(
@@ -88,21 +88,3 @@ def read_label_dictionary(spark: SparkSession, path: str) -> DataFrame:
         return out.filter(F.col("idx").isNotNull())
     except Exception:  # noqa: BLE001 -- reference semantics: empty on failure
         return spark.createDataFrame([], schema="idx bigint, label string")
-
-
-def read_predictions(df: DataFrame, value: str | Column = "value") -> DataFrame:
-    """Parse prediction JSON lines; malformed lines are dropped.
-
-    A malformed line parses to a non-null struct of nulls, so the check is on
-    the corrupt-record column, not the struct.
-    """
-    schema = T.StructType(PREDICTION_SCHEMA.fields + [T.StructField("_bad", T.StringType(), True)])
-    v = F.col(value) if isinstance(value, str) else value
-    parsed = df.select(
-        F.from_json(v.cast("string"), schema, {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}).alias("p"),
-        *[c for c in df.columns if c != (value if isinstance(value, str) else None)],
-    )
-    return parsed.filter(F.col("p._bad").isNull() & F.col("p").isNotNull()).select(
-        *[F.col(f"p.{f.name}").alias(f.name) for f in PREDICTION_SCHEMA.fields],
-        *[c for c in parsed.columns if c != "p"],
-    )
