@@ -56,14 +56,69 @@ def traffic_status(label: str | Column) -> Column:
     return F.when(is_benign(label), F.lit("benign")).otherwise(F.lit("attack"))
 
 
+def fixed(c: str | Column, digits: int = 6) -> Column:
+    """``%.<digits>f`` text of a double, rounded the way C and Python round:
+    the exact binary value, ties to even. (``format_string`` rounds the
+    shortest decimal form half-up, which differs on values such as
+    5741.4489335.)
+
+    Exact integer arithmetic: x = m / 2^k with an integer mantissa m, so
+    x * 10^d = m * 10^d / 2^k; quotient and remainder decide the rounding.
+    """
+    scale = 10**digits
+    dec = "decimal(38,0)"
+    x = _c(c).cast("double")
+    ax = F.abs(x)
+    e = F.floor(F.log2(ax)).cast("int")
+    e = F.when(F.pow(F.lit(2.0), e) > ax, e - 1).when(F.pow(F.lit(2.0), e + 1) <= ax, e + 1).otherwise(e)
+    k = F.lit(52) - e
+    mant = (ax * F.pow(F.lit(2.0), k)).cast("bigint").cast(dec)
+    # 2^k exactly, as two factors that each fit a long
+    two_k = F.pow(F.lit(2.0), F.least(k, F.lit(62))).cast("bigint").cast(dec) * F.pow(
+        F.lit(2.0), F.greatest(k - F.lit(62), F.lit(0))
+    ).cast("bigint").cast(dec)
+    num = mant * F.lit(scale).cast(dec)
+    q = F.floor(num / two_k).cast(dec)
+    r = num - q * two_k
+    up = (r * 2 > two_k) | ((r * 2 == two_k) & (F.pmod(q, F.lit(2).cast(dec)) == 1))
+    units = (q + F.when(up, F.lit(1)).otherwise(F.lit(0))).cast(dec)
+    frac = F.lpad(F.pmod(units, F.lit(scale).cast(dec)).cast("bigint").cast("string"), digits, "0")
+    text = F.concat(F.floor(units / scale).cast(dec).cast("string"), F.lit("."), frac) if digits else units.cast(
+        "string"
+    )
+    # |x| >= 2^53 is an integer: m * 2^-k exactly
+    nk = -k
+    big = mant * F.pow(F.lit(2.0), F.least(F.greatest(nk, F.lit(0)), F.lit(62))).cast("bigint").cast(dec) * F.pow(
+        F.lit(2.0), F.greatest(nk - F.lit(62), F.lit(0))
+    ).cast("bigint").cast(dec)
+    zeros = "0." + "0" * digits if digits else "0"
+    one = "0." + "0" * (digits - 1) + "1" if digits else "1"
+    small = F.when(ax * F.lit(float(scale)) > 0.5, F.lit(one)).otherwise(F.lit(zeros))
+    body = (
+        F.when(ax == 0, F.lit(zeros))
+        .when(k > 72, small)
+        .when((k < 0) & (ax < F.lit(1e37)), F.concat(big.cast("string"), F.lit(zeros[1:])))
+        .when(k < 0, F.format_string(f"%.{digits}f", ax))
+        .otherwise(text)
+    )
+    signed = F.when(x < 0, F.concat(F.lit("-"), body)).otherwise(body)
+    return (
+        F.when(x.isNull(), F.lit(None).cast("string"))
+        .when(F.isnan(x), F.lit("nan"))
+        .when(x == float("inf"), F.lit("inf"))
+        .when(x == float("-inf"), F.lit("-inf"))
+        .otherwise(signed)
+    )
+
+
 def fixed6(c: str | Column) -> Column:
-    """``%.6f`` text of a number."""
-    return F.format_string("%.6f", _c(c).cast("double"))
+    """``%.6f`` text of a number (Python/C rounding)."""
+    return fixed(c, 6)
 
 
 def percent1(c: str | Column) -> Column:
     """``12.3%`` text of a percentage."""
-    return F.concat(F.format_string("%.1f", _c(c).cast("double")), F.lit("%"))
+    return F.concat(fixed(c, 1), F.lit("%"))
 
 
 def value_text(c: str | Column) -> Column:

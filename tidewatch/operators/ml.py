@@ -189,9 +189,9 @@ def metrics(pred: DataFrame, label: str = LABEL_INDEXED, prediction: str = "pred
     r = F.col("tp") / F.col("n")
     pr = F.col("p") + F.col("r")
     f = F.when(pr > 0, F.lit(2.0) * F.col("p") * F.col("r") / pr).otherwise(F.lit(0.0))
-    w = F.col("n") / F.col("N")
+    w = F.col("n") / F.col("n_total")
     terms = (
-        pc.withColumn("N", total)
+        pc.withColumn("n_total", total)
         .withColumn("p", p)
         .withColumn("r", r)
         .withColumn("f", f)

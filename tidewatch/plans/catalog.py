@@ -527,3 +527,174 @@ def q_transport(spark, sf):
 )
 def q_app_protocol(spark, sf):
     return FL.app_protocol(FX.packets(spark, sf)).select("packet_id", "app")
+
+
+@register(
+    "encode_traffic",
+    FLOW_SQL
+    + """SELECT flow, packet_id, concat_ws(',',
+  CAST(Header_Length AS VARCHAR), CAST(Protocol_Type AS VARCHAR), CAST(Time_To_Live AS VARCHAR), printf('%.6f', Rate),
+  CAST(fin_flag_number AS VARCHAR), CAST(syn_flag_number AS VARCHAR), CAST(rst_flag_number AS VARCHAR),
+  CAST(psh_flag_number AS VARCHAR), CAST(ack_flag_number AS VARCHAR), CAST(ece_flag_number AS VARCHAR),
+  CAST(cwr_flag_number AS VARCHAR),
+  printf('%.6f', ack_count), printf('%.6f', syn_count), printf('%.6f', fin_count), printf('%.6f', rst_count),
+  CAST(HTTP AS VARCHAR), CAST(HTTPS AS VARCHAR), CAST(DNS AS VARCHAR), CAST(Telnet AS VARCHAR), CAST(SMTP AS VARCHAR),
+  CAST(SSH AS VARCHAR), CAST(IRC AS VARCHAR), CAST(TCP AS VARCHAR), CAST(UDP AS VARCHAR), CAST(DHCP AS VARCHAR),
+  CAST(ARP AS VARCHAR), CAST(ICMP AS VARCHAR), CAST(IGMP AS VARCHAR), CAST(IPv AS VARCHAR), CAST(LLC AS VARCHAR),
+  CAST(Tot_sum AS VARCHAR), CAST(Min AS VARCHAR), CAST(Max AS VARCHAR),
+  CASE WHEN Tot_sum % Number = 0 THEN CAST(Tot_sum // Number AS VARCHAR) ELSE printf('%.6f', AVG) END,
+  printf('%.6f', Std), CAST(Tot_size AS VARCHAR), printf('%.6f', IAT), CAST(Number AS VARCHAR),
+  CASE WHEN Number = 2 THEN '0' ELSE printf('%.6f', Variance) END, Label) AS csv_line
+FROM flow_features""",
+)
+def q_encode_traffic(spark, sf):
+    return FL.encode_traffic(_flow_features(spark, sf))
+
+
+# Prediction envelope and its reader (PRJ5, SRC5, SC8) ------------------------
+
+_ENVELOPE_SQL = """'{' || concat_ws(',',
+  '"original_timestamp":"' || strftime(prediction_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '"',
+  '"actual_label":"' || actual_label || '"',
+  '"predicted_label":' || CAST(predicted_label AS VARCHAR),
+  '"rate":"' || rate || '"',
+  '"header_length":' || CAST(header_length AS VARCHAR),
+  '"protocol_type":' || CAST(protocol_type AS VARCHAR),
+  '"prediction_timestamp":"' || strftime(prediction_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || '"') || '}'"""
+
+
+def _scored_rows(spark, sf):
+    """Predictions fixture in the scored-traffic column layout."""
+    return FX.predictions(spark, sf).select(
+        "pred_id",
+        F.col("prediction_timestamp").alias("kafka_timestamp"),
+        F.col("actual_label").alias("Label"),
+        F.col("predicted_label").alias("prediction"),
+        F.col("rate").alias("Rate"),
+        F.col("header_length").alias("Header_Length"),
+        F.col("protocol_type").alias("Protocol Type"),
+        "prediction_timestamp",
+    )
+
+
+@register("encode_predictions", with_views("predictions") + f"SELECT pred_id, {_ENVELOPE_SQL} AS value FROM predictions")
+def q_encode_predictions(spark, sf):
+    rows = _scored_rows(spark, sf)
+    return P.encode_predictions(rows, F.col("prediction_timestamp"), keep=("pred_id",))
+
+
+@register(
+    "read_predictions",
+    with_views("predictions")
+    + """SELECT pred_id, prediction_timestamp AS original_timestamp, actual_label, predicted_label, rate,
+  header_length, protocol_type, prediction_timestamp FROM predictions WHERE pred_id % 13 <> 0""",
+)
+def q_read_predictions(spark, sf):
+    enc = P.encode_predictions(_scored_rows(spark, sf), F.col("prediction_timestamp"), keep=("pred_id",))
+    # every 13th message arrives damaged (its opening brace lost)
+    damaged = enc.withColumn(
+        "value", F.when(F.col("pred_id") % 13 == 0, F.expr("substr(value, 2)")).otherwise(F.col("value"))
+    )
+    return P.read_predictions(damaged, schema=P.predictions_ntz_schema())
+
+
+# Evaluation over scored rows (ML7-ML11) ---------------------------------------
+
+from ..operators import ml as M  # noqa: E402
+from ..schema import LABELS as _LABELS  # noqa: E402
+
+_METRICS_SQL = with_views("scored") + """,
+conf AS (SELECT label, prediction, count(*) AS count FROM scored GROUP BY label, prediction),
+pc AS (SELECT class, sum(n) AS n, sum(tp) AS tp, sum(np) AS np FROM (
+    SELECT label AS class, count AS n, CASE WHEN label = prediction THEN count ELSE 0 END AS tp, 0 AS np FROM conf
+    UNION ALL SELECT prediction AS class, 0 AS n, 0 AS tp, count AS np FROM conf) u
+  GROUP BY class HAVING sum(n) > 0),
+t AS (SELECT class, tp, n,
+    CAST(n AS DOUBLE) / CAST((SELECT sum(n) FROM pc) AS DOUBLE) AS w,
+    CASE WHEN np > 0 THEN CAST(tp AS DOUBLE) / CAST(np AS DOUBLE) ELSE 0.0 END AS p,
+    CAST(tp AS DOUBLE) / CAST(n AS DOUBLE) AS r FROM pc),
+t2 AS (SELECT *, CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END AS f FROM t),
+m AS (SELECT CAST(sum(tp) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS accuracy,
+    list_reduce(list(w * p ORDER BY class), lambda a, b: a + b) AS weighted_precision,
+    list_reduce(list(w * r ORDER BY class), lambda a, b: a + b) AS weighted_recall,
+    list_reduce(list(w * f ORDER BY class), lambda a, b: a + b) AS f1
+  FROM t2)
+"""
+
+
+@register(
+    "confusion_matrix",
+    with_views("scored") + "SELECT label, prediction, count(*) AS count FROM scored GROUP BY label, prediction",
+)
+def q_confusion_matrix(spark, sf):
+    return M.confusion(FX.scored(spark, sf), "label", "prediction")
+
+
+@register("classification_metrics", _METRICS_SQL + "SELECT * FROM m")
+def q_classification_metrics(spark, sf):
+    return M.metrics(FX.scored(spark, sf), "label", "prediction")
+
+
+for _metric in ("accuracy", "weighted_precision", "weighted_recall", "f1"):
+
+    def _q(spark, sf, _m=_metric):
+        return M.metrics(FX.scored(spark, sf), "label", "prediction").select(_m)
+
+    register(_metric, _METRICS_SQL + f"SELECT {_metric} FROM m")(_q)
+
+
+def _mapping_json_sql() -> str:
+    body = ",".join(f'"{i}":"{n}"' for i, n in enumerate(_LABELS))
+    return "{" + body + "}"
+
+
+@register(
+    "metrics_summary",
+    _METRICS_SQL
+    + f"""SELECT accuracy, f1 AS f1_score, '{_mapping_json_sql()}' AS label_mapping,
+  weighted_precision AS precision, weighted_recall AS recall FROM m""",
+)
+def q_metrics_summary(spark, sf):
+    out = M.metrics_summary(FX.scored(spark, sf), _LABELS, "label", "prediction")
+    return out.withColumn("label_mapping", F.to_json("label_mapping"))
+
+
+# Split, string index, category filter, counts (ML2, ML4, FLT6, AG1) -----------------
+
+
+@register(
+    "hash_split",
+    with_views("traffic_lines")
+    + "SELECT line_id, ((line_id % 1000003) * 7919) % 100 < 80 AS is_train FROM traffic_lines",
+)
+def q_hash_split(spark, sf):
+    return FX.traffic_lines(spark, sf).select("line_id", M.hash_split("line_id").alias("is_train"))
+
+
+_RATE_INDEX_SQL = PARSED_SQL + """,
+rate_index AS (
+  SELECT "Rate", CAST(row_number() OVER (ORDER BY count(*) DESC, "Rate" ASC) - 1 AS DOUBLE) AS "Rate_indexed"
+  FROM parsed WHERE "Rate" IS NOT NULL GROUP BY "Rate")
+"""
+
+
+@register("string_index", _RATE_INDEX_SQL + 'SELECT "Rate", "Rate_indexed" FROM rate_index')
+def q_string_index(spark, sf):
+    parsed = _parsed(spark, sf)
+    model = M.index_strings(parsed, ["Rate"])
+    return model.transform(parsed).select("Rate", "Rate_indexed").distinct()
+
+
+@register(
+    "category_filter",
+    _RATE_INDEX_SQL + 'SELECT p.line_id, p."Rate", r."Rate_indexed" FROM parsed p JOIN rate_index r ON p."Rate" = r."Rate"',
+)
+def q_category_filter(spark, sf):
+    parsed = _parsed(spark, sf)
+    model = M.index_strings(parsed, ["Rate"])
+    return model.transform(parsed).select("line_id", "Rate", "Rate_indexed")
+
+
+@register("traffic_count", PARSED_SQL + "SELECT count(*) AS count FROM parsed")
+def q_traffic_count(spark, sf):
+    return _parsed(spark, sf).agg(F.count(F.lit(1)).alias("count"))
