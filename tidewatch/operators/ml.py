@@ -76,8 +76,12 @@ def rate_cap(df: DataFrame, col: str = "rate_value") -> float:
 
 
 def build_classifier(params: ForestParams, train: DataFrame | None = None) -> Pipeline:
-    """Label indexer -> (Rate indexer | inf cap) -> assembler -> forest."""
-    stages = [StringIndexer(inputCol=LABEL_COLUMN, outputCol=LABEL_INDEXED, handleInvalid="skip")]
+    """Feature stages -> forest: (Rate indexer | inf cap) -> assembler -> forest.
+
+    The label indexer is fitted separately (``train``): serving rows carry no
+    known label, and a skipping label stage would drop them.
+    """
+    stages = []
     feats = numeric_feature_names()
     if params.rate_as_category:
         stages.append(StringIndexer(inputCol="Rate", outputCol="Rate_indexed", handleInvalid="skip"))
@@ -109,25 +113,60 @@ def build_classifier(params: ForestParams, train: DataFrame | None = None) -> Pi
     return Pipeline(stages=stages)
 
 
-def train(df: DataFrame, params: ForestParams | None = None) -> PipelineModel:
-    params = params or ForestParams()
-    return build_classifier(params, df).fit(df)
+@dataclass
+class Trained:
+    """A fitted label indexer and the serving model (features + forest)."""
+
+    labels: StringIndexerModel
+    model: PipelineModel
 
+    def save(self, path: str) -> None:
+        """Sibling folders, overwritten: ``model`` and ``label_indexer``."""
+        self.model.write().overwrite().save(f"{path}/model")
+        self.labels.write().overwrite().save(f"{path}/label_indexer")
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df)
+    @staticmethod
+    def load(path: str) -> "Trained":
+        return Trained(StringIndexerModel.load(f"{path}/label_indexer"), PipelineModel.load(f"{path}/model"))
 
 
-def label_names(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].labels)
+def train(df: DataFrame, params: ForestParams | None = None) -> Trained:
+    """Fit the label index, then the feature stages and the forest on the
+    indexed rows (cached once: the forest makes several passes)."""
+    params = params or ForestParams()
+    labels = fit_label_indexer(df)
+    indexed = labels.transform(df).persist()
+    try:
+        model = build_classifier(params, indexed).fit(indexed)
+    finally:
+        indexed.unpersist()
+    return Trained(labels, model)
+
+
+def predict(trained: Trained | PipelineModel, df: DataFrame, decode: bool = True) -> DataFrame:
+    """Score rows; with ``decode`` add ``predicted_label`` (the class name)."""
+    model = trained.model if isinstance(trained, Trained) else trained
+    out = model.transform(df)
+    if decode and isinstance(trained, Trained):
+        out = IndexToString(
+            inputCol="prediction", outputCol="predicted_label", labels=trained.labels.labels
+        ).transform(out)
+    return out
+
+
+def label_names(trained: Trained) -> list[str]:
+    return list(trained.labels.labels)
 
 
 def save_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
+    if isinstance(model, Trained):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> Trained:
+    return Trained.load(path)
 
 
 def evaluate(pred: DataFrame, label: str = LABEL_INDEXED, prediction: str = "prediction") -> dict[str, float]:

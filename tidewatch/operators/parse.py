@@ -19,6 +19,11 @@ JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
+# Reading accepts timestamps with or without a zone offset.
+JSON_READ_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS[XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def decode_topic(df: DataFrame, keep_key: bool = False) -> DataFrame:
@@ -171,7 +176,7 @@ def read_predictions(df: DataFrame, value: str = "value", schema: T.StructType =
     on the corrupt-record column, not on the struct.
     """
     full = T.StructType(schema.fields + [T.StructField("_bad", T.StringType(), True)])
-    opts = dict(JSON_OPTIONS, columnNameOfCorruptRecord="_bad", mode="PERMISSIVE")
+    opts = dict(JSON_READ_OPTIONS, columnNameOfCorruptRecord="_bad", mode="PERMISSIVE")
     others = [c for c in df.columns if c != value]
     parsed = df.select(*others, F.from_json(F.col(value).cast("string"), full, opts).alias("_p"))
     return parsed.filter(F.col("_p._bad").isNull()).select(

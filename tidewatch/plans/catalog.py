@@ -698,3 +698,99 @@ def q_category_filter(spark, sf):
 @register("traffic_count", PARSED_SQL + "SELECT count(*) AS count FROM parsed")
 def q_traffic_count(spark, sf):
     return _parsed(spark, sf).agg(F.count(F.lit(1)).alias("count"))
+
+
+# Round trips through files (SRC1-2, SNK1-2, SNK5, SRC6) ---------------------------
+
+from ..session import work_path  # noqa: E402
+from ..sources import files as IO  # noqa: E402
+
+
+@register("csv_round_trip", PARSED_SQL + "SELECT * FROM parsed")
+def q_csv_round_trip(spark, sf):
+    """Typed rows written as headered CSV and read back with their schema."""
+    parsed = _parsed(spark, sf)
+    path = work_path(spark, "csv")
+    IO.write_csv(parsed, path, mode="overwrite")
+    return IO.read_traffic_csv(spark, path, schema=parsed.schema)
+
+
+@register("json_round_trip", LABEL_INDEX_SQL + "SELECT idx, label FROM label_index")
+def q_json_round_trip(spark, sf):
+    """Label dictionary written as one JSON file and loaded as a lookup."""
+    path = work_path(spark, "label-mapping")
+    IO.write_json(L.label_dictionary(_parsed(spark, sf)), path)
+    return IO.read_label_dictionary(spark, path)
+
+
+@register("replay_lines", with_views("traffic_lines") + "SELECT trim(csv_line) AS value FROM traffic_lines")
+def q_replay_lines(spark, sf):
+    """A headered line file replayed as one message per data line."""
+    path = work_path(spark, "replay")
+    IO.write_headered_lines(FX.traffic_lines(spark, sf), "csv_line", path)
+    return IO.replay_lines(spark, path)
+
+
+# ML training and scoring, rows-only (ML3, ML5, ML6, ML12, SNK6) ------------------
+
+
+@register("train_predict")
+def q_train_predict(spark, sf):
+    """Fit on the hash-split training rows, save, reload, score the rest."""
+    parsed = _parsed(spark, sf)
+    is_train = M.hash_split("line_id")
+    trained = M.train(parsed.filter(is_train))
+    path = work_path(spark, "model")
+    trained.save(path)
+    reloaded = M.Trained.load(path)
+    scored = M.predict(reloaded, reloaded.labels.transform(parsed.filter(~is_train)))
+    return scored.select("line_id", "Label", "label_indexed", "prediction", "predicted_label")
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf):
+    """Held-out accuracy / weighted precision / recall / F1 of the forest."""
+    return M.metrics(q_train_predict(spark, sf))
+
+
+# Streaming (ST1-ST4, ST6, FLT4, SRC3 shape) ----------------------------------------
+
+from ..streaming import monitor as S  # noqa: E402
+
+
+def _stage_traffic_topic(spark, sf) -> str:
+    rows = S.topic_rows(FX.traffic_lines(spark, sf), "csv_line", "line_id")
+    return S.stage_topic_rows(rows, work_path(spark, "topic-traffic"))
+
+
+@register("parse_stream", PARSED_SQL + "SELECT * FROM parsed")
+def q_parse_stream(spark, sf):
+    """Kafka-shaped traffic stream -> typed records, drained with availableNow
+    into a Parquet sink (checkpointed), then read back."""
+    src = S.read_topic_files(spark, _stage_traffic_topic(spark, sf))
+    out, ckpt = work_path(spark, "parse-out"), work_path(spark, "parse-ckpt")
+    S.to_files(S.parse_stream(src).drop("kafka_timestamp"), out, ckpt).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("summary_stream", DECODED_SQL + "SELECT label, count FROM counts")
+def q_summary_stream(spark, sf):
+    """Running predictions-per-label over a stream of JSON envelopes."""
+    enc = P.encode_predictions(_scored_rows(spark, sf), F.col("prediction_timestamp"), keep=("pred_id",))
+    rows = S.topic_rows(enc, "value", "pred_id", topic="network-predictions")
+    src = S.read_topic_files(spark, S.stage_topic_rows(rows, work_path(spark, "topic-predictions")))
+    out, ckpt = work_path(spark, "summary-out"), work_path(spark, "summary-ckpt")
+    S.run_summary(S.prediction_summary_stream(src, label_table(spark)), out, ckpt).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("monitor_stream")
+def q_monitor_stream(spark, sf):
+    """Train once, then score the traffic stream and publish JSON envelopes."""
+    parsed = _parsed(spark, sf)
+    trained = M.train(parsed.filter(M.hash_split("line_id")))
+    src = S.read_topic_files(spark, _stage_traffic_topic(spark, sf))
+    out = work_path(spark, "monitor-out")
+    q = S.run_monitor(spark, src, trained, trigger=None, out_path=out)
+    S.run_for(q, None)
+    return spark.read.parquet(out)

@@ -88,3 +88,37 @@ def read_label_dictionary(spark: SparkSession, path: str) -> DataFrame:
         return out.filter(F.col("idx").isNotNull())
     except Exception:  # noqa: BLE001 -- reference semantics: empty on failure
         return spark.createDataFrame([], schema="idx bigint, label string")
+
+
+# Lines are written with a control-character delimiter and no quoting, so a
+# line's commas never need quotes and the CSV reader/writer only adds/drops
+# the header line of each file.
+_LINE_OPTS = {"delimiter": "\u0001", "quote": "\u0000", "escape": "\u0000",
+              "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def write_headered_lines(df: DataFrame, column: str, path: str, header: str = "line") -> None:
+    """Text lines under a one-line header (per file), like an exported CSV."""
+    df.select(F.col(column).alias(header)).write.mode("overwrite").options(**_LINE_OPTS).option(
+        "header", "true"
+    ).csv(path)
+
+
+def replay_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One message per data line of a headered text file: header skipped,
+    surrounding whitespace stripped."""
+    raw = (
+        spark.read.schema("line string").options(**_LINE_OPTS).option("header", "true")
+        .option("mode", "PERMISSIVE").csv(path)
+    )
+    return raw.select(F.trim(F.coalesce(F.col("line"), F.lit(""))).alias("value"))
+
+
+def replay_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+    """Paced replay: the same lines as a stream, ``files_per_trigger`` files
+    per micro-batch (pair with a processing-time trigger)."""
+    raw = (
+        spark.readStream.schema("line string").options(**_LINE_OPTS).option("header", "true")
+        .option("maxFilesPerTrigger", files_per_trigger).csv(path)
+    )
+    return raw.select(F.trim(F.coalesce(F.col("line"), F.lit(""))).alias("value"))
