@@ -111,6 +111,89 @@ def fixed(c: str | Column, digits: int = 6) -> Column:
     )
 
 
+def with_fixed(df, specs: dict[str, tuple[str, int]]):
+    """Add ``%.<d>f`` text columns ``{out: (source column, digits)}`` with the
+    same exact rounding as ``fixed``, computed in staged projections so each
+    intermediate value is evaluated once per row (small generated code)."""
+    dec = "decimal(38,0)"
+    cur = df
+    base = list(df.columns)
+
+    def stage(exprs: dict) -> None:
+        nonlocal cur
+        keep = [c for c in cur.columns if c not in exprs]
+        cur = cur.select(*[F.col(f"`{c}`") for c in keep], *[e.alias(n) for n, e in exprs.items()])
+
+    st1 = {}
+    for out, (src, _d) in specs.items():
+        x = F.col(f"`{src}`").cast("double")
+        st1[f"_x_{out}"] = x
+        finite = ~F.isnan(x) & (F.abs(x) != float("inf")) & (x != 0)
+        st1[f"_e_{out}"] = F.when(finite, F.floor(F.log2(F.abs(x))).cast("int"))
+    stage(st1)
+    st2 = {}
+    for out in specs:
+        ax, e = F.abs(F.col(f"_x_{out}")), F.col(f"_e_{out}")
+        st2[f"_e_{out}"] = (
+            F.when(F.pow(F.lit(2.0), e) > ax, e - 1).when(F.pow(F.lit(2.0), e + 1) <= ax, e + 1).otherwise(e)
+        )
+    stage(st2)
+    st3 = {}
+    for out, (_src, d) in specs.items():
+        ax, k = F.abs(F.col(f"_x_{out}")), F.lit(52) - F.col(f"_e_{out}")
+        ok = k.between(-62, 72)
+        st3[f"_k_{out}"] = k
+        st3[f"_m_{out}"] = F.when(ok, (ax * F.pow(F.lit(2.0), k)).cast("bigint").cast(dec) * F.lit(10**d).cast(dec))
+        st3[f"_p_{out}"] = F.when(ok, F.pow(F.lit(2.0), F.least(F.greatest(k, F.lit(0)), F.lit(62))).cast("bigint").cast(
+            dec
+        ) * F.pow(F.lit(2.0), F.greatest(k - F.lit(62), F.lit(0))).cast("bigint").cast(dec))
+    stage(st3)
+    st4 = {}
+    for out in specs:
+        num, two_k = F.col(f"_m_{out}"), F.col(f"_p_{out}")
+        st4[f"_q_{out}"] = F.when(F.col(f"_k_{out}").between(0, 72), F.floor(num / two_k).cast(dec))
+    stage(st4)
+    st5 = {}
+    for out, (_src, d) in specs.items():
+        num, two_k, q = F.col(f"_m_{out}"), F.col(f"_p_{out}"), F.col(f"_q_{out}")
+        r2 = (num - q * two_k) * 2
+        up = (r2 > two_k) | ((r2 == two_k) & (F.pmod(q, F.lit(2).cast(dec)) == 1))
+        st5[f"_u_{out}"] = (q + F.when(up, F.lit(1)).otherwise(F.lit(0))).cast(dec)
+    stage(st5)
+    st6 = {}
+    for out, (_src, d) in specs.items():
+        scale = 10**d
+        x, k, units = F.col(f"_x_{out}"), F.col(f"_k_{out}"), F.col(f"_u_{out}")
+        ax = F.abs(x)
+        zeros = "0." + "0" * d if d else "0"
+        one = "0." + "0" * (d - 1) + "1" if d else "1"
+        if d:
+            frac = F.lpad(F.pmod(units, F.lit(scale).cast(dec)).cast("bigint").cast("string"), d, "0")
+            text = F.concat(F.floor(units / scale).cast(dec).cast("string"), F.lit("."), frac)
+        else:
+            text = units.cast("string")
+        big = F.when(k < 0, (F.col(f"_m_{out}") / F.lit(scale).cast(dec)).cast(dec) * F.pow(
+            F.lit(2.0), F.least(F.greatest(-k, F.lit(0)), F.lit(62))
+        ).cast("bigint").cast(dec))
+        body = (
+            F.when(ax == 0, F.lit(zeros))
+            .when(k > 72, F.when(ax * F.lit(float(scale)) > 0.5, F.lit(one)).otherwise(F.lit(zeros)))
+            .when((k < 0) & (k >= -62), F.concat(big.cast("string"), F.lit(zeros[1:])))
+            .when(k < 0, F.format_string(f"%.{d}f", ax))
+            .otherwise(text)
+        )
+        signed = F.when(x < 0, F.concat(F.lit("-"), body)).otherwise(body)
+        st6[out] = (
+            F.when(x.isNull(), F.lit(None).cast("string"))
+            .when(F.isnan(x), F.lit("nan"))
+            .when(x == float("inf"), F.lit("inf"))
+            .when(x == float("-inf"), F.lit("-inf"))
+            .otherwise(signed)
+        )
+    stage(st6)
+    return cur.select(*[F.col(f"`{c}`") for c in base if c not in specs], *[F.col(o) for o in specs])
+
+
 def fixed6(c: str | Column) -> Column:
     """``%.6f`` text of a number (Python/C rounding)."""
     return fixed(c, 6)

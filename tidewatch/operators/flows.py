@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import fixed6
+from ..functions.scalar import with_fixed
 from ..schema import (
     DEFAULT_WINDOW_S,
     PROTO_ICMP,
@@ -285,17 +285,21 @@ def encode_traffic(features: DataFrame, keep: tuple[str, ...] = ("flow", "packet
     """40-field CSV line per record: floats ``%.6f``, integers as digits,
     missing values ``0``. The mean prints as an integer when exact, the IAT
     variance as ``0`` when there is a single IAT (as the producer's types do)."""
+    floats = sorted(_FLOAT_FIELDS | {"AVG", "Variance"})
+    staged = with_fixed(features, {f"_t_{n}": (n, 6) for n in floats})
     parts = []
     for name in FLOW_FEATURE_NAMES:
         c = F.col(name)
-        if name in _FLOAT_FIELDS:
-            txt = fixed6(c)
-        elif name == "AVG":
+        if name == "AVG":
             exact = (F.col("Tot_sum") % F.col("Number")) == 0
-            txt = F.when(exact, (F.col("Tot_sum") / F.col("Number")).cast("bigint").cast("string")).otherwise(fixed6(c))
+            txt = F.when(exact, (F.col("Tot_sum") / F.col("Number")).cast("bigint").cast("string")).otherwise(
+                F.col("_t_AVG")
+            )
         elif name == "Variance":
-            txt = F.when(F.col("Number") == 2, F.lit("0")).otherwise(fixed6(c))
+            txt = F.when(F.col("Number") == 2, F.lit("0")).otherwise(F.col("_t_Variance"))
+        elif name in _FLOAT_FIELDS:
+            txt = F.col(f"_t_{name}")
         else:
             txt = c.cast("string")
         parts.append(F.coalesce(txt, F.lit("0")))
-    return features.select(*[k for k in keep if k in features.columns], F.concat_ws(",", *parts).alias("csv_line"))
+    return staged.select(*[k for k in keep if k in features.columns], F.concat_ws(",", *parts).alias("csv_line"))
