@@ -794,3 +794,35 @@ def q_monitor_stream(spark, sf):
     q = S.run_monitor(spark, src, trained, trigger=None, out_path=out)
     S.run_for(q, None)
     return spark.read.parquet(out)
+
+
+# Stateful streaming flow features (FL15, ST5) -----------------------------------
+
+from ..schema import PACKET_SCHEMA  # noqa: E402
+from ..streaming import flow_state as FS  # noqa: E402
+
+
+def _stage_packets_in_time_order(spark, sf, chunks: int = 4) -> str:
+    """Packets as Parquet files, one write per time range, so the file
+    source (ordered by modification time) replays them in arrival order."""
+    pk = FX.packets(spark, sf)
+    path = work_path(spark, "topic-packets")
+    bounds = pk.agg(F.min("ts_us"), F.max("ts_us")).first()
+    lo, hi = int(bounds[0]), int(bounds[1]) + 1
+    step = (hi - lo + chunks - 1) // chunks
+    for i in range(chunks):
+        a, b = lo + i * step, lo + (i + 1) * step
+        pk.filter((F.col("ts_us") >= a) & (F.col("ts_us") < b)).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@register("flow_features_stream", FLOW_SQL + "SELECT * FROM flow_features")
+def q_flow_features_stream(spark, sf):
+    """The batch flow records, produced incrementally by the stateful stream."""
+    src = (
+        spark.readStream.schema(PACKET_SCHEMA).option("maxFilesPerTrigger", 1)
+        .parquet(_stage_packets_in_time_order(spark, sf))
+    )
+    out, ckpt = work_path(spark, "flows-out"), work_path(spark, "flows-ckpt")
+    S.to_files(FS.flow_features_stream(src, FLOW_WINDOW_S), out, ckpt).awaitTermination()
+    return spark.read.parquet(out)
