@@ -94,9 +94,37 @@ def parse_traffic(
     return df.select(*cols)
 
 
-def parse_lines(df: DataFrame, col: str = "csv_line", keep: tuple[str, ...] = ("kafka_timestamp",), **kw) -> DataFrame:
-    """split + width filter + typed projection in one call."""
-    return parse_traffic(valid_width(split_line(df, col)), keep=keep, **kw)
+def parse_lines(
+    df: DataFrame, col: str = "csv_line", keep: tuple[str, ...] = ("kafka_timestamp",), complete: bool = False, **kw
+) -> DataFrame:
+    """split + width filter (+ optional completeness filter) + typed projection."""
+    rows = valid_width(split_line(df, col))
+    if complete:
+        rows = rows.filter(complete_values("values"))
+    return parse_traffic(rows, keep=keep, **kw)
+
+
+def complete_values(values: str = "values") -> Column:
+    """True when every feature field of a split line parses: doubles not NULL
+    or NaN, ints not NULL, ``Rate`` present (the label is not a feature).
+
+    One expression over the whole array, so a pushed-down filter holds a
+    single copy of the line expression rather than one per field.
+    """
+    kinds = F.array(*[F.lit("skip" if name == LABEL_COLUMN else kind) for name, kind in TRAFFIC_FIELDS])
+
+    def ok(z):
+        v, k = z["v"], z["k"]
+        d = v.try_cast("double")
+        return (
+            F.when(k == "double", d.isNotNull() & ~F.isnan(d))
+            .when(k == "int", d.try_cast("int").isNotNull())
+            .when(k == "string", v.isNotNull())
+            .otherwise(F.lit(True))
+        )
+
+    zipped = F.arrays_zip(F.col(values).alias("v"), kinds.alias("k"))
+    return F.forall(zipped, ok)
 
 
 def numeric_features(df: DataFrame, exclude: tuple[str, ...] = (LABEL_COLUMN, "kafka_timestamp")) -> list[str]:

@@ -287,8 +287,8 @@ def _duck_complete_cond() -> str:
     PARSED_SQL + f'SELECT line_id, "Label", rate_value FROM parsed WHERE {_duck_complete_cond()}',
 )
 def q_complete_rows(spark, sf):
-    parsed = _parsed(spark, sf)
-    return P.complete_rows(parsed, _feature_names() + ["Rate"]).select("line_id", "Label", "rate_value")
+    parsed = P.parse_lines(FX.traffic_lines(spark, sf), keep=("line_id",), complete=True)
+    return parsed.select("line_id", "Label", "rate_value")
 
 
 @register(
