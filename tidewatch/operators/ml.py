@@ -131,15 +131,22 @@ class Trained:
 
 
 def train(df: DataFrame, params: ForestParams | None = None) -> Trained:
-    """Fit the label index, then the feature stages and the forest on the
-    indexed rows (cached once: the forest makes several passes)."""
+    """Fit the label index, the ``inf`` cap, the feature stages and the forest.
+
+    The training rows are persisted once (memory, spilling to disk) and
+    shared by the label-index fit, the cap aggregation and the forest's
+    passes, instead of being re-derived by each.
+    """
+    from pyspark import StorageLevel
+
     params = params or ForestParams()
-    labels = fit_label_indexer(df)
-    indexed = labels.transform(df).persist()
+    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        labels = fit_label_indexer(rows)
+        indexed = labels.transform(rows)
         model = build_classifier(params, indexed).fit(indexed)
     finally:
-        indexed.unpersist()
+        rows.unpersist()
     return Trained(labels, model)
 
 
