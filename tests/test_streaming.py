@@ -50,3 +50,32 @@ def test_object_store_conf(monkeypatch):
 
 def test_range_count_smoke(spark):
     assert spark.range(1, 101).count() == 100
+
+
+def test_observed_progress_counts_rows(spark):
+    from tidewatch.operators.parse import parse_lines
+
+    lines = traffic_lines(spark, SF)
+    src_dir = work_path(spark, "o-src")
+    S.topic_rows(lines, "csv_line", "line_id").coalesce(2).write.parquet(src_dir)
+    parsed = S.observe_progress(S.parse_stream(S.read_topic_files(spark, src_dir)), "progress")
+    q = S.to_files(parsed.drop("kafka_timestamp"), work_path(spark, "o-out"), work_path(spark, "o-ckpt"))
+    q.awaitTermination()
+    assert S.processed_total(q) == parse_lines(lines, keep=("line_id",)).count()
+
+
+def test_flow_stream_drops_late_packets(spark):
+    from tidewatch.schema import PACKET_SCHEMA
+    from tidewatch.streaming.flow_state import flow_features_stream
+
+    def pk(i, t):
+        return (i, int(t * 1e6), "10.0.0.1", "10.0.0.2", 1000, 80, 6, 5, 64, 0x10, 100)
+
+    src = work_path(spark, "late-src")
+    spark.createDataFrame([pk(1, 10), pk(2, 11)], PACKET_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    spark.createDataFrame([pk(3, 5), pk(4, 12)], PACKET_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(PACKET_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    out = work_path(spark, "late-out")
+    S.to_files(flow_features_stream(stream, 60), out, work_path(spark, "late-ckpt")).awaitTermination()
+    got = {r.packet_id: r.Number for r in spark.read.parquet(out).collect()}
+    assert got == {2: 2, 4: 3}  # packet 3 (t=5 < 11) is late and dropped

@@ -93,10 +93,30 @@ def to_console(df: DataFrame, checkpoint: str, trigger: str | None = None) -> St
     )
 
 
-def score_stream(source: DataFrame, trained: M.Trained) -> DataFrame:
+def observe_progress(df: DataFrame, name: str = "progress") -> DataFrame:
+    """Count the rows flowing through ``df`` without an extra job: the count
+    per micro-batch appears in ``query.lastProgress['observedMetrics'][name]``
+    (for a batch DataFrame pass a ``pyspark.sql.Observation`` as ``name``)."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"))
+
+
+def processed_total(query: StreamingQuery, name: str = "progress") -> int:
+    """Running total of observed rows over the query's recent progress."""
+    total = 0
+    for p in query.recentProgress or []:
+        metrics = p.get("observedMetrics", {}) if isinstance(p, dict) else (p.observedMetrics or {})
+        row = metrics.get(name)
+        if row is not None:
+            total += int(row["rows"] if isinstance(row, dict) else row.rows)
+    return total
+
+
+def score_stream(source: DataFrame, trained: M.Trained, observe: str | None = "progress") -> DataFrame:
     """Parsed stream scored by the pre-fitted serving model, as the JSON
     envelope (prediction time = processing time). No Python on the path."""
     parsed = parse_stream(source)
+    if observe:
+        parsed = observe_progress(parsed, observe)
     scored = M.predict(trained, parsed, decode=False)
     return P.encode_predictions(scored, keep=("line_id",))
 
