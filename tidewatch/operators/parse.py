@@ -109,14 +109,22 @@ def parse_lines(
     return parse_traffic(rows, keep=keep, **kw)
 
 
-def complete_values(values: str = "values") -> Column:
+def complete_values(values: str = "values", rate_numeric: bool = True) -> Column:
     """True when every feature field of a split line parses: doubles not NULL
-    or NaN, ints not NULL, ``Rate`` present (the label is not a feature).
+    or NaN, ints not NULL, ``Rate`` a number (or, with ``rate_numeric=False``
+    for the categorical-rate model, merely present). The label is not a
+    feature.
 
     One expression over the whole array, so a pushed-down filter holds a
     single copy of the line expression rather than one per field.
     """
-    kinds = F.array(*[F.lit("skip" if name == LABEL_COLUMN else kind) for name, kind in TRAFFIC_FIELDS])
+    rate_kind = "double" if rate_numeric else "string"
+    kinds = F.array(
+        *[
+            F.lit("skip" if name == LABEL_COLUMN else (rate_kind if name == "Rate" else kind))
+            for name, kind in TRAFFIC_FIELDS
+        ]
+    )
 
     def ok(z):
         v, k = z["v"], z["k"]

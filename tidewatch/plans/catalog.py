@@ -273,7 +273,7 @@ def _feature_names() -> list[str]:
 
 
 def _duck_complete_cond() -> str:
-    conds = ['"Rate" IS NOT NULL']
+    conds = ['TRY_CAST("Rate" AS DOUBLE) IS NOT NULL AND NOT isnan(TRY_CAST("Rate" AS DOUBLE))']
     for n, k in TRAFFIC_FIELDS:
         if k == "double":
             conds.append(f'"{n}" IS NOT NULL AND NOT isnan("{n}")')
@@ -736,15 +736,31 @@ def q_replay_lines(spark, sf):
 
 @register("train_predict")
 def q_train_predict(spark, sf):
-    """Fit on the hash-split training rows, save, reload, score the rest."""
-    parsed = _parsed(spark, sf)
-    is_train = M.hash_split("line_id")
-    trained = M.train(parsed.filter(is_train))
-    path = work_path(spark, "model")
-    trained.save(path)
-    reloaded = M.Trained.load(path)
-    scored = M.predict(reloaded, reloaded.labels.transform(parsed.filter(~is_train)))
-    return scored.select("line_id", "Label", "label_indexed", "prediction", "predicted_label")
+    """Fit on the hash-split training rows, save, reload, score the rest.
+
+    The parsed rows are cached once and shared by training and scoring; the
+    completeness filter runs above the cache. Predictions are written to the
+    shared folder before the cache is released.
+    """
+    from pyspark import StorageLevel
+
+    parsed = P.parse_lines(FX.traffic_lines(spark, sf), keep=("line_id",)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = P.complete_rows(parsed, M.model_features())
+        is_train = M.hash_split("line_id")
+        trained = M.train(rows.filter(is_train), persist=False)
+        path = work_path(spark, "model")
+        trained.save(path)
+        reloaded = M.Trained.load(path)
+        test = reloaded.labels.transform(rows.filter(~is_train))
+        scored = M.predict(reloaded, test, assume_complete=True).select(
+            "line_id", "Label", "label_indexed", "prediction", "predicted_label"
+        )
+        out = work_path(spark, "predictions")
+        scored.write.parquet(out)
+    finally:
+        parsed.unpersist()
+    return spark.read.parquet(out)
 
 
 @register("model_metrics")
@@ -787,8 +803,14 @@ def q_summary_stream(spark, sf):
 @register("monitor_stream")
 def q_monitor_stream(spark, sf):
     """Train once, then score the traffic stream and publish JSON envelopes."""
-    parsed = _parsed(spark, sf)
-    trained = M.train(parsed.filter(M.hash_split("line_id")))
+    from pyspark import StorageLevel
+
+    parsed = P.parse_lines(FX.traffic_lines(spark, sf), keep=("line_id",)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = P.complete_rows(parsed, M.model_features())
+        trained = M.train(rows.filter(M.hash_split("line_id")), persist=False)
+    finally:
+        parsed.unpersist()
     src = S.read_topic_files(spark, _stage_traffic_topic(spark, sf))
     out = work_path(spark, "monitor-out")
     q = S.run_monitor(spark, src, trained, trigger=None, out_path=out)

@@ -21,9 +21,11 @@ from ..schema import TOPIC_ROW_SCHEMA
 from ..session import work_path
 
 
-def stage_topic_rows(df: DataFrame, path: str, files: int = 4) -> str:
+def stage_topic_rows(df: DataFrame, path: str, files: int | None = None) -> str:
     """Write Kafka-shaped rows as Parquet files, a replayable stand-in for a
-    topic (one file per partition; ``maxFilesPerTrigger`` paces batches)."""
+    topic: one file per topic partition (default 4 per core), read
+    ``files_per_trigger`` at a time."""
+    files = files or 4 * df.sparkSession.sparkContext.defaultParallelism
     df.repartition(files).write.mode("overwrite").parquet(path)
     return path
 
@@ -40,9 +42,11 @@ def topic_rows(df: DataFrame, value: str, offset: str, ts: str | None = None, to
     )
 
 
-def read_topic_files(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Stream Kafka-shaped rows from a folder of Parquet files."""
-    return spark.readStream.schema(TOPIC_ROW_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def read_topic_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Stream Kafka-shaped rows from a folder of Parquet files; each
+    micro-batch takes one file per core (like one task per topic partition)."""
+    n = files_per_trigger or spark.sparkContext.defaultParallelism
+    return spark.readStream.schema(TOPIC_ROW_SCHEMA).option("maxFilesPerTrigger", n).parquet(path)
 
 
 def trigger_args(trigger: str | None) -> dict:
@@ -63,15 +67,16 @@ def run_for(query: StreamingQuery, seconds: float | None) -> StreamingQuery:
     return query
 
 
-def parse_stream(source: DataFrame) -> DataFrame:
+def parse_stream(source: DataFrame, complete: bool = False) -> DataFrame:
     """Topic rows to typed traffic records (split, width filter, projection),
-    keeping the message offset as ``line_id``."""
+    keeping the message offset as ``line_id``; ``complete`` also drops
+    records with an unparseable feature (one filter on the split line)."""
     lines = source.select(
         F.col("offset").alias("line_id"),
         F.col("timestamp").alias("kafka_timestamp"),
         F.col("value").cast("string").alias("csv_line"),
     )
-    return P.parse_lines(lines, keep=("line_id", "kafka_timestamp"))
+    return P.parse_lines(lines, keep=("line_id", "kafka_timestamp"), complete=complete)
 
 
 def to_files(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None, fmt: str = "parquet") -> StreamingQuery:
@@ -114,10 +119,10 @@ def processed_total(query: StreamingQuery, name: str = "progress") -> int:
 def score_stream(source: DataFrame, trained: M.Trained, observe: str | None = "progress") -> DataFrame:
     """Parsed stream scored by the pre-fitted serving model, as the JSON
     envelope (prediction time = processing time). No Python on the path."""
-    parsed = parse_stream(source)
+    parsed = parse_stream(source, complete=True)
     if observe:
         parsed = observe_progress(parsed, observe)
-    scored = M.predict(trained, parsed, decode=False)
+    scored = M.predict(trained, parsed, decode=False, assume_complete=True)
     return P.encode_predictions(scored, keep=("line_id",))
 
 
