@@ -8,6 +8,7 @@ credentials come from the environment names the caller passes in.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,18 +33,22 @@ def object_store_conf(
     endpoint_env: str = "S3_BUCKET_ENDPOINT",
     ssl: bool = False,
     max_threads: int = 10,
+    commit_v2: bool = False,
 ) -> dict[str, str]:
-    """S3A settings for a path-style object store with a disk upload buffer."""
+    """S3A settings for a path-style object store with a disk upload buffer.
+    ``commit_v2`` asks for the faster commit whose partial task output can stay
+    visible after a failure."""
     conf = {
         "spark.hadoop.fs.s3a.path.style.access": "true",
         "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
         "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
-        "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "2",
         "spark.hadoop.fs.s3a.fast.upload": "true",
         "spark.hadoop.fs.s3a.fast.upload.buffer": "disk",
         "spark.hadoop.fs.s3a.threads.max": str(max_threads),
         "spark.hadoop.fs.s3a.connection.maximum": str(max_threads),
     }
+    if commit_v2:
+        conf["spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version"] = "2"
     for key, env in (
         ("spark.hadoop.fs.s3a.access.key", access_key_env),
         ("spark.hadoop.fs.s3a.secret.key", secret_key_env),
@@ -62,7 +67,7 @@ def session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
     object_store: bool = False,
-    driver_memory: str = "12g",
+    driver_memory: str = "6g",
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -89,8 +94,10 @@ def session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); only when
-    neither is set -- local runs and tests -- a folder is created here.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). A folder
+    of our own is made only where neither is set *and* the master is ``local``
+    (tests, one machine); on a cluster that would put every executor's part
+    files on its own disk, so it raises instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -100,6 +107,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder that the driver "
+                f"and all executors share (master {sc.master})"
+            )
         conf_dir = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -107,6 +119,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder for staged tables,
-    stream checkpoints and sink output (never a machine-local temp dir)."""
+    stream checkpoints and sink output."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "tidewatch", *parts, uuid.uuid4().hex])
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a staged copy made under ``work_path`` once nothing reads it."""
+    if "/tidewatch/" not in path:
+        raise ValueError(f"not a staged path: {path}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
