@@ -1,4 +1,4 @@
-"""Column expressions (all JVM-side, codegen-friendly; no Python UDFs)."""
+"""Column expressions (all JVM-side, no Python UDFs)."""
 
 from __future__ import annotations
 
@@ -56,147 +56,78 @@ def traffic_status(label: str | Column) -> Column:
     return F.when(is_benign(label), F.lit("benign")).otherwise(F.lit("attack"))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(v)`` with ``v`` bound to ``value``: evaluated once, and referenced once
+    by the plan however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def fixed(c: str | Column, digits: int = 6) -> Column:
     """``%.<digits>f`` text of a double, rounded the way C and Python round:
     the exact binary value, ties to even. (``format_string`` rounds the
     shortest decimal form half-up, which differs on values such as
-    5741.4489335.)
+    5741.4489335.) At most 7 digits.
 
-    Exact integer arithmetic: x = m / 2^k with an integer mantissa m, so
-    x * 10^d = m * 10^d / 2^k; quotient and remainder decide the rounding.
+    The fraction times 10^digits is held exactly as a sum of two doubles (its
+    two 26-bit halves times the scale), whose rounding error decides ties.
     """
-    scale = 10**digits
-    dec = "decimal(38,0)"
-    x = _c(c).cast("double")
-    ax = F.abs(x)
-    e = F.floor(F.log2(ax)).cast("int")
-    e = F.when(F.pow(F.lit(2.0), e) > ax, e - 1).when(F.pow(F.lit(2.0), e + 1) <= ax, e + 1).otherwise(e)
-    k = F.lit(52) - e
-    mant = (ax * F.pow(F.lit(2.0), k)).cast("bigint").cast(dec)
-    # 2^k exactly, as two factors that each fit a long
-    two_k = F.pow(F.lit(2.0), F.least(k, F.lit(62))).cast("bigint").cast(dec) * F.pow(
-        F.lit(2.0), F.greatest(k - F.lit(62), F.lit(0))
-    ).cast("bigint").cast(dec)
-    num = mant * F.lit(scale).cast(dec)
-    q = F.floor(num / two_k).cast(dec)
-    r = num - q * two_k
-    up = (r * 2 > two_k) | ((r * 2 == two_k) & (F.pmod(q, F.lit(2).cast(dec)) == 1))
-    units = (q + F.when(up, F.lit(1)).otherwise(F.lit(0))).cast(dec)
-    frac = F.lpad(F.pmod(units, F.lit(scale).cast(dec)).cast("bigint").cast("string"), digits, "0")
-    text = F.concat(F.floor(units / scale).cast(dec).cast("string"), F.lit("."), frac) if digits else units.cast(
-        "string"
-    )
-    # |x| >= 2^53 is an integer: m * 2^-k exactly
-    nk = -k
-    big = mant * F.pow(F.lit(2.0), F.least(F.greatest(nk, F.lit(0)), F.lit(62))).cast("bigint").cast(dec) * F.pow(
-        F.lit(2.0), F.greatest(nk - F.lit(62), F.lit(0))
-    ).cast("bigint").cast(dec)
-    zeros = "0." + "0" * digits if digits else "0"
-    one = "0." + "0" * (digits - 1) + "1" if digits else "1"
-    small = F.when(ax * F.lit(float(scale)) > 0.5, F.lit(one)).otherwise(F.lit(zeros))
-    body = (
-        F.when(ax == 0, F.lit(zeros))
-        .when(k > 72, small)
-        .when((k < 0) & (ax < F.lit(1e37)), F.concat(big.cast("string"), F.lit(zeros[1:])))
-        .when(k < 0, F.format_string(f"%.{digits}f", ax))
-        .otherwise(text)
-    )
-    signed = F.when(x < 0, F.concat(F.lit("-"), body)).otherwise(body)
-    return (
-        F.when(x.isNull(), F.lit(None).cast("string"))
-        .when(F.isnan(x), F.lit("nan"))
-        .when(x == float("inf"), F.lit("inf"))
-        .when(x == float("-inf"), F.lit("-inf"))
-        .otherwise(signed)
-    )
-
-
-def with_fixed(df, specs: dict[str, tuple[str, int]]):
-    """Add ``%.<d>f`` text columns ``{out: (source column, digits)}`` with the
-    same exact rounding as ``fixed``, computed in staged projections so each
-    intermediate value is evaluated once per row (small generated code)."""
-    dec = "decimal(38,0)"
-    cur = df
-    base = list(df.columns)
-
-    def stage(exprs: dict) -> None:
-        nonlocal cur
-        keep = [c for c in cur.columns if c not in exprs]
-        cur = cur.select(*[F.col(f"`{c}`") for c in keep], *[e.alias(n) for n, e in exprs.items()])
-
-    st1 = {}
-    for out, (src, _d) in specs.items():
-        x = F.col(f"`{src}`").cast("double")
-        st1[f"_x_{out}"] = x
-        finite = ~F.isnan(x) & (F.abs(x) != float("inf")) & (x != 0)
-        st1[f"_e_{out}"] = F.when(finite, F.floor(F.log2(F.abs(x))).cast("int"))
-    stage(st1)
-    st2 = {}
-    for out in specs:
-        ax, e = F.abs(F.col(f"_x_{out}")), F.col(f"_e_{out}")
-        st2[f"_e_{out}"] = (
-            F.when(F.pow(F.lit(2.0), e) > ax, e - 1).when(F.pow(F.lit(2.0), e + 1) <= ax, e + 1).otherwise(e)
-        )
-    stage(st2)
-    st3 = {}
-    for out, (_src, d) in specs.items():
-        ax, k = F.abs(F.col(f"_x_{out}")), F.lit(52) - F.col(f"_e_{out}")
-        ok = k.between(-62, 72)
-        st3[f"_k_{out}"] = k
-        st3[f"_m_{out}"] = F.when(ok, (ax * F.pow(F.lit(2.0), k)).cast("bigint").cast(dec) * F.lit(10**d).cast(dec))
-        st3[f"_p_{out}"] = F.when(ok, F.pow(F.lit(2.0), F.least(F.greatest(k, F.lit(0)), F.lit(62))).cast("bigint").cast(
-            dec
-        ) * F.pow(F.lit(2.0), F.greatest(k - F.lit(62), F.lit(0))).cast("bigint").cast(dec))
-    stage(st3)
-    st4 = {}
-    for out in specs:
-        num, two_k = F.col(f"_m_{out}"), F.col(f"_p_{out}")
-        st4[f"_q_{out}"] = F.when(F.col(f"_k_{out}").between(0, 72), F.floor(num / two_k).cast(dec))
-    stage(st4)
-    st5 = {}
-    for out, (_src, d) in specs.items():
-        num, two_k, q = F.col(f"_m_{out}"), F.col(f"_p_{out}"), F.col(f"_q_{out}")
-        r2 = (num - q * two_k) * 2
-        up = (r2 > two_k) | ((r2 == two_k) & (F.pmod(q, F.lit(2).cast(dec)) == 1))
-        st5[f"_u_{out}"] = (q + F.when(up, F.lit(1)).otherwise(F.lit(0))).cast(dec)
-    stage(st5)
-    st6 = {}
-    for out, (_src, d) in specs.items():
-        scale = 10**d
-        x, k, units = F.col(f"_x_{out}"), F.col(f"_k_{out}"), F.col(f"_u_{out}")
+    if not 0 <= digits <= 7:
+        raise ValueError("0 to 7 digits")
+    scale = float(10**digits)
+    point = "." if digits else ""
+
+    def exact_sum(p: Column) -> Column:
+        s = p["fa"] + p["b"]
+        t = s - p["fa"]
+        return F.struct(p["n"].alias("n"), s.alias("s"), ((p["fa"] - (s - t)) + (p["b"] - t)).alias("err"))
+
+    def rounded(r: Column) -> Column:
+        low = F.floor(r["s"])
+        part, units = r["s"] - low, r["n"] + low
+        odd = F.pmod(units, F.lit(2)) == 1
+        up = (part > 0.5) | ((part == 0.5) & ((r["err"] > 0) | ((r["err"] == 0) & odd)))
+        return units + F.when(up, 1).otherwise(0)
+
+    def units_of(fraction: Column) -> Column:
+        def halves(hi: Column) -> Column:
+            return _let(
+                hi * scale,
+                lambda a: F.struct(F.floor(a).alias("n"), (a - F.floor(a)).alias("fa"), ((fraction - hi) * scale).alias("b")),
+            )
+
+        hi = _let(fraction * 134217729.0, lambda t: t - (t - fraction))
+        return _let(_let(_let(hi, halves), exact_sum), rounded)
+
+    def written(whole: Column, units: Column) -> Column:
+        text = (whole + F.floor(units / scale)).cast("bigint").cast("string")
+        return F.concat(text, F.lit(point), F.lpad(F.pmod(units, F.lit(10**digits)).cast("string"), digits, "0"))
+
+    def small(ax: Column) -> Column:  # below 2^52
+        return _let(F.floor(ax), lambda whole: _let(_let(ax - whole, units_of), lambda units: written(whole, units)))
+
+    def large(ax: Column) -> Column:  # an integer: two parts that are exact as longs
+        dec, two62 = "decimal(38,0)", float(2**62)
+        high = F.floor(ax / two62).cast("double")
+        whole = high.cast("bigint").cast(dec) * F.lit(2**62).cast(dec) + (ax - high * two62).cast("bigint").cast(dec)
+        return F.concat(whole.cast("string"), F.lit(point + "0" * digits))
+
+    def text(x: Column) -> Column:
         ax = F.abs(x)
-        zeros = "0." + "0" * d if d else "0"
-        one = "0." + "0" * (d - 1) + "1" if d else "1"
-        if d:
-            frac = F.lpad(F.pmod(units, F.lit(scale).cast(dec)).cast("bigint").cast("string"), d, "0")
-            text = F.concat(F.floor(units / scale).cast(dec).cast("string"), F.lit("."), frac)
-        else:
-            text = units.cast("string")
-        big = F.when(k < 0, (F.col(f"_m_{out}") / F.lit(scale).cast(dec)).cast(dec) * F.pow(
-            F.lit(2.0), F.least(F.greatest(-k, F.lit(0)), F.lit(62))
-        ).cast("bigint").cast(dec))
         body = (
-            F.when(ax == 0, F.lit(zeros))
-            .when(k > 72, F.when(ax * F.lit(float(scale)) > 0.5, F.lit(one)).otherwise(F.lit(zeros)))
-            .when((k < 0) & (k >= -62), F.concat(big.cast("string"), F.lit(zeros[1:])))
-            .when(k < 0, F.format_string(f"%.{d}f", ax))
-            .otherwise(text)
+            F.when(ax < float(2**52), _let(ax, small))
+            .when(ax < 1e37, _let(ax, large))
+            .otherwise(F.format_string(f"%.{digits}f", ax))
         )
-        signed = F.when(x < 0, F.concat(F.lit("-"), body)).otherwise(body)
-        st6[out] = (
+        return (
             F.when(x.isNull(), F.lit(None).cast("string"))
             .when(F.isnan(x), F.lit("nan"))
             .when(x == float("inf"), F.lit("inf"))
             .when(x == float("-inf"), F.lit("-inf"))
-            .otherwise(signed)
+            .when(x < 0, F.concat(F.lit("-"), body))
+            .otherwise(body)
         )
-    stage(st6)
-    return cur.select(*[F.col(f"`{c}`") for c in base if c not in specs], *[F.col(o) for o in specs])
-
 
-def fixed6(c: str | Column) -> Column:
-    """``%.6f`` text of a number (Python/C rounding)."""
-    return fixed(c, 6)
+    return _let(_c(c).cast("double"), text)
 
 
 def percent1(c: str | Column) -> Column:
@@ -204,7 +135,9 @@ def percent1(c: str | Column) -> Column:
     return F.concat(fixed(c, 1), F.lit("%"))
 
 
-def value_text(c: str | Column) -> Column:
-    """Text form of a raw label value, as Python's ``str`` prints it:
-    doubles keep their ``.0`` (``34.0``)."""
-    return _c(c).cast("string")
+def once(df, name: str, value: Column):
+    """``df`` with ``value`` as column ``name``, computed once a row: it stands behind a
+    generator of one row, through which Catalyst pushes no filter on its output,
+    so later filters and projections read the result instead of a copy of the expression."""
+    row = F.inline(F.array(F.struct(value.alias(name))))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != name], row)

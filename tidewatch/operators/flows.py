@@ -12,8 +12,8 @@ packets in the last ``W`` seconds (``t > now - W``):
 Plan (batch). A flow holding a third of all packets must not become one
 task, so each flow is cut into time buckets of ``k * W``; the last ``W`` of
 every bucket is copied into the next bucket as context (a ``1/k`` share of
-rows). Windowed statistics are RANGE frames inside ``(flow, bucket)``
-partitions; whole-life counters are an in-bucket running sum plus the sum
+rows). Windowed statistics are running sums over arrivals and expiries inside
+``(flow, bucket)`` partitions; whole-life counters are an in-bucket running sum plus the sum
 over earlier buckets (a prefix scan over a one-row-per-bucket summary),
 joined back on ``(flow, bucket)`` -- the same keys the frames are
 partitioned on, so the packet rows shuffle once.
@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import with_fixed
+from ..functions.scalar import fixed, once
 from ..schema import (
     DEFAULT_WINDOW_S,
     PROTO_ICMP,
@@ -154,38 +154,83 @@ def _counters() -> list[str]:
 
 def flow_window_stats(packets: DataFrame, window_s: float = DEFAULT_WINDOW_S, bucket_windows: int = 4) -> DataFrame:
     """Per packet (own rows only): windowed aggregates, whole-life counters,
-    first-seen time. Integer-valued; ``flow_features`` derives the doubles."""
+    first-seen time. Integer-valued; ``flow_features`` derives the doubles.
+
+    Every packet arrives at ``ts`` and expires at ``ts + W``. Over the union of
+    both kinds of event in time order, each windowed sum is a running sum that
+    adds at arrivals and subtracts at expiries, exact in integers, so the
+    work is linear after the sort however dense a window is.
+    """
     w_us = int(round(window_s * 1_000_000))
     d = decode_packets(packets)
     counters = _counters()
     d = d.select("flow", "packet_id", "ts_us", "ihl", "proto", "ttl", "length", *counters)
-    # Packet rows shuffle once, on (flow, bucket); the join below reuses that
-    # partitioning. The bucket summary is pre-aggregated map-side, so its
+    # Packet rows shuffle once, on (flow, bucket); all windows below sort inside
+    # those partitions. The bucket summary is pre-aggregated map-side, so its
     # shuffles carry one row per (flow, bucket) per task.
     rows = _bucketed(d, w_us, bucket_windows)
 
-    part = Window.partitionBy("flow", "bucket")
-    ordered = part.orderBy("ts_us")
-    frame = ordered.rangeBetween(-(w_us - 1), 0)
+    ordered = Window.partitionBy("flow", "bucket").orderBy("ts_us")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    iat = F.col("ts_us") - F.lag("ts_us").over(ordered)
-    len_l = F.col("length").cast("bigint")
-    rows = rows.withColumn("iat", iat)
-    iat_sq = F.col("iat").cast("decimal(38,0)") * F.col("iat").cast("decimal(38,0)")
-    first_iat = F.first("iat").over(frame).cast("decimal(38,0)")
-    stats = rows.select(
-        "flow", "bucket", "own", "packet_id", "ts_us", "ihl", "proto", "ttl", "length",
-        F.count(F.lit(1)).over(frame).alias("n"),
-        F.sum(len_l).over(frame).alias("len_sum"),
-        F.sum(len_l * len_l).over(frame).alias("len_sq"),
-        F.min("length").over(frame).alias("len_min"),
-        F.max("length").over(frame).alias("len_max"),
-        F.min("ts_us").over(frame).alias("win_start_us"),
-        (F.coalesce(F.sum(iat_sq).over(frame), F.lit(0).cast("decimal(38,0)"))
-         - F.coalesce(first_iat * first_iat, F.lit(0).cast("decimal(38,0)"))).alias("iat_sq"),
+    rows = rows.select(
+        "flow", "bucket", "own", "packet_id", "ts_us", "ihl", "proto", "ttl", F.col("length").cast("bigint").alias("length"),
+        F.floor(F.col("ts_us") / F.lit(w_us)).cast("bigint").alias("block"),
+        F.row_number().over(ordered).alias("seq"),
+        F.lag("ts_us").over(ordered).alias("before_us"),
+        F.lead("ts_us").over(ordered).alias("next_us"),
         *[F.sum(F.when(F.col("own"), F.col(c)).otherwise(0)).over(running).alias(f"r_{c}") for c in counters],
-    ).filter(F.col("own"))
+    )
+    # Extremes: a window covers the current block of W up to now and what has not
+    # expired of the block before. ``rest_*`` are the extremes of a block after a packet.
+    block = Window.partitionBy("flow", "bucket", "block")
+    so_far = block.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = block.orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select(
+        "*",
+        F.min("length").over(so_far).alias("lo"), F.max("length").over(so_far).alias("hi"),
+        F.min("length").over(after).alias("rest_lo"), F.max("length").over(after).alias("rest_hi"),
+        (F.coalesce(F.lag("block").over(ordered), F.lit(-1)) != F.col("block")).alias("opens"),
+    )
+    dec, none = "decimal(38,0)", F.lit(None)
+    length = F.col("length")
+
+    def gap(a: str, b: str) -> Column:
+        width = (F.col(a) - F.col(b)).cast(dec)
+        return F.coalesce(width * width, F.lit(0).cast(dec)).cast(dec)
+
+    def mark(seq: Column, lo: Column, hi: Column) -> Column:
+        return F.struct(seq.alias("seq"), F.col("block").alias("block"), lo.alias("lo"), hi.alias("hi"))
+
+    def event(at: Column, kind: int, n: int, iat_sq: Column, start: Column, rest: Column) -> Column:
+        return F.struct(
+            at.alias("at"), F.lit(kind).alias("kind"), F.lit(n).cast("bigint").alias("dn"), (length * n).alias("dlen"), (length * length * n).alias("dsq"),
+            iat_sq.alias("diat"), start.cast("bigint").alias("start"), rest.alias("rest"),
+        )
+
+    no_mark = F.when(F.lit(False), mark(F.col("seq"), length, length))
+    whole = mark(F.col("seq") - 1, F.least("lo", "rest_lo"), F.greatest("hi", "rest_hi"))
+    zero = F.lit(0).cast(dec)
+    events = F.array(
+        event(F.col("ts_us"), 1, 1, gap("ts_us", "before_us"), F.when(F.col("seq") == 1, F.col("ts_us")), no_mark),
+        event(F.col("ts_us") + w_us, -1, -1, (-gap("next_us", "ts_us")).cast(dec), F.col("next_us"), mark(F.col("seq"), F.col("rest_lo"), F.col("rest_hi"))),
+        # when the next block starts, all of this one is still in the window
+        event((F.col("block") + 1) * w_us, 0, 0, zero, none, F.when(F.col("opens"), whole)),
+    )
+    late = F.filter(events, lambda e: (e["kind"] != 0) | e["rest"].isNotNull())
+    timed = rows.withColumn("e", F.explode(late))
+    until = Window.partitionBy("flow", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    timed = timed.select("flow", "bucket", "own", "packet_id", "ts_us", "ihl", "proto", "ttl", "block", "lo", "hi", *[f"r_{c}" for c in counters], "e.*")
+    timed = timed.select(
+        "*",
+        F.sum("dn").over(until).alias("n"), F.sum("dlen").over(until).alias("len_sum"), F.sum("dsq").over(until).alias("len_sq"),
+        F.sum("diat").over(until).alias("iat_sq"), F.max("start").over(until).alias("win_start_us"), F.max("rest").over(until).alias("left"),
+    ).filter(F.col("own") & (F.col("kind") == 1))
+    in_reach = F.col("left.block") == F.col("block") - 1
+    stats = timed.select(
+        "flow", "bucket", "packet_id", "ts_us", "ihl", "proto", "ttl", "n", "len_sum", "len_sq", "iat_sq", "win_start_us",
+        F.least("lo", F.when(in_reach, F.col("left.lo"))).alias("len_min"), F.greatest("hi", F.when(in_reach, F.col("left.hi"))).alias("len_max"),
+        *[f"r_{c}" for c in counters],
+    )
 
     # Prefix over earlier buckets: one row per (flow, bucket) summary.
     summary = (
@@ -204,7 +249,7 @@ def flow_window_stats(packets: DataFrame, window_s: float = DEFAULT_WINDOW_S, bu
     )
     joined = stats.join(prefix.hint("shuffle_hash"), ["flow", "bucket"], "inner")
     return joined.select(
-        "flow", "packet_id", "ts_us", "ihl", "proto", "ttl", "length",
+        "flow", "packet_id", "ts_us", "ihl", "proto", "ttl",
         "n", "len_sum", "len_sq", "len_min", "len_max", "win_start_us", "iat_sq", "first_us",
         *[(F.col(f"r_{c}") + F.col(f"o_{c}")).alias(c) for c in counters],
     )
@@ -285,21 +330,20 @@ def encode_traffic(features: DataFrame, keep: tuple[str, ...] = ("flow", "packet
     """40-field CSV line per record: floats ``%.6f``, integers as digits,
     missing values ``0``. The mean prints as an integer when exact, the IAT
     variance as ``0`` when there is a single IAT (as the producer's types do)."""
-    floats = sorted(_FLOAT_FIELDS | {"AVG", "Variance"})
-    staged = with_fixed(features, {f"_t_{n}": (n, 6) for n in floats})
     parts = []
     for name in FLOW_FEATURE_NAMES:
         c = F.col(name)
         if name == "AVG":
             exact = (F.col("Tot_sum") % F.col("Number")) == 0
             txt = F.when(exact, (F.col("Tot_sum") / F.col("Number")).cast("bigint").cast("string")).otherwise(
-                F.col("_t_AVG")
+                fixed("AVG")
             )
         elif name == "Variance":
-            txt = F.when(F.col("Number") == 2, F.lit("0")).otherwise(F.col("_t_Variance"))
+            txt = F.when(F.col("Number") == 2, F.lit("0")).otherwise(fixed("Variance"))
         elif name in _FLOAT_FIELDS:
-            txt = F.col(f"_t_{name}")
+            txt = fixed(name)
         else:
             txt = c.cast("string")
         parts.append(F.coalesce(txt, F.lit("0")))
-    return staged.select(*[k for k in keep if k in features.columns], F.concat_ws(",", *parts).alias("csv_line"))
+    kept = [k for k in keep if k in features.columns]
+    return once(features, "csv_line", F.concat_ws(",", *parts)).select(*kept, "csv_line")

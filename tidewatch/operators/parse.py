@@ -1,9 +1,8 @@
 """Wire format: topic rows -> CSV lines -> 40 typed fields, and back.
 
-All row-wise; each works on batch and streaming DataFrames alike and stays
-inside whole-stage codegen (no Python). The split result is computed once
-and shared by the width filter and the 40 projections (Catalyst keeps one
-``split`` in the project below the filter).
+All row-wise; each works on batch and streaming DataFrames alike (no Python).
+The split stands behind a one-row generator, so the line and its split are computed once
+and shared by the width filter, later filters and the 40 projections.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import to_double, to_int
+from ..functions.scalar import once, to_double, to_int
 from ..schema import LABEL_COLUMN, PREDICTION_SCHEMA, TRAFFIC_FIELDS, TRAFFIC_WIDTH
 
 JSON_OPTIONS = {
@@ -37,7 +36,7 @@ def decode_topic(df: DataFrame, keep_key: bool = False) -> DataFrame:
 
 def split_line(df: DataFrame, col: str = "csv_line", out: str = "values") -> DataFrame:
     """Split on commas, keeping trailing empty fields (``a,b,,`` is 4 wide)."""
-    return df.withColumn(out, F.split(F.col(col), ",", -1))
+    return once(df, out, F.split(F.col(col), ",", -1))
 
 
 def width(values: str | Column = "values") -> Column:
@@ -46,12 +45,9 @@ def width(values: str | Column = "values") -> Column:
 
 
 def valid_width(df: DataFrame, n: int = TRAFFIC_WIDTH, values: str = "values") -> DataFrame:
-    """Keep records with exactly ``n`` fields and a non-null first field.
-
-    The first field of a split line is never NULL and a NULL line has a NULL
-    size, so the width test alone decides -- one reference to the array,
-    which keeps a pushed-down filter to a single copy of the line expression.
-    """
+    """Keep records with exactly ``n`` fields and a non-null first field: the
+    first field of a split line is never NULL and a NULL line has a NULL
+    size, so the width test alone decides."""
     return df.filter(F.size(values) == n)
 
 
