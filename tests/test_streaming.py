@@ -76,9 +76,16 @@ def test_flow_stream_drops_late_packets(spark):
     spark.createDataFrame([pk(3, 5), pk(4, 12)], PACKET_SCHEMA).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(PACKET_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
     out = work_path(spark, "late-out")
-    S.to_files(flow_features_stream(stream, 60), out, work_path(spark, "late-ckpt")).awaitTermination()
+    dropped = spark.sparkContext.accumulator(0)
+    S.to_files(flow_features_stream(stream, 60, late="drop", dropped=dropped), out, work_path(spark, "late-ckpt")).awaitTermination()
     got = {r.packet_id: r.Number for r in spark.read.parquet(out).collect()}
     assert got == {2: 2, 4: 3}  # packet 3 (t=5 < 11) is late and dropped
+    assert dropped.value == 1
+    # by default every arrival is processed, in its place in time
+    out = work_path(spark, "late-kept")
+    S.to_files(flow_features_stream(stream, 60), out, work_path(spark, "kept-ckpt")).awaitTermination()
+    got = {r.packet_id: (r.Number, r.Rate) for r in spark.read.parquet(out).collect()}
+    assert got == {2: (2, 2.0), 4: (4, 4 / 7)}
 
 
 def test_monitor_publishes_every_complete_record(spark):

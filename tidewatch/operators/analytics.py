@@ -100,7 +100,7 @@ def traffic_summary(df: DataFrame, labels: DataFrame, col: str = "predicted_labe
         F.count(F.lit(1)).alias("total"),
         F.count_if(is_benign("label")).alias("benign"),
     )
-    rate = F.col("attack") * F.lit(100.0) / F.nullif(F.col("total"), F.lit(0))
+    rate = F.col("attack") / F.nullif(F.col("total"), F.lit(0)) * F.lit(100.0)
     return agg.select(
         "total",
         "benign",

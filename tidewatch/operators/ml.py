@@ -7,18 +7,21 @@ batch and in a stream -- indexers are fitted once, never per micro-batch.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import to_double
 from ..schema import LABEL_COLUMN, TRAFFIC_FIELDS
 
 LABEL_INDEXED = "label_indexed"
+CATEGORY_BINS = 150000
 
 
 def fit_label_indexer(df: DataFrame, col: str = LABEL_COLUMN, out: str = LABEL_INDEXED) -> StringIndexerModel:
@@ -37,11 +40,6 @@ def index_to_string(df: DataFrame, model: StringIndexerModel, col: str, out: str
     return IndexToString(inputCol=col, outputCol=out, labels=model.labels).transform(df)
 
 
-def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    """Feature vector; rows with NULL/NaN features are skipped (inf kept)."""
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="skip").transform(df)
-
-
 def hash_split(id_col: str | Column, train_pct: int = 80) -> Column:
     """Reproducible train/test flag from an integer id (independent of
     partitioning, so an oracle can reproduce it)."""
@@ -59,24 +57,35 @@ class ForestParams:
     num_trees: int = 10
     max_depth: int = 5
     # 32 bins suit continuous features; with ``rate_as_category`` the Rate
-    # index is categorical and needs bins >= its cardinality.
+    # index is categorical and needs bins >= its cardinality (at least
+    # ``CATEGORY_BINS`` are given; training fails beyond).
     max_bins: int = 32
     seed: int = 42
     rate_as_category: bool = False
+    # about this many rows are used for the fit (a hash sample); None uses all
+    max_fit_rows: int | None = None
 
 
 def numeric_feature_names() -> list[str]:
     return [n for n, k in TRAFFIC_FIELDS if k != "string"]
 
 
-def rate_cap(df: DataFrame, col: str = "rate_value") -> float:
-    """Largest finite rate in the training data (one aggregation)."""
-    v = df.agg(F.max(F.when(~F.isnan(col) & (F.abs(F.col(col)) != float("inf")), F.col(col)))).first()[0]
-    return float(v) if v is not None else 0.0
+def rate_bounds(df: DataFrame, col: str = "rate_value") -> tuple[float, float]:
+    """Smallest and largest finite rate in the training data (one aggregation)."""
+    finite = F.when(~F.isnan(col) & (F.abs(F.col(col)) != float("inf")), F.col(col))
+    low, high = df.agg(F.min(finite), F.max(finite)).first()
+    return (0.0, 0.0) if low is None else (float(low), float(high))
+
+
+def with_rate_value(df: DataFrame) -> DataFrame:
+    """``df`` with ``rate_value``, the rate as a double, if it is not there yet."""
+    if "rate_value" in df.columns or "Rate" not in df.columns:
+        return df
+    return df.withColumn("rate_value", to_double(F.col("Rate").cast("string")))
 
 
 def build_classifier(params: ForestParams, train: DataFrame | None = None) -> Pipeline:
-    """Feature stages -> forest: (Rate indexer | inf cap) -> assembler -> forest.
+    """Feature stages -> forest: (Rate indexer | finite rate) -> assembler -> forest.
 
     The label indexer is fitted separately (``train``): serving rows carry no
     known label, and a skipping label stage would drop them.
@@ -86,15 +95,14 @@ def build_classifier(params: ForestParams, train: DataFrame | None = None) -> Pi
     if params.rate_as_category:
         stages.append(StringIndexer(inputCol="Rate", outputCol="Rate_indexed", handleInvalid="skip"))
         feats = feats[:3] + ["Rate_indexed"] + feats[3:]
-        max_bins = max(params.max_bins, 150000)
+        max_bins = max(params.max_bins, CATEGORY_BINS)
     else:
-        cap = rate_cap(train) if train is not None else 0.0
+        low, high = rate_bounds(train) if train is not None else (0.0, 0.0)
+        inf = "CAST('Infinity' AS DOUBLE)"
         stages.append(
             SQLTransformer(
-                statement=(
-                    "SELECT *, CASE WHEN rate_value > {c} THEN {c} WHEN rate_value < -{c} THEN -{c} "
-                    "ELSE rate_value END AS rate_capped FROM __THIS__"
-                ).format(c=repr(cap))
+                statement=f"SELECT *, CASE WHEN rate_value = {inf} THEN {high!r}D WHEN rate_value = -{inf} THEN {low!r}D "
+                "ELSE rate_value END AS rate_capped FROM __THIS__"
             )
         )
         feats = feats[:3] + ["rate_capped"] + feats[3:]
@@ -119,23 +127,27 @@ def build_classifier(params: ForestParams, train: DataFrame | None = None) -> Pi
 
 @dataclass
 class Trained:
-    """A fitted label indexer and the serving model (features + forest)."""
+    """A fitted label indexer, the serving model (features + forest) and its parameters."""
 
     labels: StringIndexerModel
     model: PipelineModel
+    params: ForestParams = field(default_factory=ForestParams)
 
     def save(self, path: str) -> None:
-        """Sibling folders, overwritten: ``model`` and ``label_indexer``."""
+        """Sibling folders, overwritten: ``model``, ``label_indexer`` and ``params``."""
         self.model.write().overwrite().save(f"{path}/model")
         self.labels.write().overwrite().save(f"{path}/label_indexer")
+        spark = SparkSession.active()
+        spark.createDataFrame([(json.dumps(asdict(self.params)),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/params")
 
     @staticmethod
     def load(path: str) -> "Trained":
-        return Trained(StringIndexerModel.load(f"{path}/label_indexer"), PipelineModel.load(f"{path}/model"))
+        params = ForestParams(**json.loads(SparkSession.active().read.text(f"{path}/params").first()[0]))
+        return Trained(StringIndexerModel.load(f"{path}/label_indexer"), PipelineModel.load(f"{path}/model"), params)
 
 
 def train(df: DataFrame, params: ForestParams | None = None, persist: bool = True) -> Trained:
-    """Fit the label index, the ``inf`` cap, the feature stages and the forest.
+    """Fit the label index, the finite rate bounds, the feature stages and the forest.
 
     The training rows are persisted once (memory, spilling to disk) and
     shared by the label-index fit, the cap aggregation and the forest's
@@ -147,17 +159,22 @@ def train(df: DataFrame, params: ForestParams | None = None, persist: bool = Tru
     from .parse import complete_rows
 
     params = params or ForestParams()
+    df = with_rate_value(df)
     rows = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     try:
         # filtered above the cached rows, so nothing is pushed into the parse
         rows = complete_rows(rows, model_features(params))
         labels = fit_label_indexer(rows)
+        if params.max_fit_rows is not None:
+            share = min(1.0, params.max_fit_rows / max(1, rows.count()))
+            place = F.pmod(F.xxhash64(*[f"`{c}`" for c in rows.columns]), F.lit(1 << 30)) / float(1 << 30)
+            rows = rows.filter(place < share)
         indexed = labels.transform(rows)
         model = build_classifier(params, indexed).fit(indexed)
     finally:
         if persist:
             df.unpersist()
-    return Trained(labels, model)
+    return Trained(labels, model, params)
 
 
 def model_features(params: ForestParams | None = None) -> list[str]:
@@ -178,9 +195,10 @@ def predict(
     """
     from .parse import complete_rows
 
-    model = trained.model if isinstance(trained, Trained) else trained
+    model, params = (trained.model, trained.params) if isinstance(trained, Trained) else (trained, ForestParams())
+    df = with_rate_value(df)
     if not assume_complete:
-        feats = [c for c in model_features() if c in df.columns]
+        feats = [c for c in model_features(params) if c in df.columns]
         df = complete_rows(df, feats)
     out = model.transform(df)
     if decode and isinstance(trained, Trained):
@@ -190,10 +208,6 @@ def predict(
     return out
 
 
-def label_names(trained: Trained) -> list[str]:
-    return list(trained.labels.labels)
-
-
 def save_model(model, path: str) -> None:
     if isinstance(model, Trained):
         model.save(path)
@@ -285,8 +299,10 @@ def metrics(pred: DataFrame, label: str = LABEL_INDEXED, prediction: str = "pred
     )
 
 
-def metrics_summary(pred: DataFrame, labels: list[str], label: str = LABEL_INDEXED, prediction: str = "prediction") -> DataFrame:
-    """One row: accuracy, f1_score, label_mapping, precision, recall (key order)."""
+def metrics_summary(pred: DataFrame, labels: list[str] | StringIndexerModel, label: str = LABEL_INDEXED, prediction: str = "prediction") -> DataFrame:
+    """One row: accuracy, f1_score, label_mapping, precision, recall (key order).
+    ``labels`` are the fitted indexer's (the indexer itself will do)."""
+    labels = labels.labels if isinstance(labels, StringIndexerModel) else labels
     m = metrics(pred, label, prediction)
     mapping = F.create_map(*[x for i, name in enumerate(labels) for x in (F.lit(i).cast("bigint"), F.lit(name))])
     return m.select(

@@ -18,11 +18,6 @@ JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-# Reading accepts timestamps with or without a zone offset.
-JSON_READ_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS[XXX]",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
 
 
 def decode_topic(df: DataFrame, keep_key: bool = False) -> DataFrame:
@@ -96,12 +91,17 @@ def parse_traffic(
 
 
 def parse_lines(
-    df: DataFrame, col: str = "csv_line", keep: tuple[str, ...] = ("kafka_timestamp",), complete: bool = False, **kw
+    df: DataFrame,
+    col: str = "csv_line",
+    keep: tuple[str, ...] = ("kafka_timestamp",),
+    complete: bool = False,
+    rate_numeric: bool = True,
+    **kw,
 ) -> DataFrame:
     """split + width filter (+ optional completeness filter) + typed projection."""
     rows = valid_width(split_line(df, col))
     if complete:
-        rows = rows.filter(complete_values("values"))
+        rows = rows.filter(complete_values("values", rate_numeric))
     return parse_traffic(rows, keep=keep, **kw)
 
 
@@ -207,18 +207,27 @@ def encode_predictions(df: DataFrame, prediction_time: Column | None = None, kee
 
 
 def read_predictions(df: DataFrame, value: str = "value", schema: T.StructType = PREDICTION_SCHEMA) -> DataFrame:
-    """Parse prediction JSON; malformed lines are dropped.
+    """Parse prediction JSON; what is not a JSON object (empty and blank lines,
+    NULL, ``null`` included) is dropped.
 
-    A malformed line parses to a non-null struct of NULLs, so the filter is
-    on the corrupt-record column, not on the struct.
+    Fields are read as text and cast leniently, so a field of another JSON type
+    (``"10"`` for a label, ``"x"`` for a length) gives its value or NULL and the message stays.
     """
-    full = T.StructType(schema.fields + [T.StructField("_bad", T.StringType(), True)])
-    opts = dict(JSON_READ_OPTIONS, columnNameOfCorruptRecord="_bad", mode="PERMISSIVE")
+    texts = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    full = T.StructType(texts.fields + [T.StructField("_bad", T.StringType(), True)])
+    opts = {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}
     others = [c for c in df.columns if c != value]
-    parsed = df.select(*others, F.from_json(F.col(value).cast("string"), full, opts).alias("_p"))
-    return parsed.filter(F.col("_p._bad").isNull()).select(
-        *others, *[F.col(f"_p.`{f.name}`").alias(f.name) for f in schema.fields]
-    )
+    text = F.col(value).cast("string")
+    parsed = df.select(*others, text.alias("_text"), F.from_json(text, full, opts).alias("_p"))
+    is_object = F.ltrim("_text").startswith("{") & F.col("_p").isNotNull() & F.col("_p._bad").isNull()
+
+    def typed(f: T.StructField) -> Column:
+        c = F.col(f"_p.`{f.name}`")
+        if isinstance(f.dataType, T.IntegerType):
+            return to_int(c)
+        return c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)
+
+    return parsed.filter(is_object).select(*others, *[typed(f).alias(f.name) for f in schema.fields])
 
 
 def predictions_ntz_schema() -> T.StructType:

@@ -108,8 +108,8 @@ def q_topk_remainder(spark, sf):
     "traffic_summary",
     DECODED_SQL
     + """SELECT total, benign, total - benign AS attack,
-  (total - benign) * 100.0 / nullif(total, 0) AS attack_rate,
-  printf('%.1f', (total - benign) * 100.0 / nullif(total, 0)) || '%' AS attack_rate_text
+  CAST(total - benign AS DOUBLE) / CAST(nullif(total, 0) AS DOUBLE) * 100.0 AS attack_rate,
+  printf('%.1f', CAST(total - benign AS DOUBLE) / CAST(nullif(total, 0) AS DOUBLE) * 100.0) || '%' AS attack_rate_text
 FROM (SELECT count(*) AS total, count(*) FILTER (WHERE upper(label) = 'BENIGN') AS benign FROM decoded) s""",
 )
 def q_traffic_summary(spark, sf):
@@ -797,7 +797,7 @@ def q_summary_stream(spark, sf):
     src = S.read_topic_files(spark, S.stage_topic_rows(rows, work_path(spark, "topic-predictions")))
     out, ckpt = work_path(spark, "summary-out"), work_path(spark, "summary-ckpt")
     S.run_summary(S.prediction_summary_stream(src, label_table(spark)), out, ckpt).awaitTermination()
-    return spark.read.parquet(out)
+    return S.read_summary(spark, out)
 
 
 @register("monitor_stream")
@@ -824,27 +824,18 @@ from ..schema import PACKET_SCHEMA  # noqa: E402
 from ..streaming import flow_state as FS  # noqa: E402
 
 
-def _stage_packets_in_time_order(spark, sf, chunks: int = 4) -> str:
-    """Packets as Parquet files, one write per time range, so the file
-    source (ordered by modification time) replays them in arrival order."""
-    pk = FX.packets(spark, sf)
-    path = work_path(spark, "topic-packets")
-    bounds = pk.agg(F.min("ts_us"), F.max("ts_us")).first()
-    lo, hi = int(bounds[0]), int(bounds[1]) + 1
-    step = (hi - lo + chunks - 1) // chunks
-    for i in range(chunks):
-        a, b = lo + i * step, lo + (i + 1) * step
-        pk.filter((F.col("ts_us") >= a) & (F.col("ts_us") < b)).coalesce(1).write.mode("append").parquet(path)
-    return path
-
-
 @register("flow_features_stream", FLOW_SQL + "SELECT * FROM flow_features")
 def q_flow_features_stream(spark, sf):
-    """The batch flow records, produced incrementally by the stateful stream."""
-    src = (
-        spark.readStream.schema(PACKET_SCHEMA).option("maxFilesPerTrigger", 1)
-        .parquet(_stage_packets_in_time_order(spark, sf))
-    )
-    out, ckpt = work_path(spark, "flows-out"), work_path(spark, "flows-ckpt")
-    S.to_files(FS.flow_features_stream(src, FLOW_WINDOW_S), out, ckpt).awaitTermination()
-    return spark.read.parquet(out)
+    """The batch flow records, produced incrementally: packets arrive in four time
+    ranges, each written in parallel, and the stream is resumed from its checkpoint after each."""
+    packets = FX.packets(spark, sf)
+    path, out, ckpt = work_path(spark, "topic-packets"), work_path(spark, "flows-out"), work_path(spark, "flows-ckpt")
+    lo, hi = packets.agg(F.min("ts_us"), F.max("ts_us")).first()
+    packets.limit(0).write.parquet(path)
+    for i in range(4):
+        if lo is not None:
+            part = F.least(F.floor((F.col("ts_us") - lo) * 4 / F.lit(hi - lo + 1)), F.lit(3))
+            packets.filter(part == i).write.mode("append").parquet(path)
+        src = spark.readStream.schema(PACKET_SCHEMA).parquet(path)
+        S.to_files(FS.flow_features_stream(src, FLOW_WINDOW_S), out, ckpt).awaitTermination()
+    return spark.read.schema(FS.output_schema()).parquet(out)

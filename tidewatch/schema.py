@@ -67,11 +67,12 @@ TRAFFIC_SCHEMA = T.StructType(
 )
 
 # Schema for reading a headered training CSV without a type-inference pass.
-# Rate is numeric here; ``positiveInf``/``negativeInf`` options map the
-# lower-case ``inf`` spellings that would otherwise force a string column.
+# Every number is a double (counts may be ratios such as 0.500000);
+# ``positiveInf``/``negativeInf`` options map the lower-case ``inf`` spellings
+# that would otherwise force a string column.
 TRAINING_CSV_SCHEMA = T.StructType(
     [
-        T.StructField(name, T.DoubleType() if name == "Rate" else _SPARK_TYPES[kind], True)
+        T.StructField(name, T.StringType() if name == LABEL_COLUMN else T.DoubleType(), True)
         for name, kind in TRAFFIC_FIELDS
     ]
 )

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import LABEL_DICTIONARY_SCHEMA, LABELS, TRAINING_CSV_SCHEMA
 
+log = logging.getLogger(__name__)
+
 
 def read_traffic_csv(
     spark: SparkSession,
@@ -77,8 +81,9 @@ def label_table(spark: SparkSession, labels: list[str] | None = None) -> DataFra
 
 def read_label_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Label dictionary JSON (as written by ``label_dictionary``) exploded to
-    an ``(idx bigint, label string)`` lookup. A missing or unreadable file
-    gives an empty lookup, so decoding falls back to the raw value."""
+    an ``(idx bigint, label string)`` lookup. A missing file gives an empty
+    lookup (and a warning), so decoding falls back to the raw value; any other
+    failure is raised."""
     try:
         raw = spark.read.schema(LABEL_DICTIONARY_SCHEMA).json(path)
         out = raw.select(F.explode("index_to_label").alias("k", "label")).select(
@@ -86,7 +91,10 @@ def read_label_dictionary(spark: SparkSession, path: str) -> DataFrame:
         )
         out.schema  # resolve now: a missing path fails here
         return out.filter(F.col("idx").isNotNull())
-    except Exception:  # noqa: BLE001 -- reference semantics: empty on failure
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log.warning("no label dictionary at %s: labels stay undecoded", path)
         return spark.createDataFrame([], schema="idx bigint, label string")
 
 
@@ -105,20 +113,22 @@ def write_headered_lines(df: DataFrame, column: str, path: str, header: str = "l
 
 
 def replay_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One message per data line of a headered text file: header skipped,
-    surrounding whitespace stripped."""
-    raw = (
-        spark.read.schema("line string").options(**_LINE_OPTS).option("header", "true")
-        .option("mode", "PERMISSIVE").csv(path)
+    """One message per data line of headered text files: the first line of each
+    file is skipped, surrounding whitespace stripped, blank lines kept."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
     )
-    return raw.select(F.trim(F.coalesce(F.col("line"), F.lit(""))).alias("value"))
+    # the first row of the block at 0 of each file: one row a file
+    heads = lines.groupBy("file").agg(F.min("place").alias("head"))
+    body = lines.join(heads, "file").where(F.coalesce(F.col("place") != F.col("head"), F.lit(True)))
+    return body.select(F.trim("value").alias("value"))
 
 
-def replay_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+def replay_stream(spark: SparkSession, path: str, files_per_trigger: int = 1, header: str = "line") -> DataFrame:
     """Paced replay: the same lines as a stream, ``files_per_trigger`` files
-    per micro-batch (pair with a processing-time trigger)."""
-    raw = (
-        spark.readStream.schema("line string").options(**_LINE_OPTS).option("header", "true")
-        .option("maxFilesPerTrigger", files_per_trigger).csv(path)
-    )
-    return raw.select(F.trim(F.coalesce(F.col("line"), F.lit(""))).alias("value"))
+    per micro-batch (pair with a processing-time trigger). A stream has no row
+    positions, so the header is told by its text."""
+    raw = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+    return raw.where(F.col("value") != header).select(F.trim("value").alias("value"))

@@ -10,17 +10,22 @@ same double operations), so a stream of in-order packets yields the same
 records as the batch operator.
 
 Rows older than the newest packet already seen for their flow are late; the
-reference has no notion of lateness (arrival time is event time). With
-``late='drop'`` they are dropped, with ``'accept'`` they are processed as
-they arrive. ``idle_ttl_s`` expires flows idle that long (processing time),
-which restarts their counters; ``None`` keeps state forever.
+reference has no notion of lateness (arrival time is event time), so every arrival is
+processed by default: a late packet takes its place in time among the retained packets, and its own
+window reaches as far back as the state does. ``late='drop'`` leaves late packets out and counts them.
+``idle_ttl_s`` expires flows idle that long (processing time), which restarts
+their counters; ``None`` keeps state forever.
+
+A micro-batch of a flow is worked on as arrays: binary search for window starts,
+prefix sums for counts, sums and squares, and tables of run extremes for minimum and maximum, so
+the work does not grow with the packets per window.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -66,44 +71,69 @@ STATE_SCHEMA = T.StructType(
 )
 
 
-def _record(flow, pid, ts, ihl, proto, ttl, counters, win_ts, win_len, first_us) -> dict:
-    cnt = dict(zip(_counters(), counters))
-    n = len(win_ts)
-    m = n - 1
-    s1 = sum(win_len)
-    s2 = sum(v * v for v in win_len)
-    span = ts - win_ts[0]
-    q = sum((win_ts[i] - win_ts[i - 1]) ** 2 for i in range(1, n))
-    rec = {
-        "flow": flow, "packet_id": pid, "ts_us": ts,
-        "Header_Length": ihl * 4, "Protocol_Type": proto, "Time_To_Live": ttl,
-        "Rate": float(n) / max(float(ts - first_us) / 1e6, 1.0),
-    }
-    for name in FLAG_NAMES:
-        rec[f"{name.lower()}_flag_number"] = cnt[f"f_{name}"]
-    for name in ("ACK", "SYN", "FIN", "RST"):
-        rec[f"{name.lower()}_count"] = float(cnt[f"f_{name}"]) / float(n)
-    for name in PROTOCOL_FLAGS:
-        rec[name] = 1 if cnt[f"p_{name}"] > 0 else 0
-    rec.update({"IGMP": 0, "IPv": 1, "LLC": 0})
-    rec.update(
-        {
-            "Tot_sum": s1, "Min": min(win_len), "Max": max(win_len),
-            "AVG": float(s1) / float(n),
-            "Std": math.sqrt(float(n * s2 - s1 * s1) / (float(n) * float(m))),
-            "Tot_size": s1,
-            "IAT": float(span) / float(m) / 1e6,
-            "Number": n,
-            "Variance": float(m * q - span * span) / (float(m) * float(m)) / 1e12 if m > 1 else 0.0,
-            "Label": UNKNOWN_LABEL,
-        }
-    )
-    return rec
-
-
-def _updater(w_us: int, late: str, idle_ttl_ms: int | None):
+def _extremes(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Minimum and maximum of ``values[first..last]`` for every pair, from tables of
+    the extremes of all runs of a power of two."""
+    size = last - first + 1
+    level = np.floor(np.log2(size)).astype(int)
+    lows, highs = [values], [values]
+    for k in range(level.max(initial=0)):
+        step = 1 << k
+        lows.append(np.minimum(lows[-1][:-step], lows[-1][step:]))
+        highs.append(np.maximum(highs[-1][:-step], highs[-1][step:]))
+    low, high = np.empty(len(first), np.int64), np.empty(len(first), np.int64)
+    for k in range(len(lows)):
+        at = level == k
+        a, b = first[at], last[at] - (1 << k) + 1
+        low[at], high[at] = np.minimum(lows[k][a], lows[k][b]), np.maximum(highs[k][a], highs[k][b])
+    return low, high
+
+
+def _running(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(x, dtype=np.int64)])
+
+
+def _records(flow: str, pdf: pd.DataFrame, new: np.ndarray, ts: np.ndarray, length: np.ndarray, counters: np.ndarray, first_us: np.ndarray, w_us: int) -> pd.DataFrame:
+    """Feature rows of the new packets. ``ts`` and ``length`` are all retained packets in
+    time order, ``new`` the places of the new ones among them, ``counters`` their
+    whole-life counters. All integer, then the batch operator's double operations."""
+    start = np.searchsorted(ts, ts[new] - w_us, "right")
+    keep = new - start >= 1
+    pdf, new, start, counters, first_us = pdf[keep], new[keep], start[keep], counters[keep], first_us[keep]
+    if not len(new):
+        return pd.DataFrame()
+    n = new - start + 1
+    s1 = _running(length)[new + 1] - _running(length)[start]
+    s2 = _running(length * length)[new + 1] - _running(length * length)[start]
+    low, high = _extremes(length, start, new)
+    # squared gaps, in two 20-bit parts so that sums stay exact; a gap of W or more never counts
+    gap = np.diff(ts, prepend=ts[0])
+    gap = np.where(gap < w_us, gap, 0)
+    hi, lo = gap >> 20, gap & 0xFFFFF
+    parts = [_running(x)[new + 1] - _running(x)[start + 1] for x in (hi * hi, hi * lo, lo * lo)]
+    q = [(int(a) << 40) + (int(b) << 21) + int(c) for a, b, c in zip(*parts, strict=True)]
+    span = ts[new] - ts[start]
+    nd, m = n.astype(float), n - 1
+    md = m.astype(float)
+    length_num = np.array([float(int(k) * int(b) - int(a) * int(a)) for k, a, b in zip(n, s1, s2, strict=True)])
+    gap_num = np.array([float(int(k) * x - int(d) * int(d)) for k, x, d in zip(m, q, span, strict=True)])
+    cnt = {c: counters[:, i] for i, c in enumerate(_counters())}
+    out = {
+        "flow": flow, "packet_id": pdf["packet_id"].to_numpy(), "ts_us": ts[new],
+        "Header_Length": pdf["ihl"].to_numpy() * 4, "Protocol_Type": pdf["proto"].to_numpy(), "Time_To_Live": pdf["ttl"].to_numpy(),
+        "Rate": nd / np.maximum((ts[new] - first_us).astype(float) / 1e6, 1.0),
+        **{f"{name.lower()}_flag_number": cnt[f"f_{name}"] for name in FLAG_NAMES},
+        **{f"{name.lower()}_count": cnt[f"f_{name}"].astype(float) / nd for name in ("ACK", "SYN", "FIN", "RST")},
+        **{name: (cnt[f"p_{name}"] > 0).astype(int) for name in PROTOCOL_FLAGS},
+        "IGMP": 0, "IPv": 1, "LLC": 0, "Tot_sum": s1, "Min": low, "Max": high, "AVG": s1.astype(float) / nd,
+        "Std": np.sqrt(length_num / (nd * md)), "Tot_size": s1, "IAT": span.astype(float) / md / 1e6, "Number": n,
+        "Variance": np.where(m > 1, gap_num / (md * md) / 1e12, 0.0), "Label": UNKNOWN_LABEL,
+    }
+    return pd.DataFrame(out)[[f.name for f in output_schema().fields]]
+
+
+def _updater(w_us: int, late: str, idle_ttl_ms: int | None, dropped=None):
     names = _counters()
-    cols = [f.name for f in output_schema().fields]
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (flow,) = key
@@ -111,39 +141,34 @@ def _updater(w_us: int, late: str, idle_ttl_ms: int | None):
             state.remove()
             return
         if state.exists:
-            first_us, last_us, counters, win_ts, win_len = state.get
-            counters, win_ts, win_len = list(counters), list(win_ts), list(win_len)
+            first_us, last_us, base, old_ts, old_len = state.get
         else:
-            first_us, last_us, counters, win_ts, win_len = None, None, [0] * len(names), [], []
+            first_us, last_us, base, old_ts, old_len = None, None, [0] * len(names), [], []
         pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts_us", "packet_id"], kind="stable")
-        out = []
-        for row in pdf.itertuples(index=False):
-            ts = int(row.ts_us)
-            if last_us is not None and ts < last_us and late == "drop":
-                continue
-            if first_us is None:
-                first_us = ts
-            last_us = ts if last_us is None else max(last_us, ts)
-            for i, c in enumerate(names):
-                counters[i] += int(getattr(row, c))
-            win_ts.append(ts)
-            win_len.append(int(row.length))
-            cut = ts - w_us
-            k = 0
-            while k < len(win_ts) and win_ts[k] <= cut:
-                k += 1
-            if k:
-                del win_ts[:k], win_len[:k]
-            if len(win_ts) >= 2:
-                out.append(
-                    _record(flow, int(row.packet_id), ts, int(row.ihl), int(row.proto), int(row.ttl),
-                            counters, win_ts, win_len, first_us)
-                )
-        state.update((first_us, last_us, counters, win_ts, win_len))
+        if late == "drop" and last_us is not None:
+            on_time = pdf["ts_us"] >= last_us
+            if dropped is not None:
+                dropped.add(int((~on_time).sum()))
+            pdf = pdf[on_time]
+        if len(pdf):
+            now = pdf["ts_us"].to_numpy(np.int64)
+            ts = np.concatenate([np.array(old_ts, np.int64), now])
+            length = np.concatenate([np.array(old_len, np.int64), pdf["length"].to_numpy(np.int64)])
+            order = np.argsort(ts, kind="stable")  # late packets take their place among the retained ones
+            place = np.empty(len(ts), np.int64)
+            place[order] = np.arange(len(ts))
+            ts, length = ts[order], length[order]
+            counters = np.cumsum(pdf[names].to_numpy(np.int64), axis=0) + np.array(base, np.int64)
+            earliest = np.minimum.accumulate(now)
+            first = earliest if first_us is None else np.minimum(earliest, first_us)
+            out = _records(flow, pdf, place[len(old_ts) :], ts, length, counters, first, w_us)
+            first_us, last_us = int(first[-1]), int(ts[-1])
+            live = ts > last_us - w_us
+            state.update((first_us, last_us, counters[-1].tolist(), ts[live].tolist(), length[live].tolist()))
+            if len(out):
+                yield out
         if idle_ttl_ms:
             state.setTimeoutDuration(idle_ttl_ms)
-        if out:
-            yield pd.DataFrame(out, columns=cols)
 
     return update
 
@@ -152,9 +177,13 @@ def flow_features_stream(
     packets: DataFrame,
     window_s: float = DEFAULT_WINDOW_S,
     idle_ttl_s: float | None = None,
-    late: str = "drop",
+    late: str = "accept",
+    dropped=None,
 ) -> DataFrame:
-    """Streaming per-packet flow records from a stream of packet rows."""
+    """Streaming per-packet flow records from a stream of packet rows. ``dropped``
+    (a Spark accumulator) counts the packets that ``late='drop'`` leaves out."""
+    if late not in ("accept", "drop"):
+        raise ValueError(f"late must be 'accept' or 'drop', not {late!r}")
     w_us = int(round(window_s * 1_000_000))
     d = decode_packets(packets).select(
         "flow", "packet_id", "ts_us", "ihl", "proto", "ttl", "length", *_counters()
@@ -162,5 +191,5 @@ def flow_features_stream(
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_ttl_s else GroupStateTimeout.NoTimeout
     ttl_ms = int(idle_ttl_s * 1000) if idle_ttl_s else None
     return d.groupBy("flow").applyInPandasWithState(
-        _updater(w_us, late, ttl_ms), output_schema(), STATE_SCHEMA, "append", timeout
+        _updater(w_us, late, ttl_ms, dropped), output_schema(), STATE_SCHEMA, "append", timeout
     )

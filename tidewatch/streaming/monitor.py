@@ -8,11 +8,12 @@ so a restarted query resumes where it stopped instead of skipping input.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators import analytics as A
 from ..operators import ml as M
@@ -67,7 +68,7 @@ def run_for(query: StreamingQuery, seconds: float | None) -> StreamingQuery:
     return query
 
 
-def parse_stream(source: DataFrame, complete: bool = False) -> DataFrame:
+def parse_stream(source: DataFrame, complete: bool = False, rate_numeric: bool = True) -> DataFrame:
     """Topic rows to typed traffic records (split, width filter, projection),
     keeping the message offset as ``line_id``; ``complete`` also drops
     records with an unparseable feature (one filter on the split line)."""
@@ -76,7 +77,7 @@ def parse_stream(source: DataFrame, complete: bool = False) -> DataFrame:
         F.col("timestamp").alias("kafka_timestamp"),
         F.col("value").cast("string").alias("csv_line"),
     )
-    return P.parse_lines(lines, keep=("line_id", "kafka_timestamp"), complete=complete)
+    return P.parse_lines(lines, keep=("line_id", "kafka_timestamp"), complete=complete, rate_numeric=rate_numeric)
 
 
 def to_files(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None, fmt: str = "parquet") -> StreamingQuery:
@@ -102,24 +103,60 @@ def observe_progress(df: DataFrame, name: str = "progress") -> DataFrame:
     """Count the rows flowing through ``df`` without an extra job: the count
     per micro-batch appears in ``query.lastProgress['observedMetrics'][name]``
     (for a batch DataFrame pass a ``pyspark.sql.Observation`` as ``name``)."""
+    if df.isStreaming:
+        row_totals(df.sparkSession)
     return df.observe(name, F.count(F.lit(1)).alias("rows"))
 
 
-def processed_total(query: StreamingQuery, name: str = "progress") -> int:
-    """Running total of observed rows over the query's recent progress."""
-    total = 0
-    for p in query.recentProgress or []:
-        metrics = p.get("observedMetrics", {}) if isinstance(p, dict) else (p.observedMetrics or {})
-        row = metrics.get(name)
-        if row is not None:
-            total += int(row["rows"] if isinstance(row, dict) else row.rows)
-    return total
+class RowTotals(StreamingQueryListener):
+    """Adds up observed rows over every batch of every query (``recentProgress``
+    forgets all but the last hundred batches)."""
+
+    def __init__(self) -> None:
+        self.rows: dict[tuple[str, str], int] = {}
+        self.last: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        run = str(p.runId)
+        for name, row in (p.observedMetrics or {}).items():
+            if "rows" in row.asDict():
+                self.rows[run, name] = self.rows.get((run, name), 0) + int(row["rows"])
+        self.last[run] = p.batchId
+
+
+_TOTALS: dict[str, RowTotals] = {}
+
+
+def row_totals(spark: SparkSession) -> RowTotals:
+    """The session's listener, added at the first call (before the query starts)."""
+    key = spark.sparkContext.applicationId
+    if key not in _TOTALS:
+        _TOTALS[key] = RowTotals()
+        spark.streams.addListener(_TOTALS[key])
+    return _TOTALS[key]
+
+
+def processed_total(query: StreamingQuery, name: str = "progress", wait_s: float = 10.0) -> int:
+    """Running total of the rows that ``observe_progress`` counted in this run,
+    however many batches it had. Waits until the listener has seen the last batch."""
+    totals, run = row_totals(SparkSession.active()), str(query.runId)
+    until = time.monotonic() + wait_s
+    while query.lastProgress and totals.last.get(run, -1) < query.lastProgress["batchId"] and time.monotonic() < until:
+        time.sleep(0.05)
+    return totals.rows.get((run, name), 0)
 
 
 def score_stream(source: DataFrame, trained: M.Trained, observe: str | None = "progress") -> DataFrame:
     """Parsed stream scored by the pre-fitted serving model, as the JSON
     envelope (prediction time = processing time). No Python on the path."""
-    parsed = parse_stream(source, complete=True)
+    parsed = parse_stream(source, complete=True, rate_numeric=not trained.params.rate_as_category)
     if observe:
         parsed = observe_progress(parsed, observe)
     scored = M.predict(trained, parsed, decode=False, assume_complete=True)
@@ -147,8 +184,12 @@ def run_monitor(
         return to_files(out, out_path or work_path(spark, "monitor-out"), checkpoint, trigger)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            sink(batch, batch_id)
+        batch.persist()  # scored once, though looked at twice
+        try:
+            if not batch.isEmpty():
+                sink(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     return (
         out.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
@@ -163,13 +204,62 @@ def prediction_summary_stream(source: DataFrame, labels: DataFrame) -> DataFrame
     return A.label_counts(preds, labels)
 
 
-def run_summary(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
-    """Keep the complete running summary in ``path`` (rewritten per batch)."""
+def _summary_batches(spark: SparkSession, path: str) -> list[str]:
+    """Complete batch folders below ``path``, oldest first."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    found = [str(x.getPath()) for x in fs.listStatus(top) if x.isDirectory() and x.getPath().getName().startswith("batch-")]
+    return sorted(p for p in found if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def _replace(rows: DataFrame, batch_id: int, path: str, keep: int) -> None:
+    """Write a batch's folder, then delete all but the last ``keep``."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch-{batch_id:012d}")
+    spark = rows.sparkSession
+    for old in _summary_batches(spark, path)[:-keep]:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete summary that ``run_summary`` has written."""
+    batches = _summary_batches(spark, path)
+    if not batches:
+        raise FileNotFoundError(f"no summary below {path} yet")
+    return spark.read.parquet(batches[-1])
+
+
+def run_summary(
+    df: DataFrame, path: str, checkpoint: str, trigger: str | None = None, keep: int = 3, output_mode: str = "complete"
+) -> StreamingQuery:
+    """Keep the summary below ``path``: a folder for each batch, of which the last
+    ``keep`` stay. A reader takes the newest complete one, so it never
+    meets a half-written or missing folder."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        _replace(batch, batch_id, path, keep)
 
     return (
-        df.writeStream.outputMode("complete").foreachBatch(each).option("checkpointLocation", checkpoint)
+        df.writeStream.outputMode(output_mode).foreachBatch(each).option("checkpointLocation", checkpoint)
         .trigger(**trigger_args(trigger)).start()
     )
+
+
+def run_recent_summary(
+    source: DataFrame, labels: DataFrame, path: str, checkpoint: str, n: int = 1000, trigger: str | None = "1 second", keep: int = 3
+) -> StreamingQuery:
+    """Live summary of the ``n`` most recent predictions: each batch merges its newest
+    ``n`` with those kept by the last one, and replaces both the kept rows and the summary."""
+    preds = P.read_predictions(source.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("pred_id")))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        kept = [p for p in _summary_batches(spark, f"{path}/rows") if not p.endswith(f"batch-{batch_id:012d}")]
+        rows = batch.unionByName(spark.read.parquet(kept[-1])) if kept else batch
+        _replace(A.last_n(rows, n), batch_id, f"{path}/rows", keep)
+        newest = spark.read.parquet(f"{path}/rows/batch-{batch_id:012d}")
+        _replace(A.label_counts(newest, labels), batch_id, f"{path}/summary", keep)
+
+    return preds.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**trigger_args(trigger)).start()
