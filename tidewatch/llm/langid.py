@@ -71,12 +71,13 @@ class Bundler:
 
     def _some(self, texts: list[str], out: np.ndarray, has: np.ndarray) -> None:
         code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        sizes = np.array([len(t) for t in texts])
+        doc = np.repeat(np.arange(len(texts)), sizes)
         letter = _is_letter()[code]
         has[np.unique(doc[letter])] = True
         keep = letter.copy()
         keep[1:] |= letter[:-1]  # the first blank after a letter
-        keep[0] = True
+        keep[np.cumsum(sizes) - sizes] = True  # the blank before each text
         code, doc = np.where(letter, code, 32)[keep], doc[keep]
         seen = np.zeros(0x110000, bool)
         seen[code] = True

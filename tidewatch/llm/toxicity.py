@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words (runs of letters, lower case) and their beginnings of 3 to 7 letters, so that
-inflected and compound forms meet. The vocabulary is learned: of the terms in the labelled
+Terms are words (runs of letters and of characters beyond ASCII, lower case) and their beginnings of 3 to 7 letters, so that
+inflected and compound forms meet; a form that stands in a text twice or three times is a further
+term (``form@2``, ``form@3``), as a word may be harmless once. The vocabulary is learned: of the terms in the labelled
 sample, the ``max_terms`` most significant ones that are several times likelier in label 1.
 A weight is ``(1 + ln tf) * idf`` with document frequencies over *all* documents, and rows
 have unit length. The examples form an inverted index cut into blocks of ``block``
@@ -23,24 +24,25 @@ is none). An empty table gives no rows. Other columns of the input are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, fit_sample, keep_rows
+from .common import Scratch, fit_sample
 
-_words = re.compile(r"[^\W\d_]+").findall
-_ROOM = 1 << 20  # distinct words counted at a time in a task
+_ROOM = 1 << 20  # distinct words counted or known at a time in a task
+REPEATS = (2, 3)
+_BLANK = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
 
 
 def words(text: str | None) -> list[str]:
-    return _words(text.lower()) if text else []
+    return text.lower().encode("utf-8", "surrogatepass").translate(_BLANK).decode("utf-8", "surrogatepass").split() if text else []
 
 
 def forms(word: str) -> list[str]:
@@ -95,14 +97,47 @@ class BlockMaxIndex:
         return best_at, best
 
 
-def known_terms(word: str, terms: dict[str, int], seen: dict[str, list[int]]) -> list[int]:
-    """Positions of a word's forms in the vocabulary; ``seen`` keeps up to ``_ROOM`` answers."""
-    got = seen.get(word)
-    if got is None:
-        got = [terms[f] for f in forms(word) if f in terms]
-        if len(seen) < _ROOM // 4:
-            seen[word] = got
-    return got
+def repeated(found: list[str]) -> dict[str, int]:
+    """Terms of a text with their counts; ``form@r`` counts from the r-th occurrence."""
+    plain: Counter = Counter()
+    for w, n in Counter(found).items():
+        for f in forms(w):
+            plain[f] += n
+    return {term: n - r + 1 for f, n in plain.items() for r in (1, *REPEATS) if n >= r for term in [f if r == 1 else f"{f}@{r}"]}
+
+
+class TermFinder:
+    """Counts of vocabulary terms in texts. Words are looked up once and then
+    told apart by set operations; up to ``_ROOM`` words without a term are remembered."""
+
+    def __init__(self, terms: dict[str, int]) -> None:
+        self.base: dict[str, list[tuple[int, int]]] = {}
+        for term, at in terms.items():
+            form, _, r = term.partition("@")
+            self.base.setdefault(form, []).append((int(r or 1), at))
+        self.hot: dict[str, list[str]] = {}
+        self.cold: set[str] = set()
+
+    def find(self, text: str | None) -> dict[int, int]:
+        """Occurrences of each term, by position in the vocabulary."""
+        found = words(text)
+        different = set(found)
+        for w in different - self.cold - self.hot.keys():
+            own = [f for f in forms(w) if f in self.base]
+            if own:
+                self.hot[w] = own
+            else:
+                self.cold.add(w)
+        if len(self.cold) > _ROOM:
+            self.cold.clear()
+        hits = different & self.hot.keys()
+        if not hits:
+            return {}
+        counts: Counter = Counter()
+        for w, n in Counter(filter(hits.__contains__, found)).items():
+            for f in self.hot[w]:
+                counts[f] += n
+        return {at: n - r + 1 for f, n in counts.items() for r, at in self.base[f] if n >= r}
 
 
 @dataclass
@@ -118,14 +153,10 @@ class KnnModel:
     slope: float = 1.0
     offset: float = 0.0
 
-    def vector(self, found: list[str], seen: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        tf = np.zeros(len(self.terms))
-        for w, n in Counter(found).items():
-            for t in known_terms(w, self.terms, seen):
-                tf[t] += n
-        at = np.flatnonzero(tf)
-        x = (1 + np.log(tf[at])) * self.idf[at]
-        return at, x / max(np.linalg.norm(x), 1e-12)
+    def vector(self, at: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        """Unit weights of the terms at the ascending positions ``at``."""
+        x = (1 + np.log(tf)) * self.idf[at]
+        return x / max(np.linalg.norm(x), 1e-12)
 
     def share(self, at: np.ndarray, x: np.ndarray, but: int = -1) -> tuple[float, np.ndarray]:
         near, cos = self.index.nearest(at, x, self.k, but) if len(at) else (np.zeros(0, np.int64), np.zeros(0))
@@ -138,10 +169,11 @@ class KnnModel:
         share = min(max(share, 1e-4), 1 - 1e-4)
         return 1 / (1 + np.exp(-(self.slope * np.log(share / (1 - share)) + self.offset)))
 
-    def score(self, text: str | None, seen: dict[str, list[int]]) -> tuple[float, list[int]]:
+    def score(self, at: np.ndarray, tf: np.ndarray) -> tuple[float, list[int]]:
+        """Score and evidence of a text with these terms and counts."""
         if self.index is None:
             return self.rate, []
-        share, evidence = self.share(*self.vector(words(text), seen))
+        share, evidence = self.share(at, self.vector(at, tf))
         return float(self.calibrated(share)), self.index.ids[evidence[:3]].tolist()
 
 
@@ -160,12 +192,11 @@ def _logistic(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(a), float(b)
 
 
-def _term_counts(texts: DataFrame, terms: dict[str, int] | None) -> DataFrame:
-    """``(term, label, n)``: texts of each label that hold a term; only ``terms`` if given."""
+def _form_counts(texts: DataFrame) -> DataFrame:
+    """``(term, label, n)``: texts of each label that hold a word form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
-        names, seen = list(terms or ()), {}
 
         def flush() -> pa.RecordBatch:
             keys = list(total)
@@ -176,12 +207,7 @@ def _term_counts(texts: DataFrame, terms: dict[str, int] | None) -> DataFrame:
 
         for b in batches:
             for text, label in zip(b.column("text").to_pylist(), b.column("label").to_pylist(), strict=True):
-                found = set(words(text))
-                if terms is None:
-                    has = {f for w in found for f in forms(w)}
-                else:
-                    has = {names[t] for w in found for t in known_terms(w, terms, seen)}
-                total.update((f, label) for f in has)
+                total.update((term, label) for term in repeated(words(text)))
                 if len(total) > _ROOM:
                     yield flush()
                     total.clear()
@@ -190,6 +216,23 @@ def _term_counts(texts: DataFrame, terms: dict[str, int] | None) -> DataFrame:
     return texts.select("text", "label").mapInArrow(run, "term string, label int, n long").groupBy("term", "label").agg(F.sum("n").alias("n"))
 
 
+def term_counts(docs: DataFrame, terms: dict[str, int], *keep: str) -> DataFrame:
+    """``(*keep, at, tf)``: positions and counts of the vocabulary's terms in each ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = TermFinder(terms)
+        for b in batches:
+            found = [finder.find(t) for t in b.column("text").to_pylist()]
+            at = [sorted(f) for f in found]
+            tf = [[f[t] for t in a] for f, a in zip(found, at, strict=True)]
+            ints = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(at, ints), pa.array(tf, ints)], [*keep, "at", "tf"])
+
+    rows = docs.select(*keep, "text")
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema if f.name != "text")
+    return rows.mapInArrow(run, schema + "at array<int>, tf array<int>")
+
+
 def fit(
     spark: SparkSession,
     docs: DataFrame,
@@ -202,42 +245,37 @@ def fit(
     block: int = 64,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> KnnModel:
-    """Learn from the labelled rows for which ``usable`` (a condition on ``key``) holds."""
+) -> tuple[KnnModel, DataFrame]:
+    """The model of the labelled rows for which ``usable`` (a condition on ``key``) holds, and
+    the term counts ``(doc_id, at, tf)`` of all documents, from the only pass over their texts."""
     sample = Scratch(spark).keep(fit_sample(docs, labels, label_col, usable, max_fit, id_col, text_col), "toxic-sample")
-    counted = _term_counts(sample, None).groupBy("term").pivot("label", [0, 1]).agg(F.sum("n")).na.fill(0)
+    counted = _form_counts(sample).groupBy("term").pivot("label", [0, 1]).agg(F.sum("n")).na.fill(0)
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     all_labels = labels.where(F.col(label_col).isin(0, 1))
     if usable is not None:
         all_labels = all_labels.withColumn("key", F.col(id_col).cast("long")).where(usable)
     rate = all_labels.agg(F.avg(F.col(label_col).cast("double"))).first()[0] or 0.0
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if not n0 or not n1:
-        return KnnModel({}, np.zeros(0), None, float(rate))
+        return KnnModel({}, np.zeros(0), None, float(rate)), term_counts(rows, {}, "doc_id")
     # signed chi-square of the two shares of texts
     p0, p1 = F.col("0") / n0, F.col("1") / n1
     pooled = (F.col("0") + F.col("1")) / (n0 + n1)
     chi = (p1 - p0) * F.abs(p1 - p0) / (pooled * (1 - pooled) + 1e-12)
     chosen = counted.where((F.col("1") >= min_texts) & (p1 > 4 * p0) & (chi * (n0 * n1 / (n0 + n1)) > 15))
     terms = {r["term"]: i for i, r in enumerate(chosen.orderBy(chi.desc(), "term").limit(max_terms).select("term").collect())}
-    every = docs.select(F.col(text_col).alias("text"), F.lit(0).alias("label"))
-    df = {r["term"]: r["n"] for r in _term_counts(every, terms).collect()}
-    total = every.count()
-    idf = np.array([np.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in terms])
+    counts = Scratch(spark).keep(term_counts(rows, terms, "doc_id"), "toxic-terms")
+    df = {r["t"]: r["n"] for r in counts.select(F.explode("at").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = counts.count()
+    idf = np.array([np.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in range(len(terms))])
     model = KnnModel(terms, idf, None, float(rate))
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[int]] = {}
-        for b in batches:
-            got = [model.vector(words(t), seen) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("key"), b.column("label"), pa.array([a for a, _ in got], pa.list_(pa.int64())), pa.array([x for _, x in got], pa.list_(pa.float64()))],
-                ["key", "label", "at", "x"],
-            )
-
-    got = sample.mapInArrow(vectors, "key long, label int, at array<long>, x array<double>").toPandas()
-    got = got.sort_values(["key", "label"]).drop_duplicates("key")
-    got["at"], got["x"] = [np.asarray(a, np.int64) for a in got["at"]], [np.asarray(x, float) for x in got["x"]]
+    texts = {}
+    for r in term_counts(sample, terms, "key", "label").collect():  # at most 2 * max_fit ids
+        texts[r["key"]] = max(texts.get(r["key"], (r["label"], [], [])), (r["label"], r["at"], r["tf"]))
+    got = pd.DataFrame([(k, y, np.array(a, np.int64), np.array(n, float)) for k, (y, a, n) in sorted(texts.items())], columns=["key", "label", "at", "tf"])
+    got["x"] = [model.vector(a, n) for a, n in zip(got["at"], got["tf"], strict=True)]
     held = got[got["at"].map(len) > 0]
     rows = np.zeros((len(held), len(terms)), np.float32)
     for i, (at, x) in enumerate(zip(held["at"], held["x"], strict=True)):
@@ -253,31 +291,20 @@ def fit(
     label = np.concatenate([y[order], rest])
     weight = np.where(label == 1, rate / n1, (1 - rate) / n0) * (n0 + n1)
     model.slope, model.offset = _logistic(np.log(share / (1 - share)), label, weight)
-    return model
+    return model, counts
 
 
-def score(spark: SparkSession, docs: DataFrame, model: KnnModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, score, predicted, evidence)`` of every whole text."""
+def score(counts: DataFrame, model: KnnModel) -> DataFrame:
+    """``(doc_id, score, predicted, evidence)`` of each row of :func:`term_counts`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[int]] = {}
         for b in batches:
-            got = [model.score(t, seen) for t in b.column("text").to_pylist()]
+            rows = zip(b.column("at").to_pylist(), b.column("tf").to_pylist(), strict=True)
+            got = [model.score(np.array(a, np.int64), np.array(n, float)) for a, n in rows]
             s = np.array([x for x, _ in got], float)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(s, pa.float64()), pa.array(s >= 0.5).cast(pa.int32()), pa.array([e for _, e in got], pa.list_(pa.int64()))],
                 ["doc_id", "score", "predicted", "evidence"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double, predicted int, evidence array<long>")
-
-
-def keep_predicted(docs: DataFrame, model: KnnModel, wanted: int, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs``, all columns, whose text is predicted ``wanted``."""
-
-    def make():
-        seen: dict[str, list[int]] = {}
-        return lambda texts: [int(model.score(t, seen)[0] >= 0.5) == wanted for t in texts]
-
-    return keep_rows(docs, text_col, make)
+    return counts.mapInArrow(run, "doc_id long, score double, predicted int, evidence array<long>")

@@ -97,8 +97,8 @@ def ratio_model(counts: DataFrame, order: int) -> DataFrame:
 
 
 def threshold(scored: DataFrame, step: float = 0.01) -> float:
-    """Of ``(score, verdict)`` rows of both classes: the cut with the least balanced error.
-    Counts are combined into bins of ``step``; a mean log ratio spans a few thousand of them."""
+    """Of ``(score, verdict)`` rows of both classes: the cut with the least balanced error, in
+    the middle of the gap between scores that it lies in. Counts are combined into bins of ``step``; a mean log ratio spans a few thousand of them."""
     bins = scored.groupBy(F.floor(F.col("score") / step).alias("bin")).agg(
         F.count(F.when(F.col("verdict") == "allow", 1)).alias("a"), F.count(F.when(F.col("verdict") == "block", 1)).alias("b")
     )
@@ -109,10 +109,12 @@ def threshold(scored: DataFrame, step: float = 0.01) -> float:
         (F.sum("b").over(every) - F.coalesce(F.sum("b").over(below), F.lit(0))).alias("passed"),
         F.sum("a").over(every).alias("na"),
         F.sum("b").over(every).alias("nb"),
+        F.lag("bin").over(W.orderBy("bin")).alias("before"),
     ).where("na > 0 and nb > 0")
     error = F.col("missed") / F.col("na") + F.col("passed") / F.col("nb")
-    got = cuts.select("bin", error.alias("error")).orderBy("error", F.abs("bin"), "bin").first()
-    return got["bin"] * step if got else 0.0
+    middle = (F.col("bin") + F.coalesce(F.col("before") + 1, F.col("bin"))) / 2
+    got = cuts.select(middle.alias("cut"), error.alias("error")).orderBy("error", F.abs("cut"), "cut").first()
+    return got["cut"] * step if got else 0.0
 
 
 def judge_urls(
