@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import release, work_path
 
-__all__ = ["Scratch", "crc_fold", "fit_sample", "keep_rows", "load", "small_side", "stage", "without"]
+__all__ = ["Scratch", "crc_fold", "fit_sample", "keep_rows", "load", "slices", "small_side", "stage", "without"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,13 @@ def small_side(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def without(spark: SparkSession, docs: DataFrame, rejected: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose id is not among ``rejected (doc_id)``; rows without an id stay."""
     gone = Scratch(spark).keep(rejected.where("doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct(), "rejected")
@@ -87,7 +94,7 @@ def keep_rows(docs: DataFrame, text_col: str, make: Callable[[], Callable[[list]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = make()
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(np.asarray(judge(b.column(place).to_pylist()), bool)))
 
     return docs.mapInArrow(run, docs.schema)

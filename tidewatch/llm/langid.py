@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_rows
+from .common import keep_rows, slices
 
 UNKNOWN = "und"
-_DIRECT = 1 << 23  # gram codes up to here are looked up in a table, else sorted
-_CHUNK = 1_500_000  # characters bundled at a time
+_DIRECT = 1 << 21  # gram codes up to here are looked up in a table, else sorted
+_CHUNK = 300_000  # characters bundled at a time
 _LETTERS: list[np.ndarray] = []
 
 
@@ -91,20 +91,20 @@ class Bundler:
             flag = np.zeros(a**3, bool)
             flag[gram] = True
             grams = np.flatnonzero(flag)
-            at = np.zeros(a**3, np.int64)
+            at = np.zeros(a**3, np.int32)
             at[grams] = np.arange(len(grams))
             gram = at[gram]
         else:
             grams, gram = np.unique(gram, return_inverse=True)
         vectors = self._vectors(used)
-        for lo in range(0, len(grams), 8192):
-            g = grams[lo : lo + 8192]
+        for lo in range(0, len(grams), 4096):
+            g = grams[lo : lo + 4096]
             bound = np.roll(vectors, 2, 1)[g // (a * a)] * np.roll(vectors, 1, 1)[g // a % a] * vectors[g % a]
             here = (gram >= lo) & (gram < lo + len(g))
             d, j = doc[here], gram[here] - lo
-            for top in range(0, len(texts), 1024):
-                rows = slice(*np.searchsorted(d, [top, top + 1024]))
-                n = min(1024, len(texts) - top)
+            for top in range(0, len(texts), 256):
+                rows = slice(*np.searchsorted(d, [top, top + 256]))
+                n = min(256, len(texts) - top)
                 counts = np.bincount((d[rows] - top) * len(g) + j[rows], minlength=n * len(g)).reshape(n, len(g))
                 out[top : top + n] += counts.astype(np.float32) @ bound.astype(np.float32)
 
@@ -156,7 +156,7 @@ def fit(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundler, total = Bundler(dims), {}
-        for b in batches:
+        for b in slices(batches):
             sums, has = bundler.bundle(b.column("text").to_pylist())
             unit, langs = _unit(sums).astype(np.float64), np.array(b.column("lang").to_pylist(), object)
             for lang in set(langs[has]):
@@ -179,7 +179,7 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundler = Bundler(dims)
-        for b in batches:
+        for b in slices(batches):
             langs, score = profiles.predict([t or "" for t in b.column("text").to_pylist()], bundler)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(langs, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 

@@ -10,10 +10,11 @@ defaults and ``s = 0.8`` that has a probability of about 2e-6.
 
 Candidates never expand a bucket into all its pairs. Equal sets are one class from the start.
 In a bucket each class meets the smallest one; met pairs are filtered by size and
-verified on the full sets, and links merge into components. Buckets
-that still hold more than one component go on, with ``LEADERS`` further
-classes to meet in each round, until every two classes of a bucket have
-met or are already in one component. Equal buckets are worked on once.
+verified on the full sets, and links merge into components. Equal buckets are worked on once.
+Classes of buckets that still hold more than one component go on: in the buckets of the
+first collection the next ``LEADERS`` (then four times as many, and so on) meet those after them, a
+pair only once however many buckets it shares and only if it shares a table and lies in
+two components, until every bucket is one component or all its pairs have met.
 
 Edge cases: an empty or null text has an empty set, 0 shingles and no link. A null id is
 linked with nothing: its ``component_id`` is null and it is kept. Rows that repeat an id count as
@@ -32,10 +33,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, small_side
+from .common import Scratch, slices, small_side
 
-LEADERS = 64
-_ROOM = 1 << 19  # word fingerprints kept by a worker
+LEADERS = 256
+_ROOM = 1 << 17  # word fingerprints kept by a worker
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -91,7 +92,7 @@ def signatures(docs: DataFrame, shingle: int, groups: int, rows: int, id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler(shingle)
-        for b in batches:
+        for b in slices(batches):
             sets = [make.shingles(t) for t in b.column("text").to_pylist()]
             keys = [collections(s, seeds, rows) if len(s) else np.zeros(0, np.int64) for s in sets]
             longs = pa.list_(pa.int64())
@@ -118,7 +119,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int, id_col: str, text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler(shingle)
-        for b in batches:
+        for b in slices(batches):
             sets = [make.shingles(t).view(np.int64) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "items"])
 
@@ -188,6 +189,28 @@ def buckets(live: DataFrame) -> DataFrame:
     return rows.join(named, "key").select("bucket", "doc_id", "n").distinct()
 
 
+def _with_component(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    return rows.join(comps, "doc_id", "left").withColumn("comp", F.coalesce("component_id", "doc_id")).drop("component_id")
+
+
+def _mixed(rows: DataFrame, by: str) -> DataFrame:
+    """Buckets that hold several components."""
+    return rows.groupBy(by).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select(by)
+
+
+def _verified(scratch: Scratch, docs: DataFrame, met: DataFrame, shingle: int, percent: int, id_col: str, text_col: str, step: str) -> DataFrame:
+    """The links among ``met (a, a_n, b, b_n)``, from the full sets."""
+    pairs = scratch.keep(met.where(_fits(percent)).select("a", "b").distinct(), f"pairs-{step}")
+    if not pairs.limit(1).count():
+        return pairs
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = scratch.keep(_sets(docs, wanted, shingle, id_col, text_col), f"sets-{step}")
+    links = scratch.keep(linked(pairs, sets, percent), f"links-{step}")
+    scratch.drop(f"sets-{step}")
+    scratch.drop(f"pairs-{step}")
+    return links
+
+
 def _fits(percent: int) -> F.Column:
     return 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
 
@@ -216,44 +239,46 @@ def near_duplicates(
     reps = found.select("doc_id", "n", "first", "second").join(classes.select("doc_id"), "doc_id")
     live = scratch.keep(live_keys(reps), "live")
     todo = scratch.keep(buckets(live), "buckets")
+    lead = todo.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("a"))
+    met = todo.join(lead, "bucket").where("doc_id != a.doc_id")
+    pairs = met.select(F.col("a.doc_id").alias("a"), F.col("a.n").alias("a_n"), F.col("doc_id").alias("b"), F.col("n").alias("b_n"))
+    links = _verified(scratch, docs, pairs, shingle, percent, id_col, text_col, "0")
+    comps = scratch.keep(components(spark, links, scratch), "components-0")
+
+    # what the leaders left open: documents of buckets in which several components remain
+    rest = met.select("bucket", F.col("doc_id").alias("doc_id"))
+    mixed = _mixed(_with_component(rest, comps), "bucket")
+    unsure = rest.join(mixed, "bucket", "left_semi").select("doc_id").distinct()
+    ints = [F.transform(c, lambda x: F.hash(x)).alias(c) for c in ("first", "second")]
+    keyed = live.join(unsure, "doc_id", "left_semi").select("doc_id", "n", *ints)
+    todo = scratch.keep(keyed.select("*", F.explode(F.array_distinct("first")).alias("bucket")), "todo-0")
+    scratch.drop("buckets")
     scratch.drop("live")
-    links, comps, step = None, None, 0
+    step, leaders = 1, LEADERS
     while True:
-        if step == 0:  # the smallest of each bucket leads
-            lead = todo.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("a"))
-            met = todo.join(lead, "bucket").select(F.col("a.doc_id").alias("a"), F.col("a.n").alias("a_n"), F.col("doc_id").alias("b"), F.col("n").alias("b_n"))
-            rest = todo.join(lead, "bucket").where("doc_id != a.doc_id").select("bucket", "doc_id", "n")
-        else:
-            place = F.row_number().over(W.partitionBy("bucket").orderBy("doc_id"))
-            ranked = scratch.keep(todo.withColumn("place", place), f"ranked-{step}")
-            a, b = ([F.col(c).alias(f"{side}_{c}") for c in ("n", "comp", "place")] for side in "ab")
-            lead = ranked.where(F.col("place") <= LEADERS).select("bucket", F.col("doc_id").alias("a"), *a)
-            met = lead.join(ranked.select("bucket", F.col("doc_id").alias("b"), *b), "bucket").where("b_place > a_place and a_comp != b_comp")
-            rest = ranked.where(F.col("place") > LEADERS).select("bucket", "doc_id", "n")
-        pairs = scratch.keep(met.where("a != b").where(_fits(percent)).select("a", "b").distinct(), f"pairs-{step}")
-        if pairs.limit(1).count():
-            wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-            sets = scratch.keep(_sets(docs, wanted, shingle, id_col, text_col), f"sets-{step}")
-            new = scratch.keep(linked(pairs, sets, percent), f"links-{step}")
-            scratch.drop(f"sets-{step}")
-            if new.limit(1).count():
-                links = new if links is None else links.union(new)
-                comps = scratch.keep(components(spark, links, scratch), f"components-{step}")
-        scratch.drop(f"pairs-{step}")
-        step += 1
-        now = rest.withColumn("comp", F.col("doc_id"))
-        if comps is not None:
-            now = rest.join(comps, "doc_id", "left").withColumn("comp", F.coalesce("component_id", "doc_id")).drop("component_id")
-        mixed = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-        todo = scratch.keep(now.join(mixed, "bucket", "left_semi"), f"todo-{step}")
-        if not todo.limit(1).count():
+        todo = _with_component(todo, comps)
+        todo = todo.join(_mixed(todo, "bucket"), "bucket", "left_semi")
+        place = F.row_number().over(W.partitionBy("bucket").orderBy("doc_id"))
+        ranked = scratch.keep(todo.withColumn("place", place), f"ranked-{step}")
+        scratch.drop(f"todo-{step - 1}")
+        if not ranked.limit(1).count():
             break
+        a, b = ([F.col(c).alias(f"{side}_{c}") for c in ("n", "comp", "place", "first", "second")] for side in "ab")
+        lead = ranked.where(F.col("place") <= leaders).select("bucket", F.col("doc_id").alias("a"), *a)
+        met = lead.join(ranked.select("bucket", F.col("doc_id").alias("b"), *b), "bucket")
+        # a pair shares a table if it shares a key of either collection; it is taken once, at its smallest shared bucket
+        shares = F.arrays_overlap("a_second", "b_second") & (F.array_min(F.array_intersect("a_first", "b_first")) == F.col("bucket"))
+        pairs = met.where("b_place > a_place and a_comp != b_comp").where(_fits(percent)).where(shares).select("a", "a_n", "b", "b_n")
+        new = _verified(scratch, docs, pairs, shingle, percent, id_col, text_col, str(step))
+        if new.limit(1).count():
+            links = links.union(new)
+            comps = scratch.keep(components(spark, links, scratch), f"components-{step}")
+        todo = scratch.keep(ranked.where(F.col("place") > leaders).drop("place", "comp"), f"todo-{step}")
+        scratch.drop(f"ranked-{step}")
+        step, leaders = step + 1, leaders * 4
     rep = classes.select("same", F.col("doc_id").alias("rep"))
     out = found.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("same")).alias("same")).join(rep, "same", "left")
-    if comps is not None:
-        out = out.join(comps.select(F.col("doc_id").alias("rep"), "component_id"), "rep", "left")
-    else:
-        out = out.withColumn("component_id", F.lit(None).cast("long"))
+    out = out.join(comps.select(F.col("doc_id").alias("rep"), "component_id"), "rep", "left")
     component = F.coalesce("component_id", "rep", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

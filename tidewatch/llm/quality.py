@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fit_sample
+from .common import fit_sample, slices
 
 PAIRS = 512  # hashed byte pairs
 SHAPES = 8
@@ -155,7 +155,7 @@ def fit(
     sample = fit_sample(docs, labels, label_col, usable, max_fit, id_col, text_col)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for t in b.column("text").to_pylist():
                 f = passages((t or "").encode(), passage_bytes)
@@ -177,7 +177,7 @@ def score(docs: DataFrame, model: MilModel, id_col: str = "doc_id", text_col: st
     """``(doc_id, score, predicted)`` of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             s = model.score([(t or "").encode() for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(s, pa.float64()), pa.array(s >= 0.5).cast(pa.int32())], ["doc_id", "score", "predicted"]

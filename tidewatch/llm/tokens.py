@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from .common import Scratch
+from .common import Scratch, slices
 
 MAGIC = b"TWV1"
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
@@ -94,7 +94,7 @@ class PieceEncoder:
     strings or through another kind of tokenizer go through the library as a whole.
     """
 
-    def __init__(self, path: str, room: int = 700_000) -> None:
+    def __init__(self, path: str, room: int = 250_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -154,7 +154,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.kind).tobytes()
         pos = 0
-        for b in batches:
+        for b in slices(batches):
             ids = [(enc.encode(t) if t else b"") + end for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("part"), pa.array(range(pos, pos + len(ids)), pa.int64()), pa.array(ids, pa.binary())],
@@ -189,7 +189,7 @@ def write_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for b in batches:
+        for b in slices(batches):
             got = np.bincount(np.frombuffer(b"".join(b.column("ids").to_pylist()), kind))
             if len(got) > len(total):
                 total = np.pad(total, (0, len(got) - len(total)))
@@ -223,7 +223,7 @@ def write_tokens(
                 ["part", "seq", "doc_ids", "n_tokens", "payload"],
             )
 
-        for b in batches:
+        for b in slices(batches):
             for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "part", "pos", "ids")), strict=True):
                 n = len(row[3]) // width
                 follows = held and row[1] == held[-1][1] and row[2] == held[-1][2] + 1

@@ -34,9 +34,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, fit_sample
+from .common import Scratch, fit_sample, slices
 
-_ROOM = 1 << 20  # distinct words counted or known at a time in a task
+_ROOM = 1 << 18  # distinct words counted or known at a time in a task
 REPEATS = (2, 3)
 _BLANK = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
 
@@ -205,7 +205,7 @@ def _form_counts(texts: DataFrame) -> DataFrame:
                 ["term", "label", "n"],
             )
 
-        for b in batches:
+        for b in slices(batches):
             for text, label in zip(b.column("text").to_pylist(), b.column("label").to_pylist(), strict=True):
                 total.update((term, label) for term in repeated(words(text)))
                 if len(total) > _ROOM:
@@ -221,7 +221,7 @@ def term_counts(docs: DataFrame, terms: dict[str, int], *keep: str) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = TermFinder(terms)
-        for b in batches:
+        for b in slices(batches):
             found = [finder.find(t) for t in b.column("text").to_pylist()]
             at = [sorted(f) for f in found]
             tf = [[f[t] for t in a] for f, a in zip(found, at, strict=True)]
