@@ -119,6 +119,15 @@ def test_shingles_and_equal_words():
     assert make.shingles("a\xa0b c") != make.shingles("a b c")[:1]
 
 
+def test_bitmaps_never_hide_a_shared_member():
+    rng = np.random.default_rng(4)
+    for n in (1, 50, 900, 5000):
+        a = np.unique(rng.integers(0, 2**63, n, np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], rng.integers(0, 2**63, n, np.uint64)]))
+        x, y = (np.unpackbits(np.frombuffer(neardup.bitmap(s), np.uint8)).astype(bool) for s in (a, b))
+        assert (x & ~y).sum() <= len(np.setdiff1d(a, b)) and (y & ~x).sum() <= len(np.setdiff1d(b, a))
+
+
 def test_best_fit_packs_all_and_downsizes():
     rng = np.random.default_rng(2)
     lengths = [16, 32, 64]

@@ -354,7 +354,8 @@ def test_near_duplicates_odd_and_empty(spark, odd, odd_rows, empty):
 
 def test_hot_bucket_is_resolved_in_rounds(spark, monkeypatch):
     """Chains in one bucket whose smallest member is like none of the others."""
-    monkeypatch.setattr(neardup, "LEADERS", 2)
+    monkeypatch.setattr(neardup, "LEADERS", 6)
+    monkeypatch.setattr(neardup, "TILE", 3)
     rng = random.Random(1)
     shared = [f"s{k}" for k in range(40)]
     docs = []

@@ -12,9 +12,9 @@ Candidates never expand a bucket into all its pairs. Equal sets are one class fr
 In a bucket each class meets the smallest one; met pairs are filtered by size and
 verified on the full sets, and links merge into components. Equal buckets are worked on once.
 Classes of buckets that still hold more than one component go on: in the buckets of the
-first collection the next ``LEADERS`` (then four times as many, and so on) meet those after them, a
-pair only once however many buckets it shares and only if it shares a table and lies in
-two components, until every bucket is one component or all its pairs have met.
+first collection the next ``LEADERS`` (then four times as many, and so on) meet those after them in
+tiles. A pair is verified once, if it shares a table, lies in two components and its bitmaps allow the
+similarity (an exact bound), until every bucket is one component or all its pairs have met.
 
 Edge cases: an empty or null text has an empty set, 0 shingles and no link. A null id is
 linked with nothing: its ``component_id`` is null and it is kept. Rows that repeat an id count as
@@ -35,7 +35,9 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, slices, small_side
 
-LEADERS = 256
+TILE = 512  # classes that meet as one matrix product
+LEADERS = 1024  # classes of a bucket that meet all after them in the first round
+BITS = 2048  # of a set's bitmap
 _ROOM = 1 << 17  # word fingerprints kept by a worker
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -85,9 +87,17 @@ def collections(fingerprints: np.ndarray, seeds: np.ndarray, rows: int) -> np.nd
     return key.view(np.int64)
 
 
+def bitmap(fingerprints: np.ndarray) -> bytes:
+    """Which of the ``BITS`` classes of fingerprints a set has a member in. A class that one
+    set has and another has not holds at least one fingerprint in which they differ."""
+    out = np.zeros(BITS, bool)
+    out[(fingerprints & np.uint64(BITS - 1)).astype(np.int64)] = True
+    return np.packbits(out).tobytes()
+
+
 def signatures(docs: DataFrame, shingle: int, groups: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """``(doc_id, n, same, first, second)``: size and 128-bit fingerprint of the set, and the
-    keys of the two collections."""
+    """``(doc_id, n, same, bits, first, second)``: size, 128-bit fingerprint and bitmap of the
+    set, and the keys of the two collections."""
     seeds = np.random.default_rng(1009).integers(1 << 62, 1 << 63, 2 * groups * rows, np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,13 +111,14 @@ def signatures(docs: DataFrame, shingle: int, groups: int, rows: int, id_col: st
                     b.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([bitmap(s) for s in sets], pa.binary()),
                     pa.array([k[:groups] for k in keys], longs),
                     pa.array([k[groups:] for k in keys], longs),
                 ],
-                ["doc_id", "n", "same", "first", "second"],
+                ["doc_id", "n", "same", "bits", "first", "second"],
             )
 
-    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n long, same binary, first array<long>, second array<long>")
+    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n long, same binary, bits binary, first array<long>, second array<long>")
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -189,6 +200,65 @@ def buckets(live: DataFrame) -> DataFrame:
     return rows.join(named, "key").select("bucket", "doc_id", "n").distinct()
 
 
+def near_pairs(ranked: DataFrame, leaders: int, percent: int) -> DataFrame:
+    """``(a, a_n, b, b_n)``: pairs of ``ranked`` rows whose bitmaps allow the similarity, of the first
+    ``leaders`` places of each bucket with all after them. Places are cut into tiles, and two tiles meet in
+    one matrix product, so a very large bucket is many tasks. A pair is taken
+    once, at its smallest shared bucket, and only if it also shares a key of the second collection."""
+    tile = F.floor(F.col("place") / TILE).cast("int")
+    sizes = ranked.groupBy("bucket").agg(F.max("place").alias("most"))
+    rows = ranked.join(sizes, "bucket").withColumn("tile", tile)
+    most = F.floor(F.col("most") / TILE).cast("int")
+    # a row waits in its own tile for all tiles of leaders up to it, and goes as a leader to all tiles after it
+    later = rows.select("*", F.explode(F.sequence(F.lit(0), F.least("tile", F.lit((leaders - 1) // TILE)))).alias("x"), F.col("tile").alias("y"), F.lit(1).alias("side"))
+    first = rows.where((F.col("place") < leaders) & (F.col("tile") < most))
+    first = first.select("*", F.col("tile").alias("x"), F.explode(F.sequence(F.col("tile") + 1, most)).alias("y"), F.lit(0).alias("side"))
+    met = first.union(later).repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "side", "place")
+    columns = ["bucket", "x", "y", "side", "doc_id", "n", "comp", "place", "bits", "first", "second"]
+
+    def ones(rows: list[tuple]) -> np.ndarray:
+        packed = np.frombuffer(b"".join(r[8] for r in rows), np.uint8).reshape(-1, BITS // 8)
+        return np.unpackbits(packed, axis=1).astype(np.float32)
+
+    def meet(rows: list[tuple]) -> Iterator[tuple]:
+        right = [r for r in rows if r[3] == 1]
+        left = [r for r in rows if r[3] == 0] or right  # a tile meets itself without a copy
+        a, b = ones(left), ones(right)
+        both = a @ b.T
+        n, m = (np.array([r[5] for r in side], np.float64) for side in (left, right))
+        most_shared = np.minimum(n[:, None] - (a.sum(1)[:, None] - both), m - (b.sum(1) - both))
+        may = (100 + percent) * most_shared >= percent * (n[:, None] + m)
+        may &= np.array([r[7] for r in left])[:, None] < np.array([r[7] for r in right])
+        may &= np.array([r[6] for r in left])[:, None] != np.array([r[6] for r in right])
+        for i, j in np.argwhere(may).tolist():
+            x, y = left[i], right[j]
+            if min(set(x[9]) & set(y[9])) == x[0] and not set(x[10]).isdisjoint(y[10]):
+                yield x[4], x[5], y[4], y[5]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        out: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            done = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 4)], ["a", "a_n", "b", "b_n"])
+            out.clear()
+            return done
+
+        for batch in slices(batches):
+            for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+                if held and row[:3] != held[0][:3]:
+                    out.extend(meet(held))
+                    held = []
+                    if len(out) > 50_000:
+                        yield flush()
+                held.append(row)
+        if held:
+            out.extend(meet(held))
+        yield flush()
+
+    return met.select(*columns).mapInArrow(run, "a long, a_n long, b long, b_n long")
+
+
 def _with_component(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(comps, "doc_id", "left").withColumn("comp", F.coalesce("component_id", "doc_id")).drop("component_id")
 
@@ -250,7 +320,7 @@ def near_duplicates(
     mixed = _mixed(_with_component(rest, comps), "bucket")
     unsure = rest.join(mixed, "bucket", "left_semi").select("doc_id").distinct()
     ints = [F.transform(c, lambda x: F.hash(x)).alias(c) for c in ("first", "second")]
-    keyed = live.join(unsure, "doc_id", "left_semi").select("doc_id", "n", *ints)
+    keyed = live.join(unsure, "doc_id", "left_semi").select("doc_id", "n", *ints).join(found.select("doc_id", "bits"), "doc_id")
     todo = scratch.keep(keyed.select("*", F.explode(F.array_distinct("first")).alias("bucket")), "todo-0")
     scratch.drop("buckets")
     scratch.drop("live")
@@ -258,22 +328,17 @@ def near_duplicates(
     while True:
         todo = _with_component(todo, comps)
         todo = todo.join(_mixed(todo, "bucket"), "bucket", "left_semi")
-        place = F.row_number().over(W.partitionBy("bucket").orderBy("doc_id"))
+        place = F.row_number().over(W.partitionBy("bucket").orderBy("doc_id")) - 1
         ranked = scratch.keep(todo.withColumn("place", place), f"ranked-{step}")
         scratch.drop(f"todo-{step - 1}")
         if not ranked.limit(1).count():
             break
-        a, b = ([F.col(c).alias(f"{side}_{c}") for c in ("n", "comp", "place", "first", "second")] for side in "ab")
-        lead = ranked.where(F.col("place") <= leaders).select("bucket", F.col("doc_id").alias("a"), *a)
-        met = lead.join(ranked.select("bucket", F.col("doc_id").alias("b"), *b), "bucket")
-        # a pair shares a table if it shares a key of either collection; it is taken once, at its smallest shared bucket
-        shares = F.arrays_overlap("a_second", "b_second") & (F.array_min(F.array_intersect("a_first", "b_first")) == F.col("bucket"))
-        pairs = met.where("b_place > a_place and a_comp != b_comp").where(_fits(percent)).where(shares).select("a", "a_n", "b", "b_n")
+        pairs = near_pairs(ranked, leaders, percent)
         new = _verified(scratch, docs, pairs, shingle, percent, id_col, text_col, str(step))
         if new.limit(1).count():
             links = links.union(new)
             comps = scratch.keep(components(spark, links, scratch), f"components-{step}")
-        todo = scratch.keep(ranked.where(F.col("place") > leaders).drop("place", "comp"), f"todo-{step}")
+        todo = scratch.keep(ranked.where(F.col("place") >= leaders).drop("place", "comp"), f"todo-{step}")
         scratch.drop(f"ranked-{step}")
         step, leaders = step + 1, leaders * 4
     rep = classes.select("same", F.col("doc_id").alias("rep"))
