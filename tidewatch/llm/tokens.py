@@ -94,7 +94,7 @@ class PieceEncoder:
     strings or through another kind of tokenizer go through the library as a whole.
     """
 
-    def __init__(self, path: str, room: int = 250_000) -> None:
+    def __init__(self, path: str, room: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -115,15 +115,21 @@ class PieceEncoder:
         rest = [b for b in range(256) if b not in set(plain)]
         self.bytes_as_text = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
+    def _keep(self, text: str, ids: bytes) -> bytes:
+        if len(self.known) < self.room:
+            self.known[text] = ids
+        return ids
+
     def _piece(self, piece: str) -> bytes:
         text = piece.encode().decode("latin-1").translate(self.bytes_as_text)
-        return array(self.typecode, [t.id for t in self.tok.model.tokenize(text)]).tobytes()
+        return self._keep(piece, array(self.typecode, [t.id for t in self.tok.model.tokenize(text)]).tobytes())
 
     def _chunk(self, chunk: str) -> bytes:
-        got = b"".join(map(self._piece, self.pieces(chunk)))
-        if len(self.known) < self.room:
-            self.known[chunk] = got
-        return got
+        pieces = self.pieces(chunk)
+        if len(pieces) == 1:
+            return self._piece(chunk)
+        known = self.known.get
+        return self._keep(chunk, b"".join([known(p) or self._piece(p) for p in pieces]))
 
     def encode(self, text: str) -> bytes:
         """Ids as packed little-endian integers of ``self.kind``."""
