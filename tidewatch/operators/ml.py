@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import to_double
 from ..schema import LABEL_COLUMN, TRAFFIC_FIELDS
+from ..session import work_path
 
 LABEL_INDEXED = "label_indexed"
 CATEGORY_BINS = 150000
@@ -36,6 +37,23 @@ def index_strings(df: DataFrame, cols: list[str], suffix: str = "_indexed") -> S
     ).fit(df)
 
 
+def category_index(df: DataFrame, col: str, suffix: str = "_indexed") -> DataFrame:
+    """``(col, col_indexed)``: the frequency-ordered index of a column with any number of
+    values, none of which reaches the driver (ties alphabetical, NULL skipped). Values are counted,
+    range partitioned by rank, and numbered from their partition's offset."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    dealt = counts.repartitionByRange(F.desc("_n"), F.asc(col)).withColumn("_part", F.spark_partition_id())
+    path = work_path(df.sparkSession, "category-index")
+    dealt.write.parquet(path)  # the partition numbers must not change between the two uses
+    dealt = df.sparkSession.read.schema(dealt.schema).parquet(path)
+    # one row a partition
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    base = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(F.desc("_n"), F.asc(col))) - 1
+    numbered = dealt.withColumn("_inside", inside).join(base, "_part")
+    return numbered.select(col, (F.col("_base") + F.col("_inside")).cast("double").alias(f"{col}{suffix}"))
+
+
 def index_to_string(df: DataFrame, model: StringIndexerModel, col: str, out: str) -> DataFrame:
     return IndexToString(inputCol=col, outputCol=out, labels=model.labels).transform(df)
 

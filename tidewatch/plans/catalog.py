@@ -680,9 +680,7 @@ rate_index AS (
 
 @register("string_index", _RATE_INDEX_SQL + 'SELECT "Rate", "Rate_indexed" FROM rate_index')
 def q_string_index(spark, sf):
-    parsed = _parsed(spark, sf)
-    model = M.index_strings(parsed, ["Rate"])
-    return model.transform(parsed).select("Rate", "Rate_indexed").distinct()
+    return M.category_index(_parsed(spark, sf), "Rate")
 
 
 @register(
@@ -690,9 +688,8 @@ def q_string_index(spark, sf):
     _RATE_INDEX_SQL + 'SELECT p.line_id, p."Rate", r."Rate_indexed" FROM parsed p JOIN rate_index r ON p."Rate" = r."Rate"',
 )
 def q_category_filter(spark, sf):
-    parsed = _parsed(spark, sf)
-    model = M.index_strings(parsed, ["Rate"])
-    return model.transform(parsed).select("line_id", "Rate", "Rate_indexed")
+    parsed = _parsed(spark, sf).select("line_id", "Rate")
+    return parsed.join(M.category_index(parsed, "Rate"), "Rate").select("line_id", "Rate", "Rate_indexed")
 
 
 @register("traffic_count", PARSED_SQL + "SELECT count(*) AS count FROM parsed")
@@ -734,8 +731,22 @@ def q_replay_lines(spark, sf):
 # ML training and scoring, rows-only (ML3, ML5, ML6, ML12, SNK6) ------------------
 
 
-@register("train_predict")
-def q_train_predict(spark, sf):
+def _trained_sql(split: str) -> str:
+    """Complete rows with their split flag, and the label index of the training rows."""
+    return PARSED_SQL + f""",
+complete AS (SELECT *, (({split} % 1000003) * 7919) % 100 < 80 AS is_train FROM parsed WHERE {_duck_complete_cond()}),
+trained AS (
+  SELECT "Label" AS name, CAST(row_number() OVER (ORDER BY count(*) DESC, "Label" ASC) - 1 AS DOUBLE) AS label_indexed
+  FROM complete WHERE is_train AND "Label" IS NOT NULL GROUP BY "Label")
+"""
+
+
+def _in_range(trained: M.Trained, prediction: str = "prediction"):
+    """Whether a prediction is the index of a learned class."""
+    return F.col(prediction).isin([float(i) for i in range(len(trained.labels.labels))])
+
+
+def _train_and_score(spark, sf) -> tuple[DataFrame, M.Trained]:
     """Fit on the hash-split training rows, save, reload, score the rest.
 
     The parsed rows are cached once and shared by training and scoring; the
@@ -760,13 +771,48 @@ def q_train_predict(spark, sf):
         scored.write.parquet(out)
     finally:
         parsed.unpersist()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out), reloaded
+
+
+@register(
+    "train_predict",
+    _trained_sql("line_id")
+    + """SELECT line_id, "Label", label_indexed, TRUE AS in_range
+FROM complete JOIN trained ON "Label" = name WHERE NOT is_train""",
+)
+def q_train_predict(spark, sf):
+    """The held-out rows with their label index; the forest's choice is one of its classes."""
+    scored, trained = _train_and_score(spark, sf)
+    named = F.element_at(F.array(*[F.lit(x) for x in trained.labels.labels]), F.col("prediction").cast("int") + 1)
+    return scored.select("line_id", "Label", "label_indexed", (_in_range(trained) & (F.col("predicted_label") == named)).alias("in_range"))
+
+
+@register(
+    "train_csv",
+    _trained_sql('CAST("Number" AS BIGINT)')
+    + """SELECT "Label", label_indexed, CAST("Number" AS DOUBLE) AS "Number", rate_value, TRUE AS in_range
+FROM complete JOIN trained ON "Label" = name WHERE NOT is_train""",
+)
+def q_train_csv(spark, sf):
+    """Batch training end to end: headered CSV to split to model to metrics to saved JSON."""
+    path = work_path(spark, "train-csv")
+    names = [n for n, _ in TRAFFIC_FIELDS]
+    IO.write_csv(_parsed(spark, sf).select(*[F.col(f"`{n}`") for n in names]), f"{path}/csv")
+    rows = M.with_rate_value(IO.read_traffic_csv(spark, f"{path}/csv"))
+    is_train = M.hash_split(F.col("Number").cast("bigint"))
+    trained = M.train(rows.filter(is_train))
+    trained.save(f"{path}/model")
+    scored = M.predict(trained, trained.labels.transform(rows.filter(~is_train)))
+    scored.select("Label", "label_indexed", "Number", "rate_value", "prediction").write.parquet(f"{path}/scored")
+    scored = spark.read.parquet(f"{path}/scored")
+    IO.write_json(M.metrics_summary(scored, trained.labels), f"{path}/metrics")
+    return scored.select("Label", "label_indexed", "Number", "rate_value", _in_range(trained).alias("in_range"))
 
 
 @register("model_metrics")
 def q_model_metrics(spark, sf):
     """Held-out accuracy / weighted precision / recall / F1 of the forest."""
-    return M.metrics(q_train_predict(spark, sf))
+    return M.metrics(_train_and_score(spark, sf)[0])
 
 
 # Streaming (ST1-ST4, ST6, FLT4, SRC3 shape) ----------------------------------------
@@ -800,9 +846,14 @@ def q_summary_stream(spark, sf):
     return S.read_summary(spark, out)
 
 
-@register("monitor_stream")
+@register(
+    "monitor_stream",
+    _trained_sql("line_id")
+    + """SELECT line_id, "Label" AS actual_label, "Rate" AS rate, "Header_Length" AS header_length,
+  "Protocol Type" AS protocol_type, TRUE AS in_range FROM complete""",
+)
 def q_monitor_stream(spark, sf):
-    """Train once, then score the traffic stream and publish JSON envelopes."""
+    """Train once, score the traffic stream, publish JSON envelopes, and read them back."""
     from pyspark import StorageLevel
 
     parsed = P.parse_lines(FX.traffic_lines(spark, sf), keep=("line_id",)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -813,9 +864,9 @@ def q_monitor_stream(spark, sf):
         parsed.unpersist()
     src = S.read_topic_files(spark, _stage_traffic_topic(spark, sf))
     out = work_path(spark, "monitor-out")
-    q = S.run_monitor(spark, src, trained, trigger=None, out_path=out)
-    S.run_for(q, None)
-    return spark.read.parquet(out)
+    S.run_for(S.run_monitor(spark, src, trained, trigger=None, out_path=out), None)
+    got = P.read_predictions(spark.read.parquet(out))
+    return got.select("line_id", "actual_label", "rate", "header_length", "protocol_type", _in_range(trained, "predicted_label").alias("in_range"))
 
 
 # Stateful streaming flow features (FL15, ST5) -----------------------------------
