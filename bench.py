@@ -28,6 +28,7 @@ HEADLINE = [
     "read_predictions",
     "classification_metrics",
     "train_predict",
+    "train_csv",
     "parse_stream",
     "summary_stream",
 ]

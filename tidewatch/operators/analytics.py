@@ -24,13 +24,15 @@ def decode_label(
     col: str = "predicted_label",
     out: str = "label",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add ``out``: the dictionary name of ``col``.
 
     Numeric values are truncated to an int index; text values must equal an
     index's text exactly. Values without an entry keep their own text
     (``34.0``); a missing value decodes to ``Unknown``. ``labels`` is an
-    ``(idx, label)`` table, broadcast only when its size is checked small.
+    ``(idx, label)`` table, broadcast only when its size is checked small
+    (``small`` passes the answer of an earlier check).
     """
     dtype = df.schema[col].dataType
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
@@ -40,7 +42,7 @@ def decode_label(
         key = F.col(col).try_cast("int").cast("bigint")
         lk = labels.select(F.col("idx").cast("bigint").alias("_k"), F.col("label").alias("_name"))
     lk = lk.dropDuplicates(["_k"])
-    side = F.broadcast(lk) if fits(lk, max_broadcast_rows) else lk
+    side = F.broadcast(lk) if (fits(lk, max_broadcast_rows) if small is None else small) else lk
     joined = df.withColumn("_k", key).join(side, "_k", "left")
     return joined.withColumn(
         out, F.coalesce(F.col("_name"), F.col(col).cast("string"), F.lit(UNKNOWN))
@@ -124,8 +126,9 @@ def recent(
     """The ``n`` newest predictions, newest first, decoded, with ``Unknown``
     for missing fields and a benign/attack status."""
     newest = last_n(df, n, ts, tiebreak)
-    dec = decode_label(newest, labels, "predicted_label", "predicted_name")
-    dec = decode_label(dec, labels, "actual_label", "actual_name")
+    small = fits(labels)
+    dec = decode_label(newest, labels, "predicted_label", "predicted_name", small=small)
+    dec = decode_label(dec, labels, "actual_label", "actual_name", small=small)
     w = Window.orderBy(F.desc(ts), F.desc(tiebreak))
     return dec.select(
         F.row_number().over(w).alias("position"),

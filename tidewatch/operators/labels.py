@@ -60,10 +60,3 @@ def explode_dictionary(d: DataFrame) -> DataFrame:
         "total_labels",
         "label_column",
     )
-
-
-def index_to_string(df: DataFrame, labels: DataFrame, col: str, out: str) -> DataFrame:
-    """Index column back to its label through an ``(idx, label)`` table."""
-    from .analytics import decode_label
-
-    return decode_label(df, labels, col, out)

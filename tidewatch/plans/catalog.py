@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import attack_category, category_colour, traffic_status
+from ..functions.scalar import traffic_status
 from ..operators import analytics as A
 from ..sources import fixtures as FX
 from ..sources.files import label_table
@@ -186,9 +186,6 @@ def q_traffic_status(spark, sf):
     return dec.groupBy(traffic_status("label").alias("status")).agg(F.count(F.lit(1)).alias("count"))
 
 
-_ = (attack_category, category_colour)
-
-
 # Parsing and validation over traffic lines (PRJ1-3, FLT1-2, FLT5, SC3, SC6, SC9) ----
 
 from ..operators import labels as L  # noqa: E402

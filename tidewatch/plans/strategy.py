@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # A lookup side is broadcast only when it has at most this many rows.
 DEFAULT_BROADCAST_ROWS = 100_000
@@ -17,19 +16,6 @@ def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def lookup_join(
-    big: DataFrame,
-    small: DataFrame,
-    on,
-    how: str = "left",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join a lookup table; broadcast it only after its size is checked,
-    otherwise leave the strategy to the planner (sort-merge / AQE)."""
-    side = F.broadcast(small) if fits(small, max_rows) else small
-    return big.join(side, on, how)
-
-
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     import contextlib
     import io
