@@ -6,7 +6,7 @@ Two small collections of ``groups`` keys each join ``rows`` minhashes to a key.
 table key pairs one key of the first collection with one of the second, so
 ``groups ** 2`` tables need only ``2 * groups * rows`` minhashes. Two documents of
 Jaccard ``s`` share a table unless one collection has no equal key: at the
-defaults and ``s = 0.8`` that has a probability of about 2e-6.
+defaults and ``s = 0.8`` that has a probability of about 1e-6.
 
 Candidates never expand a bucket into all its pairs. Equal sets are one class from the start.
 In a bucket each class meets the smallest one; met pairs are filtered by size and
@@ -290,7 +290,7 @@ def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
     percent: int = 80,
-    groups: int = 16,
+    groups: int = 20,
     rows: int = 3,
     id_col: str = "doc_id",
     text_col: str = "text",
