@@ -145,9 +145,9 @@ cand AS (
 ), linked AS (
   SELECT a, b FROM (SELECT a, b, na, nb, count(*) AS k FROM cand JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.sh = x.sh GROUP BY ALL) z
   WHERE 100 * k >= 80 * (na + nb - k)
-), both AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+), edges AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
 reach(doc_id, root) AS (
-  SELECT doc_id, doc_id FROM d UNION SELECT both.b, reach.root FROM reach JOIN both ON both.a = reach.doc_id WHERE reach.root < both.b
+  SELECT doc_id, doc_id FROM d UNION SELECT edges.b, reach.root FROM reach JOIN edges ON edges.a = reach.doc_id
 ), comp AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM comp LEFT JOIN sizes USING (doc_id)
