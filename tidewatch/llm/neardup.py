@@ -306,6 +306,7 @@ def near_duplicates(
         found = scratch.keep(found.join(ids, "doc_id", "left_anti").union(again), "signatures-once")
         docs, id_col, text_col = _texts(docs, id_col, text_col).join(ids, "doc_id", "left_anti").union(once), "doc_id", "text"
     classes = found.where("doc_id is not null and n > 0").groupBy("same").agg(F.min("doc_id").alias("doc_id"))
+    classes = scratch.keep(classes, "classes")  # so that joins on a hot class have plain shuffles, which can be split
     reps = found.select("doc_id", "n", "first", "second").join(classes.select("doc_id"), "doc_id")
     live = scratch.keep(live_keys(reps), "live")
     todo = scratch.keep(buckets(live), "buckets")
