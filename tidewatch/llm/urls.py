@@ -21,6 +21,7 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,10 +64,26 @@ def rule_for(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Col
     return text, verdict
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(v)`` with ``v`` bound to ``value``, which is then computed once and not in every step of an inner function."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def grams(url: Column, order: int) -> Column:
     """One string of ``order`` characters for each character of the url and the end mark."""
-    chars = F.split(F.concat(F.lit(START * (order - 1)), F.translate(url, UPPER, LOWER), F.lit(END)), "")
-    return F.transform(F.sequence(F.lit(1), F.size(chars) - (order - 1)), lambda i: F.array_join(F.slice(chars, i, order), ""))
+
+    def places(length: Column) -> Column:
+        return F.sequence(F.lit(1), length - (order - 1))
+
+    # a substring is found from the start of the text, so a very long url is cut into characters first
+    def short(t: Column) -> Column:
+        return F.transform(places(F.length(t)), lambda i: F.substr(t, i, F.lit(order)))
+
+    def long(t: Column) -> Column:
+        return _bound(F.split(t, ""), lambda c: F.transform(places(F.size(c)), lambda i: F.array_join(F.slice(c, i, order), "")))
+
+    text = F.concat(F.lit(START * (order - 1)), F.translate(url, UPPER, LOWER), F.lit(END))
+    return _bound(text, lambda t: F.when(F.length(t) <= 1024, short(t)).otherwise(long(t)))
 
 
 def ratio_model(counts: DataFrame, order: int) -> DataFrame:
