@@ -106,6 +106,32 @@ def test_document_frequencies_cover_all_documents(spark):
     assert np.isclose(model.idf[model.terms["moronic"]], np.log(301 / (1 + holds)) + 1)
 
 
+def test_every_term_counts_for_toxicity(spark):
+    rng = random.Random(3)
+    clean = ["".join(rng.choices("bcdfgaeiou", k=7)) for _ in range(400)]
+    rows = [(i, " ".join([*rng.choices(clean, k=40), *["moronic"] * (2 if i % 3 == 0 else 0)]), int(i % 3 == 0)) for i in range(300)]
+    # a very long text of words that no example has, with the same two hits
+    rows.append((1000, " ".join(["moronic", *(f"{w}x{v}" for w in "pqrstvwz" for v in "".join(clean[:60])), "moronic", *(c + "qzz" + d for c, d in zip(clean, clean[7:]))]), None))
+    data = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    model, counts = toxicity.fit(spark, data, data.where("y is not null"), "y")
+    assert len(model.index.ids) == 300 and sorted(model.index.labels.tolist()) == [0] * 200 + [1] * 100
+    plain = {i: toxicity.repeated(toxicity.words(t)) for i, t, _ in rows}
+    terms = model.terms
+    assert set(terms) == set().union(*(plain[i] for i in range(300)))
+    df = collections.Counter(t for p in plain.values() for t in p)
+
+    def weights(i):
+        return {t: (1 + np.log(n)) * (np.log(302 / (1 + df[t])) + 1) * (model.gain[terms[t]] if t in terms else 1) for t, n in plain[i].items()}
+
+    w = {i: weights(i) for i in plain}
+    norm = {i: sum(x * x for x in v.values()) ** 0.5 for i, v in w.items()}
+    for r in toxicity.score(counts, model).where("doc_id in (0, 1, 1000)").collect():
+        cos = np.array([sum(x * w[i].get(t, 0) for t, x in w[r.doc_id].items()) / norm[i] / norm[r.doc_id] for i in range(300)])
+        near = np.lexsort((np.arange(300), -np.round(cos * norm[r.doc_id], 6)))[:15]
+        near = near[cos[near] > 0]
+        assert np.isclose(r.score, model.calibrated(model.share(cos[near], near % 3 == 0)), rtol=1e-3)
+
+
 # packing -------------------------------------------------------------------------------
 
 

@@ -2,13 +2,14 @@
 
 Terms are words (runs of letters and of characters beyond ASCII, lower case) and their beginnings of 3 to 7 letters, so that
 inflected and compound forms meet; a form that stands in a text twice or three times is a further
-term (``form@2``, ``form@3``), as a word may be harmless once. The vocabulary is learned: of the terms in the labelled
-sample, the ``max_terms`` most significant ones that are several times likelier in label 1.
-A weight is ``(1 + ln tf) * idf`` with document frequencies over *all* documents, and rows
-have unit length. The examples form an inverted index cut into blocks of ``block``
-examples with the largest weight of each term in each block; a query adds up these
-maxima to bound every block, visits blocks from the largest bound and stops when no
-bound beats its k-th cosine, so the k neighbours are exact. The votes of
+term (``form@2``, ``form@3``), as a word may be harmless once. Every term of every text counts: a weight is
+``(1 + ln tf) * idf * gain`` with document frequencies over *all* documents, and rows have unit length over all their
+terms. ``gain`` is ``1 + sqrt(chi2)`` of a term that is likelier in label 1 of the sample, else 1, so that a topic
+does not hide a few telling words, while a long clean text still outweighs chance hits.
+All sampled examples of both labels are indexed: the ``common`` most frequent terms as a dense matrix, the others as
+postings; the cosine to every example is summed up, so the k neighbours are exact (to six decimals, ties to the smaller position).
+A term that no example has adds to a text's norm only; its frequency is joined by a 64-bit hash.
+The votes of
 the neighbours, weighted by ``1 / (1 - cosine + 0.1)``, and ``prior_weight`` votes of the
 base rate give a raw share; a logistic curve fitted to the examples' own shares (each left out
 of its vote) calibrates it. ``evidence`` lists the nearest examples with label 1.
@@ -24,19 +25,23 @@ is none). An empty table gives no rows. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, fit_sample, slices
+from .common import Scratch, fit_sample, slices, small_side
 
 _ROOM = 1 << 18  # distinct words counted or known at a time in a task
+_UNIT = 1 << 20  # squared weights are summed as whole numbers of 1 / _UNIT, in any order
 REPEATS = (2, 3)
 _BLANK = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
 
@@ -50,51 +55,79 @@ def forms(word: str) -> list[str]:
     return [word, *(word[:n] + "-" for n in range(3, min(len(word), 8)))]
 
 
-@dataclass
-class BlockMaxIndex:
-    """Inverted index over unit rows, in blocks with the largest weight of every term."""
-
-    rows: np.ndarray  # examples x terms
-    labels: np.ndarray
-    ids: np.ndarray
-    block: int
-
-    def __post_init__(self) -> None:
-        pad = -len(self.rows) % self.block
-        blocks = np.pad(self.rows, ((0, pad), (0, 0))).reshape(-1, self.block, self.rows.shape[1])
-        self.max = np.ascontiguousarray(blocks.max(1).T)  # terms x blocks
-        self.postings = []
-        for b in blocks:
-            by_term = {}
-            for t in np.flatnonzero(b.any(0)):
-                at = np.flatnonzero(b[:, t])
-                by_term[int(t)] = (at, b[at, t])
-            self.postings.append(by_term)
-        del self.rows
+class ExampleIndex:
+    """Rows of the examples by term: a dense matrix of the terms below ``common``, postings of all. ``rows`` is a
+    matrix, or the example, term and weight of each entry; ``scale`` multiplies each row. Weights are held as codes."""
+
+    def __init__(
+        self, rows: np.ndarray | tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.ndarray, ids: np.ndarray, common: int, scale: np.ndarray | None = None
+    ) -> None:
+        example, terms, x = (*np.nonzero(rows), rows[rows != 0]) if isinstance(rows, np.ndarray) else rows
+        self.labels, self.ids, self.common = labels, ids, common
+        self.scale = np.ones(len(ids), np.float32) if scale is None else scale.astype(np.float32)
+        order = np.argsort(terms, kind="stable")
+        self.ends = np.cumsum(np.bincount(terms, minlength=common))
+        self.example = example.astype(np.min_scalar_type(len(ids)))[order]
+        self.values = np.unique(x)
+        self.code = np.searchsorted(self.values, x).astype(np.min_scalar_type(len(self.values)))[order]
+        self._fill()
+
+    def _fill(self) -> None:
+        self.matrix = np.zeros((self.common, len(self.ids)), np.float32)
+        n = self.ends[self.common - 1]
+        term = np.repeat(np.arange(self.common), np.diff(self.ends[: self.common], prepend=0))
+        self.matrix[term, self.example[:n]] = self.values[self.code[:n]]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "matrix"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._fill()
+
+    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Products of each query (ascending terms, weights) with every row."""
+        q = np.zeros((len(queries), self.common), np.float32)
+        for i, (at, w) in enumerate(queries):
+            n = np.searchsorted(at, self.common)
+            q[i, at[:n]] = w[:n]
+        out = q @ self.matrix
+        for i, (at, w) in enumerate(queries):
+            n = np.searchsorted(at, self.common)
+            m = np.searchsorted(at, len(self.ends))  # later ones stand in no row
+            t, w = at[n:m], w[n:m]
+            start = self.ends[t - 1]
+            size = self.ends[t] - start
+            place = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+            out[i] += np.bincount(self.example[place], np.repeat(w, size) * self.values[self.code[place]], minlength=out.shape[1])
+        return out * self.scale
+
+    def top(self, cos: np.ndarray, k: int, but: int = -1) -> np.ndarray:
+        """Positions of the k largest positive entries, ties to the smaller; ``but`` is left out."""
+        cos = np.round(cos, 6)
+        if but >= 0:
+            cos[but] = 0
+        least = np.partition(cos, -k)[-k] if len(cos) > k else 0
+        at = np.flatnonzero((cos >= least) & (cos > 0))
+        return at[np.lexsort((at, -cos[at]))[:k]]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest rows with a positive cosine, ties to the
-        smaller position; ``but`` is left out."""
-        bound = weights @ self.max[terms]
-        order = np.argsort(-bound, kind="stable")
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        pairs = list(zip(terms.tolist(), weights.tolist(), strict=True))
-        for b in order:
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1] - 1e-9):
-                break
-            cos = np.zeros(self.block)
-            post = self.postings[b]
-            for t, w in pairs:
-                if t in post:
-                    at, x = post[t]
-                    cos[at] += w * x
-            if b * self.block <= but < (b + 1) * self.block:
-                cos[but - b * self.block] = 0
-            at = np.flatnonzero(cos > 0)
-            best_at, best = np.concatenate([best_at, at + b * self.block]), np.concatenate([best, cos[at]])
-            top = np.lexsort((best_at, -best))[:k]
-            best_at, best = best_at[top], best[top]
-        return best_at, best
+        """Positions and cosines of the k nearest rows with a positive cosine."""
+        cos = self.cosines([(terms, weights)])[0]
+        near = self.top(cos, k, but)
+        return near, cos[near].astype(float)
+
+
+BlockMaxIndex = ExampleIndex  # its earlier name
+
+
+def _listed(names: list[str]) -> bytes:
+    return zlib.compress("\n".join(names).encode("utf-8", "surrogatepass"))
+
+
+def _terms(listed: bytes) -> dict[str, int]:
+    names = zlib.decompress(listed).decode("utf-8", "surrogatepass").split("\n") if listed else []
+    return {t: i for i, t in enumerate(names) if t}
 
 
 def repeated(found: list[str]) -> dict[str, int]:
@@ -107,75 +140,103 @@ def repeated(found: list[str]) -> dict[str, int]:
 
 
 class TermFinder:
-    """Counts of vocabulary terms in texts. Words are looked up once and then
-    told apart by set operations; up to ``_ROOM`` words without a term are remembered."""
+    """Counts of terms in texts. The forms of up to ``_ROOM`` words are remembered."""
 
     def __init__(self, terms: dict[str, int]) -> None:
-        self.base: dict[str, list[tuple[int, int]]] = {}
-        for term, at in terms.items():
-            form, _, r = term.partition("@")
-            self.base.setdefault(form, []).append((int(r or 1), at))
-        self.hot: dict[str, list[str]] = {}
-        self.cold: set[str] = set()
+        self.base: dict[str, int] = {}
+        split = [(self.base.setdefault(form, len(self.base)), int(r or 1), at) for term, at in terms.items() for form, _, r in [term.partition("@")]]
+        self.size = len(self.base)
+        self.place = np.full((self.size + 1, 1 + len(REPEATS)), -1)  # the last row is for forms of no example
+        for form, r, at in split:
+            self.place[form, r - 1] = at
+        self.names = list(self.base)
+        self.known: dict[str, list[int]] = {}
+
+    def _forms(self, word: str) -> list[int]:
+        got = self.known.get(word)
+        if got is None:
+            got = []
+            for f in forms(word):
+                at = self.base.get(f)
+                if at is None:
+                    at = self.base[f] = len(self.names)
+                    self.names.append(f)
+                got.append(at)
+            self.known[word] = got
+        return got
+
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
+        """Ascending vocabulary positions and their counts; hashes of the other terms and their counts."""
+        if len(self.known) > _ROOM:
+            self.known.clear()
+            for f in self.names[self.size :]:
+                del self.base[f]
+            del self.names[self.size :]
+        found = Counter(words(text))
+        own = [self._forms(w) for w in found]
+        sizes = [len(o) for o in own]
+        form, of = np.unique(np.fromiter(chain.from_iterable(own), np.int64, sum(sizes)), return_inverse=True)
+        total = np.bincount(of, np.repeat(np.fromiter(found.values(), np.int64, len(found)), sizes), len(form)).astype(np.int64)
+        at, tf, other, other_tf = [], [], [], []
+        for r in (1, *REPEATS):
+            f, n = form[total >= r], total[total >= r] - r + 1
+            place = self.place[np.minimum(f, self.size), r - 1]
+            at.append(place[place >= 0])
+            tf.append(n[place >= 0])
+            for i in f[place < 0].tolist():
+                term = self.names[i] if r == 1 else f"{self.names[i]}@{r}"
+                other.append(int.from_bytes(blake2b(term.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True))
+            other_tf += n[place < 0].tolist()
+        at, tf = np.concatenate(at), np.concatenate(tf)
+        order = np.argsort(at)
+        return at[order], tf[order], other, other_tf
 
     def find(self, text: str | None) -> dict[int, int]:
         """Occurrences of each term, by position in the vocabulary."""
-        found = words(text)
-        different = set(found)
-        for w in different - self.cold - self.hot.keys():
-            own = [f for f in forms(w) if f in self.base]
-            if own:
-                self.hot[w] = own
-            else:
-                self.cold.add(w)
-        if len(self.cold) > _ROOM:
-            self.cold.clear()
-        hits = different & self.hot.keys()
-        if not hits:
-            return {}
-        counts: Counter = Counter()
-        for w, n in Counter(filter(hits.__contains__, found)).items():
-            for f in self.hot[w]:
-                counts[f] += n
-        return {at: n - r + 1 for f, n in counts.items() for r, at in self.base[f] if n >= r}
+        at, tf, _, _ = self.count(text)
+        return dict(zip(at.tolist(), tf.tolist(), strict=True))
 
 
 @dataclass
 class KnnModel:
-    """Vocabulary, inverse document frequencies, index and calibration."""
+    """Vocabulary (the most frequent terms first), weights, index and calibration."""
 
-    terms: dict[str, int]
+    listed: bytes  # the terms in the order of their positions, packed
     idf: np.ndarray
-    index: BlockMaxIndex | None
+    gain: np.ndarray
+    index: ExampleIndex | None
     rate: float
+    others: DataFrame | None = None  # (term, n): hashes of terms of no example that stand in n > 1 documents
+    total: int = 0
     k: int = 15
     prior_weight: float = 1.0
     slope: float = 1.0
     offset: float = 0.0
 
-    def vector(self, at: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        """Unit weights of the terms at the ascending positions ``at``."""
-        x = (1 + np.log(tf)) * self.idf[at]
-        return x / max(np.linalg.norm(x), 1e-12)
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "listed": b"", "others": None}  # tasks that score need neither
 
-    def share(self, at: np.ndarray, x: np.ndarray, but: int = -1) -> tuple[float, np.ndarray]:
-        near, cos = self.index.nearest(at, x, self.k, but) if len(at) else (np.zeros(0, np.int64), np.zeros(0))
+    @property
+    def terms(self) -> dict[str, int]:
+        return _terms(self.listed)
+
+    @property
+    def weight(self) -> np.ndarray:
+        return self.idf * self.gain
+
+    def query(self, at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of a text as the index takes them, whose own weights are ``1 + ln tf``."""
+        return at, x * self.idf[at] * self.gain[at]
+
+    def share(self, cos: np.ndarray, y: np.ndarray) -> float:
+        """Raw share of label 1 of neighbours with these cosines and labels."""
         votes = 1 / (1.1 - np.minimum(cos, 1))
-        y = self.index.labels[near]
-        share = ((votes * y).sum() + self.prior_weight * self.rate) / (votes.sum() + self.prior_weight)
-        return share, near[y == 1]
+        return float(((votes * y).sum() + self.prior_weight * self.rate) / (votes.sum() + self.prior_weight))
 
     def calibrated(self, share: float) -> float:
         share = min(max(share, 1e-4), 1 - 1e-4)
         return 1 / (1 + np.exp(-(self.slope * np.log(share / (1 - share)) + self.offset)))
 
-    def score(self, at: np.ndarray, tf: np.ndarray) -> tuple[float, list[int]]:
-        """Score and evidence of a text with these terms and counts."""
-        if self.index is None:
-            return self.rate, []
-        share, evidence = self.share(at, self.vector(at, tf))
-        return float(self.calibrated(share)), self.index.ids[evidence[:3]].tolist()
-
 
 def _logistic(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a weighted logistic fit (Newton steps, slightly held at 1 and 0)."""
@@ -216,21 +277,58 @@ def _form_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text", "label").mapInArrow(run, "term string, label int, n long").groupBy("term", "label").agg(F.sum("n").alias("n"))
 
 
-def term_counts(docs: DataFrame, terms: dict[str, int], *keep: str) -> DataFrame:
-    """``(*keep, at, tf)``: positions and counts of the vocabulary's terms in each ``text``."""
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers below 2**32, byte by byte, which compresses well."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _positions(gaps: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(gaps))
+
+
+def term_counts(docs: DataFrame, terms: dict[str, int] | bytes, *keep: str) -> DataFrame:
+    """``(*keep, row, at, tf, other, other_tf)``: packed gaps between the ascending positions of the vocabulary's terms
+    in each ``text`` and their packed counts, hashes and counts of its other terms; ``row`` numbers the rows."""
+    listed = terms if isinstance(terms, bytes) else _listed(sorted(terms, key=terms.get))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = TermFinder(terms)
+        finder, row = TermFinder(_terms(listed)), TaskContext.get().partitionId() << 40
         for b in slices(batches):
-            found = [finder.find(t) for t in b.column("text").to_pylist()]
-            at = [sorted(f) for f in found]
-            tf = [[f[t] for t in a] for f, a in zip(found, at, strict=True)]
-            ints = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(at, ints), pa.array(tf, ints)], [*keep, "at", "tf"])
+            found = [finder.count(t) for t in b.column("text").to_pylist()]
+            rows = pa.array(np.arange(row, row + b.num_rows), pa.int64())
+            row += b.num_rows
+            got = [
+                pa.array([_packed(np.diff(f[0], prepend=0)) for f in found], pa.binary()),
+                pa.array([_packed(f[1]) for f in found], pa.binary()),
+                pa.array([f[2] for f in found], pa.list_(pa.int64())),
+                pa.array([f[3] for f in found], pa.list_(pa.int32())),
+            ]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), rows, *got], [*keep, "row", "at", "tf", "other", "other_tf"])
 
     rows = docs.select(*keep, "text")
     schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(run, schema + "at array<int>, tf array<int>")
+    return rows.mapInArrow(run, schema + "row long, at binary, tf binary, other array<long>, other_tf array<int>")
+
+
+def _frequencies(counts: DataFrame, size: int) -> np.ndarray:
+    """In how many rows of ``counts`` each term of the vocabulary stands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(size, np.int64)
+        for b in slices(batches):
+            n += np.bincount(np.concatenate([np.zeros(0, np.int64), *(_positions(a) for a in b.column("at").to_pylist())]), minlength=size)
+        at = np.flatnonzero(n)
+        for i in range(0, len(at), 1 << 14):
+            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + (1 << 14)], pa.int32()), pa.array(n[at[i : i + (1 << 14)]], pa.int64())], ["t", "n"])
+
+    seen = counts.select("at").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size, np.int64)
+    out[seen.column("t").to_numpy()] = seen.column("n").to_numpy()
+    return out
 
 
 def fit(
@@ -240,9 +338,7 @@ def fit(
     label_col: str,
     usable: Column | None = None,
     max_fit: int = 3000,
-    max_terms: int = 1500,
-    min_texts: int = 3,
-    block: int = 64,
+    common: int = 1024,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[KnnModel, DataFrame]:
@@ -258,53 +354,89 @@ def fit(
     rate = all_labels.agg(F.avg(F.col(label_col).cast("double"))).first()[0] or 0.0
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if not n0 or not n1:
-        return KnnModel({}, np.zeros(0), None, float(rate)), term_counts(rows, {}, "doc_id")
-    # signed chi-square of the two shares of texts
-    p0, p1 = F.col("0") / n0, F.col("1") / n1
-    pooled = (F.col("0") + F.col("1")) / (n0 + n1)
-    chi = (p1 - p0) * F.abs(p1 - p0) / (pooled * (1 - pooled) + 1e-12)
-    chosen = counted.where((F.col("1") >= min_texts) & (p1 > 4 * p0) & (chi * (n0 * n1 / (n0 + n1)) > 15))
-    terms = {r["term"]: i for i, r in enumerate(chosen.orderBy(chi.desc(), "term").limit(max_terms).select("term").collect())}
-    counts = Scratch(spark).keep(term_counts(rows, terms, "doc_id"), "toxic-terms")
-    df = {r["t"]: r["n"] for r in counts.select(F.explode("at").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}
+        return KnnModel(b"", np.zeros(0), np.zeros(0), None, float(rate)), rows.select("doc_id")
+    # at most the terms of 2 * max_fit texts
+    found = counted.orderBy(F.desc(F.col("0") + F.col("1")), "term").toArrow()
+    listed, size = _listed(found.column("term").to_pylist()), len(found)
+    c0, c1 = found.column("0").to_numpy(), found.column("1").to_numpy()
+    # chi-square of the two shares of texts, of the terms that are likelier in label 1
+    p0, p1, pooled = c0 / n0, c1 / n1, (c0 + c1) / (n0 + n1)
+    chi = np.maximum(p1 - p0, 0) ** 2 / (pooled * (1 - pooled) + 1e-12) * (n0 * n1 / (n0 + n1))
+    del found, c0, c1, p0, p1, pooled
+    scratch = Scratch(spark)
+    counts = scratch.keep(term_counts(rows, listed, "doc_id"), "toxic-terms")
     total = counts.count()
-    idf = np.array([np.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in range(len(terms))])
-    model = KnnModel(terms, idf, None, float(rate))
-
-    texts = {}
-    for r in term_counts(sample, terms, "key", "label").collect():  # at most 2 * max_fit ids
-        texts[r["key"]] = max(texts.get(r["key"], (r["label"], [], [])), (r["label"], r["at"], r["tf"]))
-    got = pd.DataFrame([(k, y, np.array(a, np.int64), np.array(n, float)) for k, (y, a, n) in sorted(texts.items())], columns=["key", "label", "at", "tf"])
-    got["x"] = [model.vector(a, n) for a, n in zip(got["at"], got["tf"], strict=True)]
-    held = got[got["at"].map(len) > 0]
-    rows = np.zeros((len(held), len(terms)), np.float32)
-    for i, (at, x) in enumerate(zip(held["at"], held["x"], strict=True)):
-        rows[i, at] = x
-    # neighbouring rows share terms, so that block bounds are tight
-    order = np.argsort(rows.argmax(1) if len(terms) else np.zeros(0), kind="stable")
-    y = held["label"].to_numpy()
-    model.index = BlockMaxIndex(rows[order], y[order], held["key"].to_numpy()[order], block)
-    own = [model.share(held["at"].iloc[i], held["x"].iloc[i], j)[0] for j, i in enumerate(order)]
-    none = model.share(np.zeros(0, np.int64), np.zeros(0))[0]
-    rest = got[got["at"].map(len) == 0]["label"].to_numpy()
-    share = np.clip(np.concatenate([own, np.full(len(rest), none)]), 1e-4, 1 - 1e-4)
-    label = np.concatenate([y[order], rest])
-    weight = np.where(label == 1, rate / n1, (1 - rate) / n0) * (n0 + n1)
-    model.slope, model.offset = _logistic(np.log(share / (1 - share)), label, weight)
+    idf = np.log((1 + total) / (1 + _frequencies(counts, size))) + 1
+    others = counts.select(F.explode("other").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    model = KnnModel(listed, idf, 1 + np.sqrt(chi), None, float(rate), scratch.keep(others, "toxic-others"), total)
+
+    texts: dict[int, tuple] = {}
+    got = term_counts(sample, listed, "key", "label").select("key", "label", "at", "tf").toArrow()  # at most 2 * max_fit ids
+    for key, y, at, tf in zip(*(got.column(c) for c in got.column_names), strict=True):
+        new = (len(at.as_buffer()), at.as_py(), tf.as_py(), y.as_py())
+        texts[key.as_py()] = max(texts.get(key.as_py(), new), new)
+    del got
+    ids = np.array(sorted(texts), np.int64)
+    y = np.array([texts[i][3] for i in ids.tolist()])
+    at = [_positions(texts[i][1]).astype(np.int32) for i in ids.tolist()]
+    example = np.repeat(np.arange(len(ids), dtype=np.int32), [len(a) for a in at])
+    at, log_tf = np.concatenate(at), 1 + np.log(np.concatenate([_unpacked(texts.pop(i)[2]).astype(np.float32) for i in ids.tolist()]))
+    x = log_tf * model.weight.astype(np.float32)[at]
+    norm = np.maximum(np.sqrt(np.bincount(example, x * x, minlength=len(ids))), 1e-12)
+    model.index = ExampleIndex((example, at, log_tf), y, ids, common, 1 / norm)
+    # entries lie by example, so a run of examples is a slice
+    first = np.searchsorted(example, np.arange(len(ids) + 1))
+    own = []
+    for i in range(0, len(ids), 64):
+        part = range(i, min(i + 64, len(ids)))
+        cos = model.index.cosines([model.query(at[first[j] : first[j + 1]], x[first[j] : first[j + 1]] / norm[j]) for j in part])
+        for j, c in zip(part, cos, strict=True):
+            near = model.index.top(c, model.k, j)
+            own.append(model.share(c[near], y[near]))
+    share = np.clip(own, 1e-4, 1 - 1e-4)
+    weight = np.where(y == 1, rate / n1, (1 - rate) / n0) * (n0 + n1)
+    model.slope, model.offset = _logistic(np.log(share / (1 - share)), y, weight)
     return model, counts
 
 
 def score(counts: DataFrame, model: KnnModel) -> DataFrame:
-    """``(doc_id, score, predicted, evidence)`` of each row of :func:`term_counts`."""
+    """``(doc_id, score, predicted, evidence)`` of each row of :func:`term_counts`. A term of no example
+    that ``model.others`` does not hold counts as one of a single document."""
+    if model.index is None:
+        rate = F.lit(model.rate)
+        return counts.select("doc_id", rate.alias("score"), (rate >= 0.5).cast("int").alias("predicted"), F.array().cast("array<long>").alias("evidence"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 64):
+            at = [_positions(a) for a in b.column("at").to_pylist()]
+            x = [(1 + np.log(_unpacked(n))) * model.idf[a] * model.gain[a] for a, n in zip(at, b.column("tf").to_pylist(), strict=True)]
+            units = [max(np.linalg.norm(v), 1e-12) for v in x]
+            cos = model.index.cosines([model.query(a, v / u) for a, v, u in zip(at, x, units, strict=True)])
+            near = [model.index.top(c, model.k) for c in cos]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("row"), pa.array([u * u for u in units], pa.float64()), pa.array(near, pa.list_(pa.int32())),
+                 pa.array([c[n].astype(float) for c, n in zip(cos, near, strict=True)], pa.list_(pa.float64()))],
+                ["doc_id", "row", "known", "near", "cos"],
+            )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = zip(b.column("at").to_pylist(), b.column("tf").to_pylist(), strict=True)
-            got = [model.score(np.array(a, np.int64), np.array(n, float)) for a, n in rows]
-            s = np.array([x for x, _ in got], float)
+            s, evidence = np.zeros(b.num_rows), []
+            for i, (near, cos, known, rest) in enumerate(zip(*(b.column(c).to_pylist() for c in ("near", "cos", "known", "rest")), strict=True)):
+                near = np.array(near, np.int64)
+                y = model.index.labels[near]
+                s[i] = model.calibrated(model.share(np.array(cos) * np.sqrt(known / (known + rest / _UNIT)), y))
+                evidence.append(model.index.ids[near[y == 1][:3]])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(s, pa.float64()), pa.array(s >= 0.5).cast(pa.int32()), pa.array([e for _, e in got], pa.list_(pa.int64()))],
+                [b.column("doc_id"), pa.array(s, pa.float64()), pa.array(s >= 0.5).cast(pa.int32()), pa.array(evidence, pa.list_(pa.int64()))],
                 ["doc_id", "score", "predicted", "evidence"],
             )
 
-    return counts.mapInArrow(run, "doc_id long, score double, predicted int, evidence array<long>")
+    # the order of the neighbours does not depend on the norm, so only their cosines meet the other terms' weights
+    pairs = counts.select("row", F.explode(F.arrays_zip("other", "other_tf")).alias("o")).select("row", F.col("o.other").alias("term"), F.col("o.other_tf").alias("f"))
+    n = F.coalesce(F.col("n"), F.lit(1))
+    weight = (1 + F.log("f")) * (F.log((1 + model.total) / (1 + n)) + 1)
+    rest = pairs.join(small_side(model.others), "term", "left").groupBy("row").agg(F.sum(F.round(weight * weight * _UNIT).cast("long")).alias("rest"))
+    near = counts.select("doc_id", "row", "at", "tf").mapInArrow(search, "doc_id long, row long, known double, near array<int>, cos array<double>")
+    joined = near.join(rest, "row", "left").select("doc_id", "near", "cos", "known", F.coalesce("rest", F.lit(0)).alias("rest"))
+    return joined.mapInArrow(vote, "doc_id long, score double, predicted int, evidence array<long>")
