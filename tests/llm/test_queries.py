@@ -55,6 +55,21 @@ def test_held_out_labels(spark, name, column, mod, held, least):
     assert len(judged) > 50 and np.mean(judged) >= least
 
 
+def test_held_out_toxic_rows_are_found_and_clean_ones_kept(spark):
+    labels = load(spark, "/root/testdata/sf0.1", "labels").where("toxic is not null")
+    rows = Q.op8_toxicity(spark, "/root/testdata/sf0.1").where("held_out").join(labels, "doc_id").select("toxic", "predicted").collect()
+    n = collections.Counter((r.toxic, r.predicted) for r in rows)
+    assert n[1, 1] + n[1, 0] > 90 and n[1, 1] / (n[1, 1] + n[1, 0]) >= 0.9
+    assert n[1, 1] / (n[1, 1] + n[0, 1]) >= 0.95 and n[0, 0] / (n[0, 0] + n[0, 1]) >= 0.99, n
+
+
+def test_nontoxic_stage_drops_toxic_rows_and_keeps_clean_ones(spark):
+    docs = load(spark, SF10, "documents")
+    left = {r.doc_id for r in corpus_pipeline.nontoxic(spark, docs, SF10).select("doc_id").collect()}
+    toxic = {r.doc_id: r.toxic for r in load(spark, SF10, "labels").collect() if r.toxic is not None}
+    assert np.mean([i not in left for i, y in toxic.items() if y]) >= 0.9 and np.mean([i in left for i, y in toxic.items() if not y]) >= 0.98
+
+
 def test_held_out_languages(spark):
     got = Q.op6_language(spark, SF10).join(load(spark, SF10, "documents").select("doc_id", "lang"), "doc_id").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
