@@ -21,7 +21,7 @@ SF, SF10 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 def test_all_are_registered():
     names = __spark_entry__.queries()
     assert {*Q.QUERIES, "pipeline"} <= set(names) and set(Q.ORACLES) <= set(__spark_entry__.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, neardup, packing, quality, sharding, tokens, topk, toxicity, urls
+from . import decontaminate, langid, lines, neardup, packing, quality, resample, sharding, tokens, topk, toxicity, trie, urls
 from .common import crc_fold, load
 
 # fixed values of the query: rules of the url filter
@@ -80,11 +80,25 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(spark, load(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark, load(spark, sf_dir, "conversations"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_ids, op2_quality, op3_packing, op4_top_k, op5_url_filter, op6_language,
-        op7_decontamination, op8_toxicity, op9_near_duplicates, op10_shards,
+        op7_decontamination, op8_toxicity, op9_near_duplicates, op10_shards, op11_line_dedup, op12_prefix_trie,
+        op13_importance_resampling,
     )
 }
 
@@ -153,7 +167,81 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM comp LEFT JOIN sizes USING (doc_id)
 """
 
+LINE_DEDUP_SQL = """
+WITH l AS (
+  SELECT doc_id, p, line, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS k
+  FROM (SELECT doc_id, unnest(range(1, len(v) + 1)) AS p, unnest(v) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS v FROM documents) a) b
+), held AS (SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT l.*, held.k IS NOT NULL AND l.doc_id <> keeper AS gone FROM l LEFT JOIN held USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+# CRC-32 by the usual byte table, as DuckDB has none; ``v`` is the list of byte values
+_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS t FROM range(256) r(b)
+)"""
+_CRC = "xor(list_reduce(list_prepend(4294967295, {v}), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295)"
+
+PREFIX_TRIE_SQL = (
+    "WITH " + _CRC_TABLE + r""", own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT conv_id, turns, CAST(""" + _CRC.replace("{v}", "list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))") + r""" % 4 AS BIGINT) AS h FROM own, crc_table
+), made AS (
+  SELECT h.conv_id, list_concat(coalesce(b.turns, [])[1:h], h.turns[h + 1:]) AS turns FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20
+), member AS (
+  SELECT conv_id, len(turns) AS length, d, sha256(CAST(turns[1:d] AS VARCHAR) || CAST(d AS VARCHAR)) AS node,
+    CASE WHEN d > 0 THEN sha256(CAST(turns[1:d - 1] AS VARCHAR) || CAST(d - 1 AS VARCHAR)) END AS parent,
+    CASE WHEN d > 0 THEN len(regexp_extract_all(turns[d].t, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM made) x
+), node AS (
+  SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE length = d), '')) AS ends_sha256
+  FROM member GROUP BY node
+), kids AS (SELECT parent AS node, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY parent),
+within AS (
+  SELECT DISTINCT a.node AS top, b.node FROM member a JOIN member b ON a.conv_id = b.conv_id AND b.d >= a.d
+), sums AS (
+  SELECT top AS node, count(*) FILTER (WHERE k.node IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved_tokens
+  FROM within w JOIN node n ON n.node = w.node LEFT JOIN kids k ON k.node = w.node GROUP BY top
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node n JOIN sums s ON s.node = n.node LEFT JOIN kids k ON k.node = n.node LEFT JOIN node p ON p.node = n.parent
+"""
+)
+
+_HEX_BYTES = "list_transform(range(1, len(hex(encode({x}))), 2), lambda i: CAST(('0x' || substr(hex(encode({x})), i, 2)) AS BIGINT))"
+RESAMPLING_SQL = (
+    "WITH " + _CRC_TABLE + r""", texts AS (
+  SELECT 'd' AS side, doc_id, row_number() OVER () AS row, text FROM documents UNION ALL SELECT 'b', NULL, 0, text FROM benchmark
+), split AS (
+  SELECT side, doc_id, row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), counted AS (
+  SELECT side, row, array_to_string(w[p:p + k - 1], ' ') AS f, count(*) AS n
+  FROM (SELECT side, row, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM split, range(1, 4) r(k) WHERE len(w) >= k) x GROUP BY ALL
+), hashed AS (SELECT f, CAST(""" + _CRC.replace("{v}", _HEX_BYTES.replace("{x}", "f")) + r""" % 10000 AS BIGINT) AS bucket FROM (SELECT DISTINCT f FROM counted) x, crc_table),
+placed AS (SELECT side, row, bucket, n FROM counted JOIN hashed USING (f)),
+per AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0) AS s, coalesce(sum(n) FILTER (WHERE side = 'b'), 0) AS t FROM placed GROUP BY bucket),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((t::DOUBLE + 1) * ((SELECT sum(s) FROM per)::DOUBLE + 10000) / ((s::DOUBLE + 1) * ((SELECT sum(t) FROM per)::DOUBLE + 10000)))) AS BIGINT) AS g FROM per
+), weight AS (SELECT row, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * g) AS BIGINT) AS weight FROM placed JOIN gain USING (bucket) WHERE side = 'd' GROUP BY row),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST(('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM split LEFT JOIN weight USING (row) WHERE side = 'd'
+), drawn AS (SELECT doc_id, n_words, n_features, weight, score, n_words >= 20 AS able, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * (SELECT count(*) FROM drawn WHERE able) // 100 THEN place END AS rank FROM drawn
+"""
+)
+
 ORACLES: dict[str, str] = {
+    "op11_line_dedup": LINE_DEDUP_SQL,
+    "op12_prefix_trie": PREFIX_TRIE_SQL,
+    "op13_importance_resampling": RESAMPLING_SQL,
     "op4_top_k": TOP_K_SQL,
     "op7_decontamination": DECONTAMINATION_SQL,
     "op9_near_duplicates": NEAR_DUPLICATES_SQL,
