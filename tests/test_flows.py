@@ -19,9 +19,9 @@ def pk(i, t_s, src="10.0.0.1", dst="10.0.0.2", sp=1000, dp=80, proto=6, flags=0x
     return (i, int(round(t_s * 1e6)), src, dst, sp, dp, proto, 5, 64, flags, length)
 
 
-def run(spark, rows, w=60, k=4):
+def run(spark, rows, w=60, parts=4):
     df = spark.createDataFrame(rows, SCHEMA)
-    return {r.packet_id: r for r in FL.flow_features(df, w, k).collect()}
+    return {r.packet_id: r for r in FL.flow_features(df, w, parts).collect()}
 
 
 def test_single_packet_no_output(spark):
@@ -49,7 +49,7 @@ def test_icmp_ports_zero_and_non_ip_dropped(spark):
 def model(rows, w_s):
     """Row-by-row reference model of the per-packet record (numbers only)."""
     flows, out = {}, {}
-    for r in sorted(rows, key=lambda r: r[1]):
+    for r in sorted(rows, key=lambda r: (r[1], r[0])):
         pid, ts, src, dst, sp, dp, proto, ihl, ttl, flags, length = r
         if proto not in (6, 17):
             sp = dp = 0
@@ -99,7 +99,7 @@ def test_matches_row_model(spark, items):
     rows = []
     for i, (fl, t, length, flags) in enumerate(items):
         rows.append(pk(i, t + fl * 0.001, src=f"10.0.0.{fl + 1}", dst="10.0.1.1", sp=2000 + fl, length=length, flags=flags))
-    got = run(spark, rows, w=60, k=2)
+    got = run(spark, rows, w=60, parts=2)
     want = model(rows, 60)
     assert set(got) == set(want)
     for pid, exp in want.items():
@@ -108,14 +108,59 @@ def test_matches_row_model(spark, items):
             assert math.isclose(getattr(g, key), v, rel_tol=1e-9, abs_tol=1e-6), (pid, key, getattr(g, key), v)
 
 
-def test_one_shuffle_of_packet_rows(spark):
+def check(got, want):
+    assert set(got) == set(want)
+    for pid, exp in want.items():
+        for key, v in exp.items():
+            assert math.isclose(getattr(got[pid], key), v, rel_tol=1e-9, abs_tol=1e-6), (pid, key, getattr(got[pid], key), v)
+
+
+ties_strategy = st.lists(st.tuples(st.integers(0, 1), st.sampled_from([0, 1, 59, 60, 61, 119, 120, 180, 400]), st.integers(40, 1500), st.integers(0, 255)), min_size=2, max_size=40)
+
+
+@settings(max_examples=8, deadline=None)
+@given(ties_strategy, st.randoms(use_true_random=False), st.sampled_from([1, 3, 9]))
+def test_equal_times_have_one_result_in_any_input_order(spark, items, rng, parts):
+    rows = [pk(i, t, src=f"10.0.0.{fl + 1}", sp=2000 + fl, length=length, flags=flags) for i, (fl, t, length, flags) in enumerate(items)]
+    want = model(rows, 60)
+    mixed = rows[:]
+    rng.shuffle(mixed)
+    check(run(spark, mixed, 60, parts), want)
+
+
+def test_three_packets_of_one_microsecond(spark):
+    rows = [pk(i, 5.0, length=n) for i, n in ((1, 100), (2, 200), (3, 300))]
+    for mixed in (rows, rows[::-1], [rows[1], rows[2], rows[0]]):
+        out = run(spark, mixed)
+        assert {i: (r.Number, r.Tot_sum, r.Min, r.Max, r.ack_flag_number) for i, r in out.items()} == {2: (2, 300, 100, 200, 2), 3: (3, 600, 100, 300, 3)}
+
+
+def flood(spark, n):
+    """One flow, all packets inside one window, many of them at equal times."""
+    cols = ["id AS packet_id", "id div 3 AS ts_us", "'10.0.0.1' AS src_ip", "'10.0.0.2' AS dst_ip", "1000 AS src_port", "80 AS dst_port", "6 AS proto", "5 AS ihl", "64 AS ttl"]
+    return spark.range(n).selectExpr(*cols, "CAST(id % 64 AS INT) AS flags", "CAST(40 + id * 7919 % 1461 AS INT) AS length")
+
+
+def test_one_hot_flow_is_spread_over_the_partitions(spark):
+    n, parts = 60_000, 16
+    sizes = [r["count"] for r in FL._scanned(FL.flow_events(flood(spark, n), 60_000_000), 60_000_000, parts).groupBy("part").count().collect()]
+    assert len(sizes) == parts and max(sizes) < 3 * statistics.median(sizes)
+    sums = "sum(Number), sum(Tot_sum), sum(Min), sum(Max), sum(syn_flag_number), sum(CAST(Variance * 1e15 AS DECIMAL(38,0))), count(1)"
+    spread = FL.flow_features(flood(spark, n), 60, parts).selectExpr(sums.split(", ")[0], *sums.split(", ")[1:]).first()
+    assert spread == FL.flow_features(flood(spark, n), 60, 1).selectExpr(sums.split(", ")[0], *sums.split(", ")[1:]).first()
+    assert spread[0] == n * (n + 1) // 2 - 1 and spread[6] == n - 1
+
+
+def test_partitions_are_scanned_without_further_shuffles(spark):
     df = spark.createDataFrame([pk(1, 0.0), pk(2, 1.0)], SCHEMA)
-    plan = FL.flow_features(df, 60)
-    # packet rows: one exchange; bucket summary: partial-agg exchange, prefix
-    # exchange by flow, join exchange -- all over one row per (flow, bucket).
-    assert count_nodes(plan, "Exchange") == 4
-    assert count_nodes(plan, "BatchEvalPython") == 0
-    assert count_nodes(plan, "ArrowEvalPython") == 0
+    plan = FL._scanned(FL.flow_events(df, 60_000_000), 60_000_000, 4)
+    # one to deal the events by range, one to name the partitions; every window works inside them
+    assert count_nodes(plan, "Exchange") == 2
+    features = FL.flow_features(df, 60)
+    assert count_nodes(features, "Exchange") == 0 and count_nodes(features, "BroadcastExchange") == 1
+    for p in (plan, features):
+        assert count_nodes(p, "BatchEvalPython") == 0
+        assert count_nodes(p, "ArrowEvalPython") == 0
 
 
 @settings(max_examples=5, deadline=None)

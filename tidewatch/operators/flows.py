@@ -9,22 +9,25 @@ packets in the last ``W`` seconds (``t > now - W``):
 * whole-life (never windowed): TCP flag counters, protocol presence, and the
   first-seen time used by the rate.
 
-Plan (batch). A flow holding a third of all packets must not become one
-task, so each flow is cut into time buckets of ``k * W``; the last ``W`` of
-every bucket is copied into the next bucket as context (a ``1/k`` share of
-rows). Windowed statistics are running sums over arrivals and expiries inside
-``(flow, bucket)`` partitions; whole-life counters are an in-bucket running sum plus the sum
-over earlier buckets (a prefix scan over a one-row-per-bucket summary),
-joined back on ``(flow, bucket)`` -- the same keys the frames are
-partitioned on, so the packet rows shuffle once.
-
-Statistics come from exact integer aggregates (``long`` sums, ``decimal``
-squares) followed by a fixed, short sequence of double operations, so the
-result does not depend on partitioning or summation order.
-
-Input contract: ``ts_us`` (microseconds) is unique within a flow -- the
-source stamps arrivals with the clock. Rows with equal ``(flow, ts_us)``
-would see each other in the window.
+Packets of a flow are in the total order of ``(ts_us, packet_id)``; a packet's window holds only
+packets up to itself in that order, so packets of one microsecond have one result in any input order.
+Packets without a time are dropped.
+
+Plan (batch): a segmented prefix scan. Every packet is two events, its arrival at ``ts`` and its expiry
+at ``ts + W``. Events are range partitioned by ``(flow, time, kind, packet_id)``, so a flow with all its packets
+in one window is spread over as many partitions as its size asks for, and each partition is scanned by itself:
+
+* forward, running sums that add at arrivals and subtract at expiries (count, bytes, squares, squared gaps), running
+  sums of the whole-life counters, and the extremes of the arrivals in the current block of ``W``;
+* backward, the time of the next expiry (the window starts with its packet) and the extremes of the expiries still to
+  come in the block, which are those of the packets of the block before that are still in the window.
+
+What a scan lacks is the state at its partition's ends. Only the first and the last flow of a partition can go on in
+another one, so this state is at most four rows a partition. They are summed up in the order of the
+partitions, and the result, at most two rows a partition, is broadcast and added to the rows.
+
+Statistics come from exact integer aggregates (``long`` sums; squared gaps in two 20-bit parts) followed by a
+fixed, short sequence of double operations, so the result does not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -44,6 +47,7 @@ from ..schema import (
     UDP_APP_PORTS,
     UNKNOWN_LABEL,
 )
+from ..session import work_path
 
 # Producer spelling of the 40 names (underscores instead of spaces).
 FLOW_FEATURE_NAMES = [n.replace(" ", "_") for n, _ in TRAFFIC_FIELDS]
@@ -129,130 +133,182 @@ def decode_packets(df: DataFrame) -> DataFrame:
 # Windowed + cumulative features (FL5-FL16) -----------------------------------
 
 
-def _bucketed(d: DataFrame, w_us: int, k: int) -> DataFrame:
-    """Each packet in its own bucket (``own``) plus, if it lies in the last
-    ``W`` of its bucket, a context copy in the next bucket."""
-    b_us = w_us * k
-    bucket = F.floor(F.col("ts_us") / F.lit(b_us)).cast("bigint")
-    d = d.withColumn("bucket", bucket)
-    in_tail = F.col("ts_us") >= (F.col("bucket") + 1) * F.lit(b_us) - F.lit(w_us)
-    targets = F.when(
-        in_tail, F.array(F.struct(F.col("bucket").alias("b"), F.lit(True).alias("own")),
-                         F.struct((F.col("bucket") + 1).alias("b"), F.lit(False).alias("own")))
-    ).otherwise(F.array(F.struct(F.col("bucket").alias("b"), F.lit(True).alias("own"))))
-    return (
-        d.withColumn("_t", F.explode(targets))
-        .withColumn("bucket", F.col("_t.b"))
-        .withColumn("own", F.col("_t.own"))
-        .drop("_t")
-    )
-
-
 def _counters() -> list[str]:
     return [f"f_{n}" for n in FLAG_NAMES] + [f"p_{n}" for n in PROTOCOL_FLAGS]
 
 
-def flow_window_stats(packets: DataFrame, window_s: float = DEFAULT_WINDOW_S, bucket_windows: int = 4) -> DataFrame:
-    """Per packet (own rows only): windowed aggregates, whole-life counters,
-    first-seen time. Integer-valued; ``flow_features`` derives the doubles.
+SUMS = ["n_in", "n_out", "len_sum", "len_sq", "gap_hh", "gap_hl", "gap_ll", *_counters()]
 
-    Every packet arrives at ``ts`` and expires at ``ts + W``. Over the union of
-    both kinds of event in time order, each windowed sum is a running sum that
-    adds at arrivals and subtracts at expiries, exact in integers, so the
-    work is linear after the sort however dense a window is.
-    """
-    w_us = int(round(window_s * 1_000_000))
-    d = decode_packets(packets)
-    counters = _counters()
-    d = d.select("flow", "packet_id", "ts_us", "ihl", "proto", "ttl", "length", *counters)
-    # Packet rows shuffle once, on (flow, bucket); all windows below sort inside
-    # those partitions. The bucket summary is pre-aggregated map-side, so its
-    # shuffles carry one row per (flow, bucket) per task.
-    rows = _bucketed(d, w_us, bucket_windows)
-
-    ordered = Window.partitionBy("flow", "bucket").orderBy("ts_us")
-    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.select(
-        "flow", "bucket", "own", "packet_id", "ts_us", "ihl", "proto", "ttl", F.col("length").cast("bigint").alias("length"),
-        F.floor(F.col("ts_us") / F.lit(w_us)).cast("bigint").alias("block"),
-        F.row_number().over(ordered).alias("seq"),
-        F.lag("ts_us").over(ordered).alias("before_us"),
-        F.lead("ts_us").over(ordered).alias("next_us"),
-        *[F.sum(F.when(F.col("own"), F.col(c)).otherwise(0)).over(running).alias(f"r_{c}") for c in counters],
+
+def flow_events(packets: DataFrame, w_us: int) -> DataFrame:
+    """Two rows a packet: ``kind`` 1 arrives at ``at``, 0 expires. An expiry comes before an arrival of the same
+    time, as a packet sees only what is younger than ``W``. The 0/1 indicators are bits of ``marks``."""
+    d = decode_packets(packets).where(F.col("ts_us").isNotNull())
+    marks = sum((F.shiftleft(F.col(c), i) for i, c in enumerate(_counters())), F.lit(0))
+    d = d.select(
+        "flow", "packet_id", F.col("ts_us").cast("bigint").alias("ts_us"), "ihl", "proto", "ttl", F.col("length").cast("bigint").alias("length"), marks.alias("marks")
     )
-    # Extremes: a window covers the current block of W up to now and what has not
-    # expired of the block before. ``rest_*`` are the extremes of a block after a packet.
-    block = Window.partitionBy("flow", "bucket", "block")
-    so_far = block.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = block.orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
+    kinds = F.array(F.struct(F.col("ts_us").alias("at"), F.lit(1).alias("kind")), F.struct((F.col("ts_us") + w_us).alias("at"), F.lit(0).alias("kind")))
+    events = d.withColumn("e", F.explode(kinds)).select("flow", "e.at", "e.kind", "packet_id", "ihl", "proto", "ttl", "length", "marks")
+    return events.withColumn("block", F.floor(F.col("at") / F.lit(w_us)).cast("bigint"))
+
+
+def _scanned(events: DataFrame, w_us: int, parts: int) -> DataFrame:
+    """Each partition of ``events`` scanned by itself: all arrivals, and the ends of every flow in a partition."""
+    order = ["flow", "at", "kind", "packet_id"]
+    dealt = events.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()).repartitionById(parts, "part")
+
+    arrives, expires = F.col("kind") == 1, F.col("kind") == 0
+    forward = Window.partitionBy("flow", "part").orderBy("block", "at", "kind", "packet_id")
+    before, upto = forward.rowsBetween(Window.unboundedPreceding, -1), forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last_of_kind = F.when(arrives, F.max(F.when(arrives, F.col("at"))).over(before)).otherwise(F.max(F.when(expires, F.col("at"))).over(before))
+    rows = dealt.withColumn("gap", F.col("at") - last_of_kind).withColumn("first", F.row_number().over(forward) == 1)
+    gap = F.when(F.col("gap") < w_us, F.col("gap")).otherwise(F.lit(0))  # a gap of W or more never counts
+    high, low = F.shiftright(gap, 20), gap.bitwiseAND(0xFFFFF)
+    sign, length = F.col("kind") * 2 - 1, F.col("length")
+    steps = {
+        "n_in": F.col("kind"), "n_out": 1 - F.col("kind"), "len_sum": sign * length, "len_sq": sign * length * length,
+        "gap_hh": sign * high * high, "gap_hl": sign * high * low, "gap_ll": sign * low * low,
+        **{c: F.when(arrives, F.shiftright(F.col("marks"), i).bitwiseAND(1)).otherwise(0) for i, c in enumerate(_counters())},
+    }
+    in_block = Window.partitionBy("flow", "part", "block")
+    so_far = in_block.orderBy("at", "kind", "packet_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.select(
         "*",
-        F.min("length").over(so_far).alias("lo"), F.max("length").over(so_far).alias("hi"),
-        F.min("length").over(after).alias("rest_lo"), F.max("length").over(after).alias("rest_hi"),
-        (F.coalesce(F.lag("block").over(ordered), F.lit(-1)) != F.col("block")).alias("opens"),
+        *[F.sum(step).over(upto).alias(f"r_{name}") for name, step in steps.items()],
+        *[f(F.when(k, F.col("at"))).over(upto).alias(name) for name, f, k in (("first_in", F.min, arrives), ("last_in", F.max, arrives), ("first_out", F.min, expires), ("last_out", F.max, expires))],
+        F.min(F.when(arrives, length)).over(so_far).alias("lo"),
+        F.max(F.when(arrives, length)).over(so_far).alias("hi"),
     )
-    dec, none = "decimal(38,0)", F.lit(None)
-    length = F.col("length")
-
-    def gap(a: str, b: str) -> Column:
-        width = (F.col(a) - F.col(b)).cast(dec)
-        return F.coalesce(width * width, F.lit(0).cast(dec)).cast(dec)
-
-    def mark(seq: Column, lo: Column, hi: Column) -> Column:
-        return F.struct(seq.alias("seq"), F.col("block").alias("block"), lo.alias("lo"), hi.alias("hi"))
-
-    def event(at: Column, kind: int, n: int, iat_sq: Column, start: Column, rest: Column) -> Column:
-        return F.struct(
-            at.alias("at"), F.lit(kind).alias("kind"), F.lit(n).cast("bigint").alias("dn"), (length * n).alias("dlen"), (length * length * n).alias("dsq"),
-            iat_sq.alias("diat"), start.cast("bigint").alias("start"), rest.alias("rest"),
-        )
-
-    no_mark = F.when(F.lit(False), mark(F.col("seq"), length, length))
-    whole = mark(F.col("seq") - 1, F.least("lo", "rest_lo"), F.greatest("hi", "rest_hi"))
-    zero = F.lit(0).cast(dec)
-    events = F.array(
-        event(F.col("ts_us"), 1, 1, gap("ts_us", "before_us"), F.when(F.col("seq") == 1, F.col("ts_us")), no_mark),
-        event(F.col("ts_us") + w_us, -1, -1, (-gap("next_us", "ts_us")).cast(dec), F.col("next_us"), mark(F.col("seq"), F.col("rest_lo"), F.col("rest_hi"))),
-        # when the next block starts, all of this one is still in the window
-        event((F.col("block") + 1) * w_us, 0, 0, zero, none, F.when(F.col("opens"), whole)),
-    )
-    late = F.filter(events, lambda e: (e["kind"] != 0) | e["rest"].isNotNull())
-    timed = rows.withColumn("e", F.explode(late))
-    until = Window.partitionBy("flow", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    timed = timed.select("flow", "bucket", "own", "packet_id", "ts_us", "ihl", "proto", "ttl", "block", "lo", "hi", *[f"r_{c}" for c in counters], "e.*")
-    timed = timed.select(
+    backward = Window.partitionBy("flow", "part").orderBy(F.desc("block"), F.desc("at"), F.desc("kind"), F.desc("packet_id"))
+    to_come = in_block.orderBy(F.desc("at"), F.desc("kind"), F.desc("packet_id")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select(
         "*",
-        F.sum("dn").over(until).alias("n"), F.sum("dlen").over(until).alias("len_sum"), F.sum("dsq").over(until).alias("len_sq"),
-        F.sum("diat").over(until).alias("iat_sq"), F.max("start").over(until).alias("win_start_us"), F.max("rest").over(until).alias("left"),
-    ).filter(F.col("own") & (F.col("kind") == 1))
-    in_reach = F.col("left.block") == F.col("block") - 1
-    stats = timed.select(
-        "flow", "bucket", "packet_id", "ts_us", "ihl", "proto", "ttl", "n", "len_sum", "len_sq", "iat_sq", "win_start_us",
-        F.least("lo", F.when(in_reach, F.col("left.lo"))).alias("len_min"), F.greatest("hi", F.when(in_reach, F.col("left.hi"))).alias("len_max"),
-        *[f"r_{c}" for c in counters],
+        (F.row_number().over(backward) == 1).alias("last"),
+        F.min(F.when(expires, F.col("at"))).over(backward.rowsBetween(Window.unboundedPreceding, -1)).alias("next_out"),
+        F.min(F.when(expires, length)).over(to_come).alias("rest_lo"),
+        F.max(F.when(expires, length)).over(to_come).alias("rest_hi"),
     )
+    return rows.where(arrives | F.col("first") | F.col("last")).drop("marks", "gap")
 
-    # Prefix over earlier buckets: one row per (flow, bucket) summary.
-    summary = (
-        d.withColumn("bucket", F.floor(F.col("ts_us") / F.lit(w_us * bucket_windows)).cast("bigint"))
-        .groupBy("flow", "bucket")
-        .agg(F.min("ts_us").alias("b_first_us"), *[F.sum(c).alias(f"b_{c}") for c in counters])
-    )
-    by_flow = Window.partitionBy("flow").orderBy("bucket")
-    before = by_flow.rowsBetween(Window.unboundedPreceding, -1)
-    upto = by_flow.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prefix = summary.select(
-        "flow",
-        "bucket",
-        F.min("b_first_us").over(upto).alias("first_us"),
-        *[F.coalesce(F.sum(f"b_{c}").over(before), F.lit(0)).alias(f"o_{c}") for c in counters],
-    )
-    joined = stats.join(prefix.hint("shuffle_hash"), ["flow", "bucket"], "inner")
+
+def _least(*values):
+    return min((v for v in values if v is not None), default=None)
+
+
+def _greatest(*values):
+    return max((v for v in values if v is not None), default=None)
+
+
+CARRY_SCHEMA = "flow string, part int, " + ", ".join(
+    f"c_{name} bigint"
+    for name in [*SUMS, "first_in", "last_out", "next_out", "out_hh", "out_hl", "out_ll", "from_block", "from_lo", "from_hi", "to_block", "to_lo", "to_hi"]
+)
+
+
+def carried(ends: list[dict], w_us: int) -> list[tuple]:
+    """Rows of ``CARRY_SCHEMA``: what the other partitions add to each of ``ends``, the first and last event of a
+    flow in a partition. ``c_out_*`` is the gap before a partition's first expiry, which counts from there on."""
+    parts: dict[str, dict[int, dict]] = {}
+    for r in ends:
+        of = parts.setdefault(r["flow"], {}).setdefault(r["part"], {})
+        if r["first"]:
+            of["head"] = r
+        if r["last"]:
+            of["tail"] = r
+    out = []
+    for flow, of in parts.items():
+        if len(of) < 2:
+            continue
+        rows = {part: dict.fromkeys(("from_block", "from_lo", "from_hi", "to_block", "to_lo", "to_hi", "next_out")) for part in of}
+        total, seen, block, lo, hi = dict.fromkeys(SUMS, 0), dict.fromkeys(("first_in", "last_in", "last_out")), None, None, None
+        for part in sorted(of):
+            head, tail, row = of[part]["head"], of[part]["tail"], rows[part]
+            gap_in, gap_out = (_squares(tail[f"first_{k}"], seen[f"last_{k}"], w_us) for k in ("in", "out"))
+            for name, g in zip(("gap_hh", "gap_hl", "gap_ll"), gap_in, strict=True):
+                total[name] += g
+            row |= total | {"first_in": seen["first_in"], "last_out": seen["last_out"]} | dict(zip(("out_hh", "out_hl", "out_ll"), gap_out, strict=True))
+            if block == head["block"]:
+                row |= {"from_block": block, "from_lo": lo, "from_hi": hi}
+            for name in SUMS:
+                total[name] += tail[f"r_{name}"]
+            for name, g in zip(("gap_hh", "gap_hl", "gap_ll"), gap_out, strict=True):
+                total[name] -= g
+            seen = {
+                "first_in": _least(seen["first_in"], tail["first_in"]), "last_in": _greatest(seen["last_in"], tail["last_in"]),
+                "last_out": _greatest(seen["last_out"], tail["last_out"]),
+            }
+            whole = block == head["block"] == tail["block"]  # the block began before this partition
+            block, lo, hi = tail["block"], _least(tail["lo"], lo if whole else None), _greatest(tail["hi"], hi if whole else None)
+        next_out, block, lo, hi = None, None, None, None
+        for part in sorted(of, reverse=True):
+            head, tail, row = of[part]["head"], of[part]["tail"], rows[part]
+            row["next_out"] = next_out
+            if block == tail["block"]:
+                row |= {"to_block": block, "to_lo": lo, "to_hi": hi}
+            own = head["length"] if head["kind"] == 0 else None
+            whole = block == tail["block"] == head["block"]
+            block = head["block"]
+            lo, hi = _least(own, head["rest_lo"], lo if whole else None), _greatest(own, head["rest_hi"], hi if whole else None)
+            next_out = _least(tail["first_out"], next_out)
+        names = [f.split()[0][2:] for f in CARRY_SCHEMA.split(", ")[2:]]
+        out += [(flow, part, *(row[n] for n in names)) for part, row in rows.items()]
+    return out
+
+
+def _squares(now: int | None, before: int | None, w_us: int) -> tuple[int, int, int]:
+    gap = now - before if now is not None and before is not None and now - before < w_us else 0
+    high, low = gap >> 20, gap & 0xFFFFF
+    return high * high, high * low, low * low
+
+
+def flow_window_stats(packets: DataFrame, window_s: float = DEFAULT_WINDOW_S, parts: int | None = None) -> DataFrame:
+    """Per packet: windowed aggregates, whole-life counters, first-seen time. Integer-valued;
+    ``flow_features`` derives the doubles. ``parts`` is the number of range partitions (default: the session's
+    shuffle partitions). The scanned rows are written to the shared folder once, for the ends and the result."""
+    spark = packets.sparkSession
+    w_us = int(round(window_s * 1_000_000))
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    scanned = _scanned(flow_events(packets, w_us), w_us, parts)
+    path = work_path(spark, "flow-scan")
+    scanned.write.parquet(path)
+    rows = spark.read.schema(scanned.schema).parquet(path)
+
+    # at most four rows a partition: the ends of its first and its last flow
+    outer = rows.where("first or last").groupBy("part").agg(F.min("flow").alias("low_flow"), F.max("flow").alias("high_flow"))
+    ends = rows.where("first or last").join(F.broadcast(outer), "part").where("flow = low_flow or flow = high_flow")
+    carry = spark.createDataFrame(carried([r.asDict() for r in ends.collect()], w_us), CARRY_SCHEMA)
+
+    joined = rows.where("kind = 1").join(F.broadcast(carry), ["flow", "part"], "left")
+
+    def total(name: str) -> Column:
+        return F.col(f"r_{name}") + F.coalesce(F.col(f"c_{name}"), F.lit(0))
+
+    def squares(high2: Column, both: Column, low2: Column) -> Column:
+        parts_of = ((high2, 1 << 40), (both, 1 << 21), (low2, 1))
+        return sum((x.cast("decimal(38,0)") * F.lit(k).cast("decimal(38,0)") for x, k in parts_of), F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)")
+
+    # the gap before the window's first packet is still in the sum
+    next_out, last_out = F.coalesce("next_out", "c_next_out"), F.greatest("last_out", "c_last_out")
+    lead = next_out - last_out
+    lead = F.when(lead < w_us, lead).otherwise(F.lit(0))
+    high, low = F.shiftright(lead, 20), lead.bitwiseAND(0xFFFFF)
+
+    def gaps(name: str, leading: Column) -> Column:
+        late = F.when(F.col("r_n_out") > 0, F.coalesce(F.col(f"c_out_{name}"), F.lit(0))).otherwise(F.lit(0))
+        return total(f"gap_{name}") - late - leading
+
+    came, goes = F.col("block") == F.col("c_from_block"), F.col("block") == F.col("c_to_block")
     return joined.select(
-        "flow", "packet_id", "ts_us", "ihl", "proto", "ttl",
-        "n", "len_sum", "len_sq", "len_min", "len_max", "win_start_us", "iat_sq", "first_us",
-        *[(F.col(f"r_{c}") + F.col(f"o_{c}")).alias(c) for c in counters],
-    )
+        "flow", "packet_id", F.col("at").alias("ts_us"), "ihl", "proto", "ttl",
+        (total("n_in") - total("n_out")).alias("n"), total("len_sum").alias("len_sum"), total("len_sq").alias("len_sq"),
+        F.least("lo", "rest_lo", F.when(came, F.col("c_from_lo")), F.when(goes, F.col("c_to_lo"))).alias("len_min"),
+        F.greatest("hi", "rest_hi", F.when(came, F.col("c_from_hi")), F.when(goes, F.col("c_to_hi"))).alias("len_max"),
+        (next_out - w_us).alias("win_start_us"),
+        squares(gaps("hh", high * high), gaps("hl", high * low), gaps("ll", low * low)).alias("iat_sq"),
+        F.least("first_in", "c_first_in").alias("first_us"),
+        *[total(c).alias(c) for c in _counters()],
+    )
 
 
 def _exact_double(x: Column) -> Column:
@@ -262,11 +318,11 @@ def _exact_double(x: Column) -> Column:
     return (x - lo).cast("double") + lo.cast("double")
 
 
-def flow_features(packets: DataFrame, window_s: float = DEFAULT_WINDOW_S, bucket_windows: int = 4) -> DataFrame:
+def flow_features(packets: DataFrame, window_s: float = DEFAULT_WINDOW_S, parts: int | None = None) -> DataFrame:
     """The full 40-field record per emitted packet, plus ``flow``,
     ``packet_id``, ``ts_us``. Emitted when at least 2 packets are in the
     window. Integer-valued fields are ints, the others doubles."""
-    s = flow_window_stats(packets, window_s, bucket_windows).filter(F.col("n") >= 2)
+    s = flow_window_stats(packets, window_s, parts).filter(F.col("n") >= 2)
     n = F.col("n")
     m = n - 1
     nd = n.cast("double")
