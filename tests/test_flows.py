@@ -93,7 +93,7 @@ packets_strategy = st.lists(
 )
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(packets_strategy)
 def test_matches_row_model(spark, items):
     rows = []
@@ -118,7 +118,7 @@ def check(got, want):
 ties_strategy = st.lists(st.tuples(st.integers(0, 1), st.sampled_from([0, 1, 59, 60, 61, 119, 120, 180, 400]), st.integers(40, 1500), st.integers(0, 255)), min_size=2, max_size=40)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(ties_strategy, st.randoms(use_true_random=False), st.sampled_from([1, 3, 9]))
 def test_equal_times_have_one_result_in_any_input_order(spark, items, rng, parts):
     rows = [pk(i, t, src=f"10.0.0.{fl + 1}", sp=2000 + fl, length=length, flags=flags) for i, (fl, t, length, flags) in enumerate(items)]
@@ -163,7 +163,7 @@ def test_partitions_are_scanned_without_further_shuffles(spark):
         assert count_nodes(p, "ArrowEvalPython") == 0
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=3, deadline=None)
 @given(packets_strategy)
 def test_encode_then_parse_is_identity(spark, items):
     """Wire line of a flow record parses back to the record (floats to %.6f,

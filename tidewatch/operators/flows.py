@@ -119,15 +119,22 @@ def app_protocol(df: DataFrame, out: str = "app") -> DataFrame:
     return df.withColumn(out, expr)
 
 
-def decode_packets(df: DataFrame) -> DataFrame:
-    """Key + per-packet 0/1 indicators (flags, transport, application)."""
-    d = app_protocol(transport(tcp_flags(flow_key(df))))
-    apps = {
-        f"p_{name}": (F.col("app") == name).cast("int")
-        for name in ["HTTP", "HTTPS", "DNS", "Telnet", "SMTP", "SSH", "IRC", "DHCP"]
-    }
-    apps["p_ARP"] = F.lit(0)  # ARP frames carry no IP header: never keyed
-    return d.withColumns({k: F.coalesce(v, F.lit(0)) for k, v in apps.items()})
+def packet_marks() -> Column:
+    """The 0/1 indicators of a packet (flags, transport, application) as bits, in the order of ``_counters``.
+    ARP frames carry no IP header, so that bit is never set."""
+    bit = {name: 1 << i for i, name in enumerate(_counters())}
+    tcp, udp, icmp = (F.col("proto") == p for p in (PROTO_TCP, PROTO_UDP, PROTO_ICMP))
+    flags = sum((F.when(F.col("flags").bitwiseAND(mask) != 0, bit[f"f_{name}"]).otherwise(0) for name, mask in TCP_FLAG_BITS), F.lit(0))
+
+    def app(rules) -> Column:
+        return F.coalesce(*(F.when(_port_match(ports), bit[f"p_{name}"]) for name, ports in rules), F.lit(0))
+
+    return (
+        F.when(tcp, F.coalesce(flags, F.lit(0)) + bit["p_TCP"] + app(TCP_APP_PORTS))
+        .when(udp, bit["p_UDP"] + app(UDP_APP_PORTS))
+        .when(icmp, F.lit(bit["p_ICMP"]))
+        .otherwise(0)
+    )
 
 
 # Windowed + cumulative features (FL5-FL16) -----------------------------------
@@ -143,10 +150,8 @@ SUMS = ["n_in", "n_out", "len_sum", "len_sq", "gap_hh", "gap_hl", "gap_ll", *_co
 def flow_events(packets: DataFrame, w_us: int) -> DataFrame:
     """Two rows a packet: ``kind`` 1 arrives at ``at``, 0 expires. An expiry comes before an arrival of the same
     time, as a packet sees only what is younger than ``W``. The 0/1 indicators are bits of ``marks``."""
-    d = decode_packets(packets).where(F.col("ts_us").isNotNull())
-    marks = sum((F.shiftleft(F.col(c), i) for i, c in enumerate(_counters())), F.lit(0))
-    d = d.select(
-        "flow", "packet_id", F.col("ts_us").cast("bigint").alias("ts_us"), "ihl", "proto", "ttl", F.col("length").cast("bigint").alias("length"), marks.alias("marks")
+    d = flow_key(packets).where(F.col("ts_us").isNotNull()).select(
+        "flow", "packet_id", F.col("ts_us").cast("bigint").alias("ts_us"), "ihl", "proto", "ttl", F.col("length").cast("bigint").alias("length"), packet_marks().alias("marks")
     )
     kinds = F.array(F.struct(F.col("ts_us").alias("at"), F.lit(1).alias("kind")), F.struct((F.col("ts_us") + w_us).alias("at"), F.lit(0).alias("kind")))
     events = d.withColumn("e", F.explode(kinds)).select("flow", "e.at", "e.kind", "packet_id", "ihl", "proto", "ttl", "length", "marks")

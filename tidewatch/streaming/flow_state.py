@@ -1,20 +1,29 @@
 """Stateful streaming flow features (the per-packet extractor, incrementally).
 
-Packets are decoded with JVM expressions (key, flag bits, protocol
-indicators); only the per-flow state update runs in Python, through
-``applyInPandasWithState`` on the flow key. The state per flow is its
-whole-life counters and first-seen time plus the (time, length) pairs of the
-last ``W`` -- bounded by the window, not by the flow's history. Arithmetic
-matches ``operators.flows.flow_features`` exactly (integer sums, then the
-same double operations), so a stream of in-order packets yields the same
-records as the batch operator.
-
-Rows older than the newest packet already seen for their flow are late; the
-reference has no notion of lateness (arrival time is event time), so every arrival is
-processed by default: a late packet takes its place in time among the retained packets, and its own
-window reaches as far back as the state does. ``late='drop'`` leaves late packets out and counts them.
-``idle_ttl_s`` expires flows idle that long (processing time), which restarts
-their counters; ``None`` keeps state forever.
+Packets are decoded with JVM expressions (key, flag bits, protocol indicators); only the per-flow state
+update runs in Python, a ``StatefulProcessor`` on the flow key. Arithmetic matches
+``operators.flows.flow_features`` exactly (integer sums, then the same double operations).
+
+State of a flow:
+
+* a value: first and last time, whole-life counters, how far packets were emitted and trimmed, the timer;
+* a list of packets, to which a batch only appends what is new. Packets that left the last ``W`` are
+  trimmed when they are more than half of the list, so each is written at most about twice.
+
+Two orders of emission:
+
+* Arrival order (``delay_s=None``, the extractor's own notion: arrival time is event time). A packet is
+  emitted in the batch that brings it. A packet older than the newest one of its flow is late: it takes its place
+  in time among the packets kept, and ``short`` counts those whose window reaches back behind what was
+  trimmed. ``late='drop'`` leaves late packets out and counts them.
+* Event-time order (``delay_s``). Packets wait in the list until the watermark, ``delay_s`` behind the newest packet
+  of the stream, has passed them; then no earlier packet can come, and they are emitted in the order of ``(ts_us,
+  packet_id)``. So however topic partitions interleave within the delay, the records are those of the batch operator.
+  An event-time timer at the oldest waiting packet emits it when its flow stays silent. Spark drops packets behind the watermark
+  and counts them (``late_packets``). Packets newer than the watermark wait when the stream ends.
+
+``idle_ttl_s`` deletes the state of flows idle that long (processing time, or event time with ``delay_s``), which
+restarts their counters; ``None`` keeps state forever.
 
 A micro-batch of a flow is worked on as arrays: binary search for window starts,
 prefix sums for counts, sums and squares, and tables of run extremes for minimum and maximum, so
@@ -28,10 +37,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.flows import FLAG_NAMES, FLOW_FEATURE_NAMES, PROTOCOL_FLAGS, _counters, decode_packets
+from ..operators.flows import FLAG_NAMES, FLOW_FEATURE_NAMES, PROTOCOL_FLAGS, _counters, flow_key, packet_marks
 from ..schema import DEFAULT_WINDOW_S, UNKNOWN_LABEL
 
 _INT_FIELDS = {
@@ -60,15 +71,11 @@ def output_schema() -> T.StructType:
     return T.StructType(fields)
 
 
-STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("first_us", T.LongType()),
-        T.StructField("last_us", T.LongType()),
-        T.StructField("counters", T.ArrayType(T.LongType())),
-        T.StructField("win_ts", T.ArrayType(T.LongType())),
-        T.StructField("win_len", T.ArrayType(T.LongType())),
-    ]
-)
+PACKET_FIELDS = ["ts_us", "packet_id", "length", "ihl", "proto", "ttl", "marks"]
+LIST_SCHEMA = ", ".join(f"{name} bigint" for name in PACKET_FIELDS)
+TOTALS = ["first_us", "last_us", "emitted_us", "trimmed_us", "timer_ms"]
+TOTALS_SCHEMA = ", ".join(f"{name} bigint" for name in TOTALS) + ", counters array<bigint>"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _extremes(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,13 +100,14 @@ def _running(x: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(x, dtype=np.int64)])
 
 
-def _records(flow: str, pdf: pd.DataFrame, new: np.ndarray, ts: np.ndarray, length: np.ndarray, counters: np.ndarray, first_us: np.ndarray, w_us: int) -> pd.DataFrame:
-    """Feature rows of the new packets. ``ts`` and ``length`` are all retained packets in
+def _records(flow: str, packets: dict[str, np.ndarray], new: np.ndarray, counters: np.ndarray, first_us: np.ndarray, w_us: int) -> pd.DataFrame:
+    """Feature rows of the new packets. ``packets`` are all retained ones in
     time order, ``new`` the places of the new ones among them, ``counters`` their
     whole-life counters. All integer, then the batch operator's double operations."""
+    ts, length = packets["ts_us"], packets["length"]
     start = np.searchsorted(ts, ts[new] - w_us, "right")
     keep = new - start >= 1
-    pdf, new, start, counters, first_us = pdf[keep], new[keep], start[keep], counters[keep], first_us[keep]
+    new, start, counters, first_us = new[keep], start[keep], counters[keep], first_us[keep]
     if not len(new):
         return pd.DataFrame()
     n = new - start + 1
@@ -119,8 +127,8 @@ def _records(flow: str, pdf: pd.DataFrame, new: np.ndarray, ts: np.ndarray, leng
     gap_num = np.array([float(int(k) * x - int(d) * int(d)) for k, x, d in zip(m, q, span, strict=True)])
     cnt = {c: counters[:, i] for i, c in enumerate(_counters())}
     out = {
-        "flow": flow, "packet_id": pdf["packet_id"].to_numpy(), "ts_us": ts[new],
-        "Header_Length": pdf["ihl"].to_numpy() * 4, "Protocol_Type": pdf["proto"].to_numpy(), "Time_To_Live": pdf["ttl"].to_numpy(),
+        "flow": flow, "packet_id": packets["packet_id"][new], "ts_us": ts[new],
+        "Header_Length": packets["ihl"][new] * 4, "Protocol_Type": packets["proto"][new], "Time_To_Live": packets["ttl"][new],
         "Rate": nd / np.maximum((ts[new] - first_us).astype(float) / 1e6, 1.0),
         **{f"{name.lower()}_flag_number": cnt[f"f_{name}"] for name in FLAG_NAMES},
         **{f"{name.lower()}_count": cnt[f"f_{name}"].astype(float) / nd for name in ("ACK", "SYN", "FIN", "RST")},
@@ -132,45 +140,104 @@ def _records(flow: str, pdf: pd.DataFrame, new: np.ndarray, ts: np.ndarray, leng
     return pd.DataFrame(out)[[f.name for f in output_schema().fields]]
 
 
-def _updater(w_us: int, late: str, idle_ttl_ms: int | None, dropped=None):
-    names = _counters()
+class FlowProcessor(StatefulProcessor):
+    """The state of one flow and its update (see the module's text)."""
+
+    def __init__(self, w_us: int, late: str, idle_ttl_ms: int | None, event_time: bool, dropped=None, short=None) -> None:
+        self.w_us, self.late, self.idle_ttl_ms, self.event_time = w_us, late, idle_ttl_ms, event_time
+        self.dropped, self.short = dropped, short
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.totals = handle.getValueState("totals", TOTALS_SCHEMA)
+        self.packets = handle.getListState("packets", LIST_SCHEMA)
 
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (flow,) = key
-        if state.hasTimedOut:
-            state.remove()
+    def close(self) -> None: ...
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat([pdf[PACKET_FIELDS] for pdf in rows], ignore_index=True).sort_values(["ts_us", "packet_id"], kind="stable")
+        yield from self.update(key[0], new.to_numpy(np.int64), timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self.update(key[0], np.empty((0, len(PACKET_FIELDS)), np.int64), timerValues)
+
+    def update(self, flow: str, new: np.ndarray, timers) -> Iterator[pd.DataFrame]:
+        state = self.totals.get() if self.totals.exists() else None
+        if state is None and not len(new):
+            return
+        total = dict(zip(TOTALS, state[:-1], strict=True)) if state else dict.fromkeys(TOTALS)
+        counters = np.array(state[-1] if state else [0] * len(_counters()), np.int64)
+        if not len(new) and self._idle(total, timers):
+            self.totals.clear()
+            self.packets.clear()
             return
-        if state.exists:
-            first_us, last_us, base, old_ts, old_len = state.get
+        if self.late == "drop" and not self.event_time and total["last_us"] is not None:
+            on_time = new[:, 0] >= total["last_us"]
+            if self.dropped is not None:
+                self.dropped.add(int((~on_time).sum()))
+            new = new[on_time]
+        old = np.array(list(self.packets.get()), np.int64).reshape(-1, len(PACKET_FIELDS)) if state else new[:0]
+        rows = np.concatenate([old, new])
+        emitted = total["emitted_us"]
+        if self.event_time:
+            safe = timers.getCurrentWatermarkInMs() * 1000  # Spark drops what is not beyond it from now on
+            fresh = (rows[:, 0] <= safe) & (rows[:, 0] > (emitted if emitted is not None else np.iinfo(np.int64).min))
+            waits = rows[:, 0] > safe
+            rank = np.lexsort((rows[:, 1], rows[:, 0]))
         else:
-            first_us, last_us, base, old_ts, old_len = None, None, [0] * len(names), [], []
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts_us", "packet_id"], kind="stable")
-        if late == "drop" and last_us is not None:
-            on_time = pdf["ts_us"] >= last_us
-            if dropped is not None:
-                dropped.add(int((~on_time).sum()))
-            pdf = pdf[on_time]
-        if len(pdf):
-            now = pdf["ts_us"].to_numpy(np.int64)
-            ts = np.concatenate([np.array(old_ts, np.int64), now])
-            length = np.concatenate([np.array(old_len, np.int64), pdf["length"].to_numpy(np.int64)])
-            order = np.argsort(ts, kind="stable")  # late packets take their place among the retained ones
-            place = np.empty(len(ts), np.int64)
-            place[order] = np.arange(len(ts))
-            ts, length = ts[order], length[order]
-            counters = np.cumsum(pdf[names].to_numpy(np.int64), axis=0) + np.array(base, np.int64)
-            earliest = np.minimum.accumulate(now)
-            first = earliest if first_us is None else np.minimum(earliest, first_us)
-            out = _records(flow, pdf, place[len(old_ts) :], ts, length, counters, first, w_us)
-            first_us, last_us = int(first[-1]), int(ts[-1])
-            live = ts > last_us - w_us
-            state.update((first_us, last_us, counters[-1].tolist(), ts[live].tolist(), length[live].tolist()))
+            fresh, waits = np.arange(len(rows)) >= len(old), np.zeros(len(rows), bool)
+            rank = np.argsort(rows[:, 0], kind="stable")  # late packets take their place among the retained ones
+        if fresh.any():
+            ready = rank[~waits[rank]]
+            window = rows[ready]
+            at = np.flatnonzero(fresh[ready])
+            packets = {name: window[:, i] for i, name in enumerate(PACKET_FIELDS)}
+            times = window[at, 0]
+            if self.short is not None and total["trimmed_us"] is not None:
+                self.short.add(int((times - self.w_us < total["trimmed_us"]).sum()))
+            bits = (packets["marks"][at][:, None] >> np.arange(len(counters))) & 1
+            running = np.cumsum(bits, axis=0) + counters
+            first = np.minimum.accumulate(times if total["first_us"] is None else np.minimum(times, total["first_us"]))
+            out = _records(flow, packets, at, running, first, self.w_us)
+            counters = running[-1]
+            total["first_us"], total["last_us"] = int(first[-1]), int(max(window[-1, 0], total["last_us"] or window[-1, 0]))
             if len(out):
                 yield out
-        if idle_ttl_ms:
-            state.setTimeoutDuration(idle_ttl_ms)
+        if self.event_time:
+            total["emitted_us"] = safe if emitted is None else max(emitted, safe)
+        dead = ~waits & ~(rows[:, 0] > (total["last_us"] or 0) - self.w_us) if total["last_us"] is not None else np.zeros(len(rows), bool)
+        if 2 * dead.sum() > len(rows):
+            total["trimmed_us"] = int(max(rows[dead, 0].max(), total["trimmed_us"] if total["trimmed_us"] is not None else rows[dead, 0].max()))
+            self.packets.put([tuple(r) for r in rows[~dead].tolist()])
+        elif len(new):
+            self.packets.appendList([tuple(r) for r in new.tolist()])
+        self._set_timer(total, rows[waits, 0], timers)
+        self.totals.update((*(total[name] for name in TOTALS), counters.tolist()))
 
-    return update
+    def _now(self, total: dict, timers) -> int:
+        return timers.getCurrentWatermarkInMs() if self.event_time else timers.getCurrentProcessingTimeInMs()
+
+    def _idle(self, total: dict, timers) -> bool:
+        """The flow's timer fired and nothing waits: in event time all of it is older than the time to live."""
+        if not self.idle_ttl_ms:
+            return False
+        if not self.event_time:
+            return True  # a batch of the flow moves the timer
+        return total["last_us"] is not None and total["last_us"] // 1000 + self.idle_ttl_ms <= self._now(total, timers)
+
+    def _set_timer(self, total: dict, waiting: np.ndarray, timers) -> None:
+        """One timer a flow: the oldest waiting packet, else the end of its idle time."""
+        at = None
+        if len(waiting):
+            at = -(-int(waiting.min()) // 1000)
+        elif self.idle_ttl_ms and (not self.event_time or total["last_us"] is not None):
+            at = (total["last_us"] // 1000 if self.event_time else self._now(total, timers)) + self.idle_ttl_ms
+        if at != total["timer_ms"]:
+            if total["timer_ms"] is not None:
+                self.handle.deleteTimer(total["timer_ms"])
+            if at is not None:
+                self.handle.registerTimer(at)
+            total["timer_ms"] = at
 
 
 def flow_features_stream(
@@ -179,17 +246,26 @@ def flow_features_stream(
     idle_ttl_s: float | None = None,
     late: str = "accept",
     dropped=None,
+    delay_s: float | None = None,
+    short=None,
 ) -> DataFrame:
-    """Streaming per-packet flow records from a stream of packet rows. ``dropped``
-    (a Spark accumulator) counts the packets that ``late='drop'`` leaves out."""
+    """Streaming per-packet flow records from a stream of packet rows. ``dropped`` and ``short`` (Spark
+    accumulators) count the packets that ``late='drop'`` leaves out, and late ones with a shortened window.
+    With ``delay_s`` records come in event-time order."""
     if late not in ("accept", "drop"):
         raise ValueError(f"late must be 'accept' or 'drop', not {late!r}")
-    w_us = int(round(window_s * 1_000_000))
-    d = decode_packets(packets).select(
-        "flow", "packet_id", "ts_us", "ihl", "proto", "ttl", "length", *_counters()
-    )
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_ttl_s else GroupStateTimeout.NoTimeout
-    ttl_ms = int(idle_ttl_s * 1000) if idle_ttl_s else None
-    return d.groupBy("flow").applyInPandasWithState(
-        _updater(w_us, late, ttl_ms, dropped), output_schema(), STATE_SCHEMA, "append", timeout
-    )
+    packets.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # list state and timers need it
+    packets = packets.where(F.col("ts_us").isNotNull())
+    if delay_s is not None:
+        packets = packets.withColumn("event_time", F.timestamp_micros("ts_us")).withWatermark("event_time", f"{int(delay_s * 1000)} milliseconds")
+    kept = ["event_time"] if delay_s is not None else []
+    numbers = [F.col(c).cast("bigint").alias(c) for c in PACKET_FIELDS if c != "marks"]
+    d = flow_key(packets).select("flow", *kept, *numbers, packet_marks().cast("bigint").alias("marks"))
+    processor = FlowProcessor(int(round(window_s * 1_000_000)), late, int(idle_ttl_s * 1000) if idle_ttl_s else None, delay_s is not None, dropped, short)
+    mode = "EventTime" if delay_s is not None else "ProcessingTime" if idle_ttl_s else "None"
+    return d.groupBy("flow").transformWithStateInPandas(processor, output_schema(), "append", mode)
+
+
+def late_packets(query: StreamingQuery) -> int:
+    """Packets that Spark dropped behind the watermark, over the batches that ``query`` still reports."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
