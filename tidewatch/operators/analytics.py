@@ -58,15 +58,6 @@ def label_counts(df: DataFrame, labels: DataFrame, col: str = "predicted_label")
     return decoded.groupBy("label").agg(F.count(F.lit(1)).alias("count"))
 
 
-def ranked_labels(df: DataFrame, labels: DataFrame, col: str = "predicted_label") -> DataFrame:
-    """Label counts with their rank (1 = most frequent; ties by label)."""
-    counts = label_counts(df, labels, col)
-    # One row per distinct label: the un-partitioned window runs over the
-    # aggregated rows only.
-    w = Window.orderBy(F.desc("count"), F.asc("label"))
-    return counts.withColumn("rank", F.row_number().over(w))
-
-
 def top_labels(df: DataFrame, labels: DataFrame, k: int = 15, col: str = "predicted_label") -> DataFrame:
     """The ``k`` most frequent labels, ``(rank, label, count, category, colour)``,
     plus ``axis_max``: the largest displayed count."""
@@ -83,12 +74,12 @@ def top_labels(df: DataFrame, labels: DataFrame, k: int = 15, col: str = "predic
 
 
 def topk_remainder(df: DataFrame, labels: DataFrame, k: int = 15, col: str = "predicted_label") -> DataFrame:
-    """Labels beyond the top ``k``: their number and summed count (one row)."""
-    ranked = ranked_labels(df, labels, col)
-    return ranked.agg(
-        F.count_if(F.col("rank") > k).alias("more_labels"),
-        F.coalesce(F.sum(F.when(F.col("rank") > k, F.col("count"))), F.lit(0)).cast("bigint").alias("more_count"),
-    )
+    """Labels beyond the top ``k``: their number and summed count (one row): all labels less the top ones."""
+    counts = label_counts(df, labels, col)
+    both = [F.count(F.lit(1)).alias("labels"), F.coalesce(F.sum("count"), F.lit(0)).alias("n")]
+    top = counts.orderBy(F.desc("count"), F.asc("label")).limit(k).agg(*both).select((-F.col("labels")).alias("labels"), (-F.col("n")).alias("n"))
+    # two rows
+    return counts.agg(*both).unionByName(top).agg(F.sum("labels").alias("more_labels"), F.sum("n").alias("more_count"))
 
 
 def traffic_summary(df: DataFrame, labels: DataFrame, col: str = "predicted_label") -> DataFrame:

@@ -54,7 +54,8 @@ def check_width(df: DataFrame, col: str = "csv_line", n: int = TRAFFIC_WIDTH) ->
 
 def width_summary(df: DataFrame, col: str = "csv_line", n: int = TRAFFIC_WIDTH) -> DataFrame:
     """One row: lines checked, lines of the wrong width, and an all-good flag."""
-    w = F.size(F.split(F.col(col), ",", -1))
+    line = F.col(col)
+    w = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit(""))) + 1  # one field more than commas
     return df.agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(w != n).alias("bad_lines"),
@@ -136,15 +137,6 @@ def complete_values(values: str = "values", rate_numeric: bool = True) -> Column
     return F.forall(zipped, ok)
 
 
-def numeric_features(df: DataFrame, exclude: tuple[str, ...] = (LABEL_COLUMN, "kafka_timestamp")) -> list[str]:
-    """Numeric columns usable as features, in column order."""
-    return [
-        f.name
-        for f in df.schema.fields
-        if f.name not in exclude and isinstance(f.dataType, (T.NumericType,))
-    ]
-
-
 def string_features(df: DataFrame, label: str = LABEL_COLUMN, exclude: tuple[str, ...] = ("kafka_timestamp",)) -> list[str]:
     """String columns other than the label (and excluded ones)."""
     return [c for c, t in df.dtypes if t == "string" and c != label and c not in exclude]
@@ -206,20 +198,30 @@ def encode_predictions(df: DataFrame, prediction_time: Column | None = None, kee
     return df.select(*keep, F.to_json(prediction_struct(df, prediction_time), JSON_OPTIONS).alias("value"))
 
 
+def one_object(text: Column) -> Column:
+    """Whether a text whose first JSON value is a valid object holds nothing else: strings are emptied, then
+    the innermost objects become ``0``, once for each opening brace, and only ``0`` may be left."""
+    bare = F.regexp_replace(F.btrim(text, F.lit(" \t\n\r")), r'"(?:[^"\\]|\\.)*"', "")
+    depth = F.length(bare) - F.length(F.replace(bare, F.lit("{"), F.lit("")))
+    inner = r"\{[^{}]*\}"
+    nested = F.aggregate(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), bare, lambda t, _: F.regexp_replace(t, inner, "0"))
+    return F.when(depth == 1, F.regexp_replace(bare, inner, "0")).otherwise(nested) == "0"
+
+
 def read_predictions(df: DataFrame, value: str = "value", schema: T.StructType = PREDICTION_SCHEMA) -> DataFrame:
-    """Parse prediction JSON; what is not a JSON object (empty and blank lines,
-    NULL, ``null`` included) is dropped.
+    """Parse prediction JSON; what is not one JSON object (empty and blank lines, NULL, ``null``, single quotes,
+    a second object or other text behind the first included) is dropped.
 
     Fields are read as text and cast leniently, so a field of another JSON type
     (``"10"`` for a label, ``"x"`` for a length) gives its value or NULL and the message stays.
     """
     texts = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     full = T.StructType(texts.fields + [T.StructField("_bad", T.StringType(), True)])
-    opts = {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}
+    opts = {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE", "allowSingleQuotes": "false"}
     others = [c for c in df.columns if c != value]
     text = F.col(value).cast("string")
     parsed = df.select(*others, text.alias("_text"), F.from_json(text, full, opts).alias("_p"))
-    is_object = F.ltrim("_text").startswith("{") & F.col("_p").isNotNull() & F.col("_p._bad").isNull()
+    is_object = F.btrim("_text", F.lit(" \t\n\r")).startswith("{") & F.col("_p").isNotNull() & F.col("_p._bad").isNull() & one_object(F.col("_text"))
 
     def typed(f: T.StructField) -> Column:
         c = F.col(f"_p.`{f.name}`")

@@ -588,10 +588,10 @@ def q_encode_predictions(spark, sf):
 )
 def q_read_predictions(spark, sf):
     enc = P.encode_predictions(_scored_rows(spark, sf), F.col("prediction_timestamp"), keep=("pred_id",))
-    # every 13th message arrives damaged (its opening brace lost)
-    damaged = enc.withColumn(
-        "value", F.when(F.col("pred_id") % 13 == 0, F.expr("substr(value, 2)")).otherwise(F.col("value"))
-    )
+    # every 13th message arrives damaged: its opening brace lost, text or a second object behind it, or other quotes
+    ways = [F.expr("substr(value, 2)"), F.concat("value", F.lit(" tail")), F.concat("value", "value"), F.replace("value", F.lit('"'), F.lit("'"))]
+    way = F.pmod(F.floor(F.col("pred_id") / 13), F.lit(4)) + 1
+    damaged = enc.withColumn("value", F.when(F.col("pred_id") % 13 == 0, F.element_at(F.array(*ways), way.cast("int"))).otherwise(F.col("value")))
     return P.read_predictions(damaged, schema=P.predictions_ntz_schema())
 
 
@@ -698,14 +698,15 @@ def q_traffic_count(spark, sf):
 
 from ..session import work_path  # noqa: E402
 from ..sources import files as IO  # noqa: E402
+from ..sources import line_replay as LR  # noqa: E402
+from ..streaming import monitor as S  # noqa: E402
 
 
 @register("csv_round_trip", PARSED_SQL + "SELECT * FROM parsed")
 def q_csv_round_trip(spark, sf):
     """Typed rows written as headered CSV and read back with their schema."""
     parsed = _parsed(spark, sf)
-    path = work_path(spark, "csv")
-    IO.write_csv(parsed, path, mode="overwrite")
+    path = IO.write_timestamped_csv(parsed, work_path(spark, "csv"))
     return IO.read_traffic_csv(spark, path, schema=parsed.schema)
 
 
@@ -725,6 +726,18 @@ def q_replay_lines(spark, sf):
     return IO.replay_lines(spark, path)
 
 
+@register("replay_paced", with_views("traffic_lines") + "SELECT trim(csv_line) AS value FROM traffic_lines")
+def q_replay_paced(spark, sf):
+    """The same lines as a paced stream, a quarter of them a trigger."""
+    lines = FX.traffic_lines(spark, sf)
+    path, out, ckpt = (work_path(spark, f"paced-{x}") for x in ("in", "out", "ckpt"))
+    IO.write_headered_lines(lines, "csv_line", path)
+    q = S.to_files(LR.replay_stream(spark, path, lines.count() // 4 + 1).select("value"), out, ckpt, trigger="0 seconds")
+    q.processAllAvailable()
+    q.stop()
+    return spark.read.schema("value string").parquet(out)
+
+
 # ML training and scoring, rows-only (ML3, ML5, ML6, ML12, SNK6) ------------------
 
 
@@ -814,8 +827,6 @@ def q_model_metrics(spark, sf):
 
 # Streaming (ST1-ST4, ST6, FLT4, SRC3 shape) ----------------------------------------
 
-from ..streaming import monitor as S  # noqa: E402
-
 
 def _stage_traffic_topic(spark, sf) -> str:
     rows = S.topic_rows(FX.traffic_lines(spark, sf), "csv_line", "line_id")

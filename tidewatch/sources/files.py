@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import LABEL_DICTIONARY_SCHEMA, LABELS, TRAINING_CSV_SCHEMA
+from ..session import work_path
 
 log = logging.getLogger(__name__)
 
@@ -50,20 +51,18 @@ def timestamped_name(prefix: str, suffix: str, now: _dt.datetime | None = None)
     return f"{prefix}-{now.strftime('%Y-%m-%d-%H-%M-%S')}.{suffix}"
 
 
+def write_timestamped_csv(df: DataFrame, folder: str, prefix: str = "traffic", now: _dt.datetime | None = None) -> str:
+    """Headered CSV below ``folder`` under a name of its time; returns the path. A name in use is an error."""
+    path = f"{folder.rstrip('/')}/{timestamped_name(prefix, 'csv', now)}"
+    write_csv(df, path)
+    return path
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """Single-file JSON, overwrite. Only for one-row / tiny frames (summaries)."""
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_lines(df: DataFrame, column: str, path: str, mode: str = "overwrite") -> None:
-    """Write one text line per row (no header), e.g. a replay file."""
-    df.select(F.col(column).cast("string").alias("value")).write.mode(mode).text(path)
-
-
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
-
-
 def one_row(spark: SparkSession, row: dict, schema: T.StructType | str | None = None) -> DataFrame:
     """A one-row DataFrame from a dict (summaries, metadata)."""
     if schema is None:
@@ -114,21 +113,17 @@ def write_headered_lines(df: DataFrame, column: str, path: str, header: str = "l
 
 def replay_lines(spark: SparkSession, path: str) -> DataFrame:
     """One message per data line of headered text files: the first line of each
-    file is skipped, surrounding whitespace stripped, blank lines kept."""
+    file is skipped, surrounding whitespace stripped, blank lines kept. The paced form is ``line_replay.replay_stream``."""
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
     )
+    # places hold for one scan only, so both uses read the same written copy
+    numbered = work_path(spark, "replay-lines")
+    lines.write.parquet(numbered)
+    lines = spark.read.schema(lines.schema).parquet(numbered)
     # the first row of the block at 0 of each file: one row a file
     heads = lines.groupBy("file").agg(F.min("place").alias("head"))
     body = lines.join(heads, "file").where(F.coalesce(F.col("place") != F.col("head"), F.lit(True)))
     return body.select(F.trim("value").alias("value"))
-
-
-def replay_stream(spark: SparkSession, path: str, files_per_trigger: int = 1, header: str = "line") -> DataFrame:
-    """Paced replay: the same lines as a stream, ``files_per_trigger`` files
-    per micro-batch (pair with a processing-time trigger). A stream has no row
-    positions, so the header is told by its text."""
-    raw = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
-    return raw.where(F.col("value") != header).select(F.trim("value").alias("value"))

@@ -8,6 +8,7 @@ so a restarted query resumes where it stopped instead of skipping input.
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 
@@ -21,6 +22,8 @@ from ..operators import parse as P
 from ..schema import TOPIC_ROW_SCHEMA
 from ..session import work_path
 
+log = logging.getLogger(__name__)
+
 
 def stage_topic_rows(df: DataFrame, path: str, files: int | None = None) -> str:
     """Write Kafka-shaped rows as Parquet files, a replayable stand-in for a
@@ -110,11 +113,12 @@ def observe_progress(df: DataFrame, name: str = "progress") -> DataFrame:
 
 class RowTotals(StreamingQueryListener):
     """Adds up observed rows over every batch of every query (``recentProgress``
-    forgets all but the last hundred batches)."""
+    forgets all but the last hundred batches), and reports each time a total passes another ``every`` rows."""
 
-    def __init__(self) -> None:
+    def __init__(self, every: int = 100, report: Callable[[str, int], None] | None = None) -> None:
         self.rows: dict[tuple[str, str], int] = {}
         self.last: dict[str, int] = {}
+        self.every, self.report = every, report or (lambda name, total: log.info("%s: %d rows processed", name, total))
 
     def onQueryStarted(self, event) -> None: ...
 
@@ -127,7 +131,10 @@ class RowTotals(StreamingQueryListener):
         run = str(p.runId)
         for name, row in (p.observedMetrics or {}).items():
             if "rows" in row.asDict():
-                self.rows[run, name] = self.rows.get((run, name), 0) + int(row["rows"])
+                before = self.rows.get((run, name), 0)
+                total = self.rows[run, name] = before + int(row["rows"])
+                if total // self.every > before // self.every:
+                    self.report(name, total)
         self.last[run] = p.batchId
 
 
@@ -145,10 +152,13 @@ def row_totals(spark: SparkSession) -> RowTotals:
 
 def processed_total(query: StreamingQuery, name: str = "progress", wait_s: float = 10.0) -> int:
     """Running total of the rows that ``observe_progress`` counted in this run,
-    however many batches it had. Waits until the listener has seen the last batch."""
+    however many batches it had. Waits until the listener has seen the last batch; if it has not
+    after ``wait_s``, that is an error, not a smaller total."""
     totals, run = row_totals(SparkSession.active()), str(query.runId)
     until = time.monotonic() + wait_s
-    while query.lastProgress and totals.last.get(run, -1) < query.lastProgress["batchId"] and time.monotonic() < until:
+    while query.lastProgress and totals.last.get(run, -1) < query.lastProgress["batchId"]:
+        if time.monotonic() > until:
+            raise TimeoutError(f"batch {query.lastProgress['batchId']} not reported within {wait_s} s")
         time.sleep(0.05)
     return totals.rows.get((run, name), 0)
 
