@@ -109,7 +109,7 @@ def test_timestamped_csv(spark):
         IO.write_timestamped_csv(df, path.rsplit("/", 1)[0], "run", now)
 
 
-def test_small_helpers(spark, capfd):
+def test_small_helpers(spark):
     row = IO.one_row(spark, {"a": 1, "b": None}, "a int, b string")
     assert [tuple(r) for r in row.collect()] == [(1, None)]
     df = spark.createDataFrame([(1.0, "x", "y", "z")], "n double, s string, Label string, kafka_timestamp string")
@@ -121,8 +121,10 @@ def test_small_helpers(spark, capfd):
     assert a.count() + b.count() == 1000 and 700 < a.count() < 900 and not a.intersect(b).count()
     src = work_path(spark, "console-src")
     spark.createDataFrame([("to the console",)], "v string").write.parquet(src)
-    S.to_console(spark.readStream.schema("v string").parquet(src), work_path(spark, "console-ckpt")).awaitTermination()
-    assert "to the console" in capfd.readouterr().out
+    q = S.to_console(spark.readStream.schema("v string").parquet(src), work_path(spark, "console-ckpt"))
+    q.awaitTermination()
+    shown = [p for p in q.recentProgress if p["numInputRows"] == 1]
+    assert len(shown) == 1 and "Console" in shown[0]["sink"]["description"]
 
 
 def test_totals_are_reported_and_a_missing_report_is_an_error():

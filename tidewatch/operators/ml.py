@@ -10,16 +10,15 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import to_double
 from ..schema import LABEL_COLUMN, TRAFFIC_FIELDS
-from ..session import work_path
+from .categories import CategoryIndexer, ClassStatistics, category_index
 
 LABEL_INDEXED = "label_indexed"
 CATEGORY_BINS = 150000
@@ -30,30 +29,6 @@ def fit_label_indexer(df: DataFrame, col: str = LABEL_COLUMN, out: str = LABEL_I
     return StringIndexer(inputCol=col, outputCol=out, handleInvalid="skip").fit(df)
 
 
-def index_strings(df: DataFrame, cols: list[str], suffix: str = "_indexed") -> StringIndexerModel:
-    """One indexer fit over every string feature column."""
-    return StringIndexer(
-        inputCols=cols, outputCols=[f"{c}{suffix}" for c in cols], handleInvalid="skip"
-    ).fit(df)
-
-
-def category_index(df: DataFrame, col: str, suffix: str = "_indexed") -> DataFrame:
-    """``(col, col_indexed)``: the frequency-ordered index of a column with any number of
-    values, none of which reaches the driver (ties alphabetical, NULL skipped). Values are counted,
-    range partitioned by rank, and numbered from their partition's offset."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    dealt = counts.repartitionByRange(F.desc("_n"), F.asc(col)).withColumn("_part", F.spark_partition_id())
-    path = work_path(df.sparkSession, "category-index")
-    dealt.write.parquet(path)  # the partition numbers must not change between the two uses
-    dealt = df.sparkSession.read.schema(dealt.schema).parquet(path)
-    # one row a partition
-    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    base = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_base"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(F.desc("_n"), F.asc(col))) - 1
-    numbered = dealt.withColumn("_inside", inside).join(base, "_part")
-    return numbered.select(col, (F.col("_base") + F.col("_inside")).cast("double").alias(f"{col}{suffix}"))
-
-
 def index_to_string(df: DataFrame, model: StringIndexerModel, col: str, out: str) -> DataFrame:
     return IndexToString(inputCol=col, outputCol=out, labels=model.labels).transform(df)
 
@@ -75,11 +50,12 @@ class ForestParams:
     num_trees: int = 10
     max_depth: int = 5
     # 32 bins suit continuous features; with ``rate_as_category`` the Rate
-    # index is categorical and needs bins >= its cardinality (at least
-    # ``CATEGORY_BINS`` are given; training fails beyond).
+    # index is categorical and needs as many bins as values
     max_bins: int = 32
     seed: int = 42
     rate_as_category: bool = False
+    # with more values than this the Rate becomes the class statistics of its value
+    category_bins: int = CATEGORY_BINS
     # about this many rows are used for the fit (a hash sample); None uses all
     max_fit_rows: int | None = None
 
@@ -102,45 +78,48 @@ def with_rate_value(df: DataFrame) -> DataFrame:
     return df.withColumn("rate_value", to_double(F.col("Rate").cast("string")))
 
 
-def build_classifier(params: ForestParams, train: DataFrame | None = None) -> Pipeline:
-    """Feature stages -> forest: (Rate indexer | finite rate) -> assembler -> forest.
+def rate_stage(params: ForestParams, train: DataFrame, classes: int):
+    """The fitted stage of the Rate, its training rows, its output column and the bins that it needs."""
+    if params.rate_as_category:
+        # whether the values fit is known from at most one more than fit
+        fits = train.where(F.col("Rate").isNotNull()).select("Rate").distinct().limit(params.category_bins + 1).count() <= params.category_bins
+        if fits:
+            model = CategoryIndexer(inputCol="Rate", outputCol="Rate_indexed").fit(train)
+            return model, model.transform(train), "Rate_indexed", max(params.max_bins, model.extra["size"])
+        model = ClassStatistics(inputCol="Rate", outputCol="Rate_classes", labelCol=LABEL_INDEXED, classes=classes).fit(train)
+        return model, model.out_of_fold(train), "Rate_classes", params.max_bins
+    low, high = rate_bounds(train)
+    inf = "CAST('Infinity' AS DOUBLE)"
+    stage = SQLTransformer(
+        statement=f"SELECT *, CASE WHEN rate_value = {inf} THEN {high!r}D WHEN rate_value = -{inf} THEN {low!r}D "
+        "ELSE rate_value END AS rate_capped FROM __THIS__"
+    )
+    return stage, stage.transform(train), "rate_capped", params.max_bins
+
+
+def fit_classifier(params: ForestParams, train: DataFrame, classes: int) -> PipelineModel:
+    """Feature stages -> forest: (Rate index | class statistics | finite rate) -> assembler -> forest.
 
     The label indexer is fitted separately (``train``): serving rows carry no
     known label, and a skipping label stage would drop them.
     """
-    stages = []
+    stage, rows, column, bins = rate_stage(params, train, classes)
     feats = numeric_feature_names()
-    if params.rate_as_category:
-        stages.append(StringIndexer(inputCol="Rate", outputCol="Rate_indexed", handleInvalid="skip"))
-        feats = feats[:3] + ["Rate_indexed"] + feats[3:]
-        max_bins = max(params.max_bins, CATEGORY_BINS)
-    else:
-        low, high = rate_bounds(train) if train is not None else (0.0, 0.0)
-        inf = "CAST('Infinity' AS DOUBLE)"
-        stages.append(
-            SQLTransformer(
-                statement=f"SELECT *, CASE WHEN rate_value = {inf} THEN {high!r}D WHEN rate_value = -{inf} THEN {low!r}D "
-                "ELSE rate_value END AS rate_capped FROM __THIS__"
-            )
-        )
-        feats = feats[:3] + ["rate_capped"] + feats[3:]
-        max_bins = params.max_bins
+    feats = feats[:3] + [column] + feats[3:]
     # Rows reach the assembler complete (``parse_lines(complete=True)`` or
     # ``complete_rows``): a skipping assembler would add a NULL/NaN filter on
     # every feature that Catalyst pushes below the parse projection, re-
     # evaluating the line split once per feature (measured 5x slower).
-    stages.append(VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"))
-    stages.append(
-        RandomForestClassifier(
-            featuresCol="features",
-            labelCol=LABEL_INDEXED,
-            numTrees=params.num_trees,
-            maxDepth=params.max_depth,
-            maxBins=max_bins,
-            seed=params.seed,
-        )
+    assembler = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
+    forest = RandomForestClassifier(
+        featuresCol="features",
+        labelCol=LABEL_INDEXED,
+        numTrees=params.num_trees,
+        maxDepth=params.max_depth,
+        maxBins=bins,
+        seed=params.seed,
     )
-    return Pipeline(stages=stages)
+    return PipelineModel([stage, assembler, forest.fit(assembler.transform(rows).select("features", LABEL_INDEXED))])
 
 
 @dataclass
@@ -188,7 +167,7 @@ def train(df: DataFrame, params: ForestParams | None = None, persist: bool = Tru
             place = F.pmod(F.xxhash64(*[f"`{c}`" for c in rows.columns]), F.lit(1 << 30)) / float(1 << 30)
             rows = rows.filter(place < share)
         indexed = labels.transform(rows)
-        model = build_classifier(params, indexed).fit(indexed)
+        model = fit_classifier(params, indexed, len(labels.labels))
     finally:
         if persist:
             df.unpersist()
@@ -226,31 +205,6 @@ def predict(
     return out
 
 
-def save_model(model, path: str) -> None:
-    if isinstance(model, Trained):
-        model.save(path)
-    else:
-        model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> Trained:
-    return Trained.load(path)
-
-
-def evaluate(pred: DataFrame, label: str = LABEL_INDEXED, prediction: str = "prediction") -> dict[str, float]:
-    """The four evaluator metrics (four passes; see ``metrics`` for one)."""
-    out = {}
-    for key, metric in (
-        ("accuracy", "accuracy"),
-        ("precision", "weightedPrecision"),
-        ("recall", "weightedRecall"),
-        ("f1_score", "f1"),
-    ):
-        ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction, metricName=metric)
-        out[key] = ev.evaluate(pred)
-    return out
-
-
 def confusion(pred: DataFrame, label: str = LABEL_INDEXED, prediction: str = "prediction") -> DataFrame:
     """``(label, prediction, count)``; partial aggregation map-side."""
     return pred.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(

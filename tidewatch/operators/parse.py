@@ -14,6 +14,18 @@ from pyspark.sql import types as T
 from ..functions.scalar import once, to_double, to_int
 from ..schema import LABEL_COLUMN, PREDICTION_SCHEMA, TRAFFIC_FIELDS, TRAFFIC_WIDTH
 
+# which record of the traffic topic a prediction is of, and which model made it
+ORIGIN_FIELDS = ("source_topic", "source_partition", "source_offset")
+PUBLISHED_SCHEMA = T.StructType(
+    [
+        *PREDICTION_SCHEMA.fields,
+        T.StructField("source_topic", T.StringType()),
+        T.StructField("source_partition", T.IntegerType()),
+        T.StructField("source_offset", T.LongType()),
+        T.StructField("model_version", T.StringType()),
+    ]
+)
+
 JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -178,8 +190,8 @@ def require_column(df: DataFrame, name: str) -> None:
         raise ValueError(f"column {name!r} not found; available: {df.columns}")
 
 
-def prediction_struct(df: DataFrame, prediction_time: Column | None = None) -> Column:
-    """The 7-field prediction envelope as a struct column."""
+def prediction_struct(df: DataFrame, prediction_time: Column | None = None, extra: tuple[str, ...] = ()) -> Column:
+    """The 7-field prediction envelope as a struct column, and the columns ``extra`` of ``df`` behind them."""
     now = F.current_timestamp() if prediction_time is None else prediction_time
     return F.struct(
         F.col("kafka_timestamp").alias("original_timestamp"),
@@ -189,13 +201,16 @@ def prediction_struct(df: DataFrame, prediction_time: Column | None = None) -> C
         F.col("Header_Length").alias("header_length"),
         F.col("Protocol Type").alias("protocol_type"),
         now.alias("prediction_timestamp"),
+        *extra,
     )
 
 
-def encode_predictions(df: DataFrame, prediction_time: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def encode_predictions(
+    df: DataFrame, prediction_time: Column | None = None, keep: tuple[str, ...] = (), extra: tuple[str, ...] = ()
+) -> DataFrame:
     """Scored traffic rows to the JSON ``value`` published per prediction.
-    NULL fields are omitted from the JSON."""
-    return df.select(*keep, F.to_json(prediction_struct(df, prediction_time), JSON_OPTIONS).alias("value"))
+    NULL fields are omitted from the JSON. ``extra`` columns become further fields (``ORIGIN_FIELDS``, ``model_version``)."""
+    return df.select(*keep, F.to_json(prediction_struct(df, prediction_time, extra), JSON_OPTIONS).alias("value"))
 
 
 def one_object(text: Column) -> Column:
@@ -227,6 +242,8 @@ def read_predictions(df: DataFrame, value: str = "value", schema: T.StructType =
         c = F.col(f"_p.`{f.name}`")
         if isinstance(f.dataType, T.IntegerType):
             return to_int(c)
+        if isinstance(f.dataType, T.LongType):
+            return c.try_cast("decimal(38,0)").try_cast("bigint")
         return c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)
 
     return parsed.filter(is_object).select(*others, *[typed(f).alias(f.name) for f in schema.fields])

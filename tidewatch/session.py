@@ -124,6 +124,12 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "tidewatch", *parts, uuid.uuid4().hex])
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path and the path, for listing and renaming on any store Spark can reach."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def release(spark: SparkSession, path: str) -> None:
     """Delete a staged copy made under ``work_path`` once nothing reads it."""
     if "/tidewatch/" not in path:

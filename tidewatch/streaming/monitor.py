@@ -20,7 +20,8 @@ from ..operators import analytics as A
 from ..operators import ml as M
 from ..operators import parse as P
 from ..schema import TOPIC_ROW_SCHEMA
-from ..session import work_path
+from ..session import hadoop_path, work_path
+from .models import ModelStore
 
 log = logging.getLogger(__name__)
 
@@ -71,16 +72,18 @@ def run_for(query: StreamingQuery, seconds: float | None) -> StreamingQuery:
     return query
 
 
-def parse_stream(source: DataFrame, complete: bool = False, rate_numeric: bool = True) -> DataFrame:
+def parse_stream(source: DataFrame, complete: bool = False, rate_numeric: bool = True, origin: bool = False) -> DataFrame:
     """Topic rows to typed traffic records (split, width filter, projection),
-    keeping the message offset as ``line_id``; ``complete`` also drops
+    keeping the message offset as ``line_id`` (with ``origin`` also as ``ORIGIN_FIELDS``); ``complete`` also drops
     records with an unparseable feature (one filter on the split line)."""
     lines = source.select(
         F.col("offset").alias("line_id"),
         F.col("timestamp").alias("kafka_timestamp"),
         F.col("value").cast("string").alias("csv_line"),
+        *[F.col(name.removeprefix("source_")).alias(name) for name in (P.ORIGIN_FIELDS if origin else ())],
     )
-    return P.parse_lines(lines, keep=("line_id", "kafka_timestamp"), complete=complete, rate_numeric=rate_numeric)
+    keep = ("line_id", "kafka_timestamp", *(P.ORIGIN_FIELDS if origin else ()))
+    return P.parse_lines(lines, keep=keep, complete=complete, rate_numeric=rate_numeric)
 
 
 def to_files(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None, fmt: str = "parquet") -> StreamingQuery:
@@ -176,7 +179,7 @@ def score_stream(source: DataFrame, trained: M.Trained, observe: str | None = "p
 def run_monitor(
     spark: SparkSession,
     source: DataFrame,
-    trained: M.Trained,
+    trained: M.Trained | ModelStore,
     sink: Callable[[DataFrame, int], None] | None = None,
     checkpoint: str | None = None,
     trigger: str | None = "5 seconds",
@@ -186,20 +189,26 @@ def run_monitor(
 
     With ``sink`` (e.g. a Kafka publish) batches go through ``foreachBatch``;
     empty micro-batches are skipped. Otherwise the envelopes are appended to
-    ``out_path``.
+    ``out_path``. Given a ``ModelStore``, every batch is scored by the version that is current when it begins,
+    and every envelope carries that version and the record's origin, by which a reader drops what a repeated batch
+    publishes again (``read_published``); without ``sink`` a batch is a folder of ``out_path`` that a repetition replaces.
     """
     checkpoint = checkpoint or work_path(spark, "monitor-checkpoint")
-    out = score_stream(source, trained)
-    if sink is None:
-        return to_files(out, out_path or work_path(spark, "monitor-out"), checkpoint, trigger)
+    out_path = out_path or work_path(spark, "monitor-out")
+    versioned = isinstance(trained, ModelStore)
+    out = source if versioned else score_stream(source, trained)
+    if sink is None and not versioned:
+        return to_files(out, out_path, checkpoint, trigger)
+    put = sink or (lambda rows, batch_id: rows.write.mode("overwrite").parquet(f"{out_path}/batch-{batch_id:012d}"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # scored once, though looked at twice
+        rows = score_published(batch, trained) if versioned else batch
+        rows.persist()  # scored once, though looked at twice
         try:
-            if not batch.isEmpty():
-                sink(batch, batch_id)
+            if not rows.isEmpty():
+                put(rows, batch_id)
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     return (
         out.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
@@ -207,6 +216,66 @@ def run_monitor(
     )
 
 
+def score_published(batch: DataFrame, store: ModelStore) -> DataFrame:
+    """Topic rows of one batch to envelopes with their origin and the version of the model."""
+    version, trained = store.current()
+    parsed = parse_stream(batch, complete=True, rate_numeric=not trained.params.rate_as_category, origin=True)
+    scored = M.predict(trained, parsed, decode=False, assume_complete=True).withColumn("model_version", F.lit(version))
+    return P.encode_predictions(scored, keep=("line_id",), extra=(*P.ORIGIN_FIELDS, "model_version"))
+
+
+def read_published(source: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Predictions of a stream of topic rows, each once: what a repeated batch published again within ``delay`` of
+    the record time is dropped by its origin. Envelopes without an origin are all kept."""
+    rows = source.select(F.col("timestamp"), F.col("value").cast("string").alias("value")).withWatermark("timestamp", delay)
+    preds = P.read_predictions(rows, schema=P.PUBLISHED_SCHEMA)
+    known = F.col("source_topic").isNotNull() & F.col("source_partition").isNotNull() & F.col("source_offset").isNotNull()
+    return preds.where(known).dropDuplicatesWithinWatermark(list(P.ORIGIN_FIELDS)).unionByName(preds.where(~known))
+
+
+def prediction_windows_stream(source: DataFrame, labels: DataFrame, window: str = "1 minute", delay: str = "30 seconds") -> DataFrame:
+    """Predictions per decoded label and tumbling window of their own time: ``(start, end, label, count)``, to be run in
+    update mode. State is kept for windows that the watermark has not passed; what comes later is dropped and counted by Spark.
+    Predictions without a time are in no window."""
+    preds = P.read_predictions(source.select(F.col("value").cast("string").alias("value")))
+    preds = preds.select("prediction_timestamp", "predicted_label").withWatermark("prediction_timestamp", delay)
+    decoded = A.decode_label(preds, labels)
+    counts = decoded.groupBy(F.window("prediction_timestamp", window), "label").agg(F.count(F.lit(1)).alias("count"))
+    return counts.select("window.start", "window.end", "label", "count")
+
+
+def run_windows(counts: DataFrame, path: str, checkpoint: str, trigger: str | None = None, keep: int = 20) -> StreamingQuery:
+    """Keep the newest count of every window below ``path``. A batch's changes are a folder; whenever there are more than
+    ``keep`` of them they are merged with the base into a new base. A repeated batch replaces its own folder."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch-{batch_id:012d}")
+        done, bases = _summary_batches(spark, path), _summary_batches(spark, path, "base-")
+        if len(done) > keep:
+            _newest(spark.read.parquet(*bases[-1:], *done)).write.mode("overwrite").parquet(f"{path}/base-{batch_id:012d}")
+            for old in done + bases:
+                if not old.endswith(f"base-{batch_id:012d}"):
+                    release_folder(spark, old)
+
+    return (
+        counts.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", checkpoint)
+        .trigger(**trigger_args(trigger)).start()
+    )
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("start", "end", "label").agg(F.max_by("count", "batch").alias("count"), F.max("batch").alias("batch"))
+
+
+def read_windows(spark: SparkSession, path: str) -> DataFrame:
+    """``(start, end, label, count)`` as ``run_windows`` last left them."""
+    found = _summary_batches(spark, path, "base-")[-1:] + _summary_batches(spark, path)
+    if not found:
+        raise FileNotFoundError(f"no window counts below {path} yet")
+    return _newest(spark.read.parquet(*found)).drop("batch")
+
+
 def prediction_summary_stream(source: DataFrame, labels: DataFrame) -> DataFrame:
     """Live predictions per decoded label from a stream of JSON envelopes
     (stream-static join with the label dictionary, then a running count)."""
@@ -214,23 +283,25 @@ def prediction_summary_stream(source: DataFrame, labels: DataFrame) -> DataFrame
     return A.label_counts(preds, labels)
 
 
-def _summary_batches(spark: SparkSession, path: str) -> list[str]:
+def _summary_batches(spark: SparkSession, path: str, prefix: str = "batch-") -> list[str]:
     """Complete batch folders below ``path``, oldest first."""
-    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, top = hadoop_path(spark, path)
     if not fs.exists(top):
         return []
-    found = [str(x.getPath()) for x in fs.listStatus(top) if x.isDirectory() and x.getPath().getName().startswith("batch-")]
-    return sorted(p for p in found if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    found = [str(x.getPath()) for x in fs.listStatus(top) if x.isDirectory() and x.getPath().getName().startswith(prefix)]
+    return sorted(p for p in found if fs.exists(hadoop_path(spark, f"{p}/_SUCCESS")[1]))
+
+
+def release_folder(spark: SparkSession, path: str) -> None:
+    fs, at = hadoop_path(spark, path)
+    fs.delete(at, True)
 
 
 def _replace(rows: DataFrame, batch_id: int, path: str, keep: int) -> None:
     """Write a batch's folder, then delete all but the last ``keep``."""
     rows.write.mode("overwrite").parquet(f"{path}/batch-{batch_id:012d}")
-    spark = rows.sparkSession
-    for old in _summary_batches(spark, path)[:-keep]:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    for old in _summary_batches(rows.sparkSession, path)[:-keep]:
+        release_folder(rows.sparkSession, old)
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
