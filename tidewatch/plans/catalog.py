@@ -689,6 +689,31 @@ def q_category_filter(spark, sf):
     return parsed.join(M.category_index(parsed, "Rate"), "Rate").select("line_id", "Rate", "Rate_indexed")
 
 
+@register(
+    "rate_class_shares",
+    LABEL_INDEX_SQL
+    + """, n AS (SELECT "Rate", "Label" AS label, count(*)::DOUBLE AS n FROM parsed WHERE "Rate" IS NOT NULL AND "Label" IS NOT NULL GROUP BY ALL),
+total AS (SELECT "Rate", sum(n) AS n FROM n GROUP BY "Rate"),
+prior AS (SELECT label, idx, sum(n) / (SELECT sum(n) FROM n) AS p FROM n JOIN label_index USING (label) GROUP BY label, idx)
+SELECT t."Rate", prior.label, (coalesce(n.n, 0) + prior.p) / (t.n + 1) AS share
+FROM total t CROSS JOIN prior LEFT JOIN n ON n."Rate" = t."Rate" AND n.label = prior.label""",
+)
+def q_rate_class_shares(spark, sf):
+    """The class statistics of every rate, as a model that was saved and loaded gives them to scoring rows."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ..operators import categories as C
+
+    parsed = _parsed(spark, sf)
+    labels = M.fit_label_indexer(parsed)
+    stats = C.ClassStatistics(inputCol="Rate", outputCol="shares", labelCol=M.LABEL_INDEXED, classes=len(labels.labels)).fit(labels.transform(parsed))
+    path = work_path(spark, "class-statistics-model")
+    stats.write().save(path)
+    shares = C.ClassStatisticsModel.load(path).transform(parsed.select("Rate").distinct())
+    spread = shares.select("Rate", F.posexplode(vector_to_array("shares")).alias("at", "share"))
+    return spread.select("Rate", F.get(F.array(*[F.lit(x) for x in labels.labels]), F.col("at")).alias("label"), "share")
+
+
 @register("traffic_count", PARSED_SQL + "SELECT count(*) AS count FROM parsed")
 def q_traffic_count(spark, sf):
     return _parsed(spark, sf).agg(F.count(F.lit(1)).alias("count"))
@@ -854,6 +879,42 @@ def q_summary_stream(spark, sf):
     return S.read_summary(spark, out)
 
 
+def _prediction_topic(spark, sf, *extra: str) -> DataFrame:
+    rows = _scored_rows(spark, sf).withColumns({"source_topic": F.lit("network-traffic"), "source_partition": F.lit(0), "source_offset": F.col("pred_id")})
+    enc = P.encode_predictions(rows, F.col("prediction_timestamp"), keep=("pred_id", "prediction_timestamp"), extra=extra)
+    return S.topic_rows(enc, "value", "pred_id", "prediction_timestamp", topic="network-predictions")
+
+
+@register(
+    "window_counts_stream",
+    DECODED_SQL
+    + """SELECT strftime(time_bucket(INTERVAL 1 HOUR, prediction_timestamp), '%Y-%m-%d %H:%M:%S') AS window_start, label, count(*) AS count
+FROM decoded WHERE prediction_timestamp IS NOT NULL GROUP BY ALL""",
+)
+def q_window_counts_stream(spark, sf):
+    """Predictions per label and hour of their own time, kept up to date by a stream that is resumed after each quarter of the time."""
+    rows = _prediction_topic(spark, sf)
+    path, out, ckpt = (work_path(spark, f"windows-{x}") for x in ("in", "out", "ckpt"))
+    lo, hi = rows.select(F.unix_micros("timestamp").alias("us")).agg(F.min("us"), F.max("us")).first()
+    rows.limit(0).write.parquet(path)
+    for i in range(4 if lo is not None else 0):
+        part = F.floor((F.unix_micros("timestamp") - lo) * 4 / F.lit(hi - lo + 1))
+        rows.where(part == i).write.mode("append").parquet(path)
+        counts = S.prediction_windows_stream(S.read_topic_files(spark, path, 100_000), label_table(spark), "1 hour", "10 minutes")
+        S.run_windows(counts, out, ckpt, keep=2).awaitTermination()
+    return S.read_windows(spark, out).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "label", "count")
+
+
+@register("published_once", with_views("predictions") + "SELECT pred_id AS source_offset, predicted_label, rate FROM predictions")
+def q_published_once(spark, sf):
+    """Envelopes of which a third were published again by a repeated batch, read once each."""
+    rows = _prediction_topic(spark, sf, *P.ORIGIN_FIELDS)
+    path, out, ckpt = (work_path(spark, f"published-{x}") for x in ("in", "out", "ckpt"))
+    S.stage_topic_rows(rows.unionByName(rows.where(F.col("offset") % 3 == 0)), path)
+    S.to_files(S.read_published(S.read_topic_files(spark, path), "100000 days"), out, ckpt).awaitTermination()
+    return spark.read.parquet(out).select("source_offset", "predicted_label", "rate")
+
+
 @register(
     "monitor_stream",
     _trained_sql("line_id")
