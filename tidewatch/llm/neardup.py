@@ -6,7 +6,8 @@ Two small collections of ``groups`` keys each join ``rows`` minhashes to a key.
 table key pairs one key of the first collection with one of the second, so
 ``groups ** 2`` tables need only ``2 * groups * rows`` minhashes. Two documents of
 Jaccard ``s`` share a table unless one collection has no equal key: at the
-defaults and ``s = 0.8`` that has a probability of about 1e-6.
+defaults and ``s = 0.8`` that has a probability of about 6e-6. Keys of four minhashes keep unrelated documents
+(``s`` about 0.1) from sharing keys as the corpus grows.
 
 Candidates never expand a bucket into all its pairs. Equal sets are one class from the start.
 In a bucket each class meets the smallest one; met pairs are filtered by size and
@@ -191,13 +192,14 @@ def live_keys(classes: DataFrame) -> DataFrame:
 
 
 def buckets(live: DataFrame) -> DataFrame:
-    """``(bucket, doc_id, n)``: the different memberships of the tables' buckets of two or more."""
-    keys = F.explode(F.flatten(F.transform("first", lambda x: F.transform("second", lambda y: F.xxhash64(x, y)))))
-    rows = live.select("doc_id", "n", keys.alias("key"))
+    """``(bucket, doc_id, n, first)``: the different memberships of the tables' buckets of two or more, with the
+    smallest of the first keys whose tables have that bucket (all its members share it)."""
+    keys = F.explode(F.flatten(F.transform("first", lambda x: F.transform("second", lambda y: F.struct(x.alias("first"), F.xxhash64(x, y).alias("key"))))))
+    rows = live.select("doc_id", "n", keys.alias("k")).select("doc_id", "n", "k.first", "k.key")
     low_bits = F.xxhash64("doc_id").bitwiseAND(0xFFFFFFFFFF)
     sums = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum(low_bits).alias("sum"))
     named = sums.where("size > 1").select("key", F.xxhash64("size", "low", "high", "sum").alias("bucket"))
-    return rows.join(named, "key").select("bucket", "doc_id", "n").distinct()
+    return rows.join(named, "key").groupBy("bucket", "doc_id", "n").agg(F.min("first").alias("first"))
 
 
 def near_pairs(ranked: DataFrame, leaders: int, percent: int) -> DataFrame:
@@ -290,8 +292,8 @@ def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
     percent: int = 80,
-    groups: int = 20,
-    rows: int = 3,
+    groups: int = 24,
+    rows: int = 4,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -316,10 +318,11 @@ def near_duplicates(
     links = _verified(scratch, docs, pairs, shingle, percent, id_col, text_col, "0")
     comps = scratch.keep(components(spark, links, scratch), "components-0")
 
-    # what the leaders left open: documents of buckets in which several components remain
-    rest = met.select("bucket", F.col("doc_id").alias("doc_id"))
-    mixed = _mixed(_with_component(rest, comps), "bucket")
-    unsure = rest.join(mixed, "bucket", "left_semi").select("doc_id").distinct()
+    # what the leaders left open: documents with a first key of a bucket in which several components remain
+    rest = _with_component(met.select("bucket", "doc_id", "first"), comps)
+    mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("first").alias("key")).where("lo < hi").select("key").distinct()
+    # one row a document and first key, not one a document and table
+    unsure = live.select("doc_id", F.explode("first").alias("key")).join(mixed, "key", "left_semi").select("doc_id").distinct()
     ints = [F.transform(c, lambda x: F.hash(x)).alias(c) for c in ("first", "second")]
     keyed = live.join(unsure, "doc_id", "left_semi").select("doc_id", "n", *ints).join(found.select("doc_id", "bits"), "doc_id")
     todo = scratch.keep(keyed.select("*", F.explode(F.array_distinct("first")).alias("bucket")), "todo-0")
