@@ -7,8 +7,7 @@ passages of a bag, and a logistic unit scores the weighted sum ``sum a h``. All
 weights are learned from document labels alone.
 
 Bounded fit: at most ``max_fit`` labelled documents per class (smallest hashes of the
-id), whole texts, and of these at most ``fit_passages`` passages per document for the
-gradient (spread evenly over the document). Scoring covers every passage of every
+id), with every passage of their whole texts; their features are held on the driver as half floats. Scoring covers every passage of every
 document, in place, without a shuffle.
 
 Edge cases: a null or empty text is a bag of one empty passage and gets a score like
@@ -113,7 +112,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, size: int, hidden: int = 2
     rng = np.random.default_rng(seed)
     total = sum(len(b) for b in bags)
     mean = sum(b.sum(0, dtype=np.float64) for b in bags) / total
-    var = sum(((b - mean) ** 2).sum(0) for b in bags) / total
+    var = sum(((b[i : i + 1024] - mean) ** 2).sum(0) for b in bags for i in range(0, len(b), 1024)) / total
     mean, scale = mean.astype(np.float32), (1 / np.sqrt(var + 1e-4)).astype(np.float32)
     d = len(mean)
     p = {
@@ -128,7 +127,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, size: int, hidden: int = 2
         order = rng.permutation(len(bags))
         for at in range(0, len(order), 128):
             pick = order[at : at + 128]
-            x = (np.vstack([bags[i] for i in pick]) - mean) * scale
+            x = (np.vstack([bags[i] for i in pick]).astype(np.float32) - mean) * scale
             starts = np.cumsum([0, *(len(bags[i]) for i in pick[:-1])])
             grad = _gradient(p, x, starts, labels[pick], weight[pick])
             step += 1
@@ -147,7 +146,6 @@ def fit(
     usable: Column | None = None,
     passage_bytes: int = 512,
     max_fit: int = 2000,
-    fit_passages: int = 16,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> MilModel:
@@ -156,12 +154,7 @@ def fit(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            rows = []
-            for t in b.column("text").to_pylist():
-                f = passages((t or "").encode(), passage_bytes)
-                if len(f) > fit_passages:
-                    f = f[np.linspace(0, len(f) - 1, fit_passages).round().astype(int)]
-                rows.append(f.astype("<f2").tobytes())
+            rows = [passages((t or "").encode(), passage_bytes).astype("<f2").tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("label"), pa.array(rows, pa.binary())], ["key", "label", "feats"])
 
     got = sample.mapInArrow(encode, "key long, label int, feats binary").toPandas().sort_values(["key", "label", "feats"])
@@ -169,7 +162,8 @@ def fit(
     if len(set(y)) < 2:
         empty = np.zeros(0, np.float32)
         return MilModel(passage_bytes, empty, empty, {}, float(y.mean()) if len(y) else 0.5)
-    bags = [np.frombuffer(b, "<f2").reshape(-1, PAIRS + SHAPES).astype(np.float32) for b in got["feats"]]
+    # half floats, made whole a mini-batch at a time
+    bags = [np.frombuffer(b, "<f2").reshape(-1, PAIRS + SHAPES) for b in got["feats"]]
     return train(bags, y, passage_bytes)
 
 
