@@ -4,8 +4,8 @@ Two smoothed variable-order Markov models over the characters of a url, one of t
 that rules accept and one of those that rules reject, are interpolated from order ``order``
 down to a uniform one (Witten-Bell: the weight of the shorter context is the number of
 different characters seen after the longer one). A url's score is the mean over its
-characters of ``ln P_accepted - ln P_rejected``. One fifth of the rule-judged urls (by a hash)
-is kept out of the counts and sets the threshold with the least class-balanced error.
+characters of ``ln P_accepted - ln P_rejected``. One fifth of the rule-judged urls (by a hash), scored by the counts
+of the others, sets the threshold with the least class-balanced error; the remaining urls are scored by the counts of all.
 
 All counts cover every distinct rule-judged url (a url of many pages counts once, after a
 combining aggregation, so a hot url or host is one row). The model holds a row for each
@@ -33,6 +33,7 @@ from .common import Scratch
 START, END = "\x02", "\x03"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOLDS = 5
+FIXED = 1_000_000_000  # log ratios are added up in billionths
 
 
 @dataclass(frozen=True)
@@ -153,16 +154,25 @@ def judge_urls(
     urls = urls.withColumn("rule", rule).withColumn("verdict", verdict)
     fold = F.pmod(F.xxhash64("url"), F.lit(FOLDS))
     role = F.when(F.col("rule").isNull(), "wanted").when(fold == 0, "fold").otherwise("learn")
-    urls = scratch.keep(urls.withColumn("role", role), "urls")
+    # dealt anew: a few small files would be one task for all grams
+    urls = scratch.keep(urls.withColumn("role", role).repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), "urls")
     spread = urls.select("url", "role", "verdict", F.explode(grams(F.col("url"), order)).alias("gram"))
     learn = F.col("role") == "learn"
-    counts = spread.groupBy("gram").agg(
-        F.count(F.when(learn & (F.col("verdict") == "allow"), 1)).alias("a"), F.count(F.when(learn & (F.col("verdict") == "block"), 1)).alias("b")
+    counts = scratch.keep(
+        spread.groupBy("gram").agg(
+            *[F.count(F.when((F.col("verdict") == v) & own, 1)).alias(f"{c}{of}") for of, own in (("_part", learn), ("_all", F.lit(True))) for c, v in (("a", "allow"), ("b", "block"))]
+        ),
+        "gram-counts",
     )
-    model = scratch.keep(ratio_model(scratch.keep(counts, "gram-counts"), order), "gram-model")
+    models = [ratio_model(counts.select("gram", F.col(f"a_{of}").alias("a"), F.col(f"b_{of}").alias("b")), order) for of in ("part", "all")]
+    part, whole = (m.withColumnRenamed("llr", f"llr_{of}") for m, of in zip(models, ("part", "all"), strict=True))
+    model = scratch.keep(part.join(whole, "gram"), "gram-model")
     small = model.limit(broadcast_grams + 1).count() <= broadcast_grams
     scored = spread.where(~learn).join(F.broadcast(model) if small else model, "gram")
-    scored = scratch.keep(scored.groupBy("url", "role", "verdict").agg(F.avg("llr").alias("score")), "url-scores")
+    llr = F.when(F.col("role") == "fold", F.col("llr_part")).otherwise(F.col("llr_all"))
+    # summed as whole numbers, so that no order of the rows moves a url over the threshold
+    mean = F.sum(F.round(llr * FIXED).cast("long")) / F.count(F.lit(1)) / FIXED
+    scored = scratch.keep(scored.groupBy("url", "role", "verdict").agg(mean.alias("score")), "url-scores")
     cut = threshold(scored.where("role = 'fold'"))
     judged = urls.join(scored.where("role = 'wanted'").select("url", "score"), "url", "left").select(
         "url", "host", "path", "rule", "verdict", (F.col("score") - cut).alias("score")
