@@ -88,11 +88,11 @@ def test_bundles_equal_the_plain_sum():
     assert has.tolist() == [True, False, False, True, True, True, True]
 
 
-def test_block_max_search_is_exact():
+def test_example_search_is_exact():
     rng = np.random.default_rng(5)
     rows = rng.random((150, 20)) * (rng.random((150, 20)) < 0.2)
     rows = (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-    index = toxicity.BlockMaxIndex(rows.copy(), np.zeros(150, int), np.arange(150), 8)
+    index = toxicity.ExampleIndex(rows.copy(), np.zeros(150, int), np.arange(150), 8)
     for q in range(150):
         at = np.flatnonzero(rows[q])
         cos = rows.astype(float) @ rows[q].astype(float)

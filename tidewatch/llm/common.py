@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import release, work_path
 
-__all__ = ["Scratch", "crc_fold", "fit_sample", "keep_rows", "load", "slices", "small_side", "stage", "without"]
+__all__ = ["Scratch", "crc_fold", "fit_sample", "keep_rows", "load", "slices", "small_side", "stage", "text_hash", "without"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,19 +52,19 @@ def crc_fold(id_col: str | Column, n: int) -> Column:
 def fit_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, usable: Column | None, max_fit: int, id_col: str, text_col: str
 ) -> DataFrame:
-    """``(key, label, text)`` of at most ``max_fit`` labelled documents per class: those with
-    the smallest hashes of the id, so the choice follows neither order nor partitioning.
-    ``usable`` is a condition on the column ``key``. The chosen ids are at most
-    ``2 * max_fit`` rows, so they are broadcast and no text is shuffled."""
+    """``(key, label, text)`` of at most ``max_fit`` labelled documents per class: those of ``docs`` with
+    the smallest hashes of the id, so the choice follows neither order nor partitioning. Rows that repeat an id
+    are one document with the largest of their texts. ``usable`` is a condition on the column ``key``.
+    The chosen ids are at most ``2 * max_fit`` rows, so they are broadcast and no other text is shuffled."""
     rows = labels.select(F.col(id_col).cast("long").alias("key"), F.col(label_col).cast("int").alias("label"))
     rows = rows.where("key is not null and label in (0, 1)")
     if usable is not None:
         rows = rows.where(usable)
-    rows = rows.groupBy("key").agg(F.max("label").alias("label"))
+    texts = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
+    rows = rows.groupBy("key").agg(F.max("label").alias("label")).join(texts.select("key"), "key", "left_semi")
     ranked = [rows.where(F.col("label") == k).orderBy(F.xxhash64("key"), "key").limit(max_fit) for k in (0, 1)]
     chosen = ranked[0].union(ranked[1])
-    texts = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "key").select("key", "label", "text")
+    return texts.join(F.broadcast(chosen), "key").groupBy("key", "label").agg(F.max("text").alias("text"))
 
 
 BROADCAST_IDS = 1_000_000  # more ids than this are joined by a shuffle
@@ -82,10 +82,22 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield b.slice(at, rows)
 
 
-def without(spark: SparkSession, docs: DataFrame, rejected: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is not among ``rejected (doc_id)``; rows without an id stay."""
-    gone = Scratch(spark).keep(rejected.where("doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct(), "rejected")
-    return docs.join(small_side(gone), id_col, "left_anti").select(*docs.columns)
+def text_hash(text: Column) -> Column:
+    """Names a row's text together with its id; null for null."""
+    return F.when(text.isNotNull(), F.xxhash64(text))
+
+
+def without(spark: SparkSession, docs: DataFrame, rejected: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that are not among ``rejected``. If that names rows by ``(doc_id, text_hash)``, each row's own
+    decision counts, a null id or text included; if by ``doc_id`` alone, rows of an id go together and those without one stay."""
+    by_text = "text_hash" in rejected.columns
+    named = rejected.select("doc_id", "text_hash") if by_text else rejected.where("doc_id is not null").select("doc_id")
+    scratch = Scratch(spark)
+    gone = small_side(scratch.keep(named.distinct(), "rejected"))
+    same = F.col(f"_d.`{id_col}`").eqNullSafe(F.col("_r.doc_id"))
+    if by_text:
+        same = same & text_hash(F.col(f"_d.`{text_col}`")).eqNullSafe(F.col("_r.text_hash"))
+    return docs.alias("_d").join(gone.alias("_r"), same, "left_anti").select(*[F.col(f"_d.`{c}`") for c in docs.columns])
 
 
 def keep_rows(docs: DataFrame, text_col: str, make: Callable[[], Callable[[list], np.ndarray]]) -> DataFrame:

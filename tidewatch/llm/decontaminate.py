@@ -75,7 +75,7 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` of every row;
+    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash)`` of every row;
     contaminated if anything is hit and ``share * n_hit >= n_words``."""
     scratch = Scratch(spark)
     # rows of one id and one text are judged alike, so the two name a row wherever it is read
@@ -140,4 +140,5 @@ def _report(found: DataFrame, share: int) -> DataFrame:
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort(items), ",").cast("binary"), 256).alias("items_sha256"),
         ((n_hit > 0) & (share * n_hit >= n_words)).alias("contaminated"),
+        "text_hash",
     )

@@ -7,9 +7,12 @@ characters count as one blank. A language's prototype bundles the unit vectors o
 sample documents. A document gets the language whose prototype has the largest cosine
 with it, both taken relative to the mean prototype; ``score`` is a softmax over the cosines.
 
+``keep_known`` rejects a text that lies too far from every prototype: its plain cosine with the nearest one is below
+``MARGIN`` times the least that learned documents have (``least_cosines``), both of ``2 ** (SETTLED - 1)`` letters or more. Shorter
+texts have too few grams for that and are rejected only if they have no letter.
+
 Bounded fit: about ``max_fit`` documents per language (those with the smallest hashes of
-the id), whole texts, and the ``max_langs`` most frequent languages. Prediction covers
-every whole text in place, without a shuffle.
+the id), whole texts, of every language. Prediction covers every whole text in place, without a shuffle.
 
 Edge cases: a null text or one without a letter gets ``und`` with score 0, as does
 everything if no language was learned. A null id has a row with a null id. Repeated rows
@@ -27,9 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_rows, slices
+from .common import keep_rows, slices, small_side
 
 UNKNOWN = "und"
+MARGIN = 0.7
+SETTLED = 8  # bits of the number of letters from which a text is judged by its cosine
 _DIRECT = 1 << 21  # gram codes up to here are looked up in a table, else sorted
 _CHUNK = 300_000  # characters bundled at a time
 _LETTERS: list[np.ndarray] = []
@@ -120,6 +125,22 @@ class Profiles:
     langs: list[str]
     vectors: np.ndarray
     sharpness: float = 12.0
+    least: dict[int, float] = field(default_factory=dict)  # by the bits of the number of letters
+
+    def nearest(self, texts: list[str], bundler: Bundler) -> tuple[np.ndarray, np.ndarray]:
+        """The plain cosine of each text with its nearest prototype, and the bits of its number of letters."""
+        sums, _ = bundler.bundle(texts)
+        code = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+        letters = [int(_is_letter()[c].sum()) for c in code]
+        return (_unit(sums) @ _unit(self.vectors).T).max(1), np.array([n.bit_length() for n in letters])
+
+    def known(self, texts: list[str], bundler: Bundler) -> np.ndarray:
+        """Whether each text is near enough to a learned language; all are if none was learned."""
+        if not self.langs:
+            return np.ones(len(texts), bool)
+        cos, bits = self.nearest(texts, bundler)
+        low = MARGIN * min((c for k, c in self.least.items() if k >= SETTLED), default=-1.0)
+        return (bits > 0) & ((bits < SETTLED) | (cos >= low))
 
     def predict(self, texts: list[str], bundler: Bundler) -> tuple[list[str], np.ndarray]:
         sums, has = bundler.bundle(texts)
@@ -139,20 +160,21 @@ def fit(
     usable: Column | None = None,
     dims: int = 1024,
     max_fit: int = 1500,
-    max_langs: int = 1000,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
+    calibrate: bool = False,
 ) -> Profiles:
-    """Learn from the rows for which ``usable`` (a condition on ``key``) holds."""
+    """Learn from the rows for which ``usable`` (a condition on ``key``) holds; ``calibrate`` also learns how near
+    documents are to their prototypes, which ``keep_known`` asks for."""
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where("lang is not null and text is not null")
     if usable is not None:
         rows = rows.where(usable)
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs)
+    found = rows.groupBy("lang").count()
     share = found.select("lang", F.least(F.lit(1.0), F.lit(max_fit) / F.col("count")).alias("share"))
     place = F.pmod(F.xxhash64("key", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(F.broadcast(share), "lang").where(place < F.col("share")).select("key", "lang", "text")
+    sample = rows.join(small_side(share), "lang").where(place < F.col("share")).select("key", "lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundler, total = Bundler(dims), {}
@@ -170,7 +192,25 @@ def fit(
     for r in sample.repartition(12, "key").mapInArrow(run, "lang string, bundle binary").orderBy("lang", "bundle").collect():
         got[r["lang"]] = got.get(r["lang"], 0) + np.frombuffer(r["bundle"])
     langs = sorted(got)
-    return Profiles(langs, np.stack([got[x] for x in langs]) if langs else np.zeros((0, dims)))
+    profiles = Profiles(langs, np.stack([got[x] for x in langs]) if langs else np.zeros((0, dims)))
+    if calibrate and langs:
+        profiles.least = least_cosines(sample, profiles)
+    return profiles
+
+
+def least_cosines(sample: DataFrame, profiles: Profiles) -> dict[int, float]:
+    """By the bits of the number of letters: the least cosine of a sampled document with its nearest prototype. At most 64 sizes."""
+    dims = profiles.vectors.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bundler, low = Bundler(dims), {}
+        for b in slices(batches):
+            for cos, size in zip(*profiles.nearest(b.column("text").to_pylist(), bundler), strict=True):
+                low[int(size)] = min(low.get(int(size), 2.0), float(cos))
+        yield pa.RecordBatch.from_arrays([pa.array(list(low), pa.int32()), pa.array(list(low.values()), pa.float64())], ["size", "cos"])
+
+    rows = sample.repartition(12, "key").mapInArrow(run, "size int, cos double").groupBy("size").agg(F.min("cos").alias("cos")).collect()
+    return {r["size"]: r["cos"] for r in rows if r["size"]}
 
 
 def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,10 +228,10 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
 
 
 def keep_known(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs``, all columns, whose text gets a language."""
+    """Rows of ``docs``, all columns, whose text has a letter and is near a learned language; all rows if none was learned."""
 
     def make():
         bundler = Bundler(profiles.vectors.shape[1])
-        return lambda texts: [lang != UNKNOWN for lang in profiles.predict([t or "" for t in texts], bundler)[0]]
+        return lambda texts: profiles.known([t or "" for t in texts], bundler)
 
     return keep_rows(docs, text_col, make)

@@ -59,7 +59,8 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contamination(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    found = decontaminate.contamination(spark, load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

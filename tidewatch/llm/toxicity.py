@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, fit_sample, slices, small_side
+from .common import Scratch, fit_sample, slices, small_side, text_hash
 
 _ROOM = 1 << 18  # distinct words counted or known at a time in a task
 _UNIT = 1 << 20  # squared weights are summed as whole numbers of 1 / _UNIT, in any order
@@ -118,9 +118,6 @@ class ExampleIndex:
         return near, cos[near].astype(float)
 
 
-BlockMaxIndex = ExampleIndex  # its earlier name
-
-
 def _listed(names: list[str]) -> bytes:
     return zlib.compress("\n".join(names).encode("utf-8", "surrogatepass"))
 
@@ -352,9 +349,9 @@ def fit(
     if usable is not None:
         all_labels = all_labels.withColumn("key", F.col(id_col).cast("long")).where(usable)
     rate = all_labels.agg(F.avg(F.col(label_col).cast("double"))).first()[0] or 0.0
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), text_hash(F.col(text_col)).alias("text_hash"))
     if not n0 or not n1:
-        return KnnModel(b"", np.zeros(0), np.zeros(0), None, float(rate)), rows.select("doc_id")
+        return KnnModel(b"", np.zeros(0), np.zeros(0), None, float(rate)), rows.select("doc_id", "text_hash")
     # at most the terms of 2 * max_fit texts
     found = counted.orderBy(F.desc(F.col("0") + F.col("1")), "term").toArrow()
     listed, size = _listed(found.column("term").to_pylist()), len(found)
@@ -364,7 +361,7 @@ def fit(
     chi = np.maximum(p1 - p0, 0) ** 2 / (pooled * (1 - pooled) + 1e-12) * (n0 * n1 / (n0 + n1))
     del found, c0, c1, p0, p1, pooled
     scratch = Scratch(spark)
-    counts = scratch.keep(term_counts(rows, listed, "doc_id"), "toxic-terms")
+    counts = scratch.keep(term_counts(rows, listed, "doc_id", "text_hash"), "toxic-terms")
     total = counts.count()
     idf = np.log((1 + total) / (1 + _frequencies(counts, size))) + 1
     others = counts.select(F.explode("other").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -400,11 +397,13 @@ def fit(
 
 
 def score(counts: DataFrame, model: KnnModel) -> DataFrame:
-    """``(doc_id, score, predicted, evidence)`` of each row of :func:`term_counts`. A term of no example
+    """``(doc_id, text_hash, score, predicted, evidence)`` of each row of :func:`term_counts`. A term of no example
     that ``model.others`` does not hold counts as one of a single document."""
+    if "text_hash" not in counts.columns:
+        counts = counts.withColumn("text_hash", F.lit(None).cast("long"))
     if model.index is None:
         rate = F.lit(model.rate)
-        return counts.select("doc_id", rate.alias("score"), (rate >= 0.5).cast("int").alias("predicted"), F.array().cast("array<long>").alias("evidence"))
+        return counts.select("doc_id", "text_hash", rate.alias("score"), (rate >= 0.5).cast("int").alias("predicted"), F.array().cast("array<long>").alias("evidence"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 64):
@@ -414,9 +413,9 @@ def score(counts: DataFrame, model: KnnModel) -> DataFrame:
             cos = model.index.cosines([model.query(a, v / u) for a, v, u in zip(at, x, units, strict=True)])
             near = [model.index.top(c, model.k) for c in cos]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("row"), pa.array([u * u for u in units], pa.float64()), pa.array(near, pa.list_(pa.int32())),
+                [b.column("doc_id"), b.column("text_hash"), b.column("row"), pa.array([u * u for u in units], pa.float64()), pa.array(near, pa.list_(pa.int32())),
                  pa.array([c[n].astype(float) for c, n in zip(cos, near, strict=True)], pa.list_(pa.float64()))],
-                ["doc_id", "row", "known", "near", "cos"],
+                ["doc_id", "text_hash", "row", "known", "near", "cos"],
             )
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -428,8 +427,8 @@ def score(counts: DataFrame, model: KnnModel) -> DataFrame:
                 s[i] = model.calibrated(model.share(np.array(cos) * np.sqrt(known / (known + rest / _UNIT)), y))
                 evidence.append(model.index.ids[near[y == 1][:3]])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(s, pa.float64()), pa.array(s >= 0.5).cast(pa.int32()), pa.array(evidence, pa.list_(pa.int64()))],
-                ["doc_id", "score", "predicted", "evidence"],
+                [b.column("doc_id"), b.column("text_hash"), pa.array(s, pa.float64()), pa.array(s >= 0.5).cast(pa.int32()), pa.array(evidence, pa.list_(pa.int64()))],
+                ["doc_id", "text_hash", "score", "predicted", "evidence"],
             )
 
     # the order of the neighbours does not depend on the norm, so only their cosines meet the other terms' weights
@@ -437,6 +436,6 @@ def score(counts: DataFrame, model: KnnModel) -> DataFrame:
     n = F.coalesce(F.col("n"), F.lit(1))
     weight = (1 + F.log("f")) * (F.log((1 + model.total) / (1 + n)) + 1)
     rest = pairs.join(small_side(model.others), "term", "left").groupBy("row").agg(F.sum(F.round(weight * weight * _UNIT).cast("long")).alias("rest"))
-    near = counts.select("doc_id", "row", "at", "tf").mapInArrow(search, "doc_id long, row long, known double, near array<int>, cos array<double>")
-    joined = near.join(rest, "row", "left").select("doc_id", "near", "cos", "known", F.coalesce("rest", F.lit(0)).alias("rest"))
-    return joined.mapInArrow(vote, "doc_id long, score double, predicted int, evidence array<long>")
+    near = counts.select("doc_id", "text_hash", "row", "at", "tf").mapInArrow(search, "doc_id long, text_hash long, row long, known double, near array<int>, cos array<double>")
+    joined = near.join(rest, "row", "left").select("doc_id", "text_hash", "near", "cos", "known", F.coalesce("rest", F.lit(0)).alias("rest"))
+    return joined.mapInArrow(vote, "doc_id long, text_hash long, score double, predicted int, evidence array<long>")
