@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import lines, resample, trie, urls
+from tidewatch.llm import lines, packing, resample, trie, urls
 from tidewatch.llm.common import fit_sample, text_hash, without
 
 LOWER = str.maketrans(urls.UPPER, urls.LOWER)
@@ -252,3 +252,47 @@ def test_stages_of_odd_rows(spark, odd, empty):
         assert set(ids) <= {r.doc_id for r in odd.collect()} and len(ids) <= odd.count(), name
         assert step(spark, empty, sf).count() == 0, name
     assert corpus_pipeline.packed(spark, empty, sf).count() == 0
+
+
+def test_packing_does_not_depend_on_the_partitions(spark):
+    rng = random.Random(1)
+    docs = spark.createDataFrame([(i, int(rng.paretovariate(1.1) * 60) % 20_000) for i in range(4000)], "doc_id long, size int")
+    bins = {}
+    for parts in (1, 400):
+        rows = packing.pack_documents(docs.repartition(parts), length_col="size").collect()
+        bins[parts] = {r.bin_id: r.bin_capacity for r in rows}
+        used = collections.defaultdict(list)
+        for r in rows:
+            used[r.bin_id].append((r.bin_offset, r.length))
+        for b, spans in used.items():
+            spans.sort()
+            assert all(x[0] + x[1] <= y[0] for x, y in zip(spans, spans[1:])) and spans[-1][0] + spans[-1][1] <= bins[parts][b]
+        assert sum(r.length for r in rows) == docs.agg(F.sum("size")).first()[0]
+    assert abs(len(bins[400]) - len(bins[1])) <= 0.02 * len(bins[1])
+    assert sum(bins[400].values()) <= 1.02 * sum(bins[1].values())
+
+
+def test_a_new_bin_has_the_least_cost_size():
+    """A length that costs more than a longer one is never opened; tiny packings against every choice of sizes."""
+    assert packing.pack([3, 3], (4, 8), (9, 5))[2].tolist() == [8]
+    rng = random.Random(6)
+    for _ in range(60):
+        sizes = [rng.randrange(1, 9) for _ in range(rng.randrange(1, 6))]
+        costs = [rng.randrange(1, 12) for _ in range(3)]
+        caps = packing.pack(sizes, (3, 5, 8), costs)[2].tolist()
+        spent, best = sum(costs[(3, 5, 8).index(c)] for c in caps), least_cost(sorted(sizes), dict(zip((3, 5, 8), costs, strict=True)))
+        assert best <= spent <= 1.5 * best + max(costs)
+
+
+def least_cost(sizes, costs):
+    """The least cost of all partitions of ``sizes`` into bins."""
+    if not sizes:
+        return 0
+    first, rest = sizes[0], sizes[1:]
+    out = float("inf")
+    for mask in range(1 << len(rest)):
+        own = first + sum(x for i, x in enumerate(rest) if mask >> i & 1)
+        fits = [c for n, c in costs.items() if n >= own]
+        if fits:
+            out = min(out, min(fits) + least_cost([x for i, x in enumerate(rest) if not mask >> i & 1], costs))
+    return out
