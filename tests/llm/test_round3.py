@@ -13,8 +13,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import lines, packing, resample, trie, urls
-from tidewatch.llm.common import fit_sample, text_hash, without
+from tidewatch.llm import decontaminate, lines, packing, resample, trie, urls
+from tidewatch.llm.common import fit_sample, load, text_hash, without
+from tidewatch.plans.strategy import plan_text
 
 LOWER = str.maketrans(urls.UPPER, urls.LOWER)
 
@@ -296,3 +297,16 @@ def least_cost(sizes, costs):
         if fits:
             out = min(out, min(fits) + least_cost([x for i, x in enumerate(rest) if not mask >> i & 1], costs))
     return out
+
+
+def test_decontamination_beyond_the_broadcast_shuffles_no_words(spark):
+    docs = load(spark, "/root/testdata/sf0.001", "documents")
+    bench = load(spark, "/root/testdata/sf0.001", "benchmark")
+    small = decontaminate.contamination(spark, docs, bench)
+    large = decontaminate.contamination(spark, docs, bench, broadcast_windows=0)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect())) and small.where("contaminated").count()
+    rows = docs.select("doc_id", F.lit(1).cast("long").alias("text_hash"), decontaminate.words(F.col("text")).alias("words")).withColumn("n_words", F.size("words"))
+    places = decontaminate.placed_tokens(rows, [3], "doc_id", "text_hash").select("doc_id", "text_hash", "n_words", "at", "width", "token")
+    plan = plan_text(places.repartition(4, "token"))
+    exchange = plan[plan.index(") Exchange") :]
+    assert "words" not in exchange[: exchange.index("Arguments")].replace("n_words", "")

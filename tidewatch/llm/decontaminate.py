@@ -11,8 +11,8 @@ the rarest. Documents are joined on that token alone; the place of the token in
 window must leave room before it and after it in the document (positional and length bounds),
 and what is left is verified word by word over the item-sized window.
 
-The windows of the benchmark are broadcast up to ``broadcast_windows`` of them; a larger benchmark is joined
-by a shuffle. Hits of a document are merged as intervals in document order.
+The windows of the benchmark, and the pairs of window and item, are broadcast up to ``broadcast_windows`` of them; a larger
+benchmark is joined by a shuffle of the documents' tokens, which carry no words; places that the bounds leave get their text's words back. Hits of a document are merged as intervals in document order.
 
 Edge cases: a null text has no words; a document without words is not contaminated. An item that is
 null, has no words, or has a null id takes no part. Rows that repeat a document id are judged each by their own text.
@@ -107,9 +107,15 @@ def contamination(
     prefix = scratch.keep(prefix.join(listed.select("window", F.col("words").alias("window_words")), "window"), "prefixes")
 
     keyed = rows.select("doc_id", "text_hash", words(F.col("text")).alias("words")).withColumn("n_words", n_words)
-    met = placed_tokens(keyed, widths, "doc_id", "text_hash").join(hint(prefix.withColumnRenamed("width", "pwidth")), "token")
+    places = placed_tokens(keyed, widths, "doc_id", "text_hash")
+    if not small:  # the places are shuffled by their token: without the words, which the few that are left get back
+        places = places.select("doc_id", "text_hash", "n_words", "at", "width", "token")
+    met = places.join(hint(prefix.withColumnRenamed("width", "pwidth")), "token")
     first = F.col("at") - F.col("wplace")
     met = met.where((F.col("width") == F.col("pwidth")) & (first >= 0) & (first + F.col("size") <= F.col("n_words")))
+    if not small:
+        once = keyed.select("doc_id", "text_hash", "words").dropDuplicates(["doc_id", "text_hash"])
+        met = _joined(met, once, "inner")
     met = met.where(F.slice("words", first + 1, F.col("size")) == F.col("window_words"))
     found = met.select("doc_id", "text_hash", first.alias("first"), (first + F.col("size")).alias("end"), "window").distinct()
     found = scratch.keep(found, "occurrences")
@@ -118,7 +124,9 @@ def contamination(
     spans = found.select("doc_id", "text_hash", "first", "end").distinct().withColumn("reach", F.max("end").over(before))
     new = F.col("end") - F.greatest("first", F.coalesce("reach", F.lit(0)))
     hits = spans.groupBy("doc_id", "text_hash").agg(F.sum(F.greatest(new, F.lit(0))).alias("n_hit"))
-    named = found.select("doc_id", "text_hash", "window").distinct().join(hint(listed.select("window", F.explode("items").alias("item_id"))), "window")
+    of_items = listed.select("window", F.explode("items").alias("item_id"))
+    few = of_items.limit(broadcast_windows + 1).count() <= broadcast_windows
+    named = found.select("doc_id", "text_hash", "window").distinct().join(F.broadcast(of_items) if few else of_items, "window")
     items = named.groupBy("doc_id", "text_hash").agg(F.collect_set("item_id").alias("items"))
     both = _joined(hits, items, "inner")
     return _report(_joined(whole, both, "left"), share)
