@@ -15,6 +15,6 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from tidewatch.session import session
 
-    s = session(app="tidewatch-tests", master="local[4]", shuffle_partitions=8)
+    s = session(app="tidewatch-tests", master="local[4]", shuffle_partitions=4)
     yield s
     s.stop()

@@ -54,6 +54,7 @@ FLOW_FEATURE_NAMES = [n.replace(" ", "_") for n, _ in TRAFFIC_FIELDS]
 PROTOCOL_FLAGS = ["HTTP", "HTTPS", "DNS", "Telnet", "SMTP", "SSH", "IRC", "TCP", "UDP", "DHCP", "ARP", "ICMP"]
 FLAG_NAMES = [name for name, _ in TCP_FLAG_BITS]
 _2P40 = 1 << 40
+PART_PACKETS = 10_000  # so that small tables are not cut into many tiny tasks
 
 
 # Row-wise packet decoding (FL1-FL4) ----------------------------------------
@@ -269,11 +270,13 @@ def _squares(now: int | None, before: int | None, w_us: int) -> tuple[int, int,
 
 def flow_window_stats(packets: DataFrame, window_s: float = DEFAULT_WINDOW_S, parts: int | None = None) -> DataFrame:
     """Per packet: windowed aggregates, whole-life counters, first-seen time. Integer-valued;
-    ``flow_features`` derives the doubles. ``parts`` is the number of range partitions (default: the session's
-    shuffle partitions). The scanned rows are written to the shared folder once, for the ends and the result."""
+    ``flow_features`` derives the doubles. ``parts`` is the number of range partitions (default: one for every
+    ``PART_PACKETS`` packets, up to the session's shuffle partitions). The scanned rows are written to the shared folder once, for the ends and the result."""
     spark = packets.sparkSession
     w_us = int(round(window_s * 1_000_000))
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not parts:
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(1, min(most, -(-packets.count() // PART_PACKETS)))
     scanned = _scanned(flow_events(packets, w_us), w_us, parts)
     path = work_path(spark, "flow-scan")
     scanned.write.parquet(path)

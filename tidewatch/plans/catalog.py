@@ -875,7 +875,8 @@ def q_summary_stream(spark, sf):
     rows = S.topic_rows(enc, "value", "pred_id", topic="network-predictions")
     src = S.read_topic_files(spark, S.stage_topic_rows(rows, work_path(spark, "topic-predictions")))
     out, ckpt = work_path(spark, "summary-out"), work_path(spark, "summary-ckpt")
-    S.run_summary(S.prediction_summary_stream(src, label_table(spark)), out, ckpt).awaitTermination()
+    with S.state_partitions(spark):
+        S.run_summary(S.prediction_summary_stream(src, label_table(spark)), out, ckpt).awaitTermination()
     return S.read_summary(spark, out)
 
 
@@ -901,7 +902,8 @@ def q_window_counts_stream(spark, sf):
         part = F.floor((F.unix_micros("timestamp") - lo) * 4 / F.lit(hi - lo + 1))
         rows.where(part == i).write.mode("append").parquet(path)
         counts = S.prediction_windows_stream(S.read_topic_files(spark, path, 100_000), label_table(spark), "1 hour", "10 minutes")
-        S.run_windows(counts, out, ckpt, keep=2).awaitTermination()
+        with S.state_partitions(spark):
+            S.run_windows(counts, out, ckpt, keep=2).awaitTermination()
     return S.read_windows(spark, out).select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "label", "count")
 
 
@@ -911,7 +913,8 @@ def q_published_once(spark, sf):
     rows = _prediction_topic(spark, sf, *P.ORIGIN_FIELDS)
     path, out, ckpt = (work_path(spark, f"published-{x}") for x in ("in", "out", "ckpt"))
     S.stage_topic_rows(rows.unionByName(rows.where(F.col("offset") % 3 == 0)), path)
-    S.to_files(S.read_published(S.read_topic_files(spark, path), "100000 days"), out, ckpt).awaitTermination()
+    with S.state_partitions(spark):
+        S.to_files(S.read_published(S.read_topic_files(spark, path), "100000 days"), out, ckpt).awaitTermination()
     return spark.read.parquet(out).select("source_offset", "predicted_label", "rate")
 
 
@@ -957,5 +960,6 @@ def q_flow_features_stream(spark, sf):
             part = F.least(F.floor((F.col("ts_us") - lo) * 4 / F.lit(hi - lo + 1)), F.lit(3))
             packets.filter(part == i).write.mode("append").parquet(path)
         src = spark.readStream.schema(PACKET_SCHEMA).parquet(path)
-        S.to_files(FS.flow_features_stream(src, FLOW_WINDOW_S), out, ckpt).awaitTermination()
+        with S.state_partitions(spark):
+            S.to_files(FS.flow_features_stream(src, FLOW_WINDOW_S), out, ckpt).awaitTermination()
     return spark.read.schema(FS.output_schema()).parquet(out)

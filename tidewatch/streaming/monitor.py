@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,19 @@ def read_topic_files(spark: SparkSession, path: str, files_per_trigger: int | No
     return spark.readStream.schema(TOPIC_ROW_SCHEMA).option("maxFilesPerTrigger", n).parquet(path)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, most: int | None = None) -> Iterator[None]:
+    """Queries first started inside keep their state in at most ``most`` partitions (default: two a core) instead of the
+    session's shuffle partitions; each partition of a stateful query costs a worker and a state store in every batch."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), most or 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def trigger_args(trigger: str | None) -> dict:
     """``None``/'available-now' drain what is there and stop; otherwise a
     processing-time interval such as '5 seconds'."""
