@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import pickle
 
 import numpy as np
 import pytest
@@ -88,25 +89,64 @@ def test_bundles_equal_the_plain_sum():
     assert has.tolist() == [True, False, False, True, True, True, True]
 
 
-def test_example_search_is_exact():
+def nearest_by_brute_force(rows, query, ids, k, but=None):
+    cos = np.round(rows.astype(float) @ query.astype(float), 6)
+    if but is not None:
+        cos[but] = 0
+    return [(int(ids[i]), cos[i]) for i in sorted(range(len(rows)), key=lambda i: (-cos[i], ids[i])) if cos[i] > 0][:k]
+
+
+@pytest.mark.parametrize("common", [0, 8, 400])
+@pytest.mark.parametrize("topics", [1, 12])
+def test_block_max_search_is_exact_and_skips(common, topics):
     rng = np.random.default_rng(5)
-    rows = rng.random((150, 20)) * (rng.random((150, 20)) < 0.2)
+    n, terms = 700, 400
+    topic = rng.integers(0, topics, n)
+    # each topic has its own range of terms; a sixth of the rows are repeated, so that there are ties
+    own = (np.arange(terms)[None, :] * topics // terms == topic[:, None]) | (rng.random((n, terms)) < 0.01)
+    tf = rng.integers(1, 5, (n, terms)) * (rng.random((n, terms)) < 0.15) * own
+    tf[600:] = tf[:100]
+    tf[5] = 0
+    rows = tf * (1 + rng.random(terms))
     rows = (rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-    index = toxicity.ExampleIndex(rows.copy(), np.zeros(150, int), np.arange(150), 8)
-    for q in range(150):
-        at = np.flatnonzero(rows[q])
-        cos = rows.astype(float) @ rows[q].astype(float)
-        cos[q] = 0
-        want = [i for i in sorted(range(150), key=lambda i: (-round(cos[i], 9), i)) if cos[i] > 0][:7]
-        near, got = index.nearest(at, rows[q][at].astype(float), 7, q)
-        assert np.allclose(got, cos[want]) and len(near) == len(want)
+    y = rng.integers(0, 2, n)
+    example, term = np.nonzero(rows)
+    order = toxicity.layout(example, term, tf[example, term], rows[example, term], y)
+    assert sorted(order.tolist()) == list(range(n))
+    place = np.argsort(order)
+    ids = rng.permutation(n)
+    index = pickle.loads(pickle.dumps(toxicity.BlockMaxIndex(place[example], term, rows[example, term], y[order], ids[order], terms, common, 16)))
+    for but in (False, True):
+        found = index.search([(np.flatnonzero(r), r[r > 0]) for r in rows], 7, place if but else None)
+        for q, (at, cos) in enumerate(found):
+            want = nearest_by_brute_force(rows, rows[q], ids, 7, q if but else None)
+            # a cosine on the edge of its sixth digit may be rounded to either side
+            assert np.allclose(cos, [c for _, c in want], atol=2e-6) and len(at) == len(want), q
+            if min(np.diff([-c for _, c in want]), default=1) > 4e-6 and len(want) < 7:
+                assert index.ids[at].tolist() == [i for i, _ in want]
+            assert (index.labels[at] == y[order][at]).all()
+    assert index.visited + index.skipped == 2 * n * index.blocks
+    if topics > 1:
+        assert index.skipped > index.visited  # most blocks belong to other topics
+
+
+def test_ties_of_neighbours_go_to_the_smaller_id():
+    ids = np.array([9, 4, 7, 1, 8, 2])
+    index = toxicity.BlockMaxIndex(np.arange(6), np.zeros(6, int), np.ones(6), np.zeros(6, int), ids, 1, 1, 2)
+    at, cos = index.search([(np.array([0]), np.array([0.5]))], 3)[0]
+    assert index.ids[at].tolist() == [1, 2, 4] and cos.tolist() == [0.5] * 3
+    at, _ = index.search([(np.array([0]), np.array([0.5]))], 3, np.array([3]))[0]
+    assert index.ids[at].tolist() == [2, 4, 7]
+    assert [len(a) for a, _ in index.search([(np.zeros(0, int), np.zeros(0))], 3)] == [0]
 
 
 def test_finder_counts_like_the_plain_terms():
     text = "Idiot! idiotic IDIOT, ökonomie ok idiot-free"
-    terms = {t: i for i, t in enumerate(["idiot", "idi-", "idi-@2", "idiot@3", "idiot@2", "öko-", "none"])}
+    terms = {t: i for i, t in enumerate(["idiot", "idiot-", "idiot-@2", "idiot@3", "idiot@2", "ökono-", "none"])}
     plain = toxicity.repeated(toxicity.words(text))
     assert toxicity.TermFinder(terms).find(text) == {i: plain[t] for t, i in terms.items() if t in plain}
+    other = toxicity.TermFinder(terms).count(text)[2]
+    assert sorted(other.tolist()) == sorted(n for t, n in plain.items() if t not in terms)
     assert toxicity.TermFinder(terms).find(None) == {}
 
 

@@ -83,27 +83,30 @@ def test_quality_learns_and_scores_every_row(spark, odd, odd_rows, empty):
 def test_toxicity_learns_and_scores_every_row(spark, odd, odd_rows, empty):
     data = labelled(spark, "moronic")
     labels = data.select("doc_id", "y").union(spark.createDataFrame([(None, 1), (5, None), (7000, 1)], "doc_id long, y int"))
-    model, counts = toxicity.fit(spark, data, labels, "y", F.col("key") % 4 != 0)
-    got = {r.doc_id: r for r in toxicity.score(counts, model).collect()}
+    model = toxicity.fit(spark, data, labels, "y", F.col("key") % 4 != 0)
+    got = {r.doc_id: r for r in toxicity.score(data, model).collect()}
     assert len(got) == 300
     for i in range(0, 300, 4):
         assert got[i].predicted == (i % 3 == 0)
         assert bool(got[i].evidence) == (i % 3 == 0) and all(e % 3 == 0 and e % 4 for e in got[i].evidence)
-    out = toxicity.score(toxicity.term_counts(odd, model.terms, "doc_id"), model).collect()
+    out = toxicity.score(odd, model).collect()
     assert collections.Counter(r.doc_id for r in out) == collections.Counter(i for i, _ in odd_rows)
     assert {r.predicted for r in out} == {0}
-    model, counts = toxicity.fit(spark, empty, labels, "y")
-    assert toxicity.score(counts, model).count() == 0
-    model, counts = toxicity.fit(spark, data, labels.limit(0), "y")
-    assert {r.score for r in toxicity.score(counts, model).collect()} == {0.0}
+    assert toxicity.score(empty, model).count() == 0
+    assert toxicity.score(empty, toxicity.fit(spark, empty, labels, "y")).count() == 0
+    assert {r.score for r in toxicity.score(data, toxicity.fit(spark, data, labels.limit(0), "y")).collect()} == {0.0}
+    assert "Exchange" not in toxicity.score(data, model)._jdf.queryExecution().toString()
 
 
-def test_document_frequencies_cover_all_documents(spark):
+def test_idf_is_that_of_the_examples_by_class_share(spark):
     data = labelled(spark, "moronic")
     labels = data.where("doc_id < 200").select("doc_id", "y")
-    model, _ = toxicity.fit(spark, data, labels, "y", max_fit=40)
-    holds = data.where(F.col("text").contains("moronic")).count()
-    assert np.isclose(model.idf[model.terms["moronic"]], np.log(301 / (1 + holds)) + 1)
+    model = toxicity.fit(spark, data, labels, "y", max_fit=40)
+    assert sorted(model.index.labels.tolist()) == [0] * 40 + [1] * 40
+    texts = {r.doc_id: r.text for r in data.collect()}
+    holds = [np.mean(["moronic" in texts[i] for i in model.index.ids[model.index.labels == k].tolist()]) for k in (0, 1)]
+    rate = labels.agg(F.avg("y")).first()[0]
+    assert np.isclose(model.idf[model.terms["moronic"]], np.log(81 / (1 + 80 * ((1 - rate) * holds[0] + rate * holds[1]))) + 1)
 
 
 def test_every_term_counts_for_toxicity(spark):
@@ -113,23 +116,23 @@ def test_every_term_counts_for_toxicity(spark):
     # a very long text of words that no example has, with the same two hits
     rows.append((1000, " ".join(["moronic", *(f"{w}x{v}" for w in "pqrstvwz" for v in "".join(clean[:60])), "moronic", *(c + "qzz" + d for c, d in zip(clean, clean[7:]))]), None))
     data = spark.createDataFrame(rows, "doc_id long, text string, y int")
-    model, counts = toxicity.fit(spark, data, data.where("y is not null"), "y")
+    model = toxicity.fit(spark, data, data.where("y is not null"), "y", common=16, block=8)
     assert len(model.index.ids) == 300 and sorted(model.index.labels.tolist()) == [0] * 200 + [1] * 100
     plain = {i: toxicity.repeated(toxicity.words(t)) for i, t, _ in rows}
     terms = model.terms
     assert set(terms) == set().union(*(plain[i] for i in range(300)))
-    df = collections.Counter(t for p in plain.values() for t in p)
+    df = collections.Counter(t for i in range(300) for t in plain[i])
 
     def weights(i):
-        return {t: (1 + np.log(n)) * (np.log(302 / (1 + df[t])) + 1) * (model.gain[terms[t]] if t in terms else 1) for t, n in plain[i].items()}
+        return {t: (1 + np.log(n)) * (np.log(301 / (1 + df[t])) + 1) * (model.gain[terms[t]] if t in terms else 1) for t, n in plain[i].items()}
 
     w = {i: weights(i) for i in plain}
     norm = {i: sum(x * x for x in v.values()) ** 0.5 for i, v in w.items()}
-    for r in toxicity.score(counts, model).where("doc_id in (0, 1, 1000)").collect():
-        cos = np.array([sum(x * w[i].get(t, 0) for t, x in w[r.doc_id].items()) / norm[i] / norm[r.doc_id] for i in range(300)])
-        near = np.lexsort((np.arange(300), -np.round(cos * norm[r.doc_id], 6)))[:15]
+    for r in toxicity.score(data, model).collect():
+        cos = np.round([sum(x * w[i].get(t, 0) for t, x in w[r.doc_id].items()) / norm[i] / norm[r.doc_id] for i in range(300)], 6)
+        near = np.lexsort((np.arange(300), -cos))[:15]
         near = near[cos[near] > 0]
-        assert np.isclose(r.score, model.calibrated(model.share(cos[near], near % 3 == 0)), rtol=1e-3)
+        assert np.isclose(r.score, model.calibrated(model.share(cos[near], near % 3 == 0)), rtol=1e-3), r.doc_id
 
 
 # packing -------------------------------------------------------------------------------

@@ -65,8 +65,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    model, counts = toxicity.fit(spark, docs, load(spark, sf_dir, "labels"), "toxic", crc_fold("key", 5) != 0)
-    scored = toxicity.score(counts, model)
+    model = toxicity.fit(spark, docs, load(spark, sf_dir, "labels"), "toxic", crc_fold("key", 5) != 0)
+    scored = toxicity.score(docs, model)
     return scored.select("doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "evidence")
 
 

@@ -1,21 +1,26 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by nearest labelled examples under exact TF-IDF cosine, found in a block-max inverted index.
 
-Terms are words (runs of letters and of characters beyond ASCII, lower case) and their beginnings of 3 to 7 letters, so that
+Terms are words (runs of letters and of characters beyond ASCII, lower case) and their beginnings of five letters, so that
 inflected and compound forms meet; a form that stands in a text twice or three times is a further
-term (``form@2``, ``form@3``), as a word may be harmless once. Every term of every text counts: a weight is
-``(1 + ln tf) * idf * gain`` with document frequencies over *all* documents, and rows have unit length over all their
-terms. ``gain`` is ``1 + sqrt(chi2)`` of a term that is likelier in label 1 of the sample, else 1, so that a topic
-does not hide a few telling words, while a long clean text still outweighs chance hits.
-All sampled examples of both labels are indexed: the ``common`` most frequent terms as a dense matrix, the others as
-postings; the cosine to every example is summed up, so the k neighbours are exact (to six decimals, ties to the smaller position).
-A term that no example has adds to a text's norm only; its frequency is joined by a 64-bit hash.
-The votes of
-the neighbours, weighted by ``1 / (1 - cosine + 0.1)``, and ``prior_weight`` votes of the
+term (``form@2``, ``form@3``), as a word may be harmless once. A weight is ``(1 + ln tf) * idf * gain``, and rows have unit
+length over all their terms, known or not. ``idf`` comes from the sampled examples, the two classes weighted by their shares among
+the labelled rows; a term of no example has the largest. ``gain`` is ``1 + sqrt(chi2)`` of a term that is likelier in label 1
+of the sample, else 1, so that a topic does not hide a few telling words.
+The forms, the gain and k were chosen by four folds of rows that may be learned from.
+
+All sampled examples of both labels are indexed. They are laid out by their most frequent term, label and heaviest term, so
+that like ones share a block of ``block`` rows. An entry (term, block) holds the largest weight of the term in the block and where the
+block's postings begin; the ``common`` most frequent terms have their postings as a dense matrix. A text's bound for a block is the
+product of its weights with those maxima. Texts take their blocks in descending order of the bound, in rounds of growing
+size, and stop as soon as the next bound is below the k-th cosine found; all blocks after that are skipped. The
+neighbours are exact (cosines to six decimals, ties to the smaller id).
+
+The votes of the neighbours, weighted by ``1 / (1 - cosine + 0.1)``, and ``prior_weight`` votes of the
 base rate give a raw share; a logistic curve fitted to the examples' own shares (each left out
 of its vote) calibrates it. ``evidence`` lists the nearest examples with label 1.
 
-Bounded fit: at most ``max_fit`` labelled documents per class (smallest hashes of the id),
-whole texts. Document frequencies and scores cover every whole text, in place.
+Bounded fit: at most ``max_fit`` labelled documents per class (smallest hashes of the id), whole texts; vocabulary, weights and
+index are made of these alone and go along with each task. Scoring is one pass over all whole texts without a shuffle.
 
 Edge cases: a null or empty text, or one without a known term, has no neighbour and gets
 the calibrated base rate. A null id has a row with a null id. Repeated rows are scored
@@ -29,20 +34,20 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import blake2b
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, fit_sample, slices, small_side, text_hash
+from .common import Scratch, fit_sample, slices, text_hash
 
 _ROOM = 1 << 18  # distinct words counted or known at a time in a task
-_UNIT = 1 << 20  # squared weights are summed as whole numbers of 1 / _UNIT, in any order
+_SLACK = 1e-5  # above the rounding of cosines
 REPEATS = (2, 3)
+BEGINNING = 5
 _BLANK = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
 
 
@@ -51,71 +56,126 @@ def words(text: str | None) -> list[str]:
 
 
 def forms(word: str) -> list[str]:
-    """The word and its beginnings (marked by a hyphen)."""
-    return [word, *(word[:n] + "-" for n in range(3, min(len(word), 8)))]
-
-
-class ExampleIndex:
-    """Rows of the examples by term: a dense matrix of the terms below ``common``, postings of all. ``rows`` is a
-    matrix, or the example, term and weight of each entry; ``scale`` multiplies each row. Weights are held as codes."""
-
-    def __init__(
-        self, rows: np.ndarray | tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.ndarray, ids: np.ndarray, common: int, scale: np.ndarray | None = None
-    ) -> None:
-        example, terms, x = (*np.nonzero(rows), rows[rows != 0]) if isinstance(rows, np.ndarray) else rows
-        self.labels, self.ids, self.common = labels, ids, common
-        self.scale = np.ones(len(ids), np.float32) if scale is None else scale.astype(np.float32)
-        order = np.argsort(terms, kind="stable")
-        self.ends = np.cumsum(np.bincount(terms, minlength=common))
-        self.example = example.astype(np.min_scalar_type(len(ids)))[order]
-        self.values = np.unique(x)
-        self.code = np.searchsorted(self.values, x).astype(np.min_scalar_type(len(self.values)))[order]
+    """The word and its beginning (marked by a hyphen)."""
+    return [word, word[:BEGINNING] + "-"] if len(word) >= BEGINNING else [word]
+
+
+def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers ``start .. start + size - 1`` of each pair, one after another."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
+class BlockMaxIndex:
+    """Unit rows of the examples by term. ``example``, ``term`` and ``weight`` are the entries; terms below ``common``
+    are the most frequent ones. ``visited`` and ``skipped`` count blocks over all searches."""
+
+    def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, labels: np.ndarray, ids: np.ndarray, terms: int, common: int = 1024, block: int = 64) -> None:
+        self.labels, self.ids, self.block, self.common = labels, ids, block, min(common, terms)
+        self.blocks = -(-len(ids) // block)
+        order = np.lexsort((example, term))
+        self.example = example[order].astype(np.min_scalar_type(len(ids)))
+        self.weight = weight[order].astype(np.float32)
+        term = term[order].astype(np.int64)
+        # entries (term, block): where their postings begin, and their largest weight
+        cell = term * self.blocks + self.example // block
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.first = np.append(first, len(cell)).astype(np.uint32)
+        self.block_of = (cell[first] % self.blocks).astype(np.min_scalar_type(self.blocks))
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
+        self.cells = np.searchsorted(cell[first], np.arange(terms + 1) * self.blocks).astype(np.uint32)
         self._fill()
 
     def _fill(self) -> None:
-        self.matrix = np.zeros((self.common, len(self.ids)), np.float32)
-        n = self.ends[self.common - 1]
-        term = np.repeat(np.arange(self.common), np.diff(self.ends[: self.common], prepend=0))
-        self.matrix[term, self.example[:n]] = self.values[self.code[:n]]
+        c = self.common
+        self.rows = np.zeros((self.blocks * self.block, c), np.float32)
+        self.bounds = np.zeros((c, self.blocks), np.float32)
+        n = int(self.cells[c])
+        of = np.repeat(np.arange(c), np.diff(self.cells[: c + 1].astype(np.int64)))
+        self.bounds[of, self.block_of[:n]] = self.most[:n]
+        size = np.diff(self.first[: n + 1].astype(np.int64))
+        self.rows[self.example[: size.sum()], np.repeat(of, size)] = self.weight[: size.sum()]
+        self.visited = self.skipped = 0
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "matrix"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "bounds")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self._fill()
 
-    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Products of each query (ascending terms, weights) with every row."""
-        q = np.zeros((len(queries), self.common), np.float32)
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Positions and cosines of the k nearest rows with a positive cosine, for each query (ascending terms,
+        weights); ``but`` names a position for each query that is left out."""
+        nq, width = len(queries), self.block
+        dense = np.zeros((nq, self.common), np.float32)
+        sparse = []
         for i, (at, w) in enumerate(queries):
             n = np.searchsorted(at, self.common)
-            q[i, at[:n]] = w[:n]
-        out = q @ self.matrix
-        for i, (at, w) in enumerate(queries):
-            n = np.searchsorted(at, self.common)
-            m = np.searchsorted(at, len(self.ends))  # later ones stand in no row
-            t, w = at[n:m], w[n:m]
-            start = self.ends[t - 1]
-            size = self.ends[t] - start
-            place = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
-            out[i] += np.bincount(self.example[place], np.repeat(w, size) * self.values[self.code[place]], minlength=out.shape[1])
-        return out * self.scale
-
-    def top(self, cos: np.ndarray, k: int, but: int = -1) -> np.ndarray:
-        """Positions of the k largest positive entries, ties to the smaller; ``but`` is left out."""
+            dense[i, at[:n]] = w[:n]
+            sparse.append((at[n:], w[n:]))
+        # the cells of the less frequent terms
+        at = np.concatenate([t for t, _ in sparse]).astype(np.int64)
+        start = self.cells[at].astype(np.int64)
+        size = self.cells[at + 1].astype(np.int64) - start
+        cell = _spans(start, size)
+        value = np.repeat(np.concatenate([w for _, w in sparse]), size)
+        query = np.repeat(np.repeat(np.arange(nq), [len(t) for t, _ in sparse]), size)
+        pair = query * self.blocks + self.block_of[cell]
+        bound = dense @ self.bounds + np.bincount(pair, value * self.most[cell], nq * self.blocks).reshape(nq, self.blocks)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        ranked = np.take_along_axis(bound, order, 1)
+        cos = np.zeros((nq, self.blocks * width))
+        best = np.zeros((nq, k))
+        begin, step, visited = 0, 4, 0
+        while begin < self.blocks:
+            # a block that cannot reach the k-th cosine found so far is skipped, and so are all after it
+            wanted = ranked[:, begin : begin + step] > np.maximum(best.min(axis=1) - _SLACK, 0)[:, None]
+            if not wanted.any():
+                break
+            who, which = np.nonzero(wanted)
+            block = order[who, begin + which]
+            now = np.zeros(nq * self.blocks, bool)
+            now[who * self.blocks + block] = True
+            by = np.argsort(block, kind="stable")
+            for part in np.split(by, np.flatnonzero(np.diff(block[by])) + 1):
+                b = int(block[part[0]]) * width
+                cos[who[part], b : b + width] = dense[who[part]] @ self.rows[b : b + width].T
+            met = np.flatnonzero(now[pair])
+            first = self.first[cell[met]].astype(np.int64)
+            size = self.first[cell[met] + 1].astype(np.int64) - first
+            posting = _spans(first, size)
+            flat = np.repeat(query[met] * cos.shape[1], size) + self.example[posting]
+            cos += np.bincount(flat, np.repeat(value[met], size) * self.weight[posting], cos.size).reshape(cos.shape)
+            if but is not None:
+                cos[np.arange(nq), but] = 0
+            fresh = np.zeros((nq, wanted.shape[1], width))
+            fresh[who, which] = cos.reshape(nq, self.blocks, width)[who, block]
+            best = np.partition(np.concatenate([best, fresh.reshape(nq, -1)], axis=1), -k, axis=1)[:, -k:]
+            visited += len(who)
+            begin, step = begin + step, step * 2
+        self.visited += visited
+        self.skipped += nq * self.blocks - visited
+        return [self._top(c, k) for c in cos]
+
+    def _top(self, cos: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         cos = np.round(cos, 6)
-        if but >= 0:
-            cos[but] = 0
         least = np.partition(cos, -k)[-k] if len(cos) > k else 0
         at = np.flatnonzero((cos >= least) & (cos > 0))
-        return at[np.lexsort((at, -cos[at]))[:k]]
+        at = at[np.lexsort((self.ids[at], -cos[at]))[:k]]
+        return at, cos[at]
+
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest rows with a positive cosine."""
-        cos = self.cosines([(terms, weights)])[0]
-        near = self.top(cos, k, but)
-        return near, cos[near].astype(float)
+def layout(example: np.ndarray, term: np.ndarray, tf: np.ndarray, weight: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """An order of the examples in which like ones are neighbours: by most frequent term, label and heaviest term."""
+    n = len(labels)
+
+    def leading(by: np.ndarray) -> np.ndarray:
+        out = np.full(n, -1)
+        last = np.lexsort((-term, by))
+        out[example[last]] = term[last]  # the largest is written last
+        return out
+
+    return np.lexsort((leading(weight), labels, leading(tf)))
 
 
 def _listed(names: list[str]) -> bytes:
@@ -146,51 +206,40 @@ class TermFinder:
         self.place = np.full((self.size + 1, 1 + len(REPEATS)), -1)  # the last row is for forms of no example
         for form, r, at in split:
             self.place[form, r - 1] = at
-        self.names = list(self.base)
+        self.unknown: dict[str, int] = {}  # forms of no example
         self.known: dict[str, list[int]] = {}
 
     def _forms(self, word: str) -> list[int]:
         got = self.known.get(word)
         if got is None:
-            got = []
-            for f in forms(word):
-                at = self.base.get(f)
-                if at is None:
-                    at = self.base[f] = len(self.names)
-                    self.names.append(f)
-                got.append(at)
+            got = [self.base[f] if f in self.base else self.unknown.setdefault(f, self.size + len(self.unknown)) for f in forms(word)]
             self.known[word] = got
         return got
 
-    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
-        """Ascending vocabulary positions and their counts; hashes of the other terms and their counts."""
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ascending vocabulary positions, their counts, and the counts of the other terms."""
         if len(self.known) > _ROOM:
             self.known.clear()
-            for f in self.names[self.size :]:
-                del self.base[f]
-            del self.names[self.size :]
+            self.unknown.clear()
         found = Counter(words(text))
         own = [self._forms(w) for w in found]
         sizes = [len(o) for o in own]
         form, of = np.unique(np.fromiter(chain.from_iterable(own), np.int64, sum(sizes)), return_inverse=True)
         total = np.bincount(of, np.repeat(np.fromiter(found.values(), np.int64, len(found)), sizes), len(form)).astype(np.int64)
-        at, tf, other, other_tf = [], [], [], []
+        at, tf, other = [], [], []
         for r in (1, *REPEATS):
-            f, n = form[total >= r], total[total >= r] - r + 1
-            place = self.place[np.minimum(f, self.size), r - 1]
+            often = total >= r
+            n, place = total[often] - r + 1, self.place[np.minimum(form[often], self.size), r - 1]
             at.append(place[place >= 0])
             tf.append(n[place >= 0])
-            for i in f[place < 0].tolist():
-                term = self.names[i] if r == 1 else f"{self.names[i]}@{r}"
-                other.append(int.from_bytes(blake2b(term.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True))
-            other_tf += n[place < 0].tolist()
+            other.append(n[place < 0])
         at, tf = np.concatenate(at), np.concatenate(tf)
         order = np.argsort(at)
-        return at[order], tf[order], other, other_tf
+        return at[order], tf[order], np.concatenate(other)
 
     def find(self, text: str | None) -> dict[int, int]:
         """Occurrences of each term, by position in the vocabulary."""
-        at, tf, _, _ = self.count(text)
+        at, tf, _ = self.count(text)
         return dict(zip(at.tolist(), tf.tolist(), strict=True))
 
 
@@ -201,29 +250,23 @@ class KnnModel:
     listed: bytes  # the terms in the order of their positions, packed
     idf: np.ndarray
     gain: np.ndarray
-    index: ExampleIndex | None
+    index: BlockMaxIndex | None
     rate: float
-    others: DataFrame | None = None  # (term, n): hashes of terms of no example that stand in n > 1 documents
-    total: int = 0
+    unseen: float = 1.0  # idf of a term of no example
     k: int = 15
     prior_weight: float = 1.0
     slope: float = 1.0
     offset: float = 0.0
 
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "listed": b"", "others": None}  # tasks that score need neither
-
     @property
     def terms(self) -> dict[str, int]:
         return _terms(self.listed)
 
-    @property
-    def weight(self) -> np.ndarray:
-        return self.idf * self.gain
-
-    def query(self, at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights of a text as the index takes them, whose own weights are ``1 + ln tf``."""
-        return at, x * self.idf[at] * self.gain[at]
+    def vector(self, at: np.ndarray, tf: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of a text; its length is 1 together with the terms of no example."""
+        x = (1 + np.log(tf)) * self.idf[at] * self.gain[at]
+        rest = (1 + np.log(other)) * self.unseen
+        return at, x / max(np.sqrt((x * x).sum() + (rest * rest).sum()), 1e-12)
 
     def share(self, cos: np.ndarray, y: np.ndarray) -> float:
         """Raw share of label 1 of neighbours with these cosines and labels."""
@@ -274,60 +317,6 @@ def _form_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text", "label").mapInArrow(run, "term string, label int, n long").groupBy("term", "label").agg(F.sum("n").alias("n"))
 
 
-def _packed(numbers: np.ndarray) -> bytes:
-    """Whole numbers below 2**32, byte by byte, which compresses well."""
-    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
-
-
-def _positions(gaps: bytes) -> np.ndarray:
-    return np.cumsum(_unpacked(gaps))
-
-
-def term_counts(docs: DataFrame, terms: dict[str, int] | bytes, *keep: str) -> DataFrame:
-    """``(*keep, row, at, tf, other, other_tf)``: packed gaps between the ascending positions of the vocabulary's terms
-    in each ``text`` and their packed counts, hashes and counts of its other terms; ``row`` numbers the rows."""
-    listed = terms if isinstance(terms, bytes) else _listed(sorted(terms, key=terms.get))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder, row = TermFinder(_terms(listed)), TaskContext.get().partitionId() << 40
-        for b in slices(batches):
-            found = [finder.count(t) for t in b.column("text").to_pylist()]
-            rows = pa.array(np.arange(row, row + b.num_rows), pa.int64())
-            row += b.num_rows
-            got = [
-                pa.array([_packed(np.diff(f[0], prepend=0)) for f in found], pa.binary()),
-                pa.array([_packed(f[1]) for f in found], pa.binary()),
-                pa.array([f[2] for f in found], pa.list_(pa.int64())),
-                pa.array([f[3] for f in found], pa.list_(pa.int32())),
-            ]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), rows, *got], [*keep, "row", "at", "tf", "other", "other_tf"])
-
-    rows = docs.select(*keep, "text")
-    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(run, schema + "row long, at binary, tf binary, other array<long>, other_tf array<int>")
-
-
-def _frequencies(counts: DataFrame, size: int) -> np.ndarray:
-    """In how many rows of ``counts`` each term of the vocabulary stands."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(size, np.int64)
-        for b in slices(batches):
-            n += np.bincount(np.concatenate([np.zeros(0, np.int64), *(_positions(a) for a in b.column("at").to_pylist())]), minlength=size)
-        at = np.flatnonzero(n)
-        for i in range(0, len(at), 1 << 14):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + (1 << 14)], pa.int32()), pa.array(n[at[i : i + (1 << 14)]], pa.int64())], ["t", "n"])
-
-    seen = counts.select("at").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(size, np.int64)
-    out[seen.column("t").to_numpy()] = seen.column("n").to_numpy()
-    return out
-
-
 def fit(
     spark: SparkSession,
     docs: DataFrame,
@@ -336,106 +325,91 @@ def fit(
     usable: Column | None = None,
     max_fit: int = 3000,
     common: int = 1024,
+    block: int = 64,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> tuple[KnnModel, DataFrame]:
-    """The model of the labelled rows for which ``usable`` (a condition on ``key``) holds, and
-    the term counts ``(doc_id, at, tf)`` of all documents, from the only pass over their texts."""
-    sample = Scratch(spark).keep(fit_sample(docs, labels, label_col, usable, max_fit, id_col, text_col), "toxic-sample")
-    counted = _form_counts(sample).groupBy("term").pivot("label", [0, 1]).agg(F.sum("n")).na.fill(0)
+) -> KnnModel:
+    """The model of the labelled rows for which ``usable`` (a condition on ``key``) holds."""
+    scratch = Scratch(spark)
+    sample = scratch.keep(fit_sample(docs, labels, label_col, usable, max_fit, id_col, text_col), "toxic-sample")
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     all_labels = labels.where(F.col(label_col).isin(0, 1))
     if usable is not None:
         all_labels = all_labels.withColumn("key", F.col(id_col).cast("long")).where(usable)
-    rate = all_labels.agg(F.avg(F.col(label_col).cast("double"))).first()[0] or 0.0
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), text_hash(F.col(text_col)).alias("text_hash"))
+    rate = float(all_labels.agg(F.avg(F.col(label_col).cast("double"))).first()[0] or 0.0)
     if not n0 or not n1:
-        return KnnModel(b"", np.zeros(0), np.zeros(0), None, float(rate)), rows.select("doc_id", "text_hash")
+        scratch.drop("toxic-sample")
+        return KnnModel(b"", np.zeros(0), np.zeros(0), None, rate)
     # at most the terms of 2 * max_fit texts
+    counted = _form_counts(sample).groupBy("term").pivot("label", [0, 1]).agg(F.sum("n")).na.fill(0)
     found = counted.orderBy(F.desc(F.col("0") + F.col("1")), "term").toArrow()
     listed, size = _listed(found.column("term").to_pylist()), len(found)
-    c0, c1 = found.column("0").to_numpy(), found.column("1").to_numpy()
+    p0, p1 = found.column("0").to_numpy() / n0, found.column("1").to_numpy() / n1
+    del found
+    n = n0 + n1
     # chi-square of the two shares of texts, of the terms that are likelier in label 1
-    p0, p1, pooled = c0 / n0, c1 / n1, (c0 + c1) / (n0 + n1)
-    chi = np.maximum(p1 - p0, 0) ** 2 / (pooled * (1 - pooled) + 1e-12) * (n0 * n1 / (n0 + n1))
-    del found, c0, c1, p0, p1, pooled
-    scratch = Scratch(spark)
-    counts = scratch.keep(term_counts(rows, listed, "doc_id", "text_hash"), "toxic-terms")
-    total = counts.count()
-    idf = np.log((1 + total) / (1 + _frequencies(counts, size))) + 1
-    others = counts.select(F.explode("other").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    model = KnnModel(listed, idf, 1 + np.sqrt(chi), None, float(rate), scratch.keep(others, "toxic-others"), total)
-
-    texts: dict[int, tuple] = {}
-    got = term_counts(sample, listed, "key", "label").select("key", "label", "at", "tf").toArrow()  # at most 2 * max_fit ids
-    for key, y, at, tf in zip(*(got.column(c) for c in got.column_names), strict=True):
-        new = (len(at.as_buffer()), at.as_py(), tf.as_py(), y.as_py())
-        texts[key.as_py()] = max(texts.get(key.as_py(), new), new)
+    pooled = (p0 * n0 + p1 * n1) / n
+    chi = np.maximum(p1 - p0, 0) ** 2 / (pooled * (1 - pooled) + 1e-12) * (n0 * n1 / n)
+    idf = np.log((1 + n) / (1 + n * ((1 - rate) * p0 + rate * p1))) + 1
+    model = KnnModel(listed, idf, 1 + np.sqrt(chi), None, rate, float(np.log(1 + n) + 1))
+
+    got = _vectors(sample, listed).toArrow()  # at most 2 * max_fit rows
+    scratch.drop("toxic-sample")
+    ids, y = got.column("key").to_numpy(), got.column("label").to_numpy()
+    at, tf = (got.column(c).combine_chunks() for c in ("at", "tf"))
+    example = np.repeat(np.arange(n, dtype=np.int32), np.asarray(pa.compute.list_value_length(at)))
+    at, tf = np.asarray(at.flatten()), np.asarray(tf.flatten())
     del got
-    ids = np.array(sorted(texts), np.int64)
-    y = np.array([texts[i][3] for i in ids.tolist()])
-    at = [_positions(texts[i][1]).astype(np.int32) for i in ids.tolist()]
-    example = np.repeat(np.arange(len(ids), dtype=np.int32), [len(a) for a in at])
-    at, log_tf = np.concatenate(at), 1 + np.log(np.concatenate([_unpacked(texts.pop(i)[2]).astype(np.float32) for i in ids.tolist()]))
-    x = log_tf * model.weight.astype(np.float32)[at]
-    norm = np.maximum(np.sqrt(np.bincount(example, x * x, minlength=len(ids))), 1e-12)
-    model.index = ExampleIndex((example, at, log_tf), y, ids, common, 1 / norm)
+    x = ((1 + np.log(tf)) * idf[at] * model.gain[at]).astype(np.float32)
+    norm = np.maximum(np.sqrt(np.bincount(example, x.astype(float) ** 2, minlength=n)), 1e-12)
+    x /= norm[example]
+    order = layout(example, at, tf, x, y)
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    model.index = BlockMaxIndex(place[example], at, x, y[order], ids[order], size, common, block)
     # entries lie by example, so a run of examples is a slice
-    first = np.searchsorted(example, np.arange(len(ids) + 1))
-    own = []
-    for i in range(0, len(ids), 64):
-        part = range(i, min(i + 64, len(ids)))
-        cos = model.index.cosines([model.query(at[first[j] : first[j + 1]], x[first[j] : first[j + 1]] / norm[j]) for j in part])
-        for j, c in zip(part, cos, strict=True):
-            near = model.index.top(c, model.k, j)
-            own.append(model.share(c[near], y[near]))
-    share = np.clip(own, 1e-4, 1 - 1e-4)
-    weight = np.where(y == 1, rate / n1, (1 - rate) / n0) * (n0 + n1)
+    first = np.searchsorted(example, np.arange(n + 1))
+    share = np.zeros(n)
+    for i in range(0, n, 128):
+        part = np.arange(i, min(i + 128, n))
+        near = model.index.search([(at[first[j] : first[j + 1]], x[first[j] : first[j + 1]]) for j in part], model.k, place[part])
+        share[part] = [model.share(cos, model.index.labels[rows]) for rows, cos in near]
+    share = np.clip(share, 1e-4, 1 - 1e-4)
+    weight = np.where(y == 1, rate / n1, (1 - rate) / n0) * n
     model.slope, model.offset = _logistic(np.log(share / (1 - share)), y, weight)
-    return model, counts
+    return model
 
 
-def score(counts: DataFrame, model: KnnModel) -> DataFrame:
-    """``(doc_id, text_hash, score, predicted, evidence)`` of each row of :func:`term_counts`. A term of no example
-    that ``model.others`` does not hold counts as one of a single document."""
-    if "text_hash" not in counts.columns:
-        counts = counts.withColumn("text_hash", F.lit(None).cast("long"))
+def _vectors(sample: DataFrame, listed: bytes) -> DataFrame:
+    """``(key, label, at, tf)`` of the sampled examples: ascending positions of their terms, and counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = TermFinder(_terms(listed))
+        for b in slices(batches):
+            found = [finder.count(t) for t in b.column("text").to_pylist()]
+            got = [pa.array([f[i] for f in found], pa.list_(pa.int32())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("label"), *got], ["key", "label", "at", "tf"])
+
+    return sample.select("key", "label", "text").mapInArrow(run, "key long, label int, at array<int>, tf array<int>").orderBy("key")
+
+
+def score(docs: DataFrame, model: KnnModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, text_hash, score, predicted, evidence)`` of each row, in one pass over the texts."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     if model.index is None:
         rate = F.lit(model.rate)
-        return counts.select("doc_id", "text_hash", rate.alias("score"), (rate >= 0.5).cast("int").alias("predicted"), F.array().cast("array<long>").alias("evidence"))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 64):
-            at = [_positions(a) for a in b.column("at").to_pylist()]
-            x = [(1 + np.log(_unpacked(n))) * model.idf[a] * model.gain[a] for a, n in zip(at, b.column("tf").to_pylist(), strict=True)]
-            units = [max(np.linalg.norm(v), 1e-12) for v in x]
-            cos = model.index.cosines([model.query(a, v / u) for a, v, u in zip(at, x, units, strict=True)])
-            near = [model.index.top(c, model.k) for c in cos]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("text_hash"), b.column("row"), pa.array([u * u for u in units], pa.float64()), pa.array(near, pa.list_(pa.int32())),
-                 pa.array([c[n].astype(float) for c, n in zip(cos, near, strict=True)], pa.list_(pa.float64()))],
-                ["doc_id", "text_hash", "row", "known", "near", "cos"],
-            )
-
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            s, evidence = np.zeros(b.num_rows), []
-            for i, (near, cos, known, rest) in enumerate(zip(*(b.column(c).to_pylist() for c in ("near", "cos", "known", "rest")), strict=True)):
-                near = np.array(near, np.int64)
-                y = model.index.labels[near]
-                s[i] = model.calibrated(model.share(np.array(cos) * np.sqrt(known / (known + rest / _UNIT)), y))
-                evidence.append(model.index.ids[near[y == 1][:3]])
+        return rows.select("doc_id", "text_hash", rate.alias("score"), (rate >= 0.5).cast("int").alias("predicted"), F.array().cast("array<long>").alias("evidence"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder, index = TermFinder(model.terms), model.index
+        for b in slices(batches, 128):
+            near = index.search([model.vector(*finder.count(t)) for t in b.column("text").to_pylist()], model.k)
+            s = np.array([model.calibrated(model.share(cos, index.labels[rows])) for rows, cos in near])
+            evidence = [index.ids[rows[index.labels[rows] == 1][:3]] for rows, _ in near]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("text_hash"), pa.array(s, pa.float64()), pa.array(s >= 0.5).cast(pa.int32()), pa.array(evidence, pa.list_(pa.int64()))],
                 ["doc_id", "text_hash", "score", "predicted", "evidence"],
             )
 
-    # the order of the neighbours does not depend on the norm, so only their cosines meet the other terms' weights
-    pairs = counts.select("row", F.explode(F.arrays_zip("other", "other_tf")).alias("o")).select("row", F.col("o.other").alias("term"), F.col("o.other_tf").alias("f"))
-    n = F.coalesce(F.col("n"), F.lit(1))
-    weight = (1 + F.log("f")) * (F.log((1 + model.total) / (1 + n)) + 1)
-    rest = pairs.join(small_side(model.others), "term", "left").groupBy("row").agg(F.sum(F.round(weight * weight * _UNIT).cast("long")).alias("rest"))
-    near = counts.select("doc_id", "text_hash", "row", "at", "tf").mapInArrow(search, "doc_id long, text_hash long, row long, known double, near array<int>, cos array<double>")
-    joined = near.join(rest, "row", "left").select("doc_id", "text_hash", "near", "cos", "known", F.coalesce("rest", F.lit(0)).alias("rest"))
-    return joined.mapInArrow(vote, "doc_id long, text_hash long, score double, predicted int, evidence array<long>")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, score double, predicted int, evidence array<long>")
