@@ -9,11 +9,11 @@ of the sample, else 1, so that a topic does not hide a few telling words.
 The forms, the gain and k were chosen by four folds of rows that may be learned from.
 
 All sampled examples of both labels are indexed. They are laid out by their most frequent term, label and heaviest term, so
-that like ones share a block of ``block`` rows. An entry (term, block) holds the largest weight of the term in the block and where the
-block's postings begin; the ``common`` most frequent terms have their postings as a dense matrix. A text's bound for a block is the
-product of its weights with those maxima. Texts take their blocks in descending order of the bound, in rounds of growing
-size, and stop as soon as the next bound is below the k-th cosine found; all blocks after that are skipped. The
-neighbours are exact (cosines to six decimals, ties to the smaller id).
+that like ones share a block of ``block`` rows. The long lists, of the ``common`` most frequent terms, are cut into these blocks, with
+the largest weight of each term in each block; within a block they are a dense matrix. The short lists of the other terms are summed
+first. A text's bound for a block is the product of its weights with the block's maxima and the largest sum of the short lists there. Texts take
+their blocks in descending order of the bound, in rounds of growing size, and stop as soon as the next bound is below the k-th
+cosine found; all blocks after that are skipped. The neighbours are exact (cosines to six decimals, ties to the smaller id).
 
 The votes of the neighbours, weighted by ``1 / (1 - cosine + 0.1)``, and ``prior_weight`` votes of the
 base rate give a raw share; a logistic curve fitted to the examples' own shares (each left out
@@ -34,7 +34,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, fit_sample, slices, text_hash
 
-_ROOM = 1 << 18  # distinct words counted or known at a time in a task
+_ROOM = 1 << 18  # distinct terms counted at a time in a task
 _SLACK = 1e-5  # above the rounding of cosines
 REPEATS = (2, 3)
 BEGINNING = 5
@@ -69,35 +69,25 @@ class BlockMaxIndex:
     """Unit rows of the examples by term. ``example``, ``term`` and ``weight`` are the entries; terms below ``common``
     are the most frequent ones. ``visited`` and ``skipped`` count blocks over all searches."""
 
-    def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, labels: np.ndarray, ids: np.ndarray, terms: int, common: int = 1024, block: int = 64) -> None:
+    def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, labels: np.ndarray, ids: np.ndarray, terms: int, common: int = 2048, block: int = 64) -> None:
         self.labels, self.ids, self.block, self.common = labels, ids, block, min(common, terms)
         self.blocks = -(-len(ids) // block)
         order = np.lexsort((example, term))
         self.example = example[order].astype(np.min_scalar_type(len(ids)))
         self.weight = weight[order].astype(np.float32)
-        term = term[order].astype(np.int64)
-        # entries (term, block): where their postings begin, and their largest weight
-        cell = term * self.blocks + self.example // block
-        first = np.flatnonzero(np.diff(cell, prepend=-1))
-        self.first = np.append(first, len(cell)).astype(np.uint32)
-        self.block_of = (cell[first] % self.blocks).astype(np.min_scalar_type(self.blocks))
-        self.most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
-        self.cells = np.searchsorted(cell[first], np.arange(terms + 1) * self.blocks).astype(np.uint32)
+        self.ends = np.cumsum(np.bincount(term, minlength=terms)).astype(np.uint32)
         self._fill()
 
     def _fill(self) -> None:
         c = self.common
+        n = int(self.ends[c - 1]) if c else 0
         self.rows = np.zeros((self.blocks * self.block, c), np.float32)
-        self.bounds = np.zeros((c, self.blocks), np.float32)
-        n = int(self.cells[c])
-        of = np.repeat(np.arange(c), np.diff(self.cells[: c + 1].astype(np.int64)))
-        self.bounds[of, self.block_of[:n]] = self.most[:n]
-        size = np.diff(self.first[: n + 1].astype(np.int64))
-        self.rows[self.example[: size.sum()], np.repeat(of, size)] = self.weight[: size.sum()]
+        self.rows[self.example[:n], np.repeat(np.arange(c), np.diff(self.ends[:c].astype(np.int64), prepend=0))] = self.weight[:n]
+        self.most = np.ascontiguousarray(self.rows.reshape(self.blocks, self.block, c).max(axis=1).T)
         self.visited = self.skipped = 0
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "bounds")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "most")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -113,19 +103,19 @@ class BlockMaxIndex:
             n = np.searchsorted(at, self.common)
             dense[i, at[:n]] = w[:n]
             sparse.append((at[n:], w[n:]))
-        # the cells of the less frequent terms
+        # the short lists of the less frequent terms, as a whole
         at = np.concatenate([t for t, _ in sparse]).astype(np.int64)
-        start = self.cells[at].astype(np.int64)
-        size = self.cells[at + 1].astype(np.int64) - start
-        cell = _spans(start, size)
-        value = np.repeat(np.concatenate([w for _, w in sparse]), size)
-        query = np.repeat(np.repeat(np.arange(nq), [len(t) for t, _ in sparse]), size)
-        pair = query * self.blocks + self.block_of[cell]
-        bound = dense @ self.bounds + np.bincount(pair, value * self.most[cell], nq * self.blocks).reshape(nq, self.blocks)
+        start = np.where(at > 0, self.ends[at - 1], 0).astype(np.int64) if len(at) else at
+        size = self.ends[at].astype(np.int64) - start
+        posting = _spans(start, size)
+        row = np.repeat(np.repeat(np.arange(nq), [len(t) for t, _ in sparse]) * (self.blocks * width), size) + self.example[posting]
+        value = np.repeat(np.concatenate([w for _, w in sparse]).astype(np.float32), size) * self.weight[posting]
+        short = np.bincount(row, value, nq * self.blocks * width).astype(np.float32).reshape(nq, self.blocks, width)
+        bound = dense @ self.most + short.max(axis=2)
         order = np.argsort(-bound, axis=1, kind="stable")
         ranked = np.take_along_axis(bound, order, 1)
-        cos = np.zeros((nq, self.blocks * width))
-        best = np.zeros((nq, k))
+        cos = np.zeros((nq, self.blocks, width), np.float32)
+        best = np.zeros((nq, k), np.float32)
         begin, step, visited = 0, 4, 0
         while begin < self.blocks:
             # a block that cannot reach the k-th cosine found so far is skipped, and so are all after it
@@ -134,28 +124,20 @@ class BlockMaxIndex:
                 break
             who, which = np.nonzero(wanted)
             block = order[who, begin + which]
-            now = np.zeros(nq * self.blocks, bool)
-            now[who * self.blocks + block] = True
             by = np.argsort(block, kind="stable")
             for part in np.split(by, np.flatnonzero(np.diff(block[by])) + 1):
-                b = int(block[part[0]]) * width
-                cos[who[part], b : b + width] = dense[who[part]] @ self.rows[b : b + width].T
-            met = np.flatnonzero(now[pair])
-            first = self.first[cell[met]].astype(np.int64)
-            size = self.first[cell[met] + 1].astype(np.int64) - first
-            posting = _spans(first, size)
-            flat = np.repeat(query[met] * cos.shape[1], size) + self.example[posting]
-            cos += np.bincount(flat, np.repeat(value[met], size) * self.weight[posting], cos.size).reshape(cos.shape)
+                b, q = block[part[0]], who[part]
+                cos[q, b] = dense[q] @ self.rows[b * width : (b + 1) * width].T + short[q, b]
             if but is not None:
-                cos[np.arange(nq), but] = 0
-            fresh = np.zeros((nq, wanted.shape[1], width))
-            fresh[who, which] = cos.reshape(nq, self.blocks, width)[who, block]
+                cos.reshape(nq, -1)[np.arange(nq), but] = 0
+            fresh = np.zeros((nq, wanted.shape[1], width), np.float32)
+            fresh[who, which] = cos[who, block]
             best = np.partition(np.concatenate([best, fresh.reshape(nq, -1)], axis=1), -k, axis=1)[:, -k:]
             visited += len(who)
             begin, step = begin + step, step * 2
         self.visited += visited
         self.skipped += nq * self.blocks - visited
-        return [self._top(c, k) for c in cos]
+        return [self._top(c, k) for c in cos.reshape(nq, -1).astype(float)]
 
     def _top(self, cos: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         cos = np.round(cos, 6)
@@ -197,39 +179,35 @@ def repeated(found: list[str]) -> dict[str, int]:
 
 
 class TermFinder:
-    """Counts of terms in texts. The forms of up to ``_ROOM`` words are remembered."""
+    """Counts of terms in texts."""
 
     def __init__(self, terms: dict[str, int]) -> None:
-        self.base: dict[str, int] = {}
-        split = [(self.base.setdefault(form, len(self.base)), int(r or 1), at) for term, at in terms.items() for form, _, r in [term.partition("@")]]
-        self.size = len(self.base)
+        self.word: dict[str, int] = {}
+        self.begin: dict[str, int] = {}
+        of, times, at = [], [], []
+        for term, place in terms.items():
+            form, _, r = term.partition("@")
+            known, form = (self.begin, form[:-1]) if form.endswith("-") else (self.word, form)
+            of.append(known.setdefault(form, len(self.word) + len(self.begin)))
+            times.append(int(r or 1) - 1)
+            at.append(place)
+        self.size = len(self.word) + len(self.begin)
         self.place = np.full((self.size + 1, 1 + len(REPEATS)), -1)  # the last row is for forms of no example
-        for form, r, at in split:
-            self.place[form, r - 1] = at
-        self.unknown: dict[str, int] = {}  # forms of no example
-        self.known: dict[str, list[int]] = {}
-
-    def _forms(self, word: str) -> list[int]:
-        got = self.known.get(word)
-        if got is None:
-            got = [self.base[f] if f in self.base else self.unknown.setdefault(f, self.size + len(self.unknown)) for f in forms(word)]
-            self.known[word] = got
-        return got
+        self.place[of, times] = at
 
     def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ascending vocabulary positions, their counts, and the counts of the other terms."""
-        if len(self.known) > _ROOM:
-            self.known.clear()
-            self.unknown.clear()
-        found = Counter(words(text))
-        own = [self._forms(w) for w in found]
-        sizes = [len(o) for o in own]
-        form, of = np.unique(np.fromiter(chain.from_iterable(own), np.int64, sum(sizes)), return_inverse=True)
-        total = np.bincount(of, np.repeat(np.fromiter(found.values(), np.int64, len(found)), sizes), len(form)).astype(np.int64)
+        found = words(text)
+        form, total = [], []
+        for known, counted in ((self.word, Counter(found)), (self.begin, Counter([w[:BEGINNING] for w in found if len(w) >= BEGINNING]))):
+            form.append(np.fromiter(map(known.get, counted, repeat(self.size)), np.int64, len(counted)))
+            total.append(np.fromiter(counted.values(), np.int64, len(counted)))
+        form, total = np.concatenate(form), np.concatenate(total)
         at, tf, other = [], [], []
         for r in (1, *REPEATS):
-            often = total >= r
-            n, place = total[often] - r + 1, self.place[np.minimum(form[often], self.size), r - 1]
+            if r > 1:
+                form, total = form[total >= r], total[total >= r]
+            n, place = total - (r - 1), self.place[form, r - 1]
             at.append(place[place >= 0])
             tf.append(n[place >= 0])
             other.append(n[place < 0])
@@ -324,7 +302,7 @@ def fit(
     label_col: str,
     usable: Column | None = None,
     max_fit: int = 3000,
-    common: int = 1024,
+    common: int = 2048,
     block: int = 64,
     id_col: str = "doc_id",
     text_col: str = "text",
