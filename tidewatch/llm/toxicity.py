@@ -34,6 +34,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -137,14 +138,13 @@ class BlockMaxIndex:
             begin, step = begin + step, step * 2
         self.visited += visited
         self.skipped += nq * self.blocks - visited
-        return [self._top(c, k) for c in cos.reshape(nq, -1).astype(float)]
-
-    def _top(self, cos: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        cos = np.round(cos, 6)
-        least = np.partition(cos, -k)[-k] if len(cos) > k else 0
-        at = np.flatnonzero((cos >= least) & (cos > 0))
-        at = at[np.lexsort((self.ids[at], -cos[at]))[:k]]
-        return at, cos[at]
+        # nothing further than rounding below the k-th cosine can be among the first k
+        who, row = np.nonzero(cos.reshape(nq, -1) > np.maximum(best.min(axis=1) - _SLACK, 0)[:, None])
+        value = np.round(cos.reshape(nq, -1)[who, row].astype(float), 6)
+        near = np.lexsort((self.ids[row], -value, who))
+        near = near[value[near] > 0]
+        parts = np.split(near, np.searchsorted(who[near], np.arange(1, nq)))
+        return [(row[p[:k]], value[p[:k]]) for p in parts]
 
 
 def layout(example: np.ndarray, term: np.ndarray, tf: np.ndarray, weight: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -192,7 +192,7 @@ class TermFinder:
             times.append(int(r or 1) - 1)
             at.append(place)
         self.size = len(self.word) + len(self.begin)
-        self.place = np.full((self.size + 1, 1 + len(REPEATS)), -1)  # the last row is for forms of no example
+        self.place = np.full((self.size + 1, 1 + len(REPEATS)), -1, np.int32)  # the last row is for forms of no example
         self.place[of, times] = at
 
     def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -359,6 +359,12 @@ def fit(
     return model
 
 
+@lru_cache(maxsize=1)
+def _finder(listed: bytes) -> TermFinder:
+    """One for all tasks of a Python worker."""
+    return TermFinder(_terms(listed))
+
+
 def _vectors(sample: DataFrame, listed: bytes) -> DataFrame:
     """``(key, label, at, tf)`` of the sampled examples: ascending positions of their terms, and counts."""
 
@@ -380,8 +386,8 @@ def score(docs: DataFrame, model: KnnModel, id_col: str = "doc_id", text_col: st
         return rows.select("doc_id", "text_hash", rate.alias("score"), (rate >= 0.5).cast("int").alias("predicted"), F.array().cast("array<long>").alias("evidence"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder, index = TermFinder(model.terms), model.index
-        for b in slices(batches, 128):
+        finder, index = _finder(model.listed), model.index
+        for b in slices(batches):
             near = index.search([model.vector(*finder.count(t)) for t in b.column("text").to_pylist()], model.k)
             s = np.array([model.calibrated(model.share(cos, index.labels[rows])) for rows, cos in near])
             evidence = [index.ids[rows[index.labels[rows] == 1][:3]] for rows, _ in near]
