@@ -192,3 +192,48 @@ def test_extremes_of_runs():
     last = np.minimum(first + rng.integers(0, 20, 60), 39)
     low, high = FS._extremes(v, first, last)
     assert all((a, b) == (v[i : j + 1].min(), v[i : j + 1].max()) for a, b, i, j in zip(low, high, first, last, strict=True))
+
+
+@pytest.mark.parametrize("kw", [{}, {"late": "drop"}, {"idle_ttl_ms": 40_000}, {"event_time": True}, {"event_time": True, "idle_ttl_ms": 90_000}])
+def test_a_group_of_flows_gives_what_each_flow_alone_gives(kw):
+    rng = np.random.default_rng(3)
+    group = FS.FlowGroupProcessor(60_000_000, **{"late": "accept", "idle_ttl_ms": None, "event_time": False, **kw})
+    group.init(FakeHandle())
+    alone, got, want, calls = {}, [], [], 0
+
+    def fire(p, key, clock, sink):
+        due = [t for t in p.handle.timers if t < clock.ms]
+        for t in due:
+            sink.extend(p.handleExpiredTimer((key,), clock, None))
+            p.handle.timers.discard(t)
+
+    for k in range(40):
+        n = int(rng.integers(1, 60))
+        late = 0 if kw.get("event_time") else 25 * (rng.random(n) < 0.1)
+        t = ((30 * k + rng.integers(0, 30, n) - late) * 1e6).astype(np.int64) + 100_000_000
+        pdf = pd.DataFrame({name: rng.integers(1, 1000, n) for name in FS.PACKET_FIELDS} | {"ts_us": t, "packet_id": np.arange(n) + 100 * k})
+        pdf.insert(0, "flow", [f"f{i}" for i in rng.integers(0, 3 + k // 4, n)])
+        clock = Clock(100_000 + 30_000 * k - 10_000)
+        got.extend(group.handleInputRows((0,), iter([pdf]), clock))
+        calls += 1
+        for flow, rows in pdf.groupby("flow"):
+            if flow not in alone:
+                alone[flow] = processor(**kw)
+            want.extend(alone[flow].handleInputRows((flow,), iter([rows]), clock))
+        fire(group, 0, clock, got)
+        for flow, p in alone.items():
+            fire(p, flow, clock, want)
+    got, want = (pd.concat(x).sort_values(["flow", "packet_id"], ignore_index=True) for x in (got, want))
+    pd.testing.assert_frame_equal(got[want.columns], want)
+    assert len(want) > 300 and calls == 40
+    # one list entry a batch at most, and no more packets than twice those that the flows keep
+    assert len(group.chunks.rows) <= 40 and group.chunks.written <= 80
+    if not kw:
+        held = sum(len(c) for (c,) in group.chunks.rows) // (8 * (1 + len(FS.PACKET_FIELDS)))
+        assert held <= 2 * sum(len(p.packets.rows) for p in alone.values())
+
+
+def test_the_stream_groups_its_flows(spark):
+    rows = [pk(i, i // 20, flow=i % 20) for i in range(200)]
+    plan = FS.flow_features_stream(spark.createDataFrame(rows, PACKET_SCHEMA), 60, groups=4)._jdf.queryExecution().logical().toString()
+    assert "flow_group" in plan

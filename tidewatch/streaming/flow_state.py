@@ -1,7 +1,8 @@
 """Stateful streaming flow features (the per-packet extractor, incrementally).
 
 Packets are decoded with JVM expressions (key, flag bits, protocol indicators); only the per-flow state
-update runs in Python, a ``StatefulProcessor`` on the flow key. Arithmetic matches
+update runs in Python, a ``StatefulProcessor`` on groups of flows (a hash of the flow key), since a call and its state cost
+tens of milliseconds however few packets it brings. Arithmetic matches
 ``operators.flows.flow_features`` exactly (integer sums, then the same double operations).
 
 State of a flow:
@@ -10,6 +11,10 @@ State of a flow:
 * a list of packets, to which a batch only appends what is new. Packets that left the last ``W`` are
   trimmed when they are more than half of the list, so each is written at most about twice.
 
+A group keeps the values of its flows as one row of arrays, and the packets of a batch as one binary list entry
+(with the place of their flow in the group). What a flow trims is passed over from then on, and leaves the list when
+it is more than half of it. One timer stands for the earliest of the group's flows.
+
 Two orders of emission:
 
 * Arrival order (``delay_s=None``, the extractor's own notion: arrival time is event time). A packet is
@@ -75,6 +80,10 @@ PACKET_FIELDS = ["ts_us", "packet_id", "length", "ihl", "proto", "ttl", "marks"]
 LIST_SCHEMA = ", ".join(f"{name} bigint" for name in PACKET_FIELDS)
 TOTALS = ["first_us", "last_us", "emitted_us", "trimmed_us", "timer_ms"]
 TOTALS_SCHEMA = ", ".join(f"{name} bigint" for name in TOTALS) + ", counters array<bigint>"
+GROUPS = 1024
+GROUP_SCHEMA = "flows array<string>, totals binary, counters binary, timer_ms bigint"
+CHUNK_SCHEMA = "packets binary"
+_NONE = np.iinfo(np.int64).min  # a total that is not set
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -100,8 +109,8 @@ def _running(x: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(x, dtype=np.int64)])
 
 
-def _records(flow: str, packets: dict[str, np.ndarray], new: np.ndarray, counters: np.ndarray, first_us: np.ndarray, w_us: int) -> pd.DataFrame:
-    """Feature rows of the new packets. ``packets`` are all retained ones in
+def _records(flow: str, packets: dict[str, np.ndarray], new: np.ndarray, counters: np.ndarray, first_us: np.ndarray, w_us: int) -> dict | None:
+    """Columns of the feature rows of the new packets, if there are any. ``packets`` are all retained ones in
     time order, ``new`` the places of the new ones among them, ``counters`` their
     whole-life counters. All integer, then the batch operator's double operations."""
     ts, length = packets["ts_us"], packets["length"]
@@ -109,7 +118,7 @@ def _records(flow: str, packets: dict[str, np.ndarray], new: np.ndarray, counter
     keep = new - start >= 1
     new, start, counters, first_us = new[keep], start[keep], counters[keep], first_us[keep]
     if not len(new):
-        return pd.DataFrame()
+        return None
     n = new - start + 1
     s1 = _running(length)[new + 1] - _running(length)[start]
     s2 = _running(length * length)[new + 1] - _running(length * length)[start]
@@ -126,7 +135,7 @@ def _records(flow: str, packets: dict[str, np.ndarray], new: np.ndarray, counter
     length_num = np.array([float(int(k) * int(b) - int(a) * int(a)) for k, a, b in zip(n, s1, s2, strict=True)])
     gap_num = np.array([float(int(k) * x - int(d) * int(d)) for k, x, d in zip(m, q, span, strict=True)])
     cnt = {c: counters[:, i] for i, c in enumerate(_counters())}
-    out = {
+    return {
         "flow": flow, "packet_id": packets["packet_id"][new], "ts_us": ts[new],
         "Header_Length": packets["ihl"][new] * 4, "Protocol_Type": packets["proto"][new], "Time_To_Live": packets["ttl"][new],
         "Rate": nd / np.maximum((ts[new] - first_us).astype(float) / 1e6, 1.0),
@@ -137,7 +146,18 @@ def _records(flow: str, packets: dict[str, np.ndarray], new: np.ndarray, counter
         "Std": np.sqrt(length_num / (nd * md)), "Tot_size": s1, "IAT": span.astype(float) / md / 1e6, "Number": n,
         "Variance": np.where(m > 1, gap_num / (md * md) / 1e12, 0.0), "Label": UNKNOWN_LABEL,
     }
-    return pd.DataFrame(out)[[f.name for f in output_schema().fields]]
+
+
+def _frame(parts: list[dict]) -> pd.DataFrame:
+    """The rows of several flows as one frame."""
+    sizes = [len(part["packet_id"]) for part in parts]
+
+    def column(name: str) -> np.ndarray:
+        if isinstance(parts[0][name], np.ndarray):
+            return np.concatenate([part[name] for part in parts])
+        return np.repeat(np.array([part[name] for part in parts]), sizes)
+
+    return pd.DataFrame({f.name: column(f.name) for f in output_schema().fields})
 
 
 class FlowProcessor(StatefulProcessor):
@@ -171,12 +191,26 @@ class FlowProcessor(StatefulProcessor):
             self.totals.clear()
             self.packets.clear()
             return
+        old = np.array(list(self.packets.get()), np.int64).reshape(-1, len(PACKET_FIELDS)) if state else new[:0]
+        timer = total["timer_ms"]
+        out, counters, new, kept = self.advance(flow, total, counters, old, new, timers)
+        if out:
+            yield _frame([out])
+        if kept is not None:
+            self.packets.put([tuple(r) for r in np.concatenate([old, new])[kept].tolist()])
+        elif len(new):
+            self.packets.appendList([tuple(r) for r in new.tolist()])
+        self._move_timer(timer, total["timer_ms"])
+        self.totals.update((*(total[name] for name in TOTALS), counters.tolist()))
+
+    def advance(self, flow: str, total: dict, counters: np.ndarray, old: np.ndarray, new: np.ndarray, timers) -> tuple:
+        """One flow's batch: the columns of its records (or None), its counters, the new packets that are not left out, and,
+        if it is trimmed, which of ``old`` and these stay. ``total`` is brought up to date."""
         if self.late == "drop" and not self.event_time and total["last_us"] is not None:
             on_time = new[:, 0] >= total["last_us"]
             if self.dropped is not None:
                 self.dropped.add(int((~on_time).sum()))
             new = new[on_time]
-        old = np.array(list(self.packets.get()), np.int64).reshape(-1, len(PACKET_FIELDS)) if state else new[:0]
         rows = np.concatenate([old, new])
         emitted = total["emitted_us"]
         if self.event_time:
@@ -187,6 +221,7 @@ class FlowProcessor(StatefulProcessor):
         else:
             fresh, waits = np.arange(len(rows)) >= len(old), np.zeros(len(rows), bool)
             rank = np.argsort(rows[:, 0], kind="stable")  # late packets take their place among the retained ones
+        out = None
         if fresh.any():
             ready = rank[~waits[rank]]
             window = rows[ready]
@@ -201,18 +236,15 @@ class FlowProcessor(StatefulProcessor):
             out = _records(flow, packets, at, running, first, self.w_us)
             counters = running[-1]
             total["first_us"], total["last_us"] = int(first[-1]), int(max(window[-1, 0], total["last_us"] or window[-1, 0]))
-            if len(out):
-                yield out
         if self.event_time:
             total["emitted_us"] = safe if emitted is None else max(emitted, safe)
         dead = ~waits & ~(rows[:, 0] > (total["last_us"] or 0) - self.w_us) if total["last_us"] is not None else np.zeros(len(rows), bool)
+        kept = None
         if 2 * dead.sum() > len(rows):
             total["trimmed_us"] = int(max(rows[dead, 0].max(), total["trimmed_us"] if total["trimmed_us"] is not None else rows[dead, 0].max()))
-            self.packets.put([tuple(r) for r in rows[~dead].tolist()])
-        elif len(new):
-            self.packets.appendList([tuple(r) for r in new.tolist()])
-        self._set_timer(total, rows[waits, 0], timers)
-        self.totals.update((*(total[name] for name in TOTALS), counters.tolist()))
+            kept = ~dead
+        total["timer_ms"] = self._timer(total, rows[waits, 0], timers)
+        return out, counters, new, kept
 
     def _now(self, total: dict, timers) -> int:
         return timers.getCurrentWatermarkInMs() if self.event_time else timers.getCurrentProcessingTimeInMs()
@@ -225,19 +257,111 @@ class FlowProcessor(StatefulProcessor):
             return True  # a batch of the flow moves the timer
         return total["last_us"] is not None and total["last_us"] // 1000 + self.idle_ttl_ms <= self._now(total, timers)
 
-    def _set_timer(self, total: dict, waiting: np.ndarray, timers) -> None:
-        """One timer a flow: the oldest waiting packet, else the end of its idle time."""
-        at = None
+    def _timer(self, total: dict, waiting: np.ndarray, timers) -> int | None:
+        """When a flow is due: the oldest waiting packet, else the end of its idle time."""
         if len(waiting):
-            at = -(-int(waiting.min()) // 1000)
-        elif self.idle_ttl_ms and (not self.event_time or total["last_us"] is not None):
-            at = (total["last_us"] // 1000 if self.event_time else self._now(total, timers)) + self.idle_ttl_ms
-        if at != total["timer_ms"]:
-            if total["timer_ms"] is not None:
-                self.handle.deleteTimer(total["timer_ms"])
+            return -(-int(waiting.min()) // 1000)
+        if self.idle_ttl_ms and (not self.event_time or total["last_us"] is not None):
+            return (total["last_us"] // 1000 if self.event_time else self._now(total, timers)) + self.idle_ttl_ms
+        return None
+
+    def _move_timer(self, before: int | None, at: int | None) -> None:
+        if at != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
             if at is not None:
                 self.handle.registerTimer(at)
-            total["timer_ms"] = at
+
+
+class FlowGroupProcessor(FlowProcessor):
+    """The flows of a group: each goes on as in ``FlowProcessor``, with one state and one frame for all (see the module's text)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.group = handle.getValueState("group", GROUP_SCHEMA)
+        self.chunks = handle.getListState("chunks", CHUNK_SCHEMA)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat([pdf[["flow", *PACKET_FIELDS]] for pdf in rows], ignore_index=True)
+        yield from self.update_group(new["flow"].to_numpy(), new[PACKET_FIELDS].to_numpy(np.int64), timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self.update_group(np.empty(0, object), np.empty((0, len(PACKET_FIELDS)), np.int64), timerValues)
+
+    def _load(self) -> tuple:
+        """Names, totals and counters of the flows, the group's timer, and the packets (flow, fields) with the list entry of each."""
+        width = 1 + len(PACKET_FIELDS)
+        if not self.group.exists():
+            return [], np.empty((0, len(TOTALS) + 1), np.int64), np.empty((0, len(_counters())), np.int64), None, np.empty((0, width), np.int64), np.empty(0, np.int64), 0
+        flows, totals, counters, timer = self.group.get()
+        chunks = [np.frombuffer(c, np.int64).reshape(-1, width) for (c,) in self.chunks.get()]
+        packets = np.concatenate(chunks) if chunks else np.empty((0, width), np.int64)
+        totals, counters = np.frombuffer(totals, np.int64).reshape(len(flows), -1), np.frombuffer(counters, np.int64).reshape(len(flows), -1)
+        return list(flows), totals, counters, timer, packets, np.repeat(np.arange(len(chunks)), [len(c) for c in chunks]), len(chunks)
+
+    def update_group(self, names: np.ndarray, new: np.ndarray, timers) -> Iterator[pd.DataFrame]:
+        # a flow's last total is the number of list entries that its last trimming passed over
+        flows, totals, counters, timer, packets, entry, entries = self._load()
+        known = {flow: i for i, flow in enumerate(flows)}
+        of = np.fromiter((known.setdefault(name, len(known)) for name in names), np.int64, len(names))
+        flows, fresh = list(known), len(known) - len(flows)
+        totals = np.concatenate([totals, np.repeat([[_NONE] * len(TOTALS) + [0]], fresh, axis=0)])
+        counters = np.concatenate([counters, np.zeros((fresh, counters.shape[1]), np.int64)])
+        # what is trimmed: older than its flow's mark, in an entry before it
+        trimmed = totals[:, TOTALS.index("trimmed_us")]
+        alive = (packets[:, 1] > trimmed[packets[:, 0]]) | (entry >= totals[packets[:, 0], -1])
+        old = packets[alive]
+        old = old[np.argsort(old[:, 0], kind="stable")]
+        order = np.lexsort((new[:, 1], new[:, 0], of))
+        of, new = of[order], new[order]
+        places = np.arange(len(flows) + 1)
+        old_at, new_at = np.searchsorted(old[:, 0], places), np.searchsorted(of, places)
+        due = np.diff(new_at) > 0
+        if not len(new):
+            at = totals[:, TOTALS.index("timer_ms")]
+            due = (at != _NONE) & (at <= (timers.getCurrentWatermarkInMs() if self.event_time else timers.getCurrentProcessingTimeInMs()))
+        out, added, gone = [], [], np.zeros(len(flows), bool)
+        left = np.diff(old_at)  # packets of each flow that stay in the list
+        for i in np.flatnonzero(due):
+            total = {name: None if x == _NONE else x for name, x in zip(TOTALS, totals[i].tolist(), strict=False)}
+            mine, more = old[old_at[i] : old_at[i + 1], 1:], new[new_at[i] : new_at[i + 1]]
+            if not len(more) and self._idle(total, timers):
+                gone[i], left[i] = True, 0
+                continue
+            got, counters[i], more, kept = self.advance(flows[i], total, counters[i], mine, more, timers)
+            if got:
+                out.append(got)
+            if kept is not None:
+                left[i], more = kept[: len(mine)].sum(), more[kept[len(mine) :]]
+                totals[i, -1] = entries
+            totals[i, :-1] = [_NONE if total[name] is None else total[name] for name in TOTALS]
+            added.append(np.column_stack([np.full(len(more), i), more]))
+        if out:
+            yield _frame(out)
+        added = np.concatenate(added) if added else packets[:0]
+        if gone.all():
+            self.chunks.clear()
+            self.group.clear()
+            self._move_timer(timer, None)
+            return
+        if gone.any() or 2 * (len(packets) - left.sum()) > len(packets) + len(added):
+            # written anew without what is trimmed, the flows that are gone, and their places
+            passed = (packets[:, 1] <= totals[packets[:, 0], TOTALS.index("trimmed_us")]) & (entry < totals[packets[:, 0], -1])
+            rest = np.concatenate([packets[~passed], added])
+            rest = rest[~gone[rest[:, 0]]]
+            rest[:, 0] = (np.cumsum(~gone) - 1)[rest[:, 0]]
+            flows = [flow for flow, lost in zip(flows, gone, strict=True) if not lost]
+            totals, counters = totals[~gone], counters[~gone]
+            totals[:, -1] = 0
+            self.chunks.put([(rest.tobytes(),)])
+        elif len(added):
+            self.chunks.appendList([(added.tobytes(),)])
+        at = totals[:, TOTALS.index("timer_ms")]
+        at = int(at[at != _NONE].min()) if (at != _NONE).any() else None
+        if not len(new) and at is not None and at == timer:
+            at += 1  # the timer that fired is deleted behind this call
+        self._move_timer(timer, at)
+        self.group.update((flows, totals.tobytes(), counters.tobytes(), at))
 
 
 def flow_features_stream(
@@ -248,10 +372,11 @@ def flow_features_stream(
     dropped=None,
     delay_s: float | None = None,
     short=None,
+    groups: int = GROUPS,
 ) -> DataFrame:
     """Streaming per-packet flow records from a stream of packet rows. ``dropped`` and ``short`` (Spark
     accumulators) count the packets that ``late='drop'`` leaves out, and late ones with a shortened window.
-    With ``delay_s`` records come in event-time order."""
+    With ``delay_s`` records come in event-time order. ``groups`` is the number of groups of flows; a checkpoint keeps to its own."""
     if late not in ("accept", "drop"):
         raise ValueError(f"late must be 'accept' or 'drop', not {late!r}")
     packets.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # list state and timers need it
@@ -260,10 +385,10 @@ def flow_features_stream(
         packets = packets.withColumn("event_time", F.timestamp_micros("ts_us")).withWatermark("event_time", f"{int(delay_s * 1000)} milliseconds")
     kept = ["event_time"] if delay_s is not None else []
     numbers = [F.col(c).cast("bigint").alias(c) for c in PACKET_FIELDS if c != "marks"]
-    d = flow_key(packets).select("flow", *kept, *numbers, packet_marks().cast("bigint").alias("marks"))
-    processor = FlowProcessor(int(round(window_s * 1_000_000)), late, int(idle_ttl_s * 1000) if idle_ttl_s else None, delay_s is not None, dropped, short)
+    d = flow_key(packets).select(F.pmod(F.xxhash64("flow"), F.lit(groups)).alias("flow_group"), "flow", *kept, *numbers, packet_marks().cast("bigint").alias("marks"))
+    processor = FlowGroupProcessor(int(round(window_s * 1_000_000)), late, int(idle_ttl_s * 1000) if idle_ttl_s else None, delay_s is not None, dropped, short)
     mode = "EventTime" if delay_s is not None else "ProcessingTime" if idle_ttl_s else "None"
-    return d.groupBy("flow").transformWithStateInPandas(processor, output_schema(), "append", mode)
+    return d.groupBy("flow_group").transformWithStateInPandas(processor, output_schema(), "append", mode)
 
 
 def late_packets(query: StreamingQuery) -> int:
