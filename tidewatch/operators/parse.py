@@ -113,9 +113,18 @@ def parse_lines(
 ) -> DataFrame:
     """split + width filter (+ optional completeness filter) + typed projection."""
     rows = valid_width(split_line(df, col))
-    if complete:
-        rows = rows.filter(complete_values("values", rate_numeric))
-    return parse_traffic(rows, keep=keep, **kw)
+    if not complete:
+        return parse_traffic(rows, keep=keep, **kw)
+    if kw.get("wide_counts"):  # whether a count is an int is known from its text alone
+        return parse_traffic(rows.filter(complete_values("values", rate_numeric)), keep=keep, **kw)
+    parsed = parse_traffic(rows, keep=keep, **{**kw, "rate_value": True})
+    # all fields stand behind one generator, so the filter reads the parsed values (a loop over the texts is interpreted)
+    fields = [c for c in parsed.columns if c not in keep]
+    row = F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in fields])))
+    parsed = parsed.select(*[F.col(f"`{c}`") for c in parsed.columns if c in keep], row)
+    feats = [name for name, kind in TRAFFIC_FIELDS if kind != "string"] + ["rate_value" if rate_numeric else "Rate"]
+    whole = complete_rows(parsed, feats)
+    return whole if kw.get("rate_value", True) else whole.drop("rate_value")
 
 
 def complete_values(values: str = "values", rate_numeric: bool = True) -> Column:
