@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
@@ -119,7 +120,12 @@ def fit_classifier(params: ForestParams, train: DataFrame, classes: int) -> Pipe
         maxBins=bins,
         seed=params.seed,
     )
-    return PipelineModel([stage, assembler, forest.fit(assembler.transform(rows).select("features", LABEL_INDEXED))])
+    # the fit reads its rows three times (classes, split candidates, bagging): assembled once
+    points = assembler.transform(rows).select("features", LABEL_INDEXED).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel([stage, assembler, forest.fit(points)])
+    finally:
+        points.unpersist()
 
 
 @dataclass
@@ -151,8 +157,6 @@ def train(df: DataFrame, params: ForestParams | None = None, persist: bool = Tru
     passes, instead of being re-derived by each (``persist=False`` when the
     caller already caches them). Incomplete rows are dropped above the cache.
     """
-    from pyspark import StorageLevel
-
     from .parse import complete_rows
 
     params = params or ForestParams()
