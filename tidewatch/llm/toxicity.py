@@ -31,6 +31,7 @@ is none). An empty table gives no rows. Other columns of the input are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,6 +47,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, fit_sample, slices, text_hash
 
 _ROOM = 1 << 18  # distinct terms counted at a time in a task
+_POSTINGS = 1 << 20  # entries of short lists gathered at a time
+_QUERIES = 256  # texts searched at a time
 _SLACK = 1e-5  # above the rounding of cosines
 REPEATS = (2, 3)
 BEGINNING = 5
@@ -96,7 +99,24 @@ class BlockMaxIndex:
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """Positions and cosines of the k nearest rows with a positive cosine, for each query (ascending terms,
-        weights); ``but`` names a position for each query that is left out."""
+        weights); ``but`` names a position for each query that is left out. The queries are searched in groups of at most
+        ``_POSTINGS`` entries of the short lists (one query may have more), which bounds the memory."""
+        load = np.cumsum([self._short_size(at) for at, _ in queries])
+        out, begin = [], 0
+        while begin < len(queries):
+            done = load[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(load, done + _POSTINGS, "right")))
+            end = min(end, begin + _QUERIES)
+            out += self._search(queries[begin:end], k, None if but is None else but[begin:end])
+            begin = end
+        return out
+
+    def _short_size(self, at: np.ndarray) -> int:
+        """Entries of the short lists of these ascending terms."""
+        at = at[np.searchsorted(at, self.common) :].astype(np.int64)
+        return int(self.ends[at].astype(np.int64).sum() - np.where(at > 0, self.ends[at - 1], 0).astype(np.int64).sum())
+
+    def _search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: np.ndarray | None) -> list[tuple[np.ndarray, np.ndarray]]:
         nq, width = len(queries), self.block
         dense = np.zeros((nq, self.common), np.float32)
         sparse = []
@@ -184,7 +204,7 @@ class TermFinder:
     def __init__(self, terms: dict[str, int]) -> None:
         self.word: dict[str, int] = {}
         self.begin: dict[str, int] = {}
-        of, times, at = [], [], []
+        of, times, at = array("i"), array("i"), array("i")
         for term, place in terms.items():
             form, _, r = term.partition("@")
             known, form = (self.begin, form[:-1]) if form.endswith("-") else (self.word, form)
@@ -369,7 +389,7 @@ def _vectors(sample: DataFrame, listed: bytes) -> DataFrame:
     """``(key, label, at, tf)`` of the sampled examples: ascending positions of their terms, and counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = TermFinder(_terms(listed))
+        finder = _finder(listed)
         for b in slices(batches):
             found = [finder.count(t) for t in b.column("text").to_pylist()]
             got = [pa.array([f[i] for f in found], pa.list_(pa.int32())) for i in (0, 1)]
