@@ -48,7 +48,6 @@ from .common import Scratch, fit_sample, slices, text_hash
 
 _ROOM = 1 << 18  # distinct terms counted at a time in a task
 _POSTINGS = 1 << 20  # entries of short lists gathered at a time
-_QUERIES = 256  # texts searched at a time
 _SLACK = 1e-5  # above the rounding of cosines
 REPEATS = (2, 3)
 BEGINNING = 5
@@ -99,24 +98,7 @@ class BlockMaxIndex:
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """Positions and cosines of the k nearest rows with a positive cosine, for each query (ascending terms,
-        weights); ``but`` names a position for each query that is left out. The queries are searched in groups of at most
-        ``_POSTINGS`` entries of the short lists (one query may have more), which bounds the memory."""
-        load = np.cumsum([self._short_size(at) for at, _ in queries])
-        out, begin = [], 0
-        while begin < len(queries):
-            done = load[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(load, done + _POSTINGS, "right")))
-            end = min(end, begin + _QUERIES)
-            out += self._search(queries[begin:end], k, None if but is None else but[begin:end])
-            begin = end
-        return out
-
-    def _short_size(self, at: np.ndarray) -> int:
-        """Entries of the short lists of these ascending terms."""
-        at = at[np.searchsorted(at, self.common) :].astype(np.int64)
-        return int(self.ends[at].astype(np.int64).sum() - np.where(at > 0, self.ends[at - 1], 0).astype(np.int64).sum())
-
-    def _search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: np.ndarray | None) -> list[tuple[np.ndarray, np.ndarray]]:
+        weights); ``but`` names a position for each query that is left out."""
         nq, width = len(queries), self.block
         dense = np.zeros((nq, self.common), np.float32)
         sparse = []
@@ -124,14 +106,15 @@ class BlockMaxIndex:
             n = np.searchsorted(at, self.common)
             dense[i, at[:n]] = w[:n]
             sparse.append((at[n:], w[n:]))
-        # the short lists of the less frequent terms, as a whole
-        at = np.concatenate([t for t, _ in sparse]).astype(np.int64)
-        start = np.where(at > 0, self.ends[at - 1], 0).astype(np.int64) if len(at) else at
-        size = self.ends[at].astype(np.int64) - start
-        posting = _spans(start, size)
-        row = np.repeat(np.repeat(np.arange(nq), [len(t) for t, _ in sparse]) * (self.blocks * width), size) + self.example[posting]
-        value = np.repeat(np.concatenate([w for _, w in sparse]).astype(np.float32), size) * self.weight[posting]
-        short = np.bincount(row, value, nq * self.blocks * width).astype(np.float32).reshape(nq, self.blocks, width)
+        # the short lists of the less frequent terms, as a whole, a bounded number of entries at a time
+        short = np.zeros((nq, self.blocks, width), np.float32)
+        load = np.cumsum([self._entries(at)[1].sum() for at, _ in sparse])
+        begin = 0
+        while begin < nq:
+            done = load[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(load, done + _POSTINGS, "right")))
+            short[begin:end] = self._short(sparse[begin:end])
+            begin = end
         bound = dense @ self.most + short.max(axis=2)
         order = np.argsort(-bound, axis=1, kind="stable")
         ranked = np.take_along_axis(bound, order, 1)
@@ -166,6 +149,21 @@ class BlockMaxIndex:
         parts = np.split(near, np.searchsorted(who[near], np.arange(1, nq)))
         return [(row[p[:k]], value[p[:k]]) for p in parts]
 
+    def _entries(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First entry and number of entries of the lists of these terms."""
+        at = at.astype(np.int64)
+        start = np.where(at > 0, self.ends[at - 1], 0).astype(np.int64) if len(at) else at
+        return start, self.ends[at].astype(np.int64) - start
+
+    def _short(self, sparse: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Sums of the short lists: the part of each example's cosine, for each query (terms, weights)."""
+        nq, width = len(sparse), self.block
+        start, size = self._entries(np.concatenate([t for t, _ in sparse]))
+        posting = _spans(start, size)
+        row = np.repeat(np.repeat(np.arange(nq), [len(t) for t, _ in sparse]) * (self.blocks * width), size) + self.example[posting]
+        value = np.repeat(np.concatenate([w for _, w in sparse]).astype(np.float32), size) * self.weight[posting]
+        return np.bincount(row, value, nq * self.blocks * width).astype(np.float32).reshape(nq, self.blocks, width)
+
 
 def layout(example: np.ndarray, term: np.ndarray, tf: np.ndarray, weight: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """An order of the examples in which like ones are neighbours: by most frequent term, label and heaviest term."""
