@@ -26,7 +26,8 @@ import re
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from string import punctuation
 from typing import Any
 
 import numpy as np
@@ -47,13 +48,18 @@ def encode_ranks(ranks: np.ndarray) -> bytes:
     """Block of ranks (each below 2**32) in the code above."""
     r = np.ascontiguousarray(ranks, np.uint32)
     n = len(r)
-    size = 1 + (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
     codes = np.zeros(-(-n // 4) * 4, np.uint8)
-    codes[:n] = size - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1).astype(np.uint8)
-    wide = r.astype("<u4").view(np.uint8).reshape(n, 4)
-    data = wide[np.arange(4) < size[:, None]]
-    return MAGIC + np.array([n], "<u4").tobytes() + control.tobytes() + data.tobytes()
+    top = int(r.max(initial=0))
+    for least in (1 << 8, 1 << 16, 1 << 24):
+        if top >= least:
+            codes[:n] += r >= least
+    four = codes.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    wide = r.astype("<u2" if top < 1 << 16 else "<u4").view(np.uint8).reshape(n, 2 if top < 1 << 16 else 4)
+    used = np.empty(wide.shape, bool)
+    for k in range(wide.shape[1]):
+        np.greater_equal(codes[:n], k, out=used[:, k])
+    return MAGIC + np.array([n], "<u4").tobytes() + control.tobytes() + wide[used].tobytes()
 
 
 def decode_ranks(block: bytes) -> np.ndarray:
@@ -68,7 +74,7 @@ def decode_ranks(block: bytes) -> np.ndarray:
     data = np.frombuffer(block + b"\0\0\0", np.uint8, offset=8 + groups)
     at = end - size
     value = data[at].astype(np.uint32)
-    for k in (1, 2, 3):
+    for k in range(1, int(size.max(initial=0))):
         value |= data[at + k].astype(np.uint32) << np.uint32(8 * k)
     return value & _MASK[size]
 
@@ -86,61 +92,94 @@ def _ranges(kind: str, stop: int = 0x250) -> str:
     return out
 
 
+class _OtherScript(Exception):
+    """A text holds a character that only the library's own pre-tokeniser splits."""
+
+
+class _Memory(dict):
+    """Results of ``make`` by text: the first ``room`` of them, and of all later ones the last few."""
+
+    def __init__(self, make: Callable[[str], bytes], room: int, late: int) -> None:
+        super().__init__()
+        self.make, self.room, self.late, self.recent = make, room, late, {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.recent.get(text)
+        if ids is None:
+            ids = self.make(text)
+            if len(self) < self.room:
+                self[text] = ids
+            elif self.late:
+                if len(self.recent) >= self.late:
+                    self.recent.clear()
+                self.recent[text] = ids
+        return ids
+
+
 class PieceEncoder:
     """Ids of whole texts through a byte-level BPE file of the ``tokenizers`` library.
 
     The library's model splits each distinct piece once per worker and the result is
-    kept (up to ``room`` pieces); texts outside Latin letters, with special-token
-    strings or through another kind of tokenizer go through the library as a whole.
+    kept (the first ``room`` pieces, and the last ``late`` of those beyond); texts outside Latin letters, with
+    special-token strings or through another kind of tokenizer go through the library as a whole.
     """
 
-    def __init__(self, path: str, room: int = 600_000) -> None:
+    def __init__(self, path: str, room: int = 1_000_000, late: int = 100_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.room = room
         self.kind = "<u2" if self.tok.get_vocab_size() <= 0x10000 else "<u4"
         self.typecode = "H" if self.kind == "<u2" else "I"
-        self.known: dict[str, bytes] = {}
-        special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         letters, numbers, space = _ranges("L"), _ranges("N"), "\t-\r \x85\xa0"
         self.pieces = re.compile(
             rf" ?[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{numbers}]+| ?[^{space}{letters}{numbers}]+|[{space}]+(?![^{space}])|[{space}]+"
         ).findall
         self.two_spaces = re.compile(f"[{space}]{{2}}").search
-        self.odd = re.compile("|".join(["[^\x01-ɏ]", *map(re.escape, special)])).search
+        # only texts with one of these can hold two spaces in a row
+        self.gaps = ("  ", "\n\n", " \n", "\n ", *"\t\v\f\r\x85\xa0")
+        self.whole = ("\0", *(t.content for t in self.tok.get_added_tokens_decoder().values()))
+        self.odd = re.compile("[^\x01-ɏ]").search
         state = str(self.tok.pre_tokenizer)
         self.fast = state.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in state and self.tok.normalizer is None
+        self.split = self.tok.model.tokenize
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(plain)]
-        self.bytes_as_text = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
-
-    def _keep(self, text: str, ids: bytes) -> bytes:
-        if len(self.known) < self.room:
-            self.known[text] = ids
-        return ids
+        as_text = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+        self.byte_text = {chr(c): "".join(as_text[b] for b in chr(c).encode()) for c in range(1, 0x250)}
+        self.known = _Memory(self._chunk, room, late)
+        self.known[""] = b""
 
     def _piece(self, piece: str) -> bytes:
-        text = piece.encode().decode("latin-1").translate(self.bytes_as_text)
-        return self._keep(piece, array(self.typecode, [t.id for t in self.tok.model.tokenize(text)]).tobytes())
+        if piece.isascii() and piece.isprintable():
+            text = piece.replace(" ", self.byte_text[" "])
+        else:
+            text = "".join(map(self.byte_text.__getitem__, piece))
+        return array(self.typecode, [t.id for t in self.split(text)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
+        if not chunk.isascii() and self.odd(chunk):
+            raise _OtherScript
+        head = chunk.rstrip(punctuation)
+        if head.lstrip(" ").isalpha():  # a word is one piece, and so are the marks behind it
+            return self._piece(chunk) if len(head) == len(chunk) else self.known[head] + self.known[chunk[len(head) :]]
         pieces = self.pieces(chunk)
-        if len(pieces) == 1:
-            return self._piece(chunk)
-        known = self.known.get
-        return self._keep(chunk, b"".join([known(p) or self._piece(p) for p in pieces]))
+        return self._piece(chunk) if len(pieces) == 1 else b"".join(map(self.known.__getitem__, pieces))
+
+    def _library(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as packed little-endian integers of ``self.kind``."""
-        if not self.fast or self.odd(text):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if self.two_spaces(text):
+        if not self.fast or any(map(text.__contains__, self.whole)):
+            return self._library(text)
+        if any(map(text.__contains__, self.gaps)) and self.two_spaces(text):
             chunks = self.pieces(text)
         else:  # a lone blank starts a piece and a lone line end is one, so texts may be cut there
             chunks = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        known, make = self.known.get, self._chunk
-        return b"".join([known(c) or make(c) for c in chunks if c])
+        try:
+            return b"".join(map(self.known.__getitem__, chunks))
+        except _OtherScript:
+            return self._library(text)
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
