@@ -8,11 +8,11 @@ sample documents. A document gets the language whose prototype has the largest c
 with it, both taken relative to the mean prototype; ``score`` is a softmax over the cosines.
 
 ``keep_known`` rejects a text that lies too far from every prototype: its plain cosine with the nearest one is below
-``MARGIN`` times the least that learned documents have (``least_cosines``), both of ``2 ** (SETTLED - 1)`` letters or more. Shorter
-texts have too few grams for that and are rejected only if they have no letter.
+``MARGIN`` times the least that any usable document with a language has (``least_cosines``, over all of them), both of
+``2 ** (SETTLED - 1)`` letters or more. Shorter texts have too few grams for that and are rejected only if they have no letter.
 
-Bounded fit: about ``max_fit`` documents per language (those with the smallest hashes of
-the id), whole texts, of every language. Prediction covers every whole text in place, without a shuffle.
+Bounded fit of the prototypes: about ``max_fit`` documents per language (those with the smallest hashes of
+the id), whole texts, of every language. Calibration and prediction cover every whole text in place, without a shuffle.
 
 Edge cases: a null text or one without a letter gets ``und`` with score 0, as does
 everything if no language was learned. A null id has a row with a null id. Repeated rows
@@ -139,7 +139,8 @@ class Profiles:
         if not self.langs:
             return np.ones(len(texts), bool)
         cos, bits = self.nearest(texts, bundler)
-        low = MARGIN * min((c for k, c in self.least.items() if k >= SETTLED), default=-1.0)
+        least = min((c for k, c in self.least.items() if k >= SETTLED), default=-1.0)
+        low = min(least, MARGIN * least)  # a negative least has its margin above it
         return (bits > 0) & ((bits < SETTLED) | (cos >= low))
 
     def predict(self, texts: list[str], bundler: Bundler) -> tuple[list[str], np.ndarray]:
@@ -166,7 +167,7 @@ def fit(
     calibrate: bool = False,
 ) -> Profiles:
     """Learn from the rows for which ``usable`` (a condition on ``key``) holds; ``calibrate`` also learns how near
-    documents are to their prototypes, which ``keep_known`` asks for."""
+    all of them are to the prototypes, sampled or not, which ``keep_known`` asks for."""
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where("lang is not null and text is not null")
     if usable is not None:
@@ -194,12 +195,13 @@ def fit(
     langs = sorted(got)
     profiles = Profiles(langs, np.stack([got[x] for x in langs]) if langs else np.zeros((0, dims)))
     if calibrate and langs:
-        profiles.least = least_cosines(sample, profiles)
+        profiles.least = least_cosines(rows, profiles)
     return profiles
 
 
-def least_cosines(sample: DataFrame, profiles: Profiles) -> dict[int, float]:
-    """By the bits of the number of letters: the least cosine of a sampled document with its nearest prototype. At most 64 sizes."""
+def least_cosines(rows: DataFrame, profiles: Profiles) -> dict[int, float]:
+    """By the bits of the number of letters: the least cosine of any of the ``rows`` with its nearest prototype. A least value
+    over a sample lies above that of the corpus, the more so the larger the corpus. At most 64 sizes."""
     dims = profiles.vectors.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,8 +211,8 @@ def least_cosines(sample: DataFrame, profiles: Profiles) -> dict[int, float]:
                 low[int(size)] = min(low.get(int(size), 2.0), float(cos))
         yield pa.RecordBatch.from_arrays([pa.array(list(low), pa.int32()), pa.array(list(low.values()), pa.float64())], ["size", "cos"])
 
-    rows = sample.repartition(12, "key").mapInArrow(run, "size int, cos double").groupBy("size").agg(F.min("cos").alias("cos")).collect()
-    return {r["size"]: r["cos"] for r in rows if r["size"]}
+    found = rows.select("text").mapInArrow(run, "size int, cos double").groupBy("size").agg(F.min("cos").alias("cos")).collect()
+    return {r["size"]: r["cos"] for r in found if r["size"]}
 
 
 def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
