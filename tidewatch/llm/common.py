@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import release, work_path
 
-__all__ = ["Scratch", "crc_fold", "fit_sample", "keep_rows", "load", "slices", "small_side", "stage", "text_hash", "without"]
+__all__ = ["Scratch", "crc_fold", "fit_sample", "keep_rows", "load", "planned", "slices", "small_side", "stage", "text_hash", "without"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,8 +71,14 @@ BROADCAST_IDS = 1_000_000  # more ids than this are joined by a shuffle
 
 
 def small_side(ids: DataFrame) -> DataFrame:
-    """``ids`` (one long a row) for a join, broadcast if their count is proven small."""
-    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+    """``ids`` (one long a row) for a join, broadcast if their count is proven small, else shuffled."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids.hint("merge")
+
+
+def planned(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` for a join, left to the planner if at most ``most`` are proven, else shuffled: the planner takes the size of
+    their files, in which ids are packed far below what a broadcast of them takes."""
+    return rows if rows.limit(most + 1).count() <= most else rows.hint("merge")
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:

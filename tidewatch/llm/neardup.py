@@ -17,6 +17,9 @@ first collection the next ``LEADERS`` (then four times as many, and so on) meet
 tiles. A pair is verified once, if it shares a table, lies in two components and its bitmaps allow the
 similarity (an exact bound), until every bucket is one component or all its pairs have met.
 
+The planner sizes a staged table by its packed files, and one exploded from it as if it were not exploded. So a join
+that could broadcast such a table is a merge join, unless its rows have been counted.
+
 Edge cases: an empty or null text has an empty set, 0 shingles and no link. A null id is
 linked with nothing: its ``component_id`` is null and it is kept. Rows that repeat an id count as
 one document with the largest of their texts and give one row. An empty table gives no
@@ -34,12 +37,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, small_side
+from .common import Scratch, planned, slices, small_side
 
 TILE = 512  # classes that meet as one matrix product
 LEADERS = 1024  # classes of a bucket that meet all after them in the first round
 BITS = 2048  # of a set's bitmap
 _ROOM = 1 << 17  # word fingerprints kept by a worker
+_FEW = 400_000  # rows of two longs that the planner may broadcast
+_FEW_ITEMS = 4 << 20  # fingerprints of full sets that it may broadcast
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -145,6 +150,9 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     b = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("b_items"))
     both = F.size(F.array_intersect("a_items", "b_items"))
     union = F.size("a_items") + F.size("b_items") - both
+    # near copies pack well: files of a few MB may hold sets of very many
+    if (sets.agg(F.sum(F.size("items"))).first()[0] or 0) > _FEW_ITEMS:
+        a, pairs = a.hint("merge"), small_side(pairs)
     # many pairs may share one ``a``: it comes last, when a skewed partition shows its bytes and is split
     return pairs.join(b, "b").join(a, "a").where(100 * both >= percent * union).select("a", "b")
 
@@ -157,6 +165,7 @@ def components(spark: SparkSession, links: DataFrame, scratch: Scratch) -> DataF
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        both = planned(both, 2 * _FEW)
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
@@ -199,7 +208,8 @@ def buckets(live: DataFrame) -> DataFrame:
     low_bits = F.xxhash64("doc_id").bitwiseAND(0xFFFFFFFFFF)
     sums = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum(low_bits).alias("sum"))
     named = sums.where("size > 1").select("key", F.xxhash64("size", "low", "high", "sum").alias("bucket"))
-    return rows.join(named, "key").groupBy("bucket", "doc_id", "n").agg(F.min("first").alias("first"))
+    # once ``named`` proves large, the planner would broadcast ``rows``, of which it sees only the size of ``live``
+    return rows.join(named.hint("merge"), "key").groupBy("bucket", "doc_id", "n").agg(F.min("first").alias("first"))
 
 
 def near_pairs(ranked: DataFrame, leaders: int, percent: int) -> DataFrame:
@@ -209,7 +219,7 @@ def near_pairs(ranked: DataFrame, leaders: int, percent: int) -> DataFrame:
     once, at its smallest shared bucket, and only if it also shares a key of the second collection."""
     tile = F.floor(F.col("place") / TILE).cast("int")
     sizes = ranked.groupBy("bucket").agg(F.max("place").alias("most"))
-    rows = ranked.join(sizes, "bucket").withColumn("tile", tile)
+    rows = ranked.join(small_side(sizes), "bucket").withColumn("tile", tile)
     most = F.floor(F.col("most") / TILE).cast("int")
     # a row waits in its own tile for all tiles of leaders up to it, and goes as a leader to all tiles after it
     later = rows.select("*", F.explode(F.sequence(F.lit(0), F.least("tile", F.lit((leaders - 1) // TILE)))).alias("x"), F.col("tile").alias("y"), F.lit(1).alias("side"))
@@ -309,14 +319,14 @@ def near_duplicates(
         docs, id_col, text_col = _texts(docs, id_col, text_col).join(ids, "doc_id", "left_anti").union(once), "doc_id", "text"
     classes = found.where("doc_id is not null and n > 0").groupBy("same").agg(F.min("doc_id").alias("doc_id"))
     classes = scratch.keep(classes, "classes")  # so that joins on a hot class have plain shuffles, which can be split
-    reps = found.select("doc_id", "n", "first", "second").join(classes.select("doc_id"), "doc_id")
+    reps = found.select("doc_id", "n", "first", "second").join(planned(classes.select("doc_id"), _FEW), "doc_id")
     live = scratch.keep(live_keys(reps), "live")
     todo = scratch.keep(buckets(live), "buckets")
     lead = todo.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("a"))
-    met = todo.join(lead, "bucket").where("doc_id != a.doc_id")
+    met = planned(todo, _FEW).join(lead, "bucket").where("doc_id != a.doc_id")
     pairs = met.select(F.col("a.doc_id").alias("a"), F.col("a.n").alias("a_n"), F.col("doc_id").alias("b"), F.col("n").alias("b_n"))
     links = _verified(scratch, docs, pairs, shingle, percent, id_col, text_col, "0")
-    comps = scratch.keep(components(spark, links, scratch), "components-0")
+    comps = planned(scratch.keep(components(spark, links, scratch), "components-0"), _FEW)
 
     # what the leaders left open: documents with a first key of a bucket in which several components remain
     rest = _with_component(met.select("bucket", "doc_id", "first"), comps)
@@ -341,11 +351,11 @@ def near_duplicates(
         new = _verified(scratch, docs, pairs, shingle, percent, id_col, text_col, str(step))
         if new.limit(1).count():
             links = links.union(new)
-            comps = scratch.keep(components(spark, links, scratch), f"components-{step}")
+            comps = planned(scratch.keep(components(spark, links, scratch), f"components-{step}"), _FEW)
         todo = scratch.keep(ranked.where(F.col("place") >= leaders).drop("place", "comp"), f"todo-{step}")
         scratch.drop(f"ranked-{step}")
         step, leaders = step + 1, leaders * 4
-    rep = classes.select("same", F.col("doc_id").alias("rep"))
+    rep = planned(classes.select("same", F.col("doc_id").alias("rep")), _FEW // 4)
     out = found.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("same")).alias("same")).join(rep, "same", "left")
     out = out.join(comps.select(F.col("doc_id").alias("rep"), "component_id"), "rep", "left")
     component = F.coalesce("component_id", "rep", "doc_id")
