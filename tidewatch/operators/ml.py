@@ -8,6 +8,8 @@ batch and in a stream -- indexers are fitted once, never per micro-batch.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
@@ -23,6 +25,7 @@ from .categories import CategoryIndexer, ClassStatistics, category_index
 
 LABEL_INDEXED = "label_indexed"
 CATEGORY_BINS = 150000
+CACHE_ROWS = 500  # rows of a batch of the cached training rows
 
 
 def fit_label_indexer(df: DataFrame, col: str = LABEL_COLUMN, out: str = LABEL_INDEXED) -> StringIndexerModel:
@@ -61,6 +64,22 @@ class ForestParams:
     max_fit_rows: int | None = None
 
 
+@contextmanager
+def small_cache_batches(spark: SparkSession, rows: int | None = None) -> Iterator[None]:
+    """What is cached inside (at its first action) is cut into batches of at most ``rows`` rows.
+
+    Cached rows are written through a Java object stream, which holds the last hundred batches beside the memory that Spark
+    counts. Of 10,000 assembled rows, the session's default, a batch takes about 3 MB, so each task would hold 300 MB.
+    """
+    key = "spark.sql.inMemoryColumnarStorage.batchSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), rows or CACHE_ROWS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def numeric_feature_names() -> list[str]:
     return [n for n, k in TRAFFIC_FIELDS if k != "string"]
 
@@ -121,7 +140,7 @@ def fit_classifier(params: ForestParams, train: DataFrame, classes: int) -> Pipe
         seed=params.seed,
     )
     # the fit reads its rows three times (classes, split candidates, bagging): assembled once
-    points = assembler.transform(rows).select("features", LABEL_INDEXED).persist(StorageLevel.MEMORY_AND_DISK)
+    points = assembler.transform(rows).select("features", LABEL_INDEXED).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         return PipelineModel([stage, assembler, forest.fit(points)])
     finally:
@@ -157,11 +176,15 @@ def train(df: DataFrame, params: ForestParams | None = None, persist: bool = Tru
     passes, instead of being re-derived by each (``persist=False`` when the
     caller already caches them). Incomplete rows are dropped above the cache.
     """
+    with small_cache_batches(df.sparkSession):
+        return _train(df, params or ForestParams(), persist)
+
+
+def _train(df: DataFrame, params: ForestParams, persist: bool) -> Trained:
     from .parse import complete_rows
 
-    params = params or ForestParams()
     df = with_rate_value(df)
-    rows = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
+    rows = df.persist(StorageLevel.MEMORY_AND_DISK_DESER) if persist else df
     try:
         # filtered above the cached rows, so nothing is pushed into the parse
         rows = complete_rows(rows, model_features(params))

@@ -790,7 +790,7 @@ def _train_and_score(spark, sf) -> tuple[DataFrame, M.Trained]:
     """
     from pyspark import StorageLevel
 
-    parsed = P.parse_lines(FX.traffic_lines(spark, sf), keep=("line_id",)).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = P.parse_lines(FX.traffic_lines(spark, sf), keep=("line_id",)).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         rows = P.complete_rows(parsed, M.model_features())
         is_train = M.hash_split("line_id")
@@ -928,7 +928,7 @@ def q_monitor_stream(spark, sf):
     """Train once, score the traffic stream, publish JSON envelopes, and read them back."""
     from pyspark import StorageLevel
 
-    parsed = P.parse_lines(FX.traffic_lines(spark, sf), keep=("line_id",)).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = P.parse_lines(FX.traffic_lines(spark, sf), keep=("line_id",)).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         rows = P.complete_rows(parsed, M.model_features())
         trained = M.train(rows.filter(M.hash_split("line_id")), persist=False)
